@@ -1,0 +1,24 @@
+"""Cutting lineage between a pass over large input and its several readers."""
+
+import tempfile
+
+from pyspark.sql import DataFrame
+
+
+def settle(df: DataFrame) -> DataFrame:
+    """Compute `df` once into the session's checkpoint folder.
+
+    The folder is the one the cluster names in spark.checkpoint.dir. Where none
+    is set, a local session gets a scratch folder, and a cluster gets `df` back
+    unsettled: its readers then recompute it, which is slower but right.
+    """
+    spark = df.sparkSession
+    context = spark.sparkContext
+    if context.getCheckpointDir() is None:
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if folder is None and context.master.startswith("local"):
+            folder = tempfile.mkdtemp(prefix="settle-")
+        if folder is None:
+            return df
+        context.setCheckpointDir(folder)
+    return df.checkpoint()
