@@ -7,6 +7,8 @@ each bucket only.
 """
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -29,7 +31,7 @@ def value_counts(rows: DataFrame, value: str, by: Sequence[str] = ()) -> DataFra
 def empirical_cdf_compact(counts: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """(by, value, n, first, total): the sorted positions first .. first + n - 1 hold `value`."""
     bucketed = counts.withColumn("bucket", geometric_bucket(F.col("value")))
-    return _positions(bucketed.join(_bucket_starts(bucketed, by), [*by, "bucket"]), by)
+    return _positions(bucketed, _bucket_starts(bucketed, by), by)
 
 
 def empirical_cdf(counts: DataFrame, by: Sequence[str] = ()) -> DataFrame:
@@ -69,11 +71,10 @@ def exact_percentile(counts: DataFrame, fraction: float, by: Sequence[str] = ())
     def holds(position: Column) -> Column:
         return (F.col("first") <= position) & (position < end)
 
-    starts = _bucket_starts(bucketed, by)
-    wanted = starts.withColumn("end", F.col("start") + F.col("bucket_n")).filter(
-        (F.col("start") <= high) & (low < F.col("end"))
-    ).drop("end", "bucket_n")
-    found = _positions(bucketed.join(wanted, [*by, "bucket"]), by)
+    wanted = _bucket_starts(bucketed, by).filter(
+        (F.col("start") <= high) & (low < F.col("start") + F.col("bucket_n"))
+    )
+    found = _positions(_in_buckets(bucketed, wanted, by), wanted, by)
     weight = rank - low
     return (
         found.groupBy(*by)
@@ -103,14 +104,37 @@ def _bucket_starts(bucketed: DataFrame, by: Sequence[str]) -> DataFrame:
     )
 
 
-def _positions(placed: DataFrame, by: Sequence[str]) -> DataFrame:
+def _in_buckets(bucketed: DataFrame, buckets: DataFrame, by: Sequence[str]) -> DataFrame:
+    """The rows of the given buckets; a null group is a group like any other."""
+    keys = [*by, "bucket"]
+    wanted = buckets.select(*[F.col(key).alias(f"wanted_{key}") for key in keys])
+    same = reduce(and_, [bucketed[key].eqNullSafe(wanted[f"wanted_{key}"]) for key in keys])
+    return bucketed.join(wanted, same, "left_semi")
+
+
+def _positions(bucketed: DataFrame, buckets: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Rows with the sorted position of their first observation.
+
+    Each bucket's start enters the running sum as a row of its own that sorts
+    before all values, so values and starts meet in one exchange without a join.
+    """
+    starts = buckets.select(*by, "bucket", F.col("start").alias("n"), "total")
+    rows = bucketed.select(*by, "bucket", "value", "n").unionByName(starts, allowMissingColumns=True)
     upto = (
         Window.partitionBy(*by, "bucket")
-        .orderBy("value")
+        .orderBy(F.asc_nulls_first("value"))
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    first = F.col("start") + F.sum("n").over(upto) - F.col("n")
-    return placed.select(*by, "value", "n", first.alias("first"), "total")
+    return (
+        rows.select(
+            *by,
+            "value",
+            "n",
+            (F.sum("n").over(upto) - F.col("n")).alias("first"),
+            F.max("total").over(upto).alias("total"),
+        )
+        .filter(F.col("value").isNotNull())
+    )
 
 
 def _span(start: Column, stop: Column, step: int) -> Column:

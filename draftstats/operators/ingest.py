@@ -29,23 +29,42 @@ def listing_dedup(listing: DataFrame) -> DataFrame:
 def pending_matches(listing: DataFrame, landed: DataFrame | None) -> DataFrame:
     """Listed match ids without a landed document. A row without id cannot be landed.
 
-    Both sides are reduced to distinct ids first: the join reuses the two
-    exchanges by match_id and has at most one row per key on either side.
+    An anti join in the form of one aggregation: both sides reduce to distinct
+    ids map-side and meet in a single exchange, so neither a match listed very
+    often nor the size of the landed side matters.
     """
-    listed = listing_dedup(listing.filter(F.col("match_id").isNotNull()))
+    listed = listing.filter(F.col("match_id").isNotNull()).select("match_id", F.lit(False).alias("is_landed"))
     if landed is None:
-        return listed
-    return listed.join(listing_dedup(landed), "match_id", "left_anti")
+        return listing_dedup(listed)
+    return (
+        listed.unionByName(_landed_rows(landed))
+        .groupBy("match_id")
+        .agg(F.max("is_landed").alias("is_landed"))
+        .filter(~F.col("is_landed"))
+        .select("match_id")
+    )
 
 
-def first_documents(docs: DataFrame) -> DataFrame:
-    """One document per match id: the copy from the first source file by name.
+def new_documents(docs: DataFrame, landed: DataFrame | None) -> DataFrame:
+    """Documents whose match has not landed yet, one per match.
 
-    The aggregate works map-side too, so copies do not travel.
+    Of several copies the one from the first source file by name is taken.
+    Copies collapse map-side, and a single exchange by match id serves the
+    deduplication, the anti join and the compaction of one-document files.
     """
     fields = [c for c in docs.columns if c != "match_id"]
+    rows = docs.filter(F.col("match_id").isNotNull()).select(
+        "match_id", "source_file", F.struct(*fields).alias("document"), F.lit(False).alias("is_landed")
+    )
+    if landed is not None:
+        rows = rows.unionByName(_landed_rows(landed), allowMissingColumns=True)
     return (
-        docs.groupBy("match_id")
-        .agg(F.min_by(F.struct(*fields), F.col("source_file")).alias("document"))
+        rows.groupBy("match_id")
+        .agg(F.min_by("document", "source_file").alias("document"), F.max("is_landed").alias("is_landed"))
+        .filter(~F.col("is_landed"))
         .select("match_id", "document.*")
     )
+
+
+def _landed_rows(landed: DataFrame) -> DataFrame:
+    return landed.select("match_id", F.lit(True).alias("is_landed"))

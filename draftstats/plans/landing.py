@@ -3,31 +3,18 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.ingest import first_documents
+from ..operators.ingest import new_documents
 from ..schemas import CORRUPT
 from ..sources.matches import is_blank, landed_matches
 
 
-def new_documents(docs: DataFrame, landed: DataFrame | None) -> DataFrame:
-    """Readable documents whose match has not landed yet, one per match.
-
-    Copies collapse map-side, then one exchange by match id serves the
-    deduplication, the anti join and the compaction of one-document files.
-    Lines that gave no field at all are left to `malformed_matches`.
-    """
-    readable = docs.filter(F.col("match_id").isNotNull())
-    if CORRUPT in docs.columns:
-        readable = readable.filter(F.col(CORRUPT).isNull() | ~is_blank(docs))
-    fresh = first_documents(readable)
-    if landed is None:
-        return fresh
-    return fresh.join(landed.select("match_id").distinct(), "match_id", "left_anti")
-
-
 def land_matches(docs: DataFrame, table: str) -> None:
-    """Append the new documents to the table at `table`.
+    """Append the readable documents of matches that are not in the table yet.
 
-    Running it again, also after a failure, adds nothing twice.
+    Lines that gave no field at all are left to `malformed_matches`. Running it
+    again, also after a failure, adds nothing twice.
     """
     landed = landed_matches(docs.sparkSession, table)
+    if CORRUPT in docs.columns:
+        docs = docs.filter(F.col(CORRUPT).isNull() | ~is_blank(docs))
     new_documents(docs, landed).write.mode("append").parquet(table)

@@ -1,24 +1,32 @@
 """Cutting lineage between a pass over large input and its several readers."""
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame
 
 
 def settle(df: DataFrame) -> DataFrame:
-    """Compute `df` once into the session's checkpoint folder.
+    """Compute `df` once, into a table below the session's checkpoint folder, and read that.
 
     The folder is the one the cluster names in spark.checkpoint.dir. Where none
     is set, a local session gets a scratch folder, and a cluster gets `df` back
-    unsettled: its readers then recompute it, which is slower but right.
+    unsettled: its readers then recompute it, which is slower but right. The
+    table is columnar, so every reader scans only the columns it needs.
     """
+    folder = _checkpoint_folder(df)
+    if folder is None:
+        return df
+    path = f"{folder}/settled-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def _checkpoint_folder(df: DataFrame) -> str | None:
     spark = df.sparkSession
     context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        folder = spark.conf.get("spark.checkpoint.dir", None)
-        if folder is None and context.master.startswith("local"):
-            folder = tempfile.mkdtemp(prefix="settle-")
-        if folder is None:
-            return df
+    folder = context.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if folder is None and context.master.startswith("local"):
+        folder = tempfile.mkdtemp(prefix="settle-")
         context.setCheckpointDir(folder)
-    return df.checkpoint()
+    return folder

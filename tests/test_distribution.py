@@ -1,0 +1,81 @@
+import numpy as np
+import pytest
+from conftest import rows
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from draftstats.functions import geometric_bucket
+from draftstats.operators import distribution as dist
+
+finite = st.floats(allow_nan=False, allow_infinity=False, width=64, min_value=-1e12, max_value=1e12)
+few = settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+
+
+def counts_of(spark, values, by=()):
+    return dist.value_counts(spark.createDataFrame([(float(v),) for v in values], "v double"), "v", by)
+
+
+@few
+@given(st.lists(finite | st.sampled_from([0.0, 1.0, -2.5]), min_size=1, max_size=60))
+def test_cdf_and_percentile_equal_numpy(spark, values):
+    counts = counts_of(spark, values)
+    expected = [(v, i / len(values)) for i, v in enumerate(np.sort(values))]
+    assert rows(dist.empirical_cdf(counts)) == expected
+    percentile = dist.exact_percentile(counts, 0.99).first()[0]
+    assert percentile == pytest.approx(np.percentile(values, 99), rel=1e-9, abs=1e-9)
+
+
+@few
+@given(st.lists(st.floats(allow_nan=False) | st.sampled_from([0.0, -0.0, 5e-324, -5e-324, 1.7e308]), min_size=2, max_size=50))
+def test_buckets_keep_the_order(spark, values):
+    df = spark.createDataFrame([(v,) for v in values], "v double").select("v", geometric_bucket(F.col("v")).alias("b"))
+    buckets = [r.b for r in sorted(df.collect(), key=lambda r: r.v)]
+    assert buckets == sorted(buckets)
+
+
+def test_nan_sorts_last(spark):
+    df = spark.createDataFrame([(float("inf"),), (float("nan"),)], "v double")
+    by_value = {str(r.v): r.b for r in df.select("v", geometric_bucket(F.col("v")).alias("b")).collect()}
+    assert by_value["nan"] >= by_value["inf"]
+
+
+def test_number_of_buckets_is_bounded(spark):
+    df = spark.range(200_000).select(geometric_bucket(F.col("id") - 100_000, 16).alias("b"))
+    assert df.distinct().count() <= 2 * 16 * 18 + 1
+
+
+def test_groups_are_independent_and_null_is_one(spark):
+    data = [("a", 1), ("a", 3), ("b", 2), (None, 5), (None, 5)]
+    counts = dist.value_counts(spark.createDataFrame(data, "g string, v bigint"), "v", ["g"])
+    assert rows(dist.empirical_cdf(counts, ["g"])) == [(None, 5, 0.0), (None, 5, 0.5), ("a", 1, 0.0), ("a", 3, 0.5), ("b", 2, 0.0)]
+    assert rows(dist.exact_percentile(counts, 0.5, ["g"])) == [(None, 5.0), ("a", 2.0), ("b", 2.0)]
+
+
+def test_null_values_are_left_out(spark):
+    counts = dist.value_counts(spark.createDataFrame([(None,), (4,)], "v bigint"), "v")
+    assert rows(dist.empirical_cdf(counts)) == [(4, 0.0)]
+
+
+def test_no_values(spark):
+    counts = dist.value_counts(spark.createDataFrame([], "v double"), "v")
+    assert rows(dist.empirical_cdf(counts)) == []
+    assert rows(dist.exact_percentile(counts, 0.99)) == [(None,)]
+
+
+def test_one_value_with_most_observations_is_written_in_chunks(spark, monkeypatch):
+    monkeypatch.setattr(dist, "_CHUNK", 7)
+    values = [5.0] * 1000 + [1.0, 9.0]
+    cdf = rows(dist.empirical_cdf(counts_of(spark, values)))
+    assert cdf == [(v, i / 1002) for i, v in enumerate(sorted(values))]
+
+
+def test_compact_form_at_volume_equals_the_plain_window(spark):
+    df = spark.range(300_000).selectExpr("CASE WHEN id % 3 = 0 THEN 17 ELSE (id * 7919) % 100003 END AS v")
+    compact = dist.empirical_cdf_compact(dist.value_counts(df, "v"))
+    df.createOrReplaceTempView("observations")
+    plain = spark.sql(
+        """SELECT v AS value, count(*) AS n, min(p) AS first, max(t) AS total FROM (
+             SELECT v, row_number() OVER (ORDER BY v) - 1 AS p, count(*) OVER () AS t FROM observations) GROUP BY v"""
+    )
+    assert compact.exceptAll(plain).isEmpty() and plain.exceptAll(compact).isEmpty()

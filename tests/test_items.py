@@ -1,0 +1,30 @@
+from conftest import rows
+
+from draftstats.operators import items
+from draftstats.schemas import MATCH
+from draftstats.sources import proxies, read_matches
+
+
+def test_purchases_and_players(spark, match_dir):
+    docs = read_matches(spark, match_dir)
+    assert rows(items.player_rows(docs).select("name", "hero_id")) == [("x", 1), ("y", 2)]
+    assert rows(items.item_purchases(docs)) == [(None, 5), ("boots", None), ("tango", -90), ("tango", 10)]
+
+
+def test_item_stats(spark, match_dir):
+    purchases = items.item_purchases(read_matches(spark, match_dir))
+    assert [tuple(r) for r in items.item_stats(purchases).collect()] == [("tango", 2, -90), ("boots", 1, None)]
+    assert rows(items.item_totals(purchases)) == [(None, 1), ("boots", 1), ("tango", 2)]
+    assert rows(items.item_first_purchase(purchases)) == [(None, 5), ("boots", None), ("tango", -90)]
+
+
+def test_item_stats_equal_the_join_of_totals_and_first_purchases(spark, sf_dir):
+    purchases = items.item_purchases(proxies.loadout_documents(spark, sf_dir))
+    joined = items.item_totals(purchases).join(items.item_first_purchase(purchases), "key")
+    assert rows(items.item_stats(purchases)) == rows(joined)
+    order = [(-r.totals, r.key) for r in items.item_stats(purchases).collect()]
+    assert order == sorted(order)
+
+
+def test_no_matches(spark):
+    assert rows(items.item_stats(items.item_purchases(spark.createDataFrame([], MATCH)))) == []
