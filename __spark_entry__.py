@@ -33,12 +33,13 @@ def entry(spark: SparkSession) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     return {
-        **{name: _on(_flat, run) for name, run in _FLAT.items()},
+        "picks_bans_flat": lambda s, d: draft.picks_bans_flat(proxies.draft_documents(s, d)),
+        **{name: _on(_events, run) for name, run in _COUNTED.items()},
         **{name: _on(_purchases, run) for name, run in _PURCHASES.items()},
         "player_rows": _player_rows,
         "parsed_picks_bans": lambda s, d: draft.picks_bans_flat(parse_matches(proxies.document_lines(s, d))),
         "coerced_hero_stats": lambda s, d: draft.hero_stats(
-            draft.hero_counts(draft.picks_bans_flat(parse_matches(proxies.document_lines(s, d), coerce=True)))
+            draft.hero_counts(draft.draft_events(parse_matches(proxies.document_lines(s, d), coerce=True)))
         ),
         "malformed_lines": lambda s, d: malformed_matches(parse_matches(proxies.document_lines(s, d))).select(
             "match_id", "whole_line"
@@ -63,7 +64,7 @@ def queries() -> dict[str, Query]:
 
 def oracle_sql() -> dict[str, str]:
     return {
-        **{name: f"WITH {_PB} {sql}" for name, sql in _FLAT_SQL.items()},
+        **{name: f"WITH {_PB} {sql}" for name, sql in _DRAFT_SQL.items()},
         **{name: f"WITH {_PURCHASED} {sql}" for name, sql in _PURCHASES_SQL.items()},
         **{name: f"WITH {_PLAIN_PB} {sql}" for name, sql in _PARSED_SQL.items()},
         "player_rows": _PLAYER_ROWS_SQL,
@@ -81,8 +82,8 @@ def _on(source: Query, run: Callable[[DataFrame], DataFrame]) -> Query:
     return lambda spark, sf_dir: run(source(spark, sf_dir))
 
 
-def _flat(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return draft.picks_bans_flat(proxies.draft_documents(spark, sf_dir))
+def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return draft.draft_events(proxies.draft_documents(spark, sf_dir))
 
 
 def _purchases(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -119,22 +120,21 @@ def _rounded(df: DataFrame) -> DataFrame:
     return df.select([F.round(c, 6).alias(c) if t == "double" else F.col(c) for c, t in df.dtypes])
 
 
-_FLAT = {
-    "picks_bans_flat": lambda flat: flat,
+_COUNTED = {
     "hero_totals": draft.hero_totals,
     "hero_picks": draft.hero_picks,
     "hero_bans": draft.hero_bans,
     "hero_wins": draft.hero_wins,
-    "hero_stats_full": lambda flat: draft.hero_stats(draft.hero_counts(flat)),
-    "hero_stats_strict": lambda flat: draft.hero_stats(draft.hero_counts(flat), draft.STRICT),
-    "hero_stats_rolled_up": lambda flat: draft.hero_stats(draft.roll_up_heroes(draft.hero_team_counts(flat))),
+    "hero_stats_full": lambda events: draft.hero_stats(draft.hero_counts(events)),
+    "hero_stats_strict": lambda events: draft.hero_stats(draft.hero_counts(events), draft.STRICT),
+    "hero_stats_rolled_up": lambda events: draft.hero_stats(draft.roll_up_heroes(draft.hero_team_counts(events))),
     "draft_counts": draft.draft_counts,
     "team_names": draft.team_names,
-    "team_picks_strict": lambda flat: draft.team_picks(draft.hero_team_counts(flat)),
-    "team_picks_full": lambda flat: draft.team_picks(draft.hero_team_counts(flat), draft.FULL),
-    "team_bans": lambda flat: draft.team_bans(draft.hero_team_counts(flat)),
-    "team_stats_full": lambda flat: draft.team_stats(draft.hero_team_counts(flat)),
-    "one_team_picks": lambda flat: draft.team_picks(draft.hero_team_counts(draft.for_team(flat, "TEAM_5"))),
+    "team_picks_strict": lambda events: draft.team_picks(draft.hero_team_counts(events)),
+    "team_picks_full": lambda events: draft.team_picks(draft.hero_team_counts(events), draft.FULL),
+    "team_bans": lambda events: draft.team_bans(draft.hero_team_counts(events)),
+    "team_stats_full": lambda events: draft.team_stats(draft.hero_team_counts(events)),
+    "one_team_picks": lambda events: draft.team_picks(draft.hero_team_counts(draft.for_team(events, "TEAM_5"))),
 }
 
 _PURCHASES = {
@@ -203,7 +203,7 @@ FROM totals t LEFT JOIN bans b ON b.hero_id IS NOT DISTINCT FROM t.hero_id
 LEFT JOIN picks p ON p.hero_id IS NOT DISTINCT FROM t.hero_id
 LEFT JOIN wins w ON w.hero_id IS NOT DISTINCT FROM t.hero_id ORDER BY 1"""
 
-_FLAT_SQL = {
+_DRAFT_SQL = {
     "picks_bans_flat": "SELECT * FROM pb",
     "hero_totals": "SELECT * FROM totals",
     "hero_picks": "SELECT * FROM picks",

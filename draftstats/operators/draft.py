@@ -19,16 +19,31 @@ FULL, STRICT = "full", "strict"
 _MEASURES = ("totals", "bans", "picks", "wins")
 
 
+_HEADER = ("radiant_name", "dire_name", "radiant_win")
+
+
 def picks_bans_flat(matches: DataFrame) -> DataFrame:
     """One row per pick or ban; documents without events give none."""
-    event = F.col("event")
-    return matches.select(
-        F.explode("picks_bans").alias("event"), "radiant_name", "dire_name", "radiant_win"
-    ).select(
-        "event.*",
-        team_name(event.team, F.col("radiant_name"), F.col("dire_name")).alias("teamname"),
-        is_winner(event.team, F.col("radiant_win")).alias("winner"),
-    )
+    events = matches.select(F.explode("picks_bans").alias("event"), *_HEADER)
+    return events.select("event.*", *_side_of("event.team"))
+
+
+def draft_events(matches: DataFrame) -> DataFrame:
+    """`picks_bans_flat` without order and team number: what the statistics count.
+
+    An exploded struct is scanned with all its fields. Zipping the arrays of the
+    three counted fields keeps the fourth out of the scan.
+    """
+    counted = F.arrays_zip("picks_bans.hero_id", "picks_bans.is_pick", "picks_bans.team")
+    events = matches.select(F.explode(counted).alias("event"), *_HEADER)
+    return events.select("event.hero_id", "event.is_pick", *_side_of("event.team"))
+
+
+def _side_of(team: str) -> list[Column]:
+    return [
+        team_name(F.col(team), F.col("radiant_name"), F.col("dire_name")).alias("teamname"),
+        is_winner(F.col(team), F.col("radiant_win")).alias("winner"),
+    ]
 
 
 # Single counts per hero ------------------------------------------------------

@@ -18,7 +18,7 @@ def draft_report(matches: DataFrame, output: str, mode: str = draft.FULL, fmt: s
     """
     spark = matches.sparkSession
     counts_path = f"{output}/draft_counts"
-    draft.hero_team_counts(draft.picks_bans_flat(matches)).write.mode("overwrite").parquet(counts_path)
+    draft.hero_team_counts(draft.draft_events(matches)).write.mode("overwrite").parquet(counts_path)
     counts = spark.read.parquet(counts_path)
 
     heroes = draft.roll_up_heroes(counts)

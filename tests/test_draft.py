@@ -37,6 +37,21 @@ def test_flat_events(flat):
     )
 
 
+def test_counted_events_are_the_flat_events(spark, match_dir, sf_dir, flat):
+    counted = ["hero_id", "is_pick", "teamname", "winner"]
+    assert rows(draft.draft_events(read_matches(spark, match_dir))) == rows(flat.select(counted))
+    docs = proxies.draft_documents(spark, sf_dir)
+    assert rows(draft.draft_events(docs)) == rows(draft.picks_bans_flat(docs).select(counted))
+
+
+def test_a_null_among_the_events_is_an_event_without_values(spark):
+    match = {"picks_bans": [None, event(1, True, 0)], "radiant_name": "A", "dire_name": "B", "radiant_win": True}
+    docs = spark.createDataFrame([match], MATCH)
+    expected = [(None, None, "B", False), (1, True, "A", True)]
+    assert rows(draft.draft_events(docs)) == expected
+    assert rows(draft.picks_bans_flat(docs).select("hero_id", "is_pick", "teamname", "winner")) == expected
+
+
 def test_dire_wins_when_radiant_lost(spark):
     match = {"picks_bans": [event(1, True, 0), event(2, True, 1)], "radiant_name": "A", "dire_name": "B", "radiant_win": False}
     flat = draft.picks_bans_flat(spark.createDataFrame([match], MATCH))

@@ -1,0 +1,82 @@
+"""Plan shapes: what is scanned, how often it is shuffled, and that no Python runs."""
+
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+import __spark_entry__ as contract
+from draftstats.operators import draft, ingest, items
+from draftstats.sources import proxies
+
+
+def executed_plan(df):
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return plan.split("== Initial Plan ==")[0]
+
+
+def exchanges(plan):
+    return len(re.findall(r"(?<!Reused)Exchange hashpartitioning", plan))
+
+
+@pytest.fixture(scope="module")
+def landed(spark, sf_dir, tmp_path_factory):
+    """Nested documents as a Parquet table, as landing writes them."""
+    path = str(tmp_path_factory.mktemp("landed") / "matches")
+    lines = proxies.table(spark, sf_dir, "lineitem").selectExpr(
+        f"{proxies.PICKS_BANS} AS picks_bans",
+        f"{proxies.RADIANT_NAME} AS radiant_name",
+        f"{proxies.DIRE_NAME} AS dire_name",
+        f"{proxies.RADIANT_WIN} AS radiant_win",
+        f"{proxies.PLAYERS} AS players",
+        "l_orderkey AS match_id",
+    )
+    lines.write.parquet(path)
+    return spark.read.parquet(path)
+
+
+def test_hero_counts_read_only_what_they_need(landed):
+    plan = executed_plan(draft.hero_stats(draft.hero_counts(draft.draft_events(landed)), ordered=False))
+    assert plan.count("FileScan") == 1 and exchanges(plan) == 1
+    schema = re.search(r"ReadSchema: (\S+)", plan).group(1)
+    assert schema == "struct<picks_bans:array<struct<hero_id:bigint,is_pick:boolean,team:bigint>>,radiant_win:boolean>"
+
+
+def test_both_grains_scan_once_and_shuffle_the_events_once(landed):
+    plan = executed_plan(draft.draft_counts(draft.draft_events(landed)))
+    assert plan.count("FileScan") == 1 and exchanges(plan) == 2
+    # The grouping sets work above the counted rows, not above the events.
+    assert plan.index("Expand") < plan.index("partial_count(1)")
+
+
+def test_item_stats_read_only_the_purchase_log(landed):
+    plan = executed_plan(items.item_stats(items.item_purchases(landed), ordered=False))
+    assert plan.count("FileScan") == 1 and exchanges(plan) == 1
+    schema = re.search(r"ReadSchema: (\S+)", plan).group(1)
+    assert schema == "struct<players:array<struct<purchase_log:array<struct<time:bigint,key:string>>>>>"
+
+
+def test_pending_matches_shuffle_once_and_join_nothing(spark, sf_dir):
+    listing = ingest.listing_union(*proxies.listings(spark, sf_dir))
+    plan = executed_plan(ingest.pending_matches(listing, proxies.landed_ids(spark, sf_dir)))
+    assert exchanges(plan) == 1 and "Join" not in plan
+
+
+def test_landing_shuffles_documents_once(spark, landed):
+    docs = landed.withColumn("source_file", F.lit("f"))
+    plan = executed_plan(ingest.new_documents(docs, spark.range(10).selectExpr("id AS match_id")))
+    assert exchanges(plan) == 1 and "Join" not in plan
+    assert "partial_min_by" in plan
+
+
+def test_cdf_counts_values_once(spark, sf_dir):
+    plan = executed_plan(contract.queries()["stage_completion_cdf"](spark, sf_dir))
+    assert plan.count("FileScan") == 1 and "ReusedExchange" in plan and "Join" not in plan
+
+
+@pytest.mark.parametrize("name", sorted(contract.queries()))
+def test_no_python_and_no_cross_join(spark, sf_dir, name):
+    plan = contract.queries()[name](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+    assert not re.search(r"EvalPython|MapInPandas|PythonUDF|CartesianProduct|BroadcastNestedLoopJoin", plan)
+    assert "CollectLimit" not in plan and not re.search(r"collect_(list|set)", plan)
