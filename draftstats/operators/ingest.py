@@ -45,15 +45,22 @@ def pending_matches(listing: DataFrame, landed: DataFrame | None) -> DataFrame:
     )
 
 
-def new_documents(docs: DataFrame, landed: DataFrame | None) -> DataFrame:
+def new_documents(docs: DataFrame, landed: DataFrame | None, unique: bool = False) -> DataFrame:
     """Documents whose match has not landed yet, one per match.
 
     Of several copies the one from the first source file by name is taken.
     Copies collapse map-side, and a single exchange by match id serves the
     deduplication, the anti join and the compaction of one-document files.
+
+    `unique` states that there are no copies, as in one folder of files named by
+    match id. The first landing then moves no document between tasks, and later
+    ones only if the landed ids are too many to broadcast.
     """
+    docs = docs.filter(F.col("match_id").isNotNull())
+    if unique:
+        return docs if landed is None else docs.join(listing_dedup(landed), "match_id", "left_anti")
     fields = [c for c in docs.columns if c != "match_id"]
-    rows = docs.filter(F.col("match_id").isNotNull()).select(
+    rows = docs.select(
         "match_id", "source_file", F.struct(*fields).alias("document"), F.lit(False).alias("is_landed")
     )
     if landed is not None:

@@ -1,6 +1,8 @@
 """Landing documents into the Parquet match table."""
 
-from pyspark.sql import DataFrame
+from dataclasses import dataclass
+
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..operators.ingest import new_documents
@@ -8,13 +10,31 @@ from ..schemas import CORRUPT
 from ..sources.matches import is_blank, landed_matches
 
 
-def land_matches(docs: DataFrame, table: str) -> None:
+@dataclass(frozen=True)
+class Landing:
+    """What a landing read: lines, those that lost a field, those that gave nothing."""
+
+    lines: int
+    damaged: int
+    unreadable: int
+
+
+def land_matches(docs: DataFrame, table: str, unique: bool = False) -> Landing:
     """Append the readable documents of matches that are not in the table yet.
 
-    Lines that gave no field at all are left to `malformed_matches`. Running it
-    again, also after a failure, adds nothing twice.
+    Lines that gave no field at all do not land; `malformed_matches` shows them.
+    Running it again, also after a failure, adds nothing twice. `unique` is that
+    of `new_documents`. The returned counts are observed during the write and cost no pass of their own.
     """
     landed = landed_matches(docs.sparkSession, table)
-    if CORRUPT in docs.columns:
-        docs = docs.filter(F.col(CORRUPT).isNull() | ~is_blank(docs))
-    new_documents(docs, landed).write.mode("append").parquet(table)
+    corrupt = F.col(CORRUPT).isNotNull() if CORRUPT in docs.columns else F.lit(False)
+    blank = corrupt & is_blank(docs)
+    seen = Observation()
+    observed = docs.observe(
+        seen,
+        F.count("*").alias("lines"),
+        F.count_if(corrupt & ~blank).alias("damaged"),
+        F.count_if(blank).alias("unreadable"),
+    )
+    new_documents(observed.filter(~blank), landed, unique).write.mode("append").parquet(table)
+    return Landing(**seen.get)

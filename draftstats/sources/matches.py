@@ -15,7 +15,7 @@ PERMISSIVE, FAILFAST = "PERMISSIVE", "FAILFAST"
 
 def match_id_from_file() -> Column:
     """Documents do not carry their id; the file is named after it."""
-    digits = F.regexp_extract("_metadata.file_name", r"(\d+)\.json$", 1)
+    digits = F.regexp_extract("_metadata.file_name", r"(\d+)\.json(?:\.\w+)?$", 1)
     return digits.try_cast("bigint").alias("match_id")
 
 

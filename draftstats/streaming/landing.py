@@ -10,12 +10,13 @@ from ..sources.matches import match_id_from_file
 
 
 def land_new_files(
-    spark: SparkSession, source: str, table: str, checkpoint: str, max_files: int | None = None
+    spark: SparkSession, source: str, table: str, checkpoint: str, max_files: int | None = None, unique: bool = False
 ) -> StreamingQuery:
     """Land what is new in `source`, then stop. Call it again for the next run.
 
     A batch that is repeated after a failure lands nothing twice, because
-    landing skips matches already in the table. `max_files` bounds a batch.
+    landing skips matches already in the table. `max_files` bounds a batch,
+    `unique` is that of `new_documents`.
     """
     reader = spark.readStream.schema(with_corrupt(MATCH)).option("pathGlobFilter", "*.json")
     if max_files is not None:
@@ -25,7 +26,7 @@ def land_new_files(
     )
 
     def land(batch: DataFrame, _: int) -> None:
-        land_matches(batch, table)
+        land_matches(batch, table, unique)
 
     return (
         docs.writeStream.foreachBatch(land)

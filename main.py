@@ -1,9 +1,10 @@
 """spark-submit main.py JOB --input PATH --output PATH [options]
 
-draft   hero and team statistics of match documents
-items   item statistics of match documents
-land    append match documents that are new to a Parquet table
-job     stage and task report of Spark event logs
+land       append the new match documents of a JSON folder to a Parquet table
+malformed  lines of a JSON folder that could not be read in full
+draft      hero and team statistics of a match table or JSON folder
+items      item statistics of a match table or JSON folder
+job        stage and task report of Spark event logs or of dumped stage records
 """
 
 import argparse
@@ -12,19 +13,38 @@ from pyspark.sql import SparkSession
 
 from draftstats.operators import stages
 from draftstats.plans import draft_report, item_report, job_report, land_matches
-from draftstats.sources import read_event_log, read_matches, read_stage_records
+from draftstats.sinks import write_stats
+from draftstats.sources import malformed_matches, read_event_log, read_matches, read_stage_records
+from draftstats.streaming import land_new_files
+
+# For folders of small files and for shuffles of whole documents; spark-submit
+# --conf takes precedence.
+DEFAULTS = {
+    # One match per file: a file costs little to open next to its parsing, so
+    # a task takes thousands of them. Large input then makes few enough tasks
+    # for the shuffle; small input is split by the number of cores anyway.
+    "spark.sql.files.openCostInBytes": "65536",
+    "spark.sql.files.maxPartitionBytes": "1g",
+    # Landing shuffles whole documents. Start with many partitions and let AQE
+    # merge them up to the advisory size, which is also the size of a file.
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "8192",
+    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+}
 
 
 def main(argv: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(description=__doc__, formatter_class=argparse.RawDescriptionHelpFormatter)
-    parser.add_argument("job", choices=["draft", "items", "land", "job"])
+    parser.add_argument("job", choices=["land", "malformed", "draft", "items", "job"])
     parser.add_argument("--input", required=True, help="path or glob")
     parser.add_argument("--output", required=True)
     parser.add_argument("--mode", choices=["full", "strict"], default="full", help="convention of the draft report")
     parser.add_argument("--format", default="parquet", help="format of the written results")
     parser.add_argument("--landed", action="store_true", help="the input is a landed Parquet table, not JSON")
     parser.add_argument("--failfast", action="store_true", help="raise on malformed documents")
-    parser.add_argument("--records", action="store_true", help="the job's input is dumped stage records, not event logs")
+    parser.add_argument("--records", action="store_true", help="the input is dumped stage records, not event logs")
+    parser.add_argument("--unique", action="store_true", help="land: no match occurs twice in the input")
+    parser.add_argument("--checkpoint", help="land: folder that remembers the files of earlier runs, to skip them")
     args = parser.parse_args(argv)
 
     spark = SparkSession.builder.appName(f"draftstats-{args.job}").getOrCreate()
@@ -35,16 +55,31 @@ def main(argv: list[str] | None = None) -> None:
             found = stages.stages_from_log(read_event_log(spark, args.input))
         job_report(found, args.output, fmt=args.format)
         return
+
+    if args.job == "land":
+        set_defaults(spark)
+        if args.checkpoint:
+            land_new_files(spark, args.input, args.output, args.checkpoint, unique=args.unique).awaitTermination()
+            return
     if args.landed:
         matches = spark.read.parquet(args.input)
     else:
         matches = read_matches(spark, args.input, mode="FAILFAST" if args.failfast else "PERMISSIVE")
-    if args.job == "draft":
+    if args.job == "land":
+        print(land_matches(matches, args.output, args.unique))
+    elif args.job == "malformed":
+        write_stats(malformed_matches(matches), args.output, args.format)
+    elif args.job == "draft":
         draft_report(matches, args.output, args.mode, args.format)
-    elif args.job == "items":
-        item_report(matches, args.output, args.format)
     else:
-        land_matches(matches, args.output)
+        item_report(matches, args.output, args.format)
+
+
+def set_defaults(spark: SparkSession) -> None:
+    submitted = spark.sparkContext.getConf()
+    for key, value in DEFAULTS.items():
+        if not submitted.contains(key):
+            spark.conf.set(key, value)
 
 
 if __name__ == "__main__":

@@ -3,7 +3,7 @@ import json
 from conftest import FIRST, event, rows
 
 from draftstats.operators import draft, ingest
-from draftstats.plans import land_matches
+from draftstats.plans import Landing, land_matches
 from draftstats.sources import LEAGUE_IDS, landed_matches, read_matches
 from draftstats.streaming import land_new_files
 
@@ -44,13 +44,28 @@ def test_landing_is_repeatable_and_skips_unreadable_lines(spark, match_dir, tmp_
     table = str(tmp_path / "table")
     docs = read_matches(spark, match_dir)
     assert landed_matches(spark, table) is None
-    land_matches(docs, table)
-    land_matches(docs, table)
+    with open(f"{match_dir}/6.json") as file:
+        pretty = len(file.readlines())
+    counts = Landing(lines=5 + pretty, damaged=1, unreadable=1 + pretty)
+    assert land_matches(docs, table) == counts
+    assert land_matches(docs, table) == counts
     landed = landed_matches(spark, table)
     assert rows(landed.select("match_id")) == [(1,), (2,), (3,), (5,)]
     assert rows(draft.picks_bans_flat(landed)) == rows(draft.picks_bans_flat(docs))
 
 
+def test_landing_files_known_to_be_unique(spark, match_dir, tmp_path):
+    table = str(tmp_path / "table")
+    land_matches(read_matches(spark, f"{match_dir}/[1-2].json"), table, unique=True)
+    land_matches(read_matches(spark, match_dir), table, unique=True)
+    assert rows(landed_matches(spark, table).select("match_id")) == [(1,), (2,), (3,), (5,)]
+
+
+def test_landing_documents_without_a_reject_column(spark, match_dir, tmp_path):
+    docs = read_matches(spark, f"{match_dir}/1.json", mode="FAILFAST")
+    assert land_matches(docs, str(tmp_path / "table")) == Landing(lines=1, damaged=0, unreadable=0)
+
+
 def test_landing_takes_the_first_of_several_copies(spark, tmp_path):
     for folder, hero in (("b", 2), ("a", 1), ("c", 3)):
         (tmp_path / folder).mkdir()

@@ -70,6 +70,11 @@ def test_landing_shuffles_documents_once(spark, landed):
     assert "partial_min_by" in plan
 
 
+def test_first_landing_of_unique_documents_moves_nothing(landed):
+    plan = executed_plan(ingest.new_documents(landed, None, unique=True))
+    assert "Exchange" not in plan
+
+
 def test_cdf_counts_values_once(spark, sf_dir):
     plan = executed_plan(contract.queries()["stage_completion_cdf"](spark, sf_dir))
     assert plan.count("FileScan") == 1 and "ReusedExchange" in plan and "Join" not in plan
