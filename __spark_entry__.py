@@ -35,6 +35,9 @@ def queries() -> dict[str, Query]:
     return {
         "picks_bans_flat": lambda s, d: draft.picks_bans_flat(proxies.draft_documents(s, d)),
         **{name: _on(_events, run) for name, run in _COUNTED.items()},
+        "one_team_picks": lambda s, d: draft.team_picks(
+            draft.hero_team_counts(draft.team_events(proxies.draft_documents(s, d), "TEAM_5"))
+        ),
         **{name: _on(_purchases, run) for name, run in _PURCHASES.items()},
         "player_rows": _player_rows,
         "parsed_picks_bans": lambda s, d: draft.picks_bans_flat(parse_matches(proxies.document_lines(s, d))),
@@ -134,7 +137,6 @@ _COUNTED = {
     "team_picks_full": lambda events: draft.team_picks(draft.hero_team_counts(events), draft.FULL),
     "team_bans": lambda events: draft.team_bans(draft.hero_team_counts(events)),
     "team_stats_full": lambda events: draft.team_stats(draft.hero_team_counts(events)),
-    "one_team_picks": lambda events: draft.team_picks(draft.hero_team_counts(draft.for_team(events, "TEAM_5"))),
 }
 
 _PURCHASES = {
@@ -371,7 +373,8 @@ LEFT JOIN (SELECT {key}round(avg(run_ms) / 1000, 6) AS avg_task_run_s,
 
 _STAGES_SQL = {
     "stage_durations": """
-SELECT app_id, stage_id, attempt, round(completion_s, 6) AS completion_s, round(scheduling_s, 6) AS scheduling_s FROM d""",
+SELECT app_id, stage_id, attempt, round(completion_s, 6) AS completion_s, round(scheduling_s, 6) AS scheduling_s
+FROM d""",
     "failed_stages": "SELECT app_id, stage_id, attempt, failed_tasks FROM d WHERE failed_tasks > 0",
     "stage_completion_cdf": """
 SELECT app_id, completion_s, (row_number() OVER (PARTITION BY app_id ORDER BY completion_s) - 1)

@@ -168,6 +168,16 @@ def for_team(rows: DataFrame, teamname: str) -> DataFrame:
     return rows.filter(F.col("teamname") == teamname)
 
 
+def team_events(matches: DataFrame, teamname: str) -> DataFrame:
+    """`draft_events` of one team.
+
+    The team of an event is known only after the explode, so no filter on it
+    reaches the scan. That the match has the team on one of its sides does.
+    """
+    played = matches.filter((F.col("radiant_name") == teamname) | (F.col("dire_name") == teamname))
+    return for_team(draft_events(played), teamname)
+
+
 def _rate() -> Column:
     return win_rate(F.col("wins"), F.col("picks"))
 

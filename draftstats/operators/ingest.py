@@ -6,6 +6,8 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+_LISTED = ("match_id", "leagueid")
+
 
 def listing_union(*listings: DataFrame) -> DataFrame:
     """All leagues' listings one after the other, duplicates kept."""
@@ -26,6 +28,14 @@ def listing_dedup(listing: DataFrame) -> DataFrame:
     return listing.select("match_id").distinct()
 
 
+def new_listing_rows(listing: DataFrame, known: DataFrame | None) -> DataFrame:
+    """(match_id, leagueid) pairs of a listing that an earlier listing did not have."""
+    rows = listing.select(*_LISTED, F.lit(False).alias("is_known"))
+    if known is not None:
+        rows = rows.unionByName(known.select(*_LISTED, F.lit(True).alias("is_known")))
+    return rows.groupBy(*_LISTED).agg(F.max("is_known").alias("is_known")).filter(~F.col("is_known")).select(*_LISTED)
+
+
 def pending_matches(listing: DataFrame, landed: DataFrame | None) -> DataFrame:
     """Listed match ids without a landed document. A row without id cannot be landed.
 

@@ -188,8 +188,11 @@ def with_task_totals(stages: DataFrame, tasks: DataFrame) -> DataFrame:
 
     Tasks are summed per stage before the join; stages without tasks get zeros.
     """
-    totals = tasks.filter(F.col("run_ms").isNotNull()).groupBy(*STAGE_KEY).agg(
-        F.count("*").alias("timed_tasks"), F.sum("run_ms").alias("run_ms"), _sum_or_zero("deserialize_ms").alias("deserialize_ms")
+    timed = tasks.filter(F.col("run_ms").isNotNull())
+    totals = timed.groupBy(*STAGE_KEY).agg(
+        F.count("*").alias("timed_tasks"),
+        F.sum("run_ms").alias("run_ms"),
+        _sum_or_zero("deserialize_ms").alias("deserialize_ms"),
     )
     sums = ["timed_tasks", "run_ms", "deserialize_ms"]
     return stages.drop(*sums).join(totals, [*STAGE_KEY], "left").fillna(0, sums)

@@ -1,7 +1,7 @@
 """Whole jobs: which intermediate result is written once and what is read from it."""
 
-from .landing import Landing, land_matches
+from .landing import Landing, land_listing, land_matches
 from .reports import draft_report, item_report, job_report
 from .settle import settle
 
-__all__ = ["Landing", "draft_report", "item_report", "job_report", "land_matches", "settle"]
+__all__ = ["Landing", "draft_report", "item_report", "job_report", "land_listing", "land_matches", "settle"]

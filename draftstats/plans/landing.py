@@ -1,13 +1,13 @@
-"""Landing documents into the Parquet match table."""
+"""Landing listings and documents into Parquet tables."""
 
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from ..operators.ingest import new_documents
+from ..operators.ingest import new_documents, new_listing_rows
 from ..schemas import CORRUPT
-from ..sources.matches import is_blank, landed_matches
+from ..sources.matches import is_blank, read_landed
 
 
 @dataclass(frozen=True)
@@ -19,6 +19,12 @@ class Landing:
     unreadable: int
 
 
+def land_listing(listing: DataFrame, table: str) -> None:
+    """Append what is new in a listing to the listing table, which is never rewritten."""
+    known = read_landed(listing.sparkSession, table)
+    new_listing_rows(listing, known).write.mode("append").parquet(table)
+
+
 def land_matches(docs: DataFrame, table: str, unique: bool = False) -> Landing:
     """Append the readable documents of matches that are not in the table yet.
 
@@ -26,7 +32,7 @@ def land_matches(docs: DataFrame, table: str, unique: bool = False) -> Landing:
     Running it again, also after a failure, adds nothing twice. `unique` is that
     of `new_documents`. The returned counts are observed during the write and cost no pass of their own.
     """
-    landed = landed_matches(docs.sparkSession, table)
+    landed = read_landed(docs.sparkSession, table)
     corrupt = F.col(CORRUPT).isNotNull() if CORRUPT in docs.columns else F.lit(False)
     blank = corrupt & is_blank(docs)
     seen = Observation()

@@ -3,14 +3,14 @@
 from .job_metrics import read_event_log, read_stage_records
 from .leagues import LEAGUE_IDS
 from .listing import read_listing
-from .matches import landed_matches, malformed_matches, parse_matches, read_match_lines, read_matches
+from .matches import malformed_matches, parse_matches, read_landed, read_match_lines, read_matches
 
 __all__ = [
     "LEAGUE_IDS",
-    "landed_matches",
     "malformed_matches",
     "parse_matches",
     "read_event_log",
+    "read_landed",
     "read_listing",
     "read_match_lines",
     "read_matches",

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..schemas import EVENT_LOG, STAGE_RECORD
 
+COMPRESSED = r"\.(zstd|lz4|lzf|snappy)$"
 APP_ID = r"(application_\d+_\d+|app-\d+-\d+|local-\d+|spark-[0-9a-f]+)"
 
 
@@ -19,12 +20,16 @@ def _app_id_from_file():
 
 
 def read_event_log(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """Event logs of one or many applications, plain or rolled, uncompressed.
+    """Event logs of one or many applications, single files or rolled folders.
 
     The application id comes from the file name. Point it at finished logs:
-    a stage can be told as skipped only after its application ended.
+    a stage can be told as skipped only after its application ended. A log
+    compressed by Spark's own codecs has no lines to read and is an error.
     """
-    return spark.read.schema(EVENT_LOG).json(path).select(_app_id_from_file(), "*")
+    log = spark.read.schema(EVENT_LOG).option("recursiveFileLookup", True).json(path)
+    plain = ~F.col("_metadata.file_name").rlike(COMPRESSED)
+    readable = F.assert_true(plain, "compressed event log: write it with spark.eventLog.compress=false")
+    return log.filter(readable.isNull()).select(_app_id_from_file(), "*")
 
 
 def read_stage_records(spark: SparkSession, path: str | list[str], multi_line: bool = True) -> DataFrame:

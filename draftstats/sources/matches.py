@@ -44,7 +44,9 @@ def read_matches(
     return _coerce_events(docs) if coerce else docs
 
 
-def read_match_lines(spark: SparkSession, path: str | list[str], mode: str = FAILFAST, coerce: bool = True) -> DataFrame:
+def read_match_lines(
+    spark: SparkSession, path: str | list[str], mode: str = FAILFAST, coerce: bool = True
+) -> DataFrame:
     """Scan files as text lines, then parse each line; raises on a bad one by default."""
     lines = spark.read.text(path).select(
         match_id_from_file(), F.col("_metadata.file_path").alias("source_file"), "value"
@@ -52,7 +54,9 @@ def read_match_lines(spark: SparkSession, path: str | list[str], mode: str = FAI
     return parse_matches(lines, mode=mode, coerce=coerce)
 
 
-def parse_matches(lines: DataFrame, column: str = "value", mode: str = PERMISSIVE, coerce: bool = False) -> DataFrame:
+def parse_matches(
+    lines: DataFrame, column: str = "value", mode: str = PERMISSIVE, coerce: bool = False
+) -> DataFrame:
     """Replace a column of JSON text by the fields of a match document."""
     schema = _schema(coerce, mode)
     kept = [c for c in lines.columns if c != column]
@@ -78,8 +82,8 @@ def is_blank(docs: DataFrame) -> Column:
     return ~reduce(or_, present)
 
 
-def landed_matches(spark: SparkSession, path: str) -> DataFrame | None:
-    """The landed match table, or None before the first landing."""
+def read_landed(spark: SparkSession, path: str) -> DataFrame | None:
+    """A landed table, or None before the first landing."""
     try:
         return spark.read.parquet(path)
     except AnalysisException as error:

@@ -9,7 +9,7 @@ exchange, and no array grows with the data.
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..schemas import MATCH
+from ..schemas import MATCH, STAGE_RECORD
 from .leagues import LEAGUE_IDS
 
 # A line gives a document with two events, or with none (empty or null array).
@@ -147,7 +147,7 @@ def stage_records(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.expr("count_if(event_type = 'error')").alias("numFailedTasks"),
         )
         .withColumn("attemptId", F.lit(0).cast("bigint"))
-        .withColumn("tasks", F.lit(None).cast("map<string,struct<taskMetrics:struct<executorRunTime:bigint,executorDeserializeTime:bigint>>>"))
+        .withColumn("tasks", F.lit(None).cast(STAGE_RECORD["tasks"].dataType))
     )
 
 
@@ -193,9 +193,11 @@ def event_log(spark: SparkSession, sf_dir: str) -> DataFrame:
             """CASE WHEN event_type IN ('click', 'purchase') THEN named_struct(
                  'Executor Run Time', cents,
                  'Executor Deserialize Time', cents % 97,
-                 'Shuffle Read Metrics', named_struct('Remote Bytes Read', CASE event_type WHEN 'click' THEN cents ELSE 0 END),
+                 'Shuffle Read Metrics', named_struct(
+                   'Remote Bytes Read', CASE event_type WHEN 'click' THEN cents ELSE 0 END),
                  'Shuffle Write Metrics', named_struct(
                    'Shuffle Bytes Written', CASE event_type WHEN 'purchase' THEN cents ELSE 0 END,
-                   'Shuffle Write Time', CASE event_type WHEN 'purchase' THEN cents * 1000 ELSE 0 END)) END AS `Task Metrics`""",
+                   'Shuffle Write Time', CASE event_type WHEN 'purchase' THEN cents * 1000 ELSE 0 END))
+               END AS `Task Metrics`""",
         )
     )

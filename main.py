@@ -1,5 +1,7 @@
 """spark-submit main.py JOB --input PATH --output PATH [options]
 
+listing    append what is new in the league listings of a JSON folder to a listing table
+pending    ids of a listing table without a document in the match table --matches
 land       append the new match documents of a JSON folder to a Parquet table
 malformed  lines of a JSON folder that could not be read in full
 draft      hero and team statistics of a match table or JSON folder
@@ -12,9 +14,18 @@ import argparse
 from pyspark.sql import SparkSession
 
 from draftstats.operators import stages
-from draftstats.plans import draft_report, item_report, job_report, land_matches
+from draftstats.operators.ingest import of_leagues, pending_matches
+from draftstats.plans import draft_report, item_report, job_report, land_listing, land_matches
 from draftstats.sinks import write_stats
-from draftstats.sources import malformed_matches, read_event_log, read_matches, read_stage_records
+from draftstats.sources import (
+    LEAGUE_IDS,
+    malformed_matches,
+    read_event_log,
+    read_landed,
+    read_listing,
+    read_matches,
+    read_stage_records,
+)
 from draftstats.streaming import land_new_files
 
 # For folders of small files and for shuffles of whole documents; spark-submit
@@ -35,7 +46,7 @@ DEFAULTS = {
 
 def main(argv: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(description=__doc__, formatter_class=argparse.RawDescriptionHelpFormatter)
-    parser.add_argument("job", choices=["land", "malformed", "draft", "items", "job"])
+    parser.add_argument("job", choices=["listing", "pending", "land", "malformed", "draft", "items", "job"])
     parser.add_argument("--input", required=True, help="path or glob")
     parser.add_argument("--output", required=True)
     parser.add_argument("--mode", choices=["full", "strict"], default="full", help="convention of the draft report")
@@ -43,6 +54,8 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--landed", action="store_true", help="the input is a landed Parquet table, not JSON")
     parser.add_argument("--failfast", action="store_true", help="raise on malformed documents")
     parser.add_argument("--records", action="store_true", help="the input is dumped stage records, not event logs")
+    parser.add_argument("--leagues", type=int, nargs="*", default=list(LEAGUE_IDS), help="listing: leagues to keep")
+    parser.add_argument("--matches", help="pending: the match table")
     parser.add_argument("--unique", action="store_true", help="land: no match occurs twice in the input")
     parser.add_argument("--checkpoint", help="land: folder that remembers the files of earlier runs, to skip them")
     args = parser.parse_args(argv)
@@ -56,6 +69,14 @@ def main(argv: list[str] | None = None) -> None:
         job_report(found, args.output, fmt=args.format)
         return
 
+    if args.job == "listing":
+        land_listing(of_leagues(read_listing(spark, args.input), args.leagues), args.output)
+        return
+    if args.job == "pending":
+        landed = read_landed(spark, args.matches) if args.matches else None
+        write_stats(pending_matches(spark.read.parquet(args.input), landed), args.output, args.format)
+        return
+
     if args.job == "land":
         set_defaults(spark)
         if args.checkpoint:

@@ -23,7 +23,8 @@ def test_every_query_has_a_twin():
 def test_query_equals_sql(spark, sf_dir, duck, name):
     result = contract.queries()[name](spark, sf_dir)
     columns = sorted(result.columns)
-    cursor = duck.execute(f"SELECT {', '.join(f'{c!r}'.replace(chr(39), chr(34)) for c in columns)} FROM ({contract.oracle_sql()[name]})")
+    names = ", ".join(f'"{c}"' for c in columns)
+    cursor = duck.execute(f"SELECT {names} FROM ({contract.oracle_sql()[name]})")
     expected = sorted((tuple(r) for r in cursor.fetchall()), key=lambda r: [(v is not None, v) for v in r])
     assert rows(result.select(columns)) == expected
     assert len(expected) > 0

@@ -3,8 +3,8 @@ import json
 from conftest import FIRST, event, rows
 
 from draftstats.operators import draft, ingest
-from draftstats.plans import Landing, land_matches
-from draftstats.sources import LEAGUE_IDS, landed_matches, read_matches
+from draftstats.plans import Landing, land_listing, land_matches
+from draftstats.sources import LEAGUE_IDS, read_landed, read_matches
 from draftstats.streaming import land_new_files
 
 
@@ -23,6 +23,14 @@ def test_union_of_listings_with_different_columns(spark):
     assert rows(ingest.listing_union(listing(spark, [1]), wide).select("match_id", "note")) == [(1, None), (5, "x")]
 
 
+def test_listing_table_only_grows(spark, tmp_path):
+    table = str(tmp_path / "listing")
+    land_listing(listing(spark, [1, 2, 2]), table)
+    land_listing(ingest.listing_union(listing(spark, [2, 3]), listing(spark, [2], 16201)), table)
+    land_listing(listing(spark, [3]), table)
+    assert rows(read_landed(spark, table)) == [(1, 16169), (2, 16169), (2, 16201), (3, 16169)]
+
+
 def test_pending(spark):
     both = ingest.listing_union(listing(spark, [1, 2, 3]), listing(spark, [3, 4]))
     landed = spark.createDataFrame([(2,), (2,), (9,)], "match_id bigint")
@@ -43,13 +51,13 @@ def test_leagues(spark):
 def test_landing_is_repeatable_and_skips_unreadable_lines(spark, match_dir, tmp_path):
     table = str(tmp_path / "table")
     docs = read_matches(spark, match_dir)
-    assert landed_matches(spark, table) is None
+    assert read_landed(spark, table) is None
     with open(f"{match_dir}/6.json") as file:
         pretty = len(file.readlines())
     counts = Landing(lines=5 + pretty, damaged=1, unreadable=1 + pretty)
     assert land_matches(docs, table) == counts
     assert land_matches(docs, table) == counts
-    landed = landed_matches(spark, table)
+    landed = read_landed(spark, table)
     assert rows(landed.select("match_id")) == [(1,), (2,), (3,), (5,)]
     assert rows(draft.picks_bans_flat(landed)) == rows(draft.picks_bans_flat(docs))
 
@@ -58,7 +66,7 @@ def test_landing_files_known_to_be_unique(spark, match_dir, tmp_path):
     table = str(tmp_path / "table")
     land_matches(read_matches(spark, f"{match_dir}/[1-2].json"), table, unique=True)
     land_matches(read_matches(spark, match_dir), table, unique=True)
-    assert rows(landed_matches(spark, table).select("match_id")) == [(1,), (2,), (3,), (5,)]
+    assert rows(read_landed(spark, table).select("match_id")) == [(1,), (2,), (3,), (5,)]
 
 
 def test_landing_documents_without_a_reject_column(spark, match_dir, tmp_path):
@@ -72,7 +80,7 @@ def test_landing_takes_the_first_of_several_copies(spark, tmp_path):
         (tmp_path / folder / "7.json").write_text(json.dumps({**FIRST, "picks_bans": [event(hero, True, 0)]}))
     table = str(tmp_path / "table")
     land_matches(read_matches(spark, [str(tmp_path / f) for f in "abc"]), table)
-    assert rows(draft.hero_picks(draft.picks_bans_flat(landed_matches(spark, table)))) == [(1, 1)]
+    assert rows(draft.hero_picks(draft.picks_bans_flat(read_landed(spark, table)))) == [(1, 1)]
 
 
 def test_landing_one_match_with_most_copies(spark, tmp_path):
@@ -98,7 +106,7 @@ def test_streamed_landing_takes_only_new_files(spark, tmp_path):
 
     def run(max_files=None):
         land_new_files(spark, str(source), table, checkpoint, max_files).awaitTermination(120)
-        return rows(landed_matches(spark, table).select("match_id"))
+        return rows(read_landed(spark, table).select("match_id"))
 
     add(1), add(2), add(3)
     assert run(max_files=2) == [(1,), (2,), (3,)]
@@ -114,4 +122,4 @@ def test_streamed_landing_after_a_lost_checkpoint_lands_nothing_twice(spark, tmp
     (source / "1.json").write_text(json.dumps(FIRST))
     for attempt in ("one", "two"):
         land_new_files(spark, str(source), table, str(tmp_path / attempt)).awaitTermination(120)
-    assert rows(landed_matches(spark, table).select("match_id")) == [(1,)]
+    assert rows(read_landed(spark, table).select("match_id")) == [(1,)]

@@ -1,3 +1,5 @@
+import json
+
 import pytest
 from conftest import rows
 
@@ -39,6 +41,30 @@ def test_reports_straight_from_json(spark, match_dir, tmp_path):
     assert spark.read.parquet(str(tmp_path / "o" / "team_names")).count() == 2
 
 
+def test_listing_and_pending(spark, match_dir, tmp_path):
+    (tmp_path / "lists").mkdir()
+    for league, ids in ((16169, [1, 2, 7]), (16201, [7, 8]), (5, [9])):
+        listing = [{"match_id": i, "leagueid": league} for i in ids]
+        (tmp_path / "lists" / f"{league}.json").write_text(json.dumps(listing))
+    table, matches, out = (str(tmp_path / name) for name in ("table", "matches", "out"))
+    for _ in range(2):
+        main.main(["listing", "--input", str(tmp_path / "lists"), "--output", table])
+    assert spark.read.parquet(table).count() == 5
+    main.main(["pending", "--input", table, "--output", out])
+    assert rows(spark.read.parquet(out)) == [(1,), (2,), (7,), (8,)]
+    main.main(["land", "--input", match_dir, "--output", matches])
+    main.main(["pending", "--input", table, "--matches", matches, "--output", out])
+    assert rows(spark.read.parquet(out)) == [(7,), (8,)]
+
+
+def test_job(spark, tmp_path):
+    record = {"status": "SKIPPED", "stageId": 3, "attemptId": 0}
+    (tmp_path / "app-1-2.json").write_text(json.dumps([record]))
+    main.main(["job", "--records", "--input", str(tmp_path / "app-1-2.json"), "--output", str(tmp_path / "o")])
+    row = spark.read.parquet(str(tmp_path / "o" / "summary")).first()
+    assert (row.app_id, row.skipped_stages, row.computed_stages) == ("app-1-2", 1, 0)
+
+
 def test_malformed(spark, match_dir, tmp_path):
     main.main(["malformed", "--input", match_dir, "--output", str(tmp_path / "o")])
     found = spark.read.parquet(str(tmp_path / "o"))

@@ -43,6 +43,11 @@ def test_hero_counts_read_only_what_they_need(landed):
     assert schema == "struct<picks_bans:array<struct<hero_id:bigint,is_pick:boolean,team:bigint>>,radiant_win:boolean>"
 
 
+def test_one_team_filters_the_matches_in_the_scan(landed):
+    plan = executed_plan(draft.hero_counts(draft.team_events(landed, "TEAM_5")))
+    assert "Or(EqualTo(radiant_name,TEAM_5),EqualTo(dire_name,TEAM_5))" in plan
+
+
 def test_both_grains_scan_once_and_shuffle_the_events_once(landed):
     plan = executed_plan(draft.draft_counts(draft.draft_events(landed)))
     assert plan.count("FileScan") == 1 and exchanges(plan) == 2

@@ -7,6 +7,8 @@ import textwrap
 
 import pytest
 from conftest import rows
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from draftstats.functions import parse_iso
@@ -245,8 +247,7 @@ def test_log_of_a_real_run(spark, tmp_path, rolling):
         """
     )
     subprocess.run([sys.executable, "-c", program], check=True, timeout=180, env=os.environ, capture_output=True)
-    pattern = f"{tmp_path}/*/events_*" if rolling == "true" else str(tmp_path)
-    log = read_event_log(spark, pattern)
+    log = read_event_log(spark, str(tmp_path))
     found = stages.stages_from_log(log)
     assert all(r.app_id.startswith("local-") for r in found.collect())
     row = stages.stage_summary(found).first()
@@ -257,6 +258,12 @@ def test_log_of_a_real_run(spark, tmp_path, rolling):
     assert stages.tasks_from_log(log).count() == 12
 
 
+def test_compressed_log_is_refused(spark, tmp_path):
+    (tmp_path / "events_1_local-123.zstd").write_bytes(b"\x28\xb5\x2f\xfd garbage")
+    with pytest.raises((PySparkException, Py4JJavaError), match="compressed event log"):
+        stages.task_summary(stages.tasks_from_log(read_event_log(spark, str(tmp_path)))).collect()
+
+
 def test_one_stage_with_most_tasks(spark, sf_dir):
     tasks = stages.tasks_from_records(proxies.task_records(spark, sf_dir))
     hot = tasks.withColumn("stage_id", F.when(F.col("run_ms") % 3 == 0, 1).otherwise(F.col("stage_id")))
