@@ -18,7 +18,6 @@ from pyspark.sql import functions as F
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from draftstats import draft, ingest, items, stages  # noqa: E402
-from draftstats.plans.reports import settled_summary  # noqa: E402
 from draftstats.sources import LEAGUE_IDS, malformed_matches, parse_matches, proxies  # noqa: E402
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -54,8 +53,8 @@ def queries() -> dict[str, Query]:
         "stage_task_totals": lambda s, d: _stages_with_tasks(s, d).select(
             *stages.STAGE_KEY, "status", "timed_tasks", "run_ms", "deserialize_ms"
         ),
-        "stage_summary": lambda s, d: _rounded(settled_summary(_stages_with_tasks(s, d), BY_APP)),
-        "stage_summary_overall": lambda s, d: _rounded(settled_summary(_stages_with_tasks(s, d))),
+        "stage_summary": lambda s, d: _rounded(stages.stage_summary(_stages_with_tasks(s, d), BY_APP)),
+        "stage_summary_overall": lambda s, d: _rounded(stages.stage_summary(_stages_with_tasks(s, d))),
         "task_rows": lambda s, d: _tasks(s, d),
         "task_summary": lambda s, d: _rounded(stages.task_summary(_tasks(s, d), BY_APP)),
         **{name: _on(_log_stages, run) for name, run in _LOG_STAGES.items()},
@@ -157,7 +156,7 @@ _STAGES = {
 _LOG_STAGES = {
     "event_log_stages": lambda rows: rows.drop("submitted", "first_launch", "completed"),
     "event_log_durations": lambda rows: _rounded(stages.stage_durations(rows)),
-    "event_log_summary": lambda rows: _rounded(settled_summary(rows, BY_APP)),
+    "event_log_summary": lambda rows: _rounded(stages.stage_summary(rows, BY_APP)),
 }
 
 

@@ -249,11 +249,7 @@ def completion_cdf_compact(stages: DataFrame, by: Sequence[str] = ()) -> DataFra
 
 
 def stage_profile(stages: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    """Every sum the summary needs, per distinct stage duration.
-
-    This is the one pass over the stage rows; `summary_of_profile` reads it
-    several times, so settle it (checkpoint or table) in between at volume.
-    """
+    """Every sum the summary needs, per distinct stage duration: the one pass over the stage rows."""
     ran = _ran()
     wrote = ran & (F.col("shuffle_write_bytes") > 0)
     fetched = ran & (F.col("remote_bytes_read") > 0)
@@ -289,13 +285,17 @@ def summary_of_profile(profile: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     Fractions are of all stages, skipped ones included. Means, percentile and
     maximum are null where nothing was measured; counts and byte sums are 0.
     """
+    # Always true, as every row counts a stage. It makes each reader below need
+    # all columns, so they share one exchange of the profile instead of pruning
+    # it in different ways and scanning the stages again.
+    profile = profile.filter(F.greatest(*_SUMS) > 0)
     sums = profile.groupBy(*by).agg(
         *[_sum_or_zero(c).alias(c) for c in _SUMS],
         F.sum(F.col("stage_us") * F.col("timed_stages")).alias("total_us"),
         F.max("stage_us").alias("max_us"),
     )
     p99 = distribution.exact_percentile(
-        profile.filter(F.col("stage_us").isNotNull()).select(
+        profile.filter("timed_stages > 0").select(
             *by, F.col("stage_us").alias("value"), F.col("timed_stages").alias("n")
         ),
         0.99,
@@ -334,7 +334,7 @@ def summary_of_profile(profile: DataFrame, by: Sequence[str] = ()) -> DataFrame:
 
 
 def stage_summary(stages: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    """`summary_of_profile` of `stage_profile`, lazily and without settling."""
+    """`summary_of_profile` of `stage_profile`."""
     return summary_of_profile(stage_profile(stages, by), by)
 
 

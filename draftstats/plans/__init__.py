@@ -2,6 +2,5 @@
 
 from .landing import Landing, land_listing, land_matches
 from .reports import draft_report, item_report, job_report
-from .settle import settle
 
-__all__ = ["Landing", "draft_report", "item_report", "job_report", "land_listing", "land_matches", "settle"]
+__all__ = ["Landing", "draft_report", "item_report", "job_report", "land_listing", "land_matches"]

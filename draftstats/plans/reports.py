@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from ..operators import draft, items, stages
 from ..sinks import write_by_team, write_stats
-from .settle import settle
 
 
 def draft_report(matches: DataFrame, output: str, mode: str = draft.FULL, fmt: str = "parquet") -> None:
@@ -38,17 +37,12 @@ def item_report(matches: DataFrame, output: str, fmt: str = "parquet") -> None:
     write_stats(items.item_stats(items.item_purchases(matches)), f"{output}/item_stats", fmt)
 
 
-def settled_summary(stage_rows: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    """`stages.stage_summary` with the pass over the stage rows made once."""
-    return stages.summary_of_profile(settle(stages.stage_profile(stage_rows, by)), by)
-
-
 def job_report(stage_rows: DataFrame, output: str, by: Sequence[str] = ("app_id",), fmt: str = "parquet") -> None:
     """summary, durations, completion_cdf and failed_stages below `output`."""
     table = f"{output}/stages"
     stage_rows.write.mode("overwrite").parquet(table)
     rows = stage_rows.sparkSession.read.parquet(table)
-    write_stats(settled_summary(rows, by), f"{output}/summary", fmt)
+    write_stats(stages.stage_summary(rows, by), f"{output}/summary", fmt)
     write_stats(stages.stage_durations(rows), f"{output}/durations", fmt)
     write_stats(stages.completion_cdf(rows, by), f"{output}/completion_cdf", fmt)
     write_stats(stages.failed_stages(rows), f"{output}/failed_stages", fmt)

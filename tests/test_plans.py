@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as contract
-from draftstats.operators import draft, ingest, items
+from draftstats.operators import draft, ingest, items, stages
 from draftstats.sources import proxies
 
 
@@ -85,6 +85,13 @@ def test_cdf_counts_values_once(spark, sf_dir):
     assert plan.count("FileScan") == 1 and "ReusedExchange" in plan and "Join" not in plan
 
 
+def test_summary_passes_over_the_stages_once(spark, sf_dir):
+    records = proxies.stage_records(spark, sf_dir)
+    plan = executed_plan(stages.stage_summary(stages.stages_from_records(records), ["app_id"]))
+    assert plan.count("FileScan") == 1
+    assert len(re.findall(r"(?<!Reused)Exchange hashpartitioning\(app_id#\d+, stage_us", plan.replace("], Exchange", "],"))) == 1
+
+
 @pytest.mark.parametrize("name", sorted(contract.queries()))
 def test_no_python_and_no_cross_join(spark, sf_dir, name):
     plan = contract.queries()[name](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()

@@ -4,7 +4,7 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from draftstats.operators import draft, items, stages
-from draftstats.plans import draft_report, item_report, job_report, settle
+from draftstats.plans import draft_report, item_report, job_report
 from draftstats.schemas import MATCH
 from draftstats.sinks import write_by_team, write_stats
 from draftstats.sources import proxies
@@ -88,10 +88,3 @@ def test_reports_of_nothing(spark, tmp_path):
     item_report(empty, str(tmp_path / "i"))
     assert spark.read.parquet(f"{tmp_path}/d/hero_stats").count() == 0
     assert spark.read.parquet(f"{tmp_path}/i/item_stats").count() == 0
-
-
-def test_settled_data_comes_from_the_session_folder(spark):
-    settled = settle(spark.range(10).withColumn("x", F.rand()))
-    assert ordered(settled) == ordered(settled)
-    folder = spark.conf.get("spark.checkpoint.dir")
-    assert all(folder in path for path in settled.inputFiles())

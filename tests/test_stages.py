@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 
 from draftstats.functions import parse_iso
 from draftstats.operators import stages
-from draftstats.plans.reports import settled_summary
 from draftstats.schemas import STAGE_RECORD
 from draftstats.sources import proxies, read_event_log, read_stage_records
 
@@ -93,12 +92,11 @@ def test_stage_and_task_rows(records, stage_rows):
     ]
 
 
-@pytest.mark.parametrize("summarize", [stages.stage_summary, settled_summary])
-def test_summary(stage_rows, summarize):
-    row = summarize(stage_rows).first().asDict()
+def test_summary(stage_rows):
+    row = stages.stage_summary(stage_rows).first().asDict()
     assert list(row) == list(SUMMARY)
     assert row == pytest.approx(SUMMARY)
-    grouped = summarize(stage_rows, ["app_id"]).first().asDict()
+    grouped = stages.stage_summary(stage_rows, ["app_id"]).first().asDict()
     assert grouped == pytest.approx({"app_id": "app-20250506174016-0000", **SUMMARY})
 
 
