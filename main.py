@@ -28,16 +28,18 @@ from draftstats.sources import (
 )
 from draftstats.streaming import land_new_files
 
-# For folders of small files and for shuffles of whole documents; spark-submit
-# --conf takes precedence.
-DEFAULTS = {
-    # One match per file: a file costs little to open next to its parsing, so
-    # a task takes thousands of them. Large input then makes few enough tasks
-    # for the shuffle; small input is split by the number of cores anyway.
+# Settings a job starts from; spark-submit --conf takes precedence.
+
+# Folders of one match per file: a file costs little to open next to its
+# parsing, so a task takes thousands of them. Large input then makes few enough
+# tasks for a shuffle; small input is split by the number of cores anyway.
+SMALL_FILES = {
     "spark.sql.files.openCostInBytes": "65536",
     "spark.sql.files.maxPartitionBytes": "1g",
-    # Landing shuffles whole documents. Start with many partitions and let AQE
-    # merge them up to the advisory size, which is also the size of a file.
+}
+# Landing shuffles whole documents. Start with many partitions and let AQE merge
+# them up to the advisory size, which is also the size of a file.
+WHOLE_DOCUMENTS = {
     "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "8192",
     "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
@@ -77,11 +79,13 @@ def main(argv: list[str] | None = None) -> None:
         write_stats(pending_matches(spark.read.parquet(args.input), landed), args.output, args.format)
         return
 
+    if not args.landed:
+        set_defaults(spark, SMALL_FILES)
     if args.job == "land":
-        set_defaults(spark)
-        if args.checkpoint:
-            land_new_files(spark, args.input, args.output, args.checkpoint, unique=args.unique).awaitTermination()
-            return
+        set_defaults(spark, WHOLE_DOCUMENTS)
+    if args.job == "land" and args.checkpoint:
+        land_new_files(spark, args.input, args.output, args.checkpoint, unique=args.unique).awaitTermination()
+        return
     if args.landed:
         matches = spark.read.parquet(args.input)
     else:
@@ -96,9 +100,9 @@ def main(argv: list[str] | None = None) -> None:
         item_report(matches, args.output, args.format)
 
 
-def set_defaults(spark: SparkSession) -> None:
+def set_defaults(spark: SparkSession, settings: dict[str, str]) -> None:
     submitted = spark.sparkContext.getConf()
-    for key, value in DEFAULTS.items():
+    for key, value in settings.items():
         if not submitted.contains(key):
             spark.conf.set(key, value)
 

@@ -10,7 +10,7 @@ from draftstats.sources import read_matches
 
 @pytest.fixture(autouse=True)
 def keep_settings(spark):
-    before = {key: spark.conf.get(key, None) for key in main.DEFAULTS}
+    before = {key: spark.conf.get(key, None) for key in {**main.SMALL_FILES, **main.WHOLE_DOCUMENTS}}
     yield
     for key, value in before.items():
         spark.conf.unset(key) if value is None else spark.conf.set(key, value)
@@ -71,7 +71,8 @@ def test_malformed(spark, match_dir, tmp_path):
     assert {r.match_id for r in found.collect()} == {4, 5, 6}
 
 
-def test_settings_given_by_the_user_stay(spark):
-    key = "spark.sql.files.openCostInBytes"
-    main.set_defaults(spark)
-    assert spark.conf.get(key) == main.DEFAULTS[key]
+def test_settings_given_at_submission_stay(spark):
+    submitted = spark.conf.get("spark.sql.shuffle.partitions")
+    main.set_defaults(spark, {"spark.sql.shuffle.partitions": "99", **main.SMALL_FILES})
+    assert spark.conf.get("spark.sql.shuffle.partitions") == submitted != "99"
+    assert spark.conf.get("spark.sql.files.openCostInBytes") == main.SMALL_FILES["spark.sql.files.openCostInBytes"]
