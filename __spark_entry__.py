@@ -301,7 +301,7 @@ UNION ALL SELECT l_suppkey, NULL, CASE WHEN l_linestatus = 'F' THEN 1 ELSE -1 EN
 
 _LISTING = f"""
 lists AS (
-  SELECT o_orderkey AS match_id, coalesce({list(LEAGUE_IDS)}[o_custkey % 24 + 1], 1)::bigint AS leagueid,
+  SELECT o_orderkey AS match_id, coalesce({list(LEAGUE_IDS)}[2 * month(o_orderdate)], 1)::bigint AS leagueid,
          o_orderstatus, o_orderpriority FROM orders),
 listing AS (
   SELECT match_id, leagueid FROM (

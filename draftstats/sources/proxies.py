@@ -101,10 +101,10 @@ def document_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def listings(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
-    """Two overlapping match lists; some of the leagues are not in the default list."""
+    """Two overlapping match lists. Each month is a league; the last two are not in the default list."""
     orders = table(spark, sf_dir, "orders")
     ids = ", ".join(str(i) for i in LEAGUE_IDS)
-    league = f"CAST(coalesce(get(array({ids}), CAST(o_custkey % 24 AS int)), 1) AS bigint) AS leagueid"
+    league = f"CAST(coalesce(get(array({ids}), 2 * month(o_orderdate) - 1), 1) AS bigint) AS leagueid"
     return [
         orders.filter("o_orderstatus <> 'P'").selectExpr("o_orderkey AS match_id", league),
         orders.filter("o_orderpriority < '4'").selectExpr("o_orderkey AS match_id", league),
