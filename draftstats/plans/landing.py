@@ -12,11 +12,16 @@ from ..sources.matches import is_blank, read_landed
 
 @dataclass(frozen=True)
 class Landing:
-    """What a landing read: lines, those that lost a field, those that gave nothing."""
+    """What a landing read.
+
+    Of all lines, `damaged` ones land without some field; `unreadable` ones gave
+    no field and `unnamed` ones have no match id, so neither can land.
+    """
 
     lines: int
     damaged: int
     unreadable: int
+    unnamed: int
 
 
 def land_listing(listing: DataFrame, table: str) -> None:
@@ -41,6 +46,7 @@ def land_matches(docs: DataFrame, table: str, unique: bool = False) -> Landing:
         F.count("*").alias("lines"),
         F.count_if(corrupt & ~blank).alias("damaged"),
         F.count_if(blank).alias("unreadable"),
+        F.count_if(~blank & F.col("match_id").isNull()).alias("unnamed"),
     )
     new_documents(observed.filter(~blank), landed, unique).write.mode("append").parquet(table)
     return Landing(**seen.get)

@@ -1,19 +1,19 @@
 """Stage and task records of finished Spark jobs.
 
-Both scans lead to the same stage row (`STAGE_COLUMNS`), so the operators do not
-care where a record came from.
+`operators.stages` turns the rows of either scan into the same stage rows, so the
+statistics do not care where a record came from.
 """
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..schemas import EVENT_LOG, STAGE_RECORD
 
-COMPRESSED = r"\.(zstd|lz4|lzf|snappy)$"
+COMPRESSED = r"\.(zstd|lz4|lzf|snappy)(\.inprogress)?$"
 APP_ID = r"(application_\d+_\d+|app-\d+-\d+|local-\d+|spark-[0-9a-f]+)"
 
 
-def _app_id_from_file():
+def _app_id_from_file() -> Column:
     name = F.col("_metadata.file_name")
     found = F.regexp_extract(name, APP_ID, 1)
     return F.when(found != "", found).otherwise(name).alias("app_id")

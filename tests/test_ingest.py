@@ -54,7 +54,7 @@ def test_landing_is_repeatable_and_skips_unreadable_lines(spark, match_dir, tmp_
     assert read_landed(spark, table) is None
     with open(f"{match_dir}/6.json") as file:
         pretty = len(file.readlines())
-    counts = Landing(lines=5 + pretty, damaged=1, unreadable=1 + pretty)
+    counts = Landing(lines=5 + pretty, damaged=1, unreadable=1 + pretty, unnamed=0)
     assert land_matches(docs, table) == counts
     assert land_matches(docs, table) == counts
     landed = read_landed(spark, table)
@@ -71,7 +71,14 @@ def test_landing_files_known_to_be_unique(spark, match_dir, tmp_path):
 
 def test_landing_documents_without_a_reject_column(spark, match_dir, tmp_path):
     docs = read_matches(spark, f"{match_dir}/1.json", mode="FAILFAST")
-    assert land_matches(docs, str(tmp_path / "table")) == Landing(lines=1, damaged=0, unreadable=0)
+    assert land_matches(docs, str(tmp_path / "table")) == Landing(lines=1, damaged=0, unreadable=0, unnamed=0)
+
+
+def test_landing_counts_documents_without_an_id(spark, tmp_path):
+    for name in ("8.json", "other.json"):
+        (tmp_path / name).write_text(json.dumps(FIRST))
+    docs = read_matches(spark, f"{tmp_path}/*.json")
+    assert land_matches(docs, str(tmp_path / "table")) == Landing(lines=2, damaged=0, unreadable=0, unnamed=1)
 
 
 def test_landing_takes_the_first_of_several_copies(spark, tmp_path):
