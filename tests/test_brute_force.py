@@ -1,13 +1,17 @@
-"""Random nested documents through JSON text, against a plain loop over them."""
+"""Random documents and stage records, against plain loops over them."""
 
 import json
 from collections import Counter
+from datetime import datetime, timedelta
 
+import numpy as np
+import pytest
 from conftest import rows
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
-from draftstats.operators import draft, items
+from draftstats.operators import draft, items, stages
+from draftstats.schemas import STAGE_RECORD
 from draftstats.sources import parse_matches
 
 maybe = lambda s: st.none() | s
@@ -81,3 +85,81 @@ def test_draft_and_items(spark, docs):
         (key, n, first[key]) for key, n in times.items() if key is not None
     )
     parsed.unpersist()
+
+
+stage_records = st.fixed_dictionaries(
+    {
+        "status": st.sampled_from(["SKIPPED", "COMPLETE", "COMPLETE", "FAILED", None]),
+        "launch": maybe(st.integers(-2_000, 90_000_000)),
+        "length": maybe(st.integers(-2_000, 90_000_000)),
+        "written": maybe(st.integers(0, 3)),
+        "write_ns": st.integers(0, 10**7),
+        "remote": maybe(st.integers(0, 3)),
+        "failed": maybe(st.integers(0, 2)),
+        "tasks": st.lists(st.tuples(st.integers(0, 5000), st.integers(0, 50)), max_size=3),
+    }
+)
+
+
+@settings(max_examples=6, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(stage_records, min_size=1, max_size=30))
+def test_stage_summary(spark, found):
+    start = datetime(2025, 5, 6, 10)
+
+    def at(ms):
+        return None if ms is None else f"{(start + timedelta(milliseconds=ms)).isoformat(timespec='milliseconds')}GMT"
+
+    records = [
+        {
+            "status": s["status"],
+            "stageId": i,
+            "submissionTime": at(0),
+            "firstTaskLaunchedTime": at(s["launch"]),
+            "completionTime": at(s["length"]),
+            "shuffleWriteBytes": s["written"],
+            "shuffleWriteTime": s["write_ns"],
+            "shuffleRemoteBytesRead": s["remote"],
+            "numFailedTasks": s["failed"],
+            "tasks": {
+                str(t): {"taskMetrics": {"executorRunTime": run, "executorDeserializeTime": deserialize}}
+                for t, (run, deserialize) in enumerate(s["tasks"])
+            },
+        }
+        for i, s in enumerate(found)
+    ]
+    df = spark.createDataFrame(records, STAGE_RECORD).selectExpr("'a' AS app_id", "*")
+    row = stages.stage_summary(stages.stages_from_records(df)).first().asDict()
+
+    ran = [s for s in found if s["status"] != "SKIPPED"]
+    lengths = [s["length"] / 1000 for s in ran if s["length"] is not None]
+    waits = [s["launch"] / 1000 for s in ran if s["launch"] is not None]
+    wrote = [s for s in ran if s["written"]]
+    read = [s["remote"] for s in ran if s["remote"]]
+    tasks = [t for s in ran for t in s["tasks"]]
+
+    def mean(values):
+        return float(np.average(values)) if values else None
+
+    expected = {
+        "computed_stages": len(ran),
+        "skipped_stages": len(found) - len(ran),
+        "avg_stage_s": mean(lengths),
+        "p99_stage_s": float(np.percentile(lengths, 99)) if lengths else None,
+        "max_stage_s": max(lengths, default=None),
+        "avg_scheduling_wait_s": mean(waits),
+        "avg_task_run_s": mean([run / 1000 for run, _ in tasks]),
+        "avg_task_deserialize_s": mean([deserialize / 1000 for _, deserialize in tasks]),
+        "disk_accesses": len(wrote),
+        "disk_access_fraction": len(wrote) / len(found),
+        "skipped_fraction": (len(found) - len(ran)) / len(found),
+        "disk_bytes_written": sum(s["written"] for s in wrote),
+        "avg_shuffle_write_s": mean([s["write_ns"] / 1e9 for s in wrote]),
+        "data_exchanges": len(read),
+        "bytes_exchanged": sum(read),
+    }
+    assert row == {k: v if v is None else pytest.approx(v, rel=1e-9, abs=1e-9) for k, v in expected.items()}
+    assert rows(stages.completion_cdf(stages.stages_from_records(df))) == [
+        (v, i / len(lengths)) for i, v in enumerate(sorted(lengths))
+    ]
+    failed = [(i,) for i, s in enumerate(found) if s["status"] != "SKIPPED" and s["failed"]]
+    assert rows(stages.failed_stages(stages.stages_from_records(df)).select("stage_id")) == failed
