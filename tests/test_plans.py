@@ -75,6 +75,12 @@ def test_landing_shuffles_documents_once(spark, landed):
     assert "partial_min_by" in plan
 
 
+def test_landed_side_reads_only_ids(spark, landed):
+    docs = spark.createDataFrame([(1, "f")], "match_id bigint, source_file string")
+    for df in (ingest.new_documents(docs, landed), ingest.pending_matches(docs, landed)):
+        assert re.findall(r"ReadSchema: (\S+)", executed_plan(df)) == ["struct<match_id:bigint>"]
+
+
 def test_first_landing_of_unique_documents_moves_nothing(landed):
     plan = executed_plan(ingest.new_documents(landed, None, unique=True))
     assert "Exchange" not in plan
