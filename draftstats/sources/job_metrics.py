@@ -4,12 +4,22 @@
 statistics do not care where a record came from.
 """
 
+import io
+from collections.abc import Iterator
+from itertools import islice
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..schemas import EVENT_LOG, STAGE_RECORD
 
 COMPRESSED = r"\.(zstd|lz4|lzf|snappy)(\.inprogress)?$"
+# The event kinds of EVENT_LOG, as their lines begin.
+_WANTED = tuple(
+    f'{{"Event":"SparkListener{kind}"' for kind in ("JobStart", "StageSubmitted", "StageCompleted", "TaskEnd")
+)
+_LINES_PER_BATCH = 2_000
 APP_ID = r"(application_\d+_\d+|app-\d+-\d+|local-\d+|spark-[0-9a-f]+)"
 
 
@@ -19,19 +29,54 @@ def _app_id_from_file() -> Column:
     return F.when(found != "", found).otherwise(name).alias("app_id")
 
 
-def read_event_log(spark: SparkSession, path: str | list[str]) -> DataFrame:
+def read_event_log(spark: SparkSession, path: str | list[str], compressed: bool = False) -> DataFrame:
     """Event logs of one or many applications, single files or rolled folders.
 
     The application id comes from the file name. Point it at finished logs:
-    a stage can be told as skipped only after its application ended. A log
-    compressed by Spark's own codecs has no lines to read and is an error.
+    a stage can be told as skipped only after its application ended.
+
+    A scan of plain logs that meets a compressed one raises. `compressed` reads
+    the logs compressed with zstd, Spark's default, and only those.
     """
+    if compressed:
+        lines = _decompressed_lines(spark, path)
+        event = F.from_json("value", EVENT_LOG)
+        return lines.select("app_id", F.inline(F.array(event)))
     log = spark.read.schema(EVENT_LOG).option("recursiveFileLookup", True).json(path)
     plain = ~F.col("_metadata.file_name").rlike(COMPRESSED)
-    readable = F.assert_true(plain, "compressed event log: write it with spark.eventLog.compress=false")
+    readable = F.assert_true(plain, "compressed event log: pass compressed=True if zstd, else write it uncompressed")
     return log.filter(readable.isNull()).select(_app_id_from_file(), "*")
 
 
+def _decompressed_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """(app_id, value) for the lines that describe stages and tasks.
+
+    Spark's readers do not know the codec, so files arrive whole. Rolled logs
+    are at most 128 MB each, and tasks take files up to maxPartitionBytes.
+    """
+    files = (
+        spark.read.format("binaryFile")
+        .option("recursiveFileLookup", True)
+        .option("pathGlobFilter", "*.zstd")
+        .load(path)
+        .select(_app_id_from_file(), "content")
+    )
+    return files.mapInArrow(_event_lines, "app_id string, value string")
+
+
+def _event_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    import zstandard
+
+    for batch in batches:
+        for app_id, content in zip(batch.column("app_id"), batch.column("content"), strict=True):
+            # A log is a sequence of frames, one per flush.
+            reader = zstandard.ZstdDecompressor().stream_reader(content.as_buffer(), read_across_frames=True)
+            text = io.TextIOWrapper(reader, encoding="utf-8")
+            wanted = (line for line in text if line.startswith(_WANTED))
+            while lines := list(islice(wanted, _LINES_PER_BATCH)):
+                yield pa.RecordBatch.from_pydict({"app_id": [app_id.as_py()] * len(lines), "value": lines})
+
+
 def read_stage_records(spark: SparkSession, path: str | list[str], multi_line: bool = True) -> DataFrame:
     """Stage records dumped as a JSON array (`multi_line`) or one per line."""
     return (

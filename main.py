@@ -55,6 +55,7 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--format", default="parquet", help="format of the written results")
     parser.add_argument("--landed", action="store_true", help="the input is a landed Parquet table, not JSON")
     parser.add_argument("--failfast", action="store_true", help="raise on malformed documents")
+    parser.add_argument("--compressed", action="store_true", help="job: the event logs are compressed with zstd")
     parser.add_argument("--records", action="store_true", help="the input is dumped stage records, not event logs")
     parser.add_argument("--leagues", type=int, nargs="*", default=list(LEAGUE_IDS), help="listing: leagues to keep")
     parser.add_argument("--matches", help="pending: the match table")
@@ -67,7 +68,7 @@ def main(argv: list[str] | None = None) -> None:
         if args.records:
             found = stages.stages_from_records(read_stage_records(spark, args.input))
         else:
-            found = stages.stages_from_log(read_event_log(spark, args.input))
+            found = stages.stages_from_log(read_event_log(spark, args.input, args.compressed))
         job_report(found, args.output, fmt=args.format)
         return
 

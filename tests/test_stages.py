@@ -229,14 +229,14 @@ def test_log_and_records_give_the_same_kind_of_row(log_rows, stage_rows):
     assert stages.stages_from_log(log_rows).dtypes == stage_rows.dtypes
 
 
-@pytest.mark.parametrize("rolling", ["false", "true"])
-def test_log_of_a_real_run(spark, tmp_path, rolling):
+@pytest.mark.parametrize("rolling, compress", [("false", "false"), ("true", "false"), ("true", "true")])
+def test_log_of_a_real_run(spark, tmp_path, rolling, compress):
     program = textwrap.dedent(
         f"""
         from pyspark.sql import SparkSession, functions as F
         spark = (SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false")
                  .config("spark.eventLog.enabled", "true").config("spark.eventLog.dir", {str(tmp_path)!r})
-                 .config("spark.eventLog.compress", "false").config("spark.eventLog.rolling.enabled", "{rolling}")
+                 .config("spark.eventLog.compress", "{compress}").config("spark.eventLog.rolling.enabled", "{rolling}")
                  .config("spark.sql.adaptive.enabled", "false").config("spark.sql.shuffle.partitions", "3").getOrCreate())
         counts = spark.sparkContext.parallelize(range(100), 4).map(lambda x: (x % 5, 1)).reduceByKey(lambda a, b: a + b)
         counts.count()
@@ -245,7 +245,7 @@ def test_log_of_a_real_run(spark, tmp_path, rolling):
         """
     )
     subprocess.run([sys.executable, "-c", program], check=True, timeout=180, env=os.environ, capture_output=True)
-    log = read_event_log(spark, str(tmp_path))
+    log = read_event_log(spark, str(tmp_path), compressed=compress == "true")
     found = stages.stages_from_log(log)
     assert all(r.app_id.startswith("local-") for r in found.collect())
     row = stages.stage_summary(found).first()
