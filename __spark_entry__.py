@@ -49,6 +49,8 @@ def queries() -> dict[str, Query]:
         "listing_union": lambda s, d: _listing(s, d),
         "listing_dedup": lambda s, d: ingest.listing_dedup(_listing(s, d)),
         "pending_matches": lambda s, d: ingest.pending_matches(_listing(s, d), proxies.landed_ids(s, d)),
+        "new_listing_rows": _new_listing_rows,
+        "new_documents": _new_documents,
         **{name: _on(_stages, run) for name, run in _STAGES.items()},
         "stage_task_totals": lambda s, d: _stages_with_tasks(s, d).select(
             *stages.STAGE_KEY, "status", "timed_tasks", "run_ms", "deserialize_ms"
@@ -72,6 +74,7 @@ def oracle_sql() -> dict[str, str]:
         "player_rows": _PLAYER_ROWS_SQL,
         "malformed_lines": _MALFORMED_SQL,
         **{name: f"WITH {_LISTING} {sql}" for name, sql in _LISTING_SQL.items()},
+        "new_documents": _NEW_DOCUMENTS_SQL,
         **{name: f"WITH {_STAGE} {sql}" for name, sql in _STAGES_SQL.items()},
         **{name: f"WITH {_LOG} {sql}" for name, sql in _LOG_SQL.items()},
     }
@@ -101,6 +104,17 @@ def _listing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ingest.of_leagues(ingest.listing_union(*proxies.listings(spark, sf_dir)), LEAGUE_IDS)
 
 
+def _new_listing_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    known, listing = proxies.listings(spark, sf_dir)
+    return ingest.new_listing_rows(listing, known)
+
+
+def _new_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    new = ingest.new_documents(proxies.arriving_documents(spark, sf_dir), proxies.landed_ids(spark, sf_dir))
+    events = F.coalesce(F.size("picks_bans"), F.lit(-1)).alias("events")
+    return new.select("match_id", "source_file", events, "radiant_name", "dire_name", "radiant_win")
+
+
 def _stages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stages.stages_from_records(proxies.stage_records(spark, sf_dir))
 
@@ -312,11 +326,25 @@ listing AS (
 _LISTING_SQL = {
     "listing_union": "SELECT * FROM listing",
     "listing_dedup": "SELECT DISTINCT match_id FROM listing",
+    "new_listing_rows": """
+SELECT DISTINCT match_id, leagueid FROM lists WHERE o_orderpriority < '4'
+EXCEPT SELECT match_id, leagueid FROM lists WHERE o_orderstatus <> 'P'""",
     "pending_matches": """
 SELECT DISTINCT match_id FROM listing WHERE NOT EXISTS (
   SELECT 1 FROM lineitem WHERE l_orderkey = match_id AND l_linestatus = 'F')""",
 }
 
+_NEW_DOCUMENTS_SQL = f"""
+WITH docs AS (
+  SELECT l_orderkey AS match_id,
+         concat_ws('/', l_linenumber, l_partkey, l_suppkey, l_quantity::int, round(l_tax * 100)::int,
+                   round(l_discount * 100)::int, l_returnflag, l_linestatus) AS source_file,
+         CASE l_tax WHEN 0.08::double THEN -1 WHEN 0.0::double THEN 0 ELSE 2 END AS events, {_HEADER}
+  FROM lineitem),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY match_id ORDER BY source_file) AS copy FROM docs)
+SELECT match_id, source_file, events, radiant_name, dire_name, radiant_win FROM ranked
+WHERE copy = 1 AND NOT EXISTS (SELECT 1 FROM lineitem WHERE l_orderkey = match_id AND l_linestatus = 'F')"""
+
 # SQL for the stage and task queries ------------------------------------------
 
 _STAGE = """

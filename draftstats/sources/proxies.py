@@ -71,6 +71,23 @@ def draft_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def arriving_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Draft documents with a source file: the lines of an order are copies of one match.
+
+    The file is named after everything the document depends on, so copies from
+    the same file are equal.
+    """
+    return table(spark, sf_dir, "lineitem").selectExpr(
+        "l_orderkey AS match_id",
+        """concat_ws('/', l_linenumber, l_partkey, l_suppkey, CAST(l_quantity AS int), CAST(round(l_tax * 100) AS int),
+                     CAST(round(l_discount * 100) AS int), l_returnflag, l_linestatus) AS source_file""",
+        f"{PICKS_BANS} AS picks_bans",
+        f"{RADIANT_NAME} AS radiant_name",
+        f"{DIRE_NAME} AS dire_name",
+        f"{RADIANT_WIN} AS radiant_win",
+    )
+
+
 def loadout_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """match_id and players."""
     return table(spark, sf_dir, "lineitem").selectExpr("l_orderkey AS match_id", f"{PLAYERS} AS players")
