@@ -61,6 +61,7 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--matches", help="pending: the match table")
     parser.add_argument("--unique", action="store_true", help="land: no match occurs twice in the input")
     parser.add_argument("--checkpoint", help="land: folder that remembers the files of earlier runs, to skip them")
+    parser.add_argument("--max-files", type=int, help="land with --checkpoint: files per batch")
     args = parser.parse_args(argv)
 
     spark = SparkSession.builder.appName(f"draftstats-{args.job}").getOrCreate()
@@ -85,7 +86,8 @@ def main(argv: list[str] | None = None) -> None:
     if args.job == "land":
         set_defaults(spark, WHOLE_DOCUMENTS)
     if args.job == "land" and args.checkpoint:
-        land_new_files(spark, args.input, args.output, args.checkpoint, unique=args.unique).awaitTermination()
+        landing = land_new_files(spark, args.input, args.output, args.checkpoint, args.max_files, args.unique)
+        landing.awaitTermination()
         return
     if args.landed:
         matches = spark.read.parquet(args.input)

@@ -32,7 +32,8 @@ def test_land_then_report(spark, match_dir, tmp_path, capsys):
 def test_land_with_checkpoint_and_unique_files(spark, match_dir, tmp_path):
     table = str(tmp_path / "table")
     for _ in range(2):
-        main.main(["land", "--input", match_dir, "--output", table, "--unique", "--checkpoint", str(tmp_path / "c")])
+        checkpoint = ["--checkpoint", str(tmp_path / "c"), "--max-files", "4"]
+        main.main(["land", "--input", match_dir, "--output", table, "--unique", *checkpoint])
     assert rows(spark.read.parquet(table).select("match_id")) == [(1,), (2,), (3,), (5,)]
 
 

@@ -37,6 +37,24 @@ def test_a_team_is_few_files(spark, tmp_path):
     assert len(files(path)) <= 10 and spark.read.parquet(path).count() == 20_000
 
 
+def test_a_very_large_team_is_split(spark, tmp_path):
+    teams = spark.range(200_000).selectExpr(
+        "CASE WHEN id % 10 > 0 THEN 'hot' ELSE concat('t', id % 3) END AS teamname", "id AS hero_id", "hash(id) AS bans"
+    )
+    path = str(tmp_path / "teams")
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "200k")
+    try:
+        write_by_team(teams.repartition(8), path, ["hero_id"])
+    finally:
+        spark.conf.set(key, before)
+    assert len(files(f"{path}/team_dir=hot")) > 1
+    assert all(len(files(f"{path}/team_dir=t{i}")) <= 2 for i in range(3))
+    back = spark.read.parquet(path).drop("team_dir")
+    assert back.count() == 200_000 and back.exceptAll(teams).isEmpty()
+
+
 def test_write_stats_keeps_the_order(spark, tmp_path):
     df = spark.range(1000).withColumn("v", F.hash("id")).orderBy(F.desc("v"))
     for fmt in ("parquet", "json", "csv"):
