@@ -22,6 +22,26 @@ from draftstats.sources import LEAGUE_IDS, malformed_matches, parse_matches, pro
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+# The subpackage and the pipeline may be absent; any other failed import is an error.
+LLM_QUERIES: dict[str, Query] = {}
+LLM_SQL: dict[str, str] = {}
+try:
+    from draftstats.llm import queries as llm_queries
+
+    LLM_QUERIES.update(llm_queries.QUERIES)
+    LLM_SQL.update(llm_queries.SQL)
+    import corpus_pipeline
+
+    LLM_QUERIES["pipeline"] = corpus_pipeline.run
+    if corpus_pipeline.ORACLE_SQL:
+        LLM_SQL["pipeline"] = corpus_pipeline.ORACLE_SQL
+except ModuleNotFoundError as error:
+    if error.name not in ("draftstats.llm", "corpus_pipeline"):
+        raise
+except ImportError as error:
+    if error.name != "draftstats.llm":
+        raise
+
 BY_APP = ("app_id",)
 
 
@@ -63,6 +83,7 @@ def queries() -> dict[str, Query]:
         "event_log_task_summary": lambda s, d: _rounded(
             stages.task_summary(stages.tasks_from_log(proxies.event_log(s, d)), BY_APP)
         ),
+        **LLM_QUERIES,
     }
 
 
@@ -77,6 +98,7 @@ def oracle_sql() -> dict[str, str]:
         "new_documents": _NEW_DOCUMENTS_SQL,
         **{name: f"WITH {_STAGE} {sql}" for name, sql in _STAGES_SQL.items()},
         **{name: f"WITH {_LOG} {sql}" for name, sql in _LOG_SQL.items()},
+        **LLM_SQL,
     }
 
 
