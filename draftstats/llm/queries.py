@@ -4,7 +4,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, quality_classifier, token_counts
+from . import chat, quality_classifier, quality_rules, token_counts
 from .common import new_folder
 
 
@@ -22,6 +22,12 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.withColumn("over_limit", F.col("n_tokens") > 2048)
 
 
+def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    trusted = table(spark, sf_dir, "labels").filter("quality = 1").select("doc_id")
+    return quality_rules.apply_rules(docs, quality_rules.log_ratios(docs, trusted))
+
+
 def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     is_held_out = quality_classifier.held_out(F.col("doc_id"))
@@ -39,5 +45,5 @@ def op8_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.read_back(formatted)
 
 
-QUERIES = {f.__name__: f for f in (op1_token_counts, op7_quality_classifier, op8_chat_formatting)}
+QUERIES = {f.__name__: f for f in (op1_token_counts, op5_quality_rules, op7_quality_classifier, op8_chat_formatting)}
 SQL: dict[str, str] = {}
