@@ -4,7 +4,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, quality_classifier, quality_rules, token_counts
+from . import chat, packing, quality_classifier, quality_rules, token_counts
 from .common import new_folder
 
 
@@ -22,6 +22,15 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.withColumn("over_limit", F.col("n_tokens") > 2048)
 
 
+def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = packing.pieces(
+        table(spark, sf_dir, "documents"),
+        public_tokenizers.path("byte_bpe_50k.json"),
+        public_tokenizers.path("byte_bpe_50k.tiktoken"),
+    )
+    return packing.pack(found)
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     trusted = table(spark, sf_dir, "labels").filter("quality = 1").select("doc_id")
@@ -45,5 +54,5 @@ def op8_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.read_back(formatted)
 
 
-QUERIES = {f.__name__: f for f in (op1_token_counts, op5_quality_rules, op7_quality_classifier, op8_chat_formatting)}
+QUERIES = {f.__name__: f for f in (op1_token_counts, op4_best_fit_packing, op5_quality_rules, op7_quality_classifier, op8_chat_formatting)}
 SQL: dict[str, str] = {}
