@@ -4,7 +4,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, packing, quality_classifier, quality_rules, token_counts
+from . import chat, mixing, packing, quality_classifier, quality_rules, token_counts
 from .common import new_folder
 
 
@@ -37,6 +37,11 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.apply_rules(docs, quality_rules.log_ratios(docs, trusted))
 
 
+def op6_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.taken(*mixing.mix(table(spark, sf_dir, "documents")))
+    return mixed.select("doc_id", "size", "source_size", "target", "taken")
+
+
 def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     is_held_out = quality_classifier.held_out(F.col("doc_id"))
@@ -54,5 +59,5 @@ def op8_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.read_back(formatted)
 
 
-QUERIES = {f.__name__: f for f in (op1_token_counts, op4_best_fit_packing, op5_quality_rules, op7_quality_classifier, op8_chat_formatting)}
-SQL: dict[str, str] = {}
+QUERIES = {f.__name__: f for f in (op1_token_counts, op4_best_fit_packing, op5_quality_rules, op6_source_mixing, op7_quality_classifier, op8_chat_formatting)}
+SQL: dict[str, str] = {"op6_source_mixing": mixing.taken_sql()}
