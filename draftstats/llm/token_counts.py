@@ -6,8 +6,10 @@ digests, and only contents the table does not have are encoded, once each.
 """
 
 import hashlib
+import os
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import tokenizers
 from pyspark.sql import Column, DataFrame
@@ -17,9 +19,10 @@ from .common import read_if_there
 
 _CACHE = "content_digest binary, n_tokens bigint, tokenizer string"
 _ENCODED = pa.schema([("content_digest", pa.binary()), ("n_tokens", pa.int64())])
-# Chunks a worker remembers, and texts it takes at a time.
-_REMEMBERED = 400_000
-_AT_ONCE = 500
+# Texts, and chunks of them, that a task gives the library at a time.
+_TEXTS_AT_ONCE = 1_000
+_CHUNKS_AT_ONCE = 2_000
+_MARK = "`"
 
 
 def normalised(text: Column) -> Column:
@@ -65,35 +68,36 @@ def token_counts(
 
 def _counter(tokenizer_path: str):
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counter = ChunkCounter(tokenizer_path)
+        # Cores are Spark's to share out; threads of the library would also keep memory each.
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        tokenizer = tokenizers.Tokenizer.from_file(tokenizer_path)
         for batch in batches:
-            for at in range(0, batch.num_rows, _AT_ONCE):
-                part = batch.slice(at, _AT_ONCE)
-                counts = counter.counts(part.column(1).to_pylist())
+            for at in range(0, batch.num_rows, _TEXTS_AT_ONCE):
+                part = batch.slice(at, _TEXTS_AT_ONCE)
+                counts = counts_of(tokenizer, part.column(1).to_pylist())
                 yield pa.record_batch([part.column(0).cast(pa.binary()), pa.array(counts, pa.int64())], schema=_ENCODED)
 
     return count
 
 
-class ChunkCounter:
+def counts_of(tokenizer: tokenizers.Tokenizer, texts: list[str]) -> list[int]:
     """Counts of texts as sums over their chunks between ASCII blanks.
 
     No token spans a blank in a tokenizer that drops white space, so a chunk's
-    count holds wherever it stands. The library is asked once per chunk.
+    count holds wherever it stands, and the library is asked once for each.
+    Many chunks go into one call, with a mark of one token between them; chunks
+    that hold the mark themselves are encoded alone.
     """
-
-    def __init__(self, tokenizer_path: str):
-        self._tokenizer = tokenizers.Tokenizer.from_file(tokenizer_path)
-        self._known: dict[bytes, int] = {}
-
-    def counts(self, texts: list[str]) -> list[int]:
-        chunked = [text.encode().split() for text in texts]
-        if len(self._known) > _REMEMBERED:
-            self._known.clear()
-        new = list(set().union(*chunked) - self._known.keys()) if chunked else []
-        for at in range(0, len(new), 10_000):
-            some = new[at : at + 10_000]
-            encoded = self._tokenizer.encode_batch_fast([c.decode() for c in some], add_special_tokens=False)
-            self._known.update(zip(some, map(len, encoded), strict=True))
-        known = self._known
-        return [sum(map(known.__getitem__, chunks)) for chunks in chunked]
+    chunked = [text.encode().split() for text in texts]
+    mark = tokenizer.encode(_MARK, add_special_tokens=False).ids
+    together, alone = [], []
+    for chunk in set().union(*chunked):
+        (alone if len(mark) != 1 or _MARK.encode() in chunk else together).append(chunk)
+    known = {c: len(tokenizer.encode(c.decode(), add_special_tokens=False)) for c in alone}
+    for at in range(0, len(together), _CHUNKS_AT_ONCE):
+        some = together[at : at + _CHUNKS_AT_ONCE]
+        joined = f" {_MARK} ".join(c.decode() for c in some)
+        ids = np.array(tokenizer.encode_batch_fast([joined], add_special_tokens=False)[0].ids)
+        ends = np.append(np.flatnonzero(ids == mark[0]), len(ids))
+        known.update(zip(some, (np.diff(ends, prepend=-1) - 1).tolist(), strict=True))
+    return [sum(map(known.__getitem__, text)) for text in chunked]
