@@ -22,6 +22,8 @@ _ENCODED = pa.schema([("content_digest", pa.binary()), ("n_tokens", pa.int64())]
 # Texts, and chunks of them, that a task gives the library at a time.
 _TEXTS_AT_ONCE = 1_000
 _CHUNKS_AT_ONCE = 2_000
+# Chunks whose counts a task keeps at hand.
+_KNOWN = 300_000
 _MARK = "`"
 
 
@@ -71,29 +73,33 @@ def _counter(tokenizer_path: str):
         # Cores are Spark's to share out; threads of the library would also keep memory each.
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         tokenizer = tokenizers.Tokenizer.from_file(tokenizer_path)
+        known: dict[bytes, int] = {}
         for batch in batches:
             for at in range(0, batch.num_rows, _TEXTS_AT_ONCE):
                 part = batch.slice(at, _TEXTS_AT_ONCE)
-                counts = counts_of(tokenizer, part.column(1).to_pylist())
+                counts = counts_of(tokenizer, part.column(1).to_pylist(), known)
                 yield pa.record_batch([part.column(0).cast(pa.binary()), pa.array(counts, pa.int64())], schema=_ENCODED)
 
     return count
 
 
-def counts_of(tokenizer: tokenizers.Tokenizer, texts: list[str]) -> list[int]:
+def counts_of(tokenizer: tokenizers.Tokenizer, texts: list[str], known: dict[bytes, int]) -> list[int]:
     """Counts of texts as sums over their chunks between ASCII blanks.
 
     No token spans a blank in a tokenizer that drops white space, so a chunk's
     count holds wherever it stands, and the library is asked once for each.
     Many chunks go into one call, with a mark of one token between them; chunks
-    that hold the mark themselves are encoded alone.
+    that hold the mark themselves are encoded alone. `known` keeps counts from
+    call to call, up to a bound.
     """
     chunked = [text.encode().split() for text in texts]
     mark = tokenizer.encode(_MARK, add_special_tokens=False).ids
+    if len(known) > _KNOWN:
+        known.clear()
     together, alone = [], []
-    for chunk in set().union(*chunked):
+    for chunk in set().union(*chunked) - known.keys():
         (alone if len(mark) != 1 or _MARK.encode() in chunk else together).append(chunk)
-    known = {c: len(tokenizer.encode(c.decode(), add_special_tokens=False)) for c in alone}
+    known.update((c, len(tokenizer.encode(c.decode(), add_special_tokens=False))) for c in alone)
     for at in range(0, len(together), _CHUNKS_AT_ONCE):
         some = together[at : at + _CHUNKS_AT_ONCE]
         joined = f" {_MARK} ".join(c.decode() for c in some)

@@ -20,7 +20,9 @@ def library(text):
 @settings(deadline=None, max_examples=200)
 @given(st.lists(st.one_of(st.text(ALPHABET), st.text(), st.just("x <|endoftext|>y <|ENDOFTEXT|>")), max_size=4))
 def test_counts_are_the_librarys(texts):
-    assert counts_of(TOKENIZER, texts) == [library(t) for t in texts]
+    known = {}
+    for _ in range(2):
+        assert counts_of(TOKENIZER, texts, known) == [library(t) for t in texts]
 
 
 def test_nulls_empty_long_repeated_and_clashing_columns(spark, tmp_path):
