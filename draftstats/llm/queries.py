@@ -4,7 +4,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, mixing, packing, quality_classifier, quality_rules, token_counts
+from . import chat, mixing, packing, pii, quality_classifier, quality_rules, token_counts
 from .common import new_folder
 
 
@@ -59,5 +59,16 @@ def op8_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.read_back(formatted)
 
 
-QUERIES = {f.__name__: f for f in (op1_token_counts, op4_best_fit_packing, op5_quality_rules, op6_source_mixing, op7_quality_classifier, op8_chat_formatting)}
+def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.all_spans(table(spark, sf_dir, "documents"))
+    kinds = F.transform("base", lambda s: s["kind"])
+    numbers = [
+        (F.size("base") - F.size(F.array_remove(kinds, kind))).cast("bigint").alias(f"n_{kind}") for kind in pii.KINDS[:4]
+    ]
+    return found.select(
+        "doc_id", *numbers, F.sha2(pii.listed(F.col("base")), 256).alias("base_sha256"), pii.listed(F.col("spans")).alias("spans")
+    )
+
+
+QUERIES = {f.__name__: f for f in (op1_token_counts, op4_best_fit_packing, op5_quality_rules, op6_source_mixing, op7_quality_classifier, op8_chat_formatting, op10_pii)}
 SQL: dict[str, str] = {"op6_source_mixing": mixing.taken_sql()}
