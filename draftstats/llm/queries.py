@@ -4,10 +4,13 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, mixing, packing, pii, quality_classifier, quality_rules, token_counts
+from . import chat, mixing, ngram_join, packing, pii, quality_classifier, quality_rules, token_counts
 from .common import new_folder
 
 
+NEAR = ngram_join.Similarity(n=4, percent=85)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -59,6 +62,10 @@ def op8_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.read_back(formatted)
 
 
+def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.linked_documents(table(spark, sf_dir, "documents"), NEAR)
+
+
 def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.all_spans(table(spark, sf_dir, "documents"))
     kinds = F.transform("base", lambda s: s["kind"])
@@ -70,5 +77,5 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (op1_token_counts, op4_best_fit_packing, op5_quality_rules, op6_source_mixing, op7_quality_classifier, op8_chat_formatting, op10_pii)}
-SQL: dict[str, str] = {"op6_source_mixing": mixing.taken_sql()}
+QUERIES = {f.__name__: f for f in (op1_token_counts, op4_best_fit_packing, op5_quality_rules, op6_source_mixing, op7_quality_classifier, op8_chat_formatting, op9_ngram_join, op10_pii)}
+SQL = {"op6_source_mixing": mixing.taken_sql(), "op9_ngram_join": ngram_join.linked_documents_sql(NEAR)}

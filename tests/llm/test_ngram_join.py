@@ -1,0 +1,106 @@
+import random
+
+import duckdb
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from draftstats.llm import ngram_join
+from draftstats.llm.components import components
+from draftstats.llm.ngram_join import InvertedLists, Similarity, linked_documents, one_of_each
+from draftstats.llm.shingles import Shingler
+
+SCHEMA = "doc_id long, text string, n string, digest string, shingle string"
+
+
+def tuples(text, n):
+    words = text.encode().lower().split()
+    return {tuple(words[i : i + n]) for i in range(max(1, len(words) - n + 1))} if words else set()
+
+
+def brute(docs, similarity):
+    """(n, component, links) of each row, by comparing all pairs."""
+    sets = [tuples(text or "", similarity.n) for _, text in docs]
+    near = [
+        [j for j in range(len(docs)) if j != i and sets[i] and 100 * len(sets[i] & sets[j]) >= similarity.percent * len(sets[i] | sets[j])]
+        for i in range(len(docs))
+    ]
+    out = []
+    for i, (doc_id, _) in enumerate(docs):
+        seen, todo = {i}, [i]
+        while todo:
+            new = set(near[todo.pop()]) - seen
+            seen |= new
+            todo += new
+        ids = [docs[j][0] for j in seen if docs[j][0] is not None]
+        out.append((doc_id, len(sets[i]), min(ids, default=None), len(near[i])))
+    return sorted(out, key=str)
+
+
+def edited(words, rng, share):
+    return " ".join(f"edit{rng.random()}" if rng.random() < share else w for w in words)
+
+
+@given(st.lists(st.sampled_from(["a", "B", "b", "é", " ", "\n", "\x0b", "\xa0", "İ", "word"])).map("".join), st.integers(1, 5))
+def test_shingles_are_those_of_words(text, n):
+    shingler = Shingler(n)
+    found = shingler.shingles(np.frombuffer(text.encode(), np.uint8))
+    assert len(found) == len(tuples(text, n))
+    longer = np.frombuffer(("x " * 50 + text).encode(), np.uint8)
+    words = [w for w in text.encode().lower().split()]
+    if words:
+        assert (shingler.words(longer)[-len(words) :] == shingler.words(np.frombuffer(text.encode(), np.uint8))).all()
+
+
+@settings(deadline=None)
+@given(st.lists(st.sets(st.integers(0, 30), min_size=1), max_size=12), st.sampled_from([50, 80, 85, 100]))
+def test_t_occurrence_search_finds_all(sets, percent):
+    sets = sorted((np.array(sorted(s), np.uint64) for s in sets), key=len)
+    index, similarity = InvertedLists(sets), Similarity(1, percent)
+    for i, a in enumerate(sets):
+        expected = [j for j in range(i + 1, len(sets)) if 100 * len(np.intersect1d(a, sets[j])) >= percent * len(np.union1d(a, sets[j]))]
+        assert sorted(index.search(i, similarity)) == expected
+
+
+@pytest.mark.parametrize("similarity", [Similarity(), Similarity(4, 85), Similarity(2, 60)])
+def test_against_all_pairs(spark, similarity, monkeypatch):
+    rng = random.Random(5)
+    vocabulary = [f"w{i}" for i in range(400)]
+    passage = rng.choices(vocabulary, k=60)
+    docs = [(0, None), (1, ""), (2, " \n "), (3, "one two"), (4, "ONE  two"), (None, "one two"), (None, "alone here"), (5, "alone")]
+    for family in range(12):
+        base = rng.choices(vocabulary, k=rng.choice([3, 12, 60, 250])) + (passage if family % 2 else [])
+        docs += [(10 + 20 * family + i, edited(base, rng, rng.choice([0, 0.005, 0.02, 0.05]))) for i in range(12)]
+    docs += [(900 + i, " ".join(passage)) for i in range(9)] + [(901, "word " * 30_000), (902, "other text entirely, same id"), (902, "other text entirely, same id")]
+    frame = spark.createDataFrame([(i, t, "x", "y", "z") for i, t in docs], SCHEMA).repartition(4)
+    # Small chunks, so that families are searched in several tasks.
+    monkeypatch.setattr(ngram_join, "CHUNK", 600)
+    found = sorted(map(tuple, linked_documents(frame, similarity).collect()), key=str)
+    assert found == brute(docs, similarity)
+
+
+def test_one_of_each_and_empty_table(spark):
+    docs = spark.createDataFrame([(2, "a b c d e f"), (1, "A b c d e f"), (3, "other words"), (4, None), (5, "")], "doc_id long, text string")
+    kept = one_of_each(docs)
+    assert kept.columns == docs.columns
+    assert sorted(r.doc_id for r in kept.collect()) == [1, 3, 4, 5]
+    assert linked_documents(docs.filter("false")).collect() == []
+
+
+def test_components_of_a_path_and_a_hub(spark):
+    path = [(i, i + 1) for i in range(100)]
+    hub = [(500, 500 + i) for i in range(1, 200)]
+    edges = spark.createDataFrame(path + hub + [(7, 7)], "a long, b long")
+    found = {r.node: r.root for r in components(edges).collect()}
+    assert found == {**{i: 0 for i in range(101)}, **{i: 500 for i in range(500, 700)}}
+    assert components(edges.filter("false")).collect() == []
+
+
+def test_against_sql(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    con = duckdb.connect()
+    con.register("documents", docs.select("doc_id", "text").toArrow())
+    for similarity in (Similarity(4, 85), Similarity()):
+        expected = con.execute(ngram_join.linked_documents_sql(similarity)).fetchall()
+        assert sorted(map(tuple, linked_documents(docs, similarity).collect())) == sorted(expected)
