@@ -26,7 +26,7 @@ WEIGHTS = (5, 2, 1)
 _MULTIPLIERS = (2147483647, 1900000043, 1700000009, 1500000001, 1300000003, 1100000009, 900000011, 700000001)
 # Rows that one array makes, and documents of a source whose places are summed up together.
 _RUN = 10_000
-_TOGETHER = 50_000
+_TOGETHER = 2_000
 # A prime that spreads ids over parts, whatever the steps between them.
 _SPREAD = 1_000_003
 
@@ -169,7 +169,9 @@ def mix(docs: DataFrame, block: int = 64, shard_slots: int = 1024) -> tuple[Data
     number = targets.select(F.col("source").alias("of_source"), "source_no", "source_size", "target")
     numbered = placed.join(number, placed["source"].eqNullSafe(number["of_source"])).drop("of_source")
     documents = cut(numbered, "documents")
-    mixture = slots(targets, block, shard_slots).join(blocks(documents, block), ["source_no", "index"])
+    # Both sides grow out of few rows, by whose size alone Spark would broadcast them.
+    taking = slots(targets, block, shard_slots).hint("merge")
+    mixture = taking.join(blocks(documents, block), ["source_no", "index"])
     return documents, mixture.select("shard", "slot", "round", "source_no", "start", "from", "words")
 
 
