@@ -179,7 +179,7 @@ def disclosing_terms(docs: DataFrame, found: DataFrame) -> DataFrame:
     )
     # The words of one task are counted there before any of them is sent.
     words = docs.select(F.explode(F.regexp_extract_all(F.lower("text"), F.lit(_TERM), F.lit(0))).alias("term"))
-    counts = words.groupBy("term").agg(F.count("*").alias("n_term"))
+    counts = cut(words.groupBy("term").agg(F.count("*").alias("n_term")), "terms")
     totals = counts.agg(F.sum("n_term").alias("n_words")).withColumn("one", F.lit(1))
     kinds = near.groupBy("kind").agg(F.count("*").alias("n_kind"), F.avg(F.size("terms")).alias("window_words"))
     weighed = (
