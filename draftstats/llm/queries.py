@@ -4,7 +4,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, mixing, ngram_join, packing, pii, quality_classifier, quality_rules, token_counts
+from . import ann, chat, mixing, ngram_join, packing, pii, quality_classifier, quality_rules, token_counts
 from .common import new_folder
 
 
@@ -25,6 +25,10 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.withColumn("over_limit", F.col("n_tokens") > 2048)
 
 
+def op2_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest(table(spark, sf_dir, "embeddings"), lambda vec_id: vec_id % 20 == 0)
+
+
 def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = packing.pieces(
         table(spark, sf_dir, "documents"),
@@ -77,5 +81,5 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (op1_token_counts, op4_best_fit_packing, op5_quality_rules, op6_source_mixing, op7_quality_classifier, op8_chat_formatting, op9_ngram_join, op10_pii)}
+QUERIES = {f.__name__: f for f in (op1_token_counts, op2_nearest_neighbours, op4_best_fit_packing, op5_quality_rules, op6_source_mixing, op7_quality_classifier, op8_chat_formatting, op9_ngram_join, op10_pii)}
 SQL = {"op6_source_mixing": mixing.taken_sql(), "op9_ngram_join": ngram_join.linked_documents_sql(NEAR)}
