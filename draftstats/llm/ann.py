@@ -50,15 +50,17 @@ def nearest(
     most, or hold nulls or numbers that are not finite take no part, nor do null
     ids. Of rows with one id the least vector counts. Other columns are ignored.
     """
-    members, nodes = _nodes(vectors.select(F.col(id_column).cast("bigint").alias("vec_id"), F.col(vector_column).alias("vector")), k)
-    graph = build(nodes)
-    return search(nodes, members, graph, queries, k)
+    rows = vectors.select(F.col(id_column).cast("bigint").alias("vec_id"), F.col(vector_column).alias("vector"))
+    members, asked, nodes = _nodes(rows, queries, k)
+    return search(nodes, members, asked, build(nodes), k)
 
 
-def _nodes(rows: DataFrame, k: int) -> tuple[DataFrame, DataFrame]:
-    """(vec_id, node, vector) of the first k + 1 rows of each vector, more of which no query needs; (node, vector, packed).
+def _nodes(rows: DataFrame, queries, k: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Three tables; a vector's node is the least id that has it.
 
-    The rows stay as long as they must: a vector's node is its least id.
+    members: (vec_id, node, vector) of the first k + 1 rows of each vector, as no query needs more copies;
+    asked: (query_id, query, asked), the queries with their nodes and vectors;
+    nodes: (node, packed).
     """
     doubles = F.col("vector").cast("array<double>")
     finite = F.forall(doubles, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
@@ -71,6 +73,9 @@ def _nodes(rows: DataFrame, k: int) -> tuple[DataFrame, DataFrame]:
     same = Window.partitionBy("vector").orderBy("vec_id")
     few = distinct.withColumn("copy", F.row_number().over(same)).filter(F.col("copy") <= k + 1)
     members = cut(few.withColumn("node", F.min("vec_id").over(Window.partitionBy("vector"))).drop("copy"), "members")
+    of_vector = members.filter("vec_id = node").select("node", "vector")
+    wanted = distinct.filter(queries(F.col("vec_id"))).withColumnRenamed("vec_id", "query_id").join(of_vector, "vector")
+    asked = cut(wanted.select("query_id", F.col("node").alias("query"), F.col("vector").alias("asked")), "asked")
     norm = F.aggregate("vector", F.lit(0.0), lambda a, x: a + x * x)
     largest = members.agg(F.max(norm).alias("most")).first()["most"] or 1.0
     rest = F.sqrt(F.greatest(F.lit(largest) - norm, F.lit(0.0)))
@@ -81,7 +86,7 @@ def _nodes(rows: DataFrame, k: int) -> tuple[DataFrame, DataFrame]:
             packed = [np.array(v, np.float32).tobytes() for v in batch.column(1).to_pylist()]
             yield pa.record_batch([batch.column(0), pa.array(packed, pa.binary())], names=["node", "packed"])
 
-    return members, cut(one.mapInArrow(pack, "node bigint, packed binary"), "nodes")
+    return members, asked, cut(one.mapInArrow(pack, "node bigint, packed binary"), "nodes")
 
 
 def build(nodes: DataFrame, degree: int = DEGREE, renewed: float = RENEWED) -> DataFrame:
@@ -221,16 +226,15 @@ def _round(nodes: DataFrame, graph: DataFrame, number: int, degree: int) -> Data
     return placed.repartition("around").sortWithinPartitions("around").mapInArrow(meet, _LISTS)
 
 
-def search(nodes: DataFrame, members: DataFrame, graph: DataFrame, queries, k: int) -> DataFrame:
+def search(nodes: DataFrame, members: DataFrame, asked: DataFrame, graph: DataFrame, k: int) -> DataFrame:
     """(query_id, rank, vec_id, score) by greedy walks, from a query's own neighbours on.
 
     Each step expands the best unexpanded candidates of every query, and ends
     when the best that a query keeps are all expanded. Here `fresh` means not yet
     expanded. Walks go by vectors in whole numbers of eight bits; the result is ranked by the vectors as given.
     """
-    asked = members.filter(queries(F.col("vec_id"))).select("node").distinct()
     ways = cut(_ways(nodes, graph, members), "ways")
-    of_query = asked.join(nodes, "node").select(F.col("node").alias("query"), F.col("packed").alias("asked"))
+    of_query = asked.select(F.col("query").alias("node")).distinct().join(nodes, "node").select(F.col("node").alias("query"), F.col("packed").alias("asked"))
     first = of_query.select("query", F.lit(float("-inf")).cast("float").alias("worst"), "asked", F.col("query").alias("node"))
     met = ["query", "worst", "asked", "others", "codes", "scale"]
     beams = cut(_beams(_scored(first.join(ways, "node").select(*met))), "beams")
@@ -244,7 +248,7 @@ def search(nodes: DataFrame, members: DataFrame, graph: DataFrame, queries, k: i
         moved = cut(_beams(left.union(scored)), "beams")
         drop_cut(beams)
         beams = moved
-    return _ranked(beams, members, queries, k)
+    return _ranked(beams, members, asked, k)
 
 
 def _ways(nodes: DataFrame, graph: DataFrame, members: DataFrame) -> DataFrame:
@@ -330,9 +334,8 @@ def _beams(lists: DataFrame) -> DataFrame:
     return lists.repartition("node").sortWithinPartitions("node").mapInArrow(merge, _LISTS)
 
 
-def _ranked(beams: DataFrame, members: DataFrame, queries, k: int) -> DataFrame:
+def _ranked(beams: DataFrame, members: DataFrame, asked: DataFrame, k: int) -> DataFrame:
     """Nodes found become rows, a query's own vector among them, with exact scores."""
-    asked = members.filter(queries(F.col("vec_id"))).select(F.col("vec_id").alias("query_id"), F.col("node").alias("query"), F.col("vector").alias("asked"))
     found = beams.select(F.col("node").alias("query"), F.explode(F.array_append(F.slice("ids", 1, 2 * k), F.col("node"))).alias("node"))
     pairs = asked.join(found, "query").join(members, "node").filter("vec_id <> query_id")
     score = F.aggregate(F.zip_with("asked", "vector", lambda a, b: a * b), F.lit(0.0), lambda a, x: a + x)
