@@ -4,7 +4,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, chat, mixing, ngram_join, packing, pii, quality_classifier, quality_rules, token_counts
+from . import ann, chat, mixing, ngram_join, packing, pii, quality_classifier, quality_rules, suffix_dedup, token_counts
 from .common import new_folder
 
 
@@ -29,6 +29,11 @@ def op2_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.nearest(table(spark, sf_dir, "embeddings"), lambda vec_id: vec_id % 20 == 0)
 
 
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = suffix_dedup.removed(table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = packing.pieces(
         table(spark, sf_dir, "documents"),
@@ -81,5 +86,5 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (op1_token_counts, op2_nearest_neighbours, op4_best_fit_packing, op5_quality_rules, op6_source_mixing, op7_quality_classifier, op8_chat_formatting, op9_ngram_join, op10_pii)}
+QUERIES = {f.__name__: f for f in (op1_token_counts, op2_nearest_neighbours, op3_suffix_dedup, op4_best_fit_packing, op5_quality_rules, op6_source_mixing, op7_quality_classifier, op8_chat_formatting, op9_ngram_join, op10_pii)}
 SQL = {"op6_source_mixing": mixing.taken_sql(), "op9_ngram_join": ngram_join.linked_documents_sql(NEAR)}

@@ -6,14 +6,14 @@ _BASE = np.uint64(0x9E3779B97F4A7C15)
 _JOIN = np.uint64(0xD1342543DE82EF95)
 
 
-def _mixed(x: np.ndarray) -> np.ndarray:
+def mixed(x: np.ndarray) -> np.ndarray:
     """Spread bits; a bijection of 64-bit numbers."""
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
     x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
     return x ^ (x >> np.uint64(31))
 
 
-_LETTERS = _mixed(np.arange(1, 257, dtype=np.uint64) * _BASE)
+_LETTERS = mixed(np.arange(1, 257, dtype=np.uint64) * _BASE)
 _IS_WORD = ~np.isin(np.arange(256), [0x20, *range(0x09, 0x0E)])
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[ord("A") : ord("Z") + 1] += 32
@@ -45,7 +45,7 @@ class Shingler:
         sums = np.zeros(len(text) + 1, np.uint64)
         np.cumsum(_LETTERS[_LOWER[text]] * self._powers[: len(text)], out=sums[1:])
         # A polynomial of the word's bytes, whatever its place.
-        return _mixed((sums[ends] - sums[starts]) * self._inverses[starts] + (ends - starts).astype(np.uint64))
+        return mixed((sums[ends] - sums[starts]) * self._inverses[starts] + (ends - starts).astype(np.uint64))
 
     def shingles(self, text: np.ndarray) -> np.ndarray:
         """The distinct shingles, in order of their hashes. With fewer words than n, all of them are one."""
@@ -57,4 +57,4 @@ class Shingler:
         joined = np.full(last, np.uint64(n))
         for k in range(n):
             joined = joined * _JOIN + words[k : k + last]
-        return np.unique(_mixed(joined))
+        return np.unique(mixed(joined))

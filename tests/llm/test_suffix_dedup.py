@@ -1,0 +1,90 @@
+import hashlib
+import random
+
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from draftstats.llm import queries, suffix_dedup
+from draftstats.llm.collection_bwt import equal_windows
+
+SCHEMA = "doc_id long, text string, anchor string, digest string, kept string"
+
+
+def brute(docs, size=100):
+    """(doc_id, n_bytes, n_removed, n_spans, kept), by looking at every window in order."""
+    seen, out = set(), {}
+    for doc_id, text in sorted({(i, t or "") for i, t in docs}, key=lambda d: (d[0] is not None, d[0] or 0)):
+        content = text.encode()
+        gone = np.zeros(len(content), bool)
+        for start in range(len(content) - size + 1):
+            window = content[start : start + size]
+            if window in seen:
+                gone[start : start + size] = True
+            seen.add(window)
+        spans = int(gone[:1].sum() + (gone[1:] & ~gone[:-1]).sum())
+        out[doc_id, text] = (doc_id, len(content), int(gone.sum()), spans, np.frombuffer(content, np.uint8)[~gone].tobytes())
+    return sorted((out[i, t or ""] for i, t in docs), key=str)
+
+
+def found(frame):
+    rows = [tuple(r) for r in suffix_dedup.removed(frame).collect()]
+    return sorted(((*r[:4], bytes(r[4])) for r in rows), key=str)
+
+
+@settings(deadline=None)
+@given(st.lists(st.text("ab", max_size=14).map(str.encode), max_size=8), st.integers(1, 6))
+def test_equal_windows(texts, size):
+    classes = {}
+    for text, offset, number in zip(*equal_windows(texts, size), strict=True):
+        classes.setdefault(int(number), set()).add((int(text), int(offset)))
+    expected = {}
+    for i, text in enumerate(texts):
+        for k in range(len(text) - size + 1):
+            expected.setdefault(text[k : k + size], set()).add((i, k))
+    assert sorted(map(sorted, classes.values())) == sorted(map(sorted, expected.values()))
+
+
+@pytest.mark.parametrize("small", [4_000, 1])
+def test_against_brute_force(spark, monkeypatch, small):
+    # With 1, windows of shared anchors meet by digest; collections of 3 texts are many.
+    monkeypatch.setattr(suffix_dedup, "SMALL_GROUP", small)
+    monkeypatch.setattr(suffix_dedup, "COLLECTION", 3)
+    rng = random.Random(4)
+    text = lambda n: "".join(rng.choice("abcdefgh éü\n") for _ in range(n))
+    passage, base = text(400), text(900)
+    docs = [(None, base), (1, None), (2, ""), (3, "x" * 99), (4, "x" * 100), (5, "y" * 700), (6, "ab" * 300), (7, base), (8, base)]
+    for i in range(30):
+        cut = rng.randrange(0, 300)
+        docs.append((10 + i, text(rng.randrange(0, 200)) + passage[cut : cut + rng.randrange(50, 300)] + text(rng.randrange(0, 200))))
+    for i in range(20):
+        edited = list(base)
+        edited[rng.randrange(len(base))] = "Z"
+        docs.append((50 + i, "".join(edited)))
+    docs += [(90, passage + text(50) + passage), (91, "long " * 20_000 + base), (92, base)] + [(92, base)] * 3
+    frame = spark.createDataFrame([(i, t, "a", "b", "c") for i, t in docs], SCHEMA).repartition(5)
+    assert found(frame) == brute(docs)
+
+
+def test_segments_of_a_long_text_overlap(monkeypatch):
+    rng = np.random.default_rng(1)
+    text = rng.integers(97, 101, 5_000).astype(np.uint8)
+    whole = [np.concatenate(x) for x in zip(*suffix_dedup.anchored_runs(text, 100), strict=True)]
+    monkeypatch.setattr(suffix_dedup, "_SEGMENT", 700)
+    parts = [np.concatenate(x) for x in zip(*suffix_dedup.anchored_runs(text, 100), strict=True)]
+
+    def of_windows(runs):
+        return np.concatenate([np.full(b - a + 1, h) for a, b, h in zip(*runs, strict=True)])
+
+    assert (of_windows(whole) == of_windows(parts)).all()
+
+
+def test_empty_table(spark):
+    assert found(spark.createDataFrame([], SCHEMA)) == []
+
+
+def test_query(spark, sf_dir):
+    docs = [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()]
+    expected = [(*r[:4], hashlib.sha256(r[4]).hexdigest()) for r in brute(docs)]
+    assert sorted(map(tuple, queries.op3_suffix_dedup(spark, sf_dir).collect()), key=str) == sorted(expected, key=str)
