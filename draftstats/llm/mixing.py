@@ -64,17 +64,17 @@ def source_targets(sizes: DataFrame, share: float = 1.5, most: int = 2) -> DataF
 
 
 def place(docs: DataFrame) -> DataFrame:
-    """(doc_id, source, size, start): where each document begins among its source's tokens.
+    """(doc_id, source, size, text_hash, start): where each document begins among its source's tokens.
 
     Documents of a source follow each other by their ids' part, then ids, then
     sizes. Sums run within bounded parts of a source and over the parts, so
     no source is summed up in one task. Null sources are one source; null texts
     have no tokens; rows that repeat have a place each.
     """
-    sized = cut(docs.select("doc_id", "source", n_words(F.col("text")).alias("size")), "sizes")
+    sized = cut(docs.select("doc_id", "source", n_words(F.col("text")).alias("size"), F.xxhash64("text").alias("text_hash")), "sizes")
     parts = max(1, ceil(sized.count() / _TOGETHER))
     part = (F.pmod(F.pmod(F.coalesce("doc_id", F.lit(0)), F.lit(_SPREAD)) * 7919, F.lit(_SPREAD)) % parts).alias("part")
-    parted = sized.select("doc_id", "source", "size", part)
+    parted = sized.select("doc_id", "source", "size", "text_hash", part)
     sums = parted.groupBy("source", "part").agg(F.sum("size").alias("part_size"))
     upto = Window.partitionBy("source").orderBy("part").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     begins = sums.select(
@@ -90,7 +90,7 @@ def place(docs: DataFrame) -> DataFrame:
     placed = parted.withColumn("in_part_start", F.sum("size").over(within) - F.col("size"))
     same = placed["source"].eqNullSafe(begins["in_source"]) & (placed["part"] == begins["in_part"])
     return placed.join(begins, same).select(
-        "doc_id", "source", "size", (F.col("part_start") + F.col("in_part_start")).alias("start")
+        "doc_id", "source", "size", "text_hash", (F.col("part_start") + F.col("in_part_start")).alias("start")
     )
 
 
@@ -156,7 +156,7 @@ def permuted(x: Column, n: Column, key: Column) -> Column:
 def mix(docs: DataFrame, block: int = 64, shard_slots: int = 1024) -> tuple[DataFrame, DataFrame]:
     """(documents, mixture).
 
-    documents: (doc_id, source, size, start, source_no, source_size, target) of every row of `docs`.
+    documents: (doc_id, source, size, text_hash, start, source_no, source_size, target) of every row of `docs`.
     mixture: (shard, slot, round, source_no, start, from, words), the tokens that
     each slot takes, `words` from place `from` of the document at `start` of its
     source. No document is taken more than twice.
@@ -188,6 +188,39 @@ def taken(documents: DataFrame, mixture: DataFrame) -> DataFrame:
     return found.drop("at_source", "at", "place").withColumn("taken", F.coalesce("words", F.lit(0))).drop("words")
 
 
+def mixed_documents(docs: DataFrame, block: int = 64) -> DataFrame:
+    """The mixture as documents with the columns of `docs`: a row per document and time round, with the words taken then.
+
+    A document of which all words are taken is itself; one of which nothing is
+    taken, or that has no words, is none. `n_chars`, where there is such a column, is the new text's.
+    """
+    documents, mixture = mix(docs, block)
+    times = mixture.groupBy("source_no", "start", "from", "words").agg(F.count("*").alias("times"))
+    spans = times.groupBy("source_no", "start").agg(F.sort_array(F.collect_list(F.struct("from", "words", "times"))).alias("spans"))
+    placed = documents.filter("size > 0").join(spans, ["source_no", "start"]).select(
+        F.col("doc_id").alias("mixed_doc"), F.col("source").alias("mixed_source"), "text_hash", F.col("size").alias("mixed_size"), "spans"
+    )
+    # Rows that repeat are one text here, and as many places above.
+    texts = docs.withColumn("mixed_hash", F.xxhash64("text")).dropDuplicates(["doc_id", "source", "mixed_hash"])
+    same = (
+        F.col("doc_id").eqNullSafe(F.col("mixed_doc"))
+        & F.col("source").eqNullSafe(F.col("mixed_source"))
+        & (F.col("mixed_hash") == F.col("text_hash"))
+    )
+    most = F.array_max(F.transform("spans", lambda s: s["times"]))
+    rounds = texts.join(placed, same).withColumn("mixed_round", F.explode(F.sequence(F.lit(1).cast("bigint"), most)))
+    now = F.filter("spans", lambda s: s["times"] >= F.col("mixed_round"))
+    n_now = F.aggregate(now, F.lit(0).cast("bigint"), lambda n, s: n + s["words"])
+    words = F.regexp_extract_all("text", F.lit(WORD + r"[\x20\x09-\x0D]*"), F.lit(0))
+    some = F.array_join(F.flatten(F.transform(now, lambda s: F.slice("mixed_words", s["from"].cast("int") + 1, s["words"].cast("int")))), "")
+    mixed = rounds.withColumn("mixed_words", F.when(n_now < F.col("mixed_size"), words)).withColumn(
+        "text", F.when(n_now < F.col("mixed_size"), some).otherwise(F.col("text"))
+    )
+    if "n_chars" in docs.columns:
+        mixed = mixed.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+    return mixed.select(*docs.columns)
+
+
 def taken_sql(block: int = 64) -> str:
     """DuckDB SQL for `taken(*mix(documents))`: the same places, targets and permutations, stated for each source at once."""
     return f"""

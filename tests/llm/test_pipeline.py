@@ -1,0 +1,107 @@
+import re
+
+import numpy as np
+import pytest
+from test_packing import check
+from test_pii import EMAIL, brute as personal
+
+import corpus_pipeline
+from draftstats.llm import mixing
+
+FOLDER = "/root/testdata/sf0.01"
+
+
+def tuples(text, n):
+    words = text.encode().lower().split()
+    return frozenset(tuple(words[i : i + n]) for i in range(max(1, len(words) - n + 1))) if words else frozenset()
+
+
+@pytest.fixture(scope="module")
+def stages(spark, tmp_path_factory):
+    """What each stage gets and gives, as Python rows."""
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    seen = [docs]
+    for number, (_, stage) in enumerate(corpus_pipeline.STAGES):
+        path = str(tmp_path_factory.mktemp("stages") / str(number))
+        stage(spark, seen[-1], FOLDER).write.parquet(path)
+        seen.append(spark.read.parquet(path))
+    assert all(df.columns == docs.columns for df in seen[:-1])
+    return [df.collect() for df in seen]
+
+
+def test_classifier_keeps_good_documents_only(spark, stages):
+    labels = {r.doc_id: r.quality for r in spark.read.parquet(f"{FOLDER}/labels.parquet").collect()}
+    kept = {r.doc_id for r in stages[1]}
+    judged = [(labels[r.doc_id], r.doc_id in kept) for r in stages[0] if r.doc_id in labels]
+    assert sum(a == b for a, b in judged) / len(judged) > 0.98
+    assert set(stages[1]) <= set(stages[0])
+
+
+def test_one_document_of_each_group_stays(stages):
+    sets = {r.doc_id: tuples(r.text, 5) for r in stages[1]}
+    ids, kept = sorted(sets), {r.doc_id for r in stages[2]}
+    reach = {i: i for i in ids}
+    for k, a in enumerate(ids):
+        for b in ids[:k]:
+            x, y = sets[a], sets[b]
+            if x and y and 5 * min(len(x), len(y)) >= 4 * max(len(x), len(y)) and 100 * len(x & y) >= 80 * len(x | y):
+                low, high = sorted((reach[a], reach[b]))
+                reach = {i: low if r == high else r for i, r in reach.items()}
+    assert kept == set(reach.values())
+
+
+def test_personal_data_goes(stages):
+    before = {r.doc_id: r.text for r in stages[2]}
+    assert {r.doc_id for r in stages[3]} == before.keys()
+    for r in stages[3]:
+        spans = [tuple(map(int, s.split(":")[1:])) for s in personal(before[r.doc_id]).split(",") if s]
+        assert all(before[r.doc_id][a:b] not in r.text for a, b in spans)
+        assert not EMAIL.search(r.text)
+        if not spans:
+            assert r.text == before[r.doc_id]
+
+
+def test_mixture_is_the_taken_words(spark, stages):
+    docs = spark.createDataFrame(stages[3], "doc_id long, text string, lang string, source string, n_chars long")
+    expected = {r.doc_id: r.taken for r in mixing.taken(*mixing.mix(docs)).collect() if r.taken}
+    found, texts = {}, {r.doc_id: r.text for r in stages[3]}
+    for r in stages[4]:
+        words = re.findall(mixing.WORD, r.text)
+        found[r.doc_id] = found.get(r.doc_id, 0) + len(words)
+        remaining = iter(re.findall(mixing.WORD, texts[r.doc_id]))
+        assert all(w in remaining for w in words)
+        assert r.n_chars == len(r.text)
+    assert found == expected
+
+
+def test_all_is_packed(stages):
+    lengths = np.array([r.length for r in stages[5]])
+    sequences = {}
+    for r in stages[5]:
+        sequences.setdefault(r.sequence_id, []).append((r.offset, r.length))
+    for held in sequences.values():
+        held.sort()
+        assert [o for o, _ in held] == [sum(n for _, n in held[:i]) for i in range(len(held))]
+    assert len(sequences) <= -(-lengths.sum() // 2048) + 2
+    single = {r.doc_id: r.text for r in stages[4]}
+    once = [i for i in single if sum(r.doc_id == i for r in stages[4]) == 1]
+    rows = [r for r in stages[5] if r.doc_id in set(once)]
+    assert check_pieces(rows, {i: single[i] for i in once})
+
+
+def check_pieces(rows, texts):
+    class Alone:
+        """A piece in a sequence of its own, to check pieces without their neighbours."""
+
+        def __init__(self, r, number):
+            self.doc_id, self.piece, self.start, self.length, self.ids_crc32 = r.doc_id, r.piece, r.start, r.length, r.ids_crc32
+            self.sequence_id, self.offset = number, 0
+
+    return check([Alone(r, i) for i, r in enumerate(rows)], texts) == len(rows)
+
+
+def test_run(spark, stages):
+    found = corpus_pipeline.run(spark, FOLDER)
+    assert sorted(map(str, found.drop("sequence_id", "offset").collect())) == sorted(
+        str(r) for r in spark.createDataFrame(stages[5]).drop("sequence_id", "offset").collect()
+    )
