@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from draftstats import draft, ingest, items, stages  # noqa: E402
-from draftstats.sources import LEAGUE_IDS, malformed_matches, parse_matches, proxies  # noqa: E402
+from draftstats.sources import DRAFT_FIELDS, LEAGUE_IDS, malformed_matches, parse_matches, proxies  # noqa: E402
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -59,9 +59,11 @@ def queries() -> dict[str, Query]:
         ),
         **{name: _on(_purchases, run) for name, run in _PURCHASES.items()},
         "player_rows": _player_rows,
-        "parsed_picks_bans": lambda s, d: draft.picks_bans_flat(parse_matches(proxies.document_lines(s, d))),
+        "parsed_picks_bans": lambda s, d: draft.picks_bans_flat(parse_matches(proxies.document_lines(s, d), fields=DRAFT_FIELDS)),
         "coerced_hero_stats": lambda s, d: draft.hero_stats(
-            draft.hero_counts(draft.draft_events(parse_matches(proxies.document_lines(s, d), coerce=True)))
+            draft.hero_counts(
+                draft.draft_events(parse_matches(proxies.document_lines(s, d), coerce=True, fields=DRAFT_FIELDS))
+            )
         ),
         "malformed_lines": lambda s, d: malformed_matches(parse_matches(proxies.document_lines(s, d))).select(
             "match_id", "whole_line"

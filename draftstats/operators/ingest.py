@@ -14,8 +14,13 @@ def listing_union(*listings: DataFrame) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), listings)
 
 
+def of_league(listing: DataFrame, league_id: int, column: str = "leagueid") -> DataFrame:
+    """A listing asked for one league: rows that do not name their league are of that one."""
+    return listing.withColumn(column, F.coalesce(F.col(column), F.lit(league_id).cast("bigint")))
+
+
 def of_leagues(listing: DataFrame, league_ids: Iterable[int], column: str = "leagueid") -> DataFrame:
-    """Only the given leagues' matches."""
+    """Only the given leagues' matches. Rows without a league are of none; see `of_league`."""
     return listing.filter(F.col(column).isin(*league_ids))
 
 

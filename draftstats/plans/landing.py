@@ -2,7 +2,7 @@
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..operators.ingest import new_documents, new_listing_rows
@@ -15,13 +15,16 @@ class Landing:
     """What a landing read.
 
     Of all lines, `damaged` ones land without some field; `unreadable` ones gave
-    no field and `unnamed` ones have no match id, so neither can land.
+    no field and `unnamed` ones have no match id, so neither can land. `ambiguous`
+    are different documents of one file that have nothing but the file's name for
+    an id: which of them the match is cannot be told, so none lands.
     """
 
     lines: int
     damaged: int
     unreadable: int
     unnamed: int
+    ambiguous: int = 0
 
 
 def land_listing(listing: DataFrame, table: str) -> None:
@@ -40,6 +43,7 @@ def land_matches(docs: DataFrame, table: str, unique: bool = False) -> Landing:
     landed = read_landed(docs.sparkSession, table)
     corrupt = F.col(CORRUPT).isNotNull() if CORRUPT in docs.columns else F.lit(False)
     blank = corrupt & is_blank(docs)
+    docs, ambiguous = _told_apart(docs, blank)
     seen = Observation()
     observed = docs.observe(
         seen,
@@ -47,6 +51,27 @@ def land_matches(docs: DataFrame, table: str, unique: bool = False) -> Landing:
         F.count_if(corrupt & ~blank).alias("damaged"),
         F.count_if(blank).alias("unreadable"),
         F.count_if(~blank & F.col("match_id").isNull()).alias("unnamed"),
+        F.count_if(~blank & ambiguous).alias("ambiguous"),
     )
-    new_documents(observed.filter(~blank), landed, unique).write.mode("append").parquet(table)
+    told = observed.filter(~blank & ~ambiguous).drop("file_named", "file_documents")
+    new_documents(told, landed, unique).write.mode("append").parquet(table)
     return Landing(**seen.get)
+
+
+def _told_apart(docs: DataFrame, blank: Column) -> tuple[DataFrame, Column]:
+    """Documents with the number of different ones that share their file's name as an id, and whether that is several.
+
+    Equal documents are copies. Counting moves a hash per file-named document, not the documents.
+    """
+    if "file_named" not in docs.columns:
+        return docs, F.lit(False)
+    fields = [c for c in docs.columns if c not in ("match_id", "source_file", "file_named", CORRUPT)]
+    named = docs.filter(F.col("file_named") & ~blank).select("source_file", F.xxhash64(F.to_json(F.struct(*fields))).alias("content"))
+    several = (
+        named.groupBy("source_file")
+        .agg(F.count_distinct("content").alias("file_documents"))
+        .filter("file_documents > 1")
+        .withColumnRenamed("source_file", "shared_file")
+    )
+    counted = docs.join(several, F.col("source_file") == F.col("shared_file"), "left").drop("shared_file")
+    return counted, F.col("file_named") & F.col("file_documents").isNotNull()

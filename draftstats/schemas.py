@@ -46,6 +46,7 @@ PLAYER = _struct(
 
 def _match(event: T.StructType) -> T.StructType:
     return _struct(
+        match_id=T.LongType(),
         picks_bans=T.ArrayType(event),
         radiant_name=T.StringType(),
         dire_name=T.StringType(),

@@ -3,9 +3,10 @@
 from .job_metrics import read_event_log, read_stage_records
 from .leagues import LEAGUE_IDS
 from .listing import read_listing
-from .matches import malformed_matches, parse_matches, read_landed, read_match_lines, read_matches
+from .matches import DRAFT_FIELDS, malformed_matches, parse_matches, read_landed, read_match_lines, read_matches
 
 __all__ = [
+    "DRAFT_FIELDS",
     "LEAGUE_IDS",
     "malformed_matches",
     "parse_matches",

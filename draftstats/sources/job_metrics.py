@@ -14,13 +14,11 @@ from pyspark.sql import functions as F
 
 from ..schemas import EVENT_LOG, STAGE_RECORD
 
-COMPRESSED = r"\.(zstd|lz4|lzf|snappy)(\.inprogress)?$"
-# The event kinds of EVENT_LOG, as their lines begin.
-_WANTED = tuple(
-    f'{{"Event":"SparkListener{kind}"' for kind in ("JobStart", "StageSubmitted", "StageCompleted", "TaskEnd")
-)
+COMPRESSED = r"\.(zstd|lz4|lzf|snappy)(\.compact)?(\.inprogress)?$"
+ZSTD = r"\.zstd(\.compact)?(\.inprogress)?$"
 _LINES_PER_BATCH = 2_000
-APP_ID = r"(application_\d+_\d+|app-\d+-\d+|local-\d+|spark-[0-9a-f]+)"
+# An attempt of an application is an application of its own: its stages are numbered from 0 again.
+APP_ID = r"(application_\d+_\d+(?:_\d+)?|app-\d+-\d+|local-\d+|spark-[0-9a-f]+)"
 
 
 def _app_id_from_file() -> Column:
@@ -35,21 +33,23 @@ def read_event_log(spark: SparkSession, path: str | list[str], compressed: bool
     The application id comes from the file name. Point it at finished logs:
     a stage can be told as skipped only after its application ended.
 
-    A scan of plain logs that meets a compressed one raises. `compressed` reads
-    the logs compressed with zstd, Spark's default, and only those.
+    A scan that meets a compressed log raises, unless `compressed`: then plain
+    logs and those compressed with zstd, Spark's default, are read alike, and other codecs raise.
+    Rolled, compacted and unfinished files count.
     """
+    log = spark.read.schema(EVENT_LOG).option("recursiveFileLookup", True).json(path)
+    file = F.col("_metadata.file_name")
     if compressed:
-        lines = _decompressed_lines(spark, path)
+        known = F.assert_true(~file.rlike(COMPRESSED) | file.rlike(ZSTD), "event log of an unknown codec")
+        plain = log.filter(~file.rlike(ZSTD) & known.isNull()).select(_app_id_from_file(), "*")
         event = F.from_json("value", EVENT_LOG)
-        return lines.select("app_id", F.inline(F.array(event)))
-    log = spark.read.schema(EVENT_LOG).option("recursiveFileLookup", True).json(path)
-    plain = ~F.col("_metadata.file_name").rlike(COMPRESSED)
-    readable = F.assert_true(plain, "compressed event log: pass compressed=True if zstd, else write it uncompressed")
+        return plain.unionByName(_decompressed_lines(spark, path).select("app_id", F.inline(F.array(event))))
+    readable = F.assert_true(~file.rlike(COMPRESSED), "compressed event log: pass compressed=True if zstd, else write it uncompressed")
     return log.filter(readable.isNull()).select(_app_id_from_file(), "*")
 
 
 def _decompressed_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """(app_id, value) for the lines that describe stages and tasks.
+    """(app_id, value) for the lines of logs compressed with zstd.
 
     Spark's readers do not know the codec, so files arrive whole. Rolled logs
     are at most 128 MB each, and tasks take files up to maxPartitionBytes.
@@ -57,8 +57,9 @@ def _decompressed_lines(spark: SparkSession, path: str | list[str]) -> DataFrame
     files = (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", True)
-        .option("pathGlobFilter", "*.zstd")
+        .option("pathGlobFilter", "*.zstd*")
         .load(path)
+        .filter(F.col("_metadata.file_name").rlike(ZSTD))
         .select(_app_id_from_file(), "content")
     )
     return files.mapInArrow(_event_lines, "app_id string, value string")
@@ -72,13 +73,12 @@ def _event_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             # A log is a sequence of frames, one per flush.
             reader = zstandard.ZstdDecompressor().stream_reader(content.as_buffer(), read_across_frames=True)
             text = io.TextIOWrapper(reader, encoding="utf-8")
-            wanted = (line for line in text if line.startswith(_WANTED))
-            while lines := list(islice(wanted, _LINES_PER_BATCH)):
+            while lines := list(islice(text, _LINES_PER_BATCH)):
                 yield pa.RecordBatch.from_pydict({"app_id": [app_id.as_py()] * len(lines), "value": lines})
 
 
-def read_stage_records(spark: SparkSession, path: str | list[str], multi_line: bool = True) -> DataFrame:
-    """Stage records dumped as a JSON array (`multi_line`) or one per line."""
+def read_stage_records(spark: SparkSession, path: str | list[str], multi_line: bool = False) -> DataFrame:
+    """Stage records, an object or an array of them per line; `multi_line` is for one pretty-printed value per file."""
     return (
         spark.read.schema(STAGE_RECORD)
         .option("multiLine", multi_line)

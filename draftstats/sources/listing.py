@@ -7,11 +7,11 @@ from ..schemas import LISTING
 
 
 def read_listing(
-    spark: SparkSession, path: str | list[str], multi_line: bool = True, schema: T.StructType = LISTING
+    spark: SparkSession, path: str | list[str], multi_line: bool = False, schema: T.StructType = LISTING
 ) -> DataFrame:
     """Listings of any number of leagues as one relation, duplicates kept.
 
-    A file is one JSON array of objects (`multi_line`), or one object per line;
-    only the latter splits inside a file. Every path goes into the same scan.
+    A line is a JSON object or an array of them. `multi_line` is for files that
+    hold one pretty-printed value, and reads nothing but the first value of others. Every path goes into the same scan.
     """
     return spark.read.schema(schema).option("multiLine", multi_line).json(path)

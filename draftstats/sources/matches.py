@@ -1,5 +1,6 @@
 """Match documents: one JSON document per line, usually one per file."""
 
+from collections.abc import Sequence
 from functools import reduce
 from operator import or_
 
@@ -11,14 +12,27 @@ from pyspark.sql import types as T
 from ..schemas import CORRUPT, MATCH, MATCH_TEXT_EVENTS, with_corrupt
 
 PERMISSIVE, FAILFAST = "PERMISSIVE", "FAILFAST"
+#: What drafts need of a document.
+DRAFT_FIELDS = ("match_id", "picks_bans", "radiant_name", "dire_name", "radiant_win")
 
 
 def match_id_from_file() -> Column:
-    """Documents do not carry their id; the file is named after it."""
-    digits = F.regexp_extract("_metadata.file_name", r"(\d+)\.json(?:\.\w+)?$", 1)
+    """The id a file is named after, if its whole name is digits."""
+    digits = F.regexp_extract("_metadata.file_name", r"^(\d+)\.json(?:\.\w+)?$", 1)
     return digits.try_cast("bigint").alias("match_id")
 
 
+def identified(docs: DataFrame) -> DataFrame:
+    """`file_id` and the document's own `match_id` as one `match_id`; `file_named` tells which it was.
+
+    A file of several documents gives each its own id only if they carry it.
+    """
+    own = F.col("match_id")
+    named = own.isNull() & F.col("file_id").isNotNull()
+    rest = [c for c in docs.columns if c not in ("match_id", "file_id", "source_file")]
+    return docs.select(F.coalesce(own, "file_id").alias("match_id"), "source_file", named.alias("file_named"), *rest)
+
+
 def read_matches(
     spark: SparkSession,
     path: str | list[str],
@@ -39,9 +53,9 @@ def read_matches(
         .option("mode", mode)
         .option("multiLine", multi_line)
         .json(path)
-        .select(match_id_from_file(), F.col("_metadata.file_path").alias("source_file"), "*")
+        .select(match_id_from_file().alias("file_id"), F.col("_metadata.file_path").alias("source_file"), "*")
     )
-    return _coerce_events(docs) if coerce else docs
+    return identified(_coerce_events(docs) if coerce else docs)
 
 
 def read_match_lines(
@@ -55,15 +69,28 @@ def read_match_lines(
 
 
 def parse_matches(
-    lines: DataFrame, column: str = "value", mode: str = PERMISSIVE, coerce: bool = False
+    lines: DataFrame,
+    column: str = "value",
+    mode: str = PERMISSIVE,
+    coerce: bool = False,
+    fields: Sequence[str] | None = None,
 ) -> DataFrame:
-    """Replace a column of JSON text by the fields of a match document."""
-    schema = _schema(coerce, mode)
+    """Replace a column of JSON text by the fields of a match document, or by the given ones.
+
+    Only these fields are parsed: a count of heroes that asks for `DRAFT_FIELDS` never parses the players.
+    A match id among the lines' columns stands in for documents without one.
+    """
+    schema = _schema(coerce, mode, fields)
+    lines = lines.withColumnRenamed("match_id", "line_match_id") if "match_id" in lines.columns else lines
     kept = [c for c in lines.columns if c != column]
     document = F.from_json(F.col(column), schema, {"mode": mode, "columnNameOfCorruptRecord": CORRUPT})
     # A generator, unlike a projection, lets no filter on the fields move below
     # it, which would parse the text once more for the filter.
     docs = lines.select(*kept, F.inline(F.array(document)))
+    if "line_match_id" in kept:
+        own = F.coalesce("match_id", "line_match_id") if "match_id" in docs.columns else F.col("line_match_id")
+        rest = [c for c in docs.columns if c not in ("match_id", "line_match_id")]
+        docs = docs.select(own.alias("match_id"), *rest)
     return _coerce_events(docs) if coerce else docs
 
 
@@ -78,7 +105,7 @@ def malformed_matches(docs: DataFrame) -> DataFrame:
 
 def is_blank(docs: DataFrame) -> Column:
     """True where no declared field of the document is present."""
-    present = [F.col(f.name).isNotNull() for f in MATCH.fields if f.name in docs.columns]
+    present = [F.col(f.name).isNotNull() for f in MATCH.fields if f.name in docs.columns and f.name != "match_id"]
     return ~reduce(or_, present)
 
 
@@ -92,8 +119,10 @@ def read_landed(spark: SparkSession, path: str) -> DataFrame | None:
         raise
 
 
-def _schema(coerce: bool, mode: str) -> T.StructType:
+def _schema(coerce: bool, mode: str, fields: Sequence[str] | None = None) -> T.StructType:
     schema = MATCH_TEXT_EVENTS if coerce else MATCH
+    if fields is not None:
+        schema = T.StructType([f for f in schema.fields if f.name in fields])
     return with_corrupt(schema) if mode == PERMISSIVE else schema
 
 

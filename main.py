@@ -14,14 +14,13 @@ import argparse
 from pyspark.sql import SparkSession
 
 from draftstats.operators import stages
-from draftstats.operators.ingest import of_leagues, pending_matches
+from draftstats.operators.ingest import of_league, of_leagues, pending_matches
 from draftstats.plans import draft_report, item_report, job_report, land_listing, land_matches
 from draftstats.sinks import write_stats
 from draftstats.sources import (
     LEAGUE_IDS,
     malformed_matches,
     read_event_log,
-    read_landed,
     read_listing,
     read_matches,
     read_stage_records,
@@ -62,22 +61,31 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--unique", action="store_true", help="land: no match occurs twice in the input")
     parser.add_argument("--checkpoint", help="land: folder that remembers the files of earlier runs, to skip them")
     parser.add_argument("--max-files", type=int, help="land with --checkpoint: files per batch")
+    parser.add_argument("--multi-line", action="store_true", help="listing, --records: each file is one pretty-printed value")
     args = parser.parse_args(argv)
+    if args.failfast and (args.job == "malformed" or args.checkpoint):
+        parser.error("--failfast keeps no rejects: not for malformed, nor for land with --checkpoint")
+    if args.landed and args.job in ("land", "malformed"):
+        parser.error(f"--landed is not for {args.job}, which reads JSON")
 
     spark = SparkSession.builder.appName(f"draftstats-{args.job}").getOrCreate()
     if args.job == "job":
         if args.records:
-            found = stages.stages_from_records(read_stage_records(spark, args.input))
+            found = stages.stages_from_records(read_stage_records(spark, args.input, args.multi_line))
         else:
             found = stages.stages_from_log(read_event_log(spark, args.input, args.compressed))
         job_report(found, args.output, fmt=args.format)
         return
 
     if args.job == "listing":
-        land_listing(of_leagues(read_listing(spark, args.input), args.leagues), args.output)
+        listing = read_listing(spark, args.input, args.multi_line)
+        if len(args.leagues) == 1:
+            listing = of_league(listing, args.leagues[0])
+        land_listing(of_leagues(listing, args.leagues), args.output)
         return
     if args.job == "pending":
-        landed = read_landed(spark, args.matches) if args.matches else None
+        # A path that is given must be there: a mistyped one would make all matches pending.
+        landed = spark.read.parquet(args.matches) if args.matches else None
         write_stats(pending_matches(spark.read.parquet(args.input), landed), args.output, args.format)
         return
 

@@ -1,4 +1,6 @@
 import json
+import os
+import time
 
 from conftest import FIRST, event, rows
 
@@ -130,3 +132,43 @@ def test_streamed_landing_after_a_lost_checkpoint_lands_nothing_twice(spark, tmp
     for attempt in ("one", "two"):
         land_new_files(spark, str(source), table, str(tmp_path / attempt)).awaitTermination(120)
     assert rows(read_landed(spark, table).select("match_id")) == [(1,)]
+
+
+def test_documents_of_one_file_land_by_their_own_ids(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    for part in range(3):
+        lines = [json.dumps({**FIRST, "match_id": 5 * part + i}) for i in range(5)]
+        (tmp_path / "in" / f"part-0000{part}-abc-c000.json").write_text("\n".join(lines))
+    table = str(tmp_path / "table")
+    assert land_matches(read_matches(spark, f"{tmp_path}/in"), table) == Landing(15, 0, 0, 0)
+    assert rows(read_landed(spark, table).select("match_id")) == [(i,) for i in range(15)]
+
+
+def test_different_documents_that_share_a_file_name_are_counted_not_merged(spark, tmp_path):
+    docs = [json.dumps({**FIRST, "picks_bans": [event(hero, True, 0)]}) for hero in range(5)]
+    (tmp_path / "77.json").write_text("\n".join(docs))
+    (tmp_path / "78.json").write_text("\n".join(docs[:1] * 2))
+    (tmp_path / "part-00001.json").write_text(docs[0])
+    table = str(tmp_path / "table")
+    found = land_matches(read_matches(spark, f"{tmp_path}/*.json"), table)
+    assert found == Landing(lines=8, damaged=0, unreadable=0, unnamed=1, ambiguous=5)
+    assert rows(read_landed(spark, table).select("match_id")) == [(78,)]
+
+
+def test_streamed_landing_takes_old_files_and_keeps_rejects(spark, tmp_path):
+    source, table, checkpoint = tmp_path / "in", str(tmp_path / "table"), str(tmp_path / "checkpoint")
+    source.mkdir()
+    (source / "1.json").write_text(json.dumps(FIRST))
+    land_new_files(spark, str(source), table, checkpoint).awaitTermination(120)
+    (source / "2.json").write_text(json.dumps(FIRST))
+    os.utime(source / "2.json", (time.time() - 20 * 86400,) * 2)
+    (source / "3.json").write_text(json.dumps(FIRST)[:-20])
+    land_new_files(spark, str(source), table, checkpoint).awaitTermination(120)
+    assert rows(read_landed(spark, table).select("match_id")) == [(1,), (2,)]
+    assert rows(spark.read.parquet(f"{table}_rejects").select("match_id", "whole_line")) == [(3, True)]
+    assert spark.read.parquet(f"{table}_counts").selectExpr("sum(unreadable)").first()[0] == 1
+
+
+def test_a_listing_of_one_league_names_it(spark):
+    unnamed = spark.createDataFrame([(1, None), (2, 7)], "match_id bigint, leagueid bigint")
+    assert rows(ingest.of_league(unnamed, 16169)) == [(1, 16169), (2, 7)]

@@ -2,6 +2,7 @@ import json
 
 import pytest
 from conftest import rows
+from pyspark.errors import AnalysisException
 
 import main
 from draftstats.operators import draft
@@ -77,3 +78,17 @@ def test_settings_given_at_submission_stay(spark):
     main.set_defaults(spark, {"spark.sql.shuffle.partitions": "99", **main.SMALL_FILES})
     assert spark.conf.get("spark.sql.shuffle.partitions") == submitted != "99"
     assert spark.conf.get("spark.sql.files.openCostInBytes") == main.SMALL_FILES["spark.sql.files.openCostInBytes"]
+
+
+@pytest.mark.parametrize(
+    "args", [["malformed", "--failfast"], ["land", "--failfast", "--checkpoint", "c"], ["land", "--landed"]]
+)
+def test_options_without_a_meaning_are_refused(args, tmp_path):
+    with pytest.raises(SystemExit):
+        main.main([*args, "--input", str(tmp_path), "--output", str(tmp_path / "o")])
+
+
+def test_a_mistyped_match_table_is_an_error(spark, tmp_path):
+    spark.createDataFrame([(1, 2)], "match_id bigint, leagueid bigint").write.parquet(str(tmp_path / "list"))
+    with pytest.raises(AnalysisException):
+        main.main(["pending", "--input", str(tmp_path / "list"), "--matches", str(tmp_path / "typo"), "--output", str(tmp_path / "o")])

@@ -93,7 +93,9 @@ def test_json_round_trip(spark, sf_dir, tmp_path):
 def test_listing_arrays_and_lines(spark, tmp_path):
     (tmp_path / "a.json").write_text(json.dumps([{"match_id": 1, "leagueid": 7, "other": "x"}, {"match_id": 2}]))
     (tmp_path / "b.json").write_text(json.dumps([{"match_id": 2, "leagueid": 8}], indent=1))
-    arrays = read_listing(spark, [str(tmp_path / "a.json"), str(tmp_path / "b.json")])
+    arrays = read_listing(spark, [str(tmp_path / "a.json"), str(tmp_path / "b.json")], multi_line=True)
     assert rows(arrays) == [(1, 7), (2, None), (2, 8)]
     (tmp_path / "c.json").write_text('{"match_id": 3, "leagueid": 9}\n{"match_id": 4, "leagueid": 9}\n')
-    assert rows(read_listing(spark, str(tmp_path / "c.json"), multi_line=False)) == [(3, 9), (4, 9)]
+    assert rows(read_listing(spark, str(tmp_path / "c.json"))) == [(3, 9), (4, 9)]
+    one_line = read_listing(spark, [str(tmp_path / "a.json"), str(tmp_path / "c.json")])
+    assert rows(one_line) == [(1, 7), (2, None), (3, 9), (4, 9)]

@@ -67,7 +67,7 @@ SUMMARY = {
 def records(spark, tmp_path_factory):
     folder = tmp_path_factory.mktemp("records")
     (folder / "app-20250506174016-0000.json").write_text(json.dumps(RECORDS, indent=1))
-    return read_stage_records(spark, str(folder)).cache()
+    return read_stage_records(spark, str(folder), multi_line=True).cache()
 
 
 @pytest.fixture(scope="module")
@@ -210,7 +210,7 @@ def test_log_stages(log_rows):
         (1, 1, "COMPLETE", 0, 1, 500, 20, 0),
         (2, 0, "ACTIVE", 0, 1, 50, 0, 30),
     ]
-    assert {r.app_id for r in found.collect()} == {"application_17_0001"}
+    assert {r.app_id for r in found.collect()} == {"application_17_0001_1"}
     assert rows(stages.stage_durations(found).select("stage_id", "attempt", "completion_s", "scheduling_s")) == [
         (1, 0, 2.0, 0.4),
         (1, 1, 0.5, 0.0),
@@ -268,3 +268,35 @@ def test_one_stage_with_most_tasks(spark, sf_dir):
     keys = hot.select(*stages.STAGE_KEY).distinct().withColumn("status", F.lit("COMPLETE"))
     totals = stages.with_task_totals(keys, hot)
     assert totals.agg(F.sum("timed_tasks")).first()[0] == tasks.count()
+
+
+def stage_log(start, seconds):
+    return "\n".join(
+        [
+            log_line("StageSubmitted", Stage_Info=stage_info(0, 0, start)),
+            log_line("StageCompleted", Stage_Info=stage_info(0, 0, start, start + 1000 * seconds)),
+        ]
+    )
+
+
+def test_attempts_of_an_application_stay_apart(spark, tmp_path):
+    for attempt in (1, 2):
+        (tmp_path / f"application_17_0001_{attempt}").write_text(stage_log(1_000_000 * attempt, 2))
+    found = stages.stage_durations(stages.stages_from_log(read_event_log(spark, str(tmp_path))))
+    assert rows(found.select("app_id", "completion_s")) == [("application_17_0001_1", 2.0), ("application_17_0001_2", 2.0)]
+
+
+def test_plain_and_compressed_logs_of_any_state_in_one_folder(spark, tmp_path):
+    import zstandard
+
+    compress = zstandard.ZstdCompressor().compress
+    names = ["app-1-0001", "app-2-0001.zstd", "app-3-0001.zstd.compact", "app-4-0001.zstd.inprogress", "app-5-0001.compact"]
+    for number, name in enumerate(names):
+        # A space after a colon is JSON as well.
+        text = stage_log(1_000 * number, 2).replace('":', '": ').encode()
+        (tmp_path / name).write_bytes(compress(text) if ".zstd" in name else text)
+    found = stages.stages_from_log(read_event_log(spark, str(tmp_path), compressed=True))
+    assert rows(found.select("app_id")) == [(f"app-{n}-0001",) for n in range(1, 6)]
+    (tmp_path / "app-6-0001.lz4").write_bytes(b"garbage")
+    with pytest.raises((PySparkException, Py4JJavaError), match="unknown codec"):
+        read_event_log(spark, str(tmp_path), compressed=True).collect()
