@@ -8,6 +8,7 @@ and writes each from end to end.
 
 import os
 import tempfile
+from contextlib import ExitStack
 
 import numpy as np
 
@@ -42,33 +43,39 @@ class Collection:
 
 
 class _File:
-    """An array that is read and written whole, in order."""
+    """An array that only grows, read and written whole and in order."""
 
-    def __init__(self, folder: str, name: str, kind: type):
-        self.path, self.kind = os.path.join(folder, name), kind
-        self.write(np.zeros(0, kind))
+    def __init__(self, folder: str, name: str, kind: type, opened: ExitStack):
+        self.file = opened.enter_context(open(os.path.join(folder, name), "w+b", buffering=0))
+        self.kind, self.size = kind, 0
 
     def read(self) -> np.ndarray:
-        return np.fromfile(self.path, self.kind)
+        values = np.empty(self.size, self.kind)
+        self.file.seek(0)
+        self.file.readinto(values)
+        return values
 
     def write(self, values: np.ndarray) -> None:
-        values.astype(self.kind, copy=False).tofile(self.path)
+        self.size = len(values)
+        self.file.seek(0)
+        self.file.write(np.ascontiguousarray(values, self.kind))
 
 
 def equal_windows(texts: list[bytes], size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(text, offset, class) of every window of `size` bytes; windows are equal if their classes are."""
     collection = Collection(texts)
-    with tempfile.TemporaryDirectory() as folder:
-        return _sorted_windows(collection, size, folder)
+    with tempfile.TemporaryDirectory() as folder, ExitStack() as opened:
+        # Symbols are bytes + 1; 0 stands before a suffix whose text goes no further, or has not yet.
+        bwt, lcp, suffix = (_File(folder, n, k, opened) for n, k in (("bwt", np.int16), ("lcp", np.uint8), ("suffix", np.int64)))
+        return _sorted_windows(collection, size, bwt, lcp, suffix)
 
 
-def _sorted_windows(collection: Collection, size: int, folder: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _sorted_windows(
+    collection: Collection, size: int, bwt: _File, lcp: _File, suffix: _File
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     n = len(collection.lengths)
-    # Symbols are bytes + 1; 0 stands before a suffix whose text goes no further, or has not yet.
-    bwt, lcp = _File(folder, "bwt", np.int16), _File(folder, "lcp", np.uint8)
     # A suffix as text * room + bytes left.
     room = int(collection.lengths.max(initial=0)) + 1
-    suffix = _File(folder, "suffix", np.int64)
     # Empty suffixes come first, in the order of the texts.
     bwt.write(np.zeros(n))
     lcp.write(np.zeros(n))

@@ -36,6 +36,8 @@ def cut(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = new_folder(spark, name)
     df.write.parquet(path)
+    # The scheduler lets go of the last job only when there is another.
+    spark.range(1).count()
     gc.collect()
     spark.sparkContext._jvm.System.gc()
     return spark.read.schema(df.schema).parquet(path)

@@ -9,28 +9,30 @@ Burrows-Wheeler transform and common prefixes of collections of short texts
    equal places. Windows with one anchor follow each other; they and their bytes are an instance.
 2. Anchors that occur once in the corpus leave no window to remove.
 3. Of instances with equal bytes the first is kept; all windows of the others have been seen.
-4. The different bytes of one anchor, which overlap in part, are a collection's texts.
+4. A window holds its anchor and, before or behind it, half of its other bytes. Different bytes with
+   neither half in common with others of the anchor leave no window to remove.
+5. What is left of different bytes with one anchor, which overlap in part, are a collection's texts.
 
 Every step keeps all equal windows together; nothing is sampled.
 """
 
 from collections.abc import Iterator
-from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from xxhash import xxh3_64_intdigest, xxh3_128_digest
 
 from .collection_bwt import equal_windows
-from .common import batches_of, cut, utf8
+from .common import batches_of, cut, drop_cut, utf8
 from .shingles import mixed
 
 #: Size of the k-grams among which anchors are chosen. A larger one is shared by chance less often and chosen more often.
 GRAM = 32
 #: Texts of one collection, and different texts of one anchor up to which they are one.
-COLLECTION = 8_000
-SMALL_GROUP = 4_000
+COLLECTION = 1_000
+SMALL_GROUP = 1_000
 # Windows of a very long text that are looked at together.
 _SEGMENT = 1 << 20
 _PLACE = np.uint64((1 << 24) - 1)
@@ -45,10 +47,25 @@ _INSTANCE = pa.schema(
         ("did", pa.int64()),
         ("tkey", pa.int64()),
         ("start", pa.int64()),
+        ("left", pa.int64()),
+        ("right", pa.int64()),
+        ("length", pa.int64()),
+    ]
+)
+_INSTANCE_DDL = (
+    "anchor bigint, digest binary, did bigint, tkey bigint, start bigint, left bigint, right bigint, length bigint"
+)
+_TEXT = pa.schema(
+    [
+        ("anchor", pa.int64()),
+        ("texts", pa.int64()),
+        ("did", pa.int64()),
+        ("tkey", pa.int64()),
+        ("start", pa.int64()),
         ("bytes", pa.binary()),
     ]
 )
-_INSTANCE_DDL = "anchor bigint, digest binary, did bigint, tkey bigint, start bigint, bytes binary"
+_TEXT_DDL = "anchor bigint, texts bigint, did bigint, tkey bigint, start bigint, bytes binary"
 _RANGE = pa.schema([("did", pa.int64()), ("tkey", pa.int64()), ("start", pa.int64()), ("stop", pa.int64())])
 _RANGE_DDL = "did bigint, tkey bigint, start bigint, stop bigint"
 _WINDOW = pa.schema([("digest", pa.binary()), ("did", pa.int64()), ("tkey", pa.int64()), ("start", pa.int64())])
@@ -82,8 +99,8 @@ def removed(docs: DataFrame, size: int = 100) -> DataFrame:
     )
 
 
-def anchored_runs(text: np.ndarray, size: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """(first, last, anchor): windows first .. last have the anchor. For parts of the text, one after the other."""
+def anchored_runs(text: np.ndarray, size: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """(first, last, at, anchor): windows first .. last have the anchor, which stands at `at`. For parts of the text, one after the other."""
     for begin in range(0, max(0, len(text) - size + 1), _SEGMENT):
         part = text[begin : begin + _SEGMENT + size - 1]
         hashes = _gram_hashes(part)
@@ -100,41 +117,50 @@ def anchored_runs(text: np.ndarray, size: int) -> Iterator[tuple[np.ndarray, np.
         edges = np.flatnonzero(np.diff(place)) + 1
         first = np.concatenate(([0], edges))
         last = np.concatenate((edges - 1, [len(place) - 1]))
-        yield first + begin, last + begin, hashes[place[first]].view(np.int64)
+        yield first + begin, last + begin, place[first] + begin, hashes[place[first]].view(np.int64)
 
 
 def _gram_hashes(text: np.ndarray) -> np.ndarray:
     """A hash of every k-gram, from hashes of its halves."""
-    hashes, length, power = _BYTES[text], 1, _BASE
+    hashes, length = _BYTES[text], 1
     while length < GRAM:
+        power = np.uint64(pow(int(_BASE), length, 1 << 64))
         hashes = hashes[:-length] * power + hashes[length:]
-        power, length = power * power, 2 * length
+        length *= 2
     return mixed(hashes)
 
 
 def _ranges(rows: DataFrame, size: int) -> DataFrame:
     """(did, tkey, start, stop): bytes to be removed."""
     anchored = cut(rows.select("did", "tkey", "text").mapInArrow(_anchors(size), "did bigint, tkey bigint, anchors array<bigint>"), "anchors")
-    each = anchored.select("did", "tkey", F.explode("anchors").alias("anchor"))
-    shared = each.groupBy("anchor").agg(F.count("*").alias("instances")).filter("instances > 1")
-    wanted = cut(
-        each.join(shared, "anchor").groupBy("did", "tkey").agg(F.collect_set("anchor").alias("anchors")), "shared-anchors"
-    )
-    texts = rows.select("did", "tkey", "text").join(wanted.hint("shuffle_hash"), ["did", "tkey"])
+    # One number for a document is enough to tell it which of its anchors are shared; more of them do no harm.
+    each = anchored.select(F.xxhash64("did", "tkey").alias("doc"), F.explode("anchors").alias("anchor"))
+    shared = each.groupBy("anchor").agg(F.count("*").alias("instances")).filter("instances > 1").select("anchor")
+    wanted = cut(each.join(shared, "anchor").groupBy("doc").agg(F.collect_set("anchor").alias("anchors")), "shared-anchors")
+    drop_cut(anchored)
+    texts = rows.select("did", "tkey", F.xxhash64("did", "tkey").alias("doc"), "text").join(wanted.hint("shuffle_hash"), "doc")
     instances = cut(texts.select("did", "tkey", "text", "anchors").mapInArrow(_instances(size), _INSTANCE_DDL), "instances")
+    drop_cut(wanted)
 
     place = F.struct("did", "tkey", "start")
-    firsts = cut(instances.groupBy("anchor", "digest").agg(F.min(place).alias("first"), F.max(F.length("bytes")).alias("length")), "firsts")
-    # Instances are told from the first of their bytes without moving the bytes.
+    firsts = cut(instances.groupBy("anchor", "digest").agg(F.min(place).alias("first"), F.max("length").alias("length"), F.max("left").alias("left"), F.max("right").alias("right")), "firsts")
     known = firsts.withColumnRenamed("first", "seen")
     again = instances.select("anchor", "digest", "did", "tkey", "start").join(known, ["anchor", "digest"])
-    seen = again.filter(F.struct("did", "tkey", "start") > F.col("seen")).select(
-        "did", "tkey", "start", (F.col("start") + F.col("length")).alias("stop")
+    seen = cut(
+        again.filter(place > F.col("seen")).select("did", "tkey", "start", (F.col("start") + F.col("length")).alias("stop")),
+        "seen",
     )
-    groups = firsts.groupBy("anchor").agg(F.count("*").alias("texts")).filter("texts > 1")
-    several = firsts.join(groups, "anchor").select("anchor", "digest", "first.*", "texts")
-    keys = ["anchor", "digest", "did", "tkey", "start"]
-    texts = cut(instances.join(several, keys).dropDuplicates(["anchor", "digest", "did", "tkey", "start"]), "texts")
+    halves = firsts.select("anchor", "digest", F.explode(F.array(_side("left"), _side("right"))).alias("half")).filter("half.hash IS NOT NULL")
+    common = halves.groupBy("anchor", "half").agg(F.count("*").alias("texts")).filter("texts > 1").drop("texts")
+    alike = halves.join(common, ["anchor", "half"], "left_semi").select("anchor", "digest").distinct()
+    left = cut(firsts.join(alike, ["anchor", "digest"]).select("anchor", "first.*", "length"), "alike")
+    several = left.join(left.groupBy("anchor").agg(F.count("*").alias("texts")), "anchor")
+    drop_cut(instances)
+    asked = several.groupBy("did", "tkey").agg(F.collect_list(F.struct("anchor", "texts", "start", "length")).alias("asked"))
+    sources = rows.select("did", "tkey", "text").join(asked.hint("shuffle_hash"), ["did", "tkey"])
+    pieces = sources.select("did", "tkey", "text", "asked.anchor", "asked.texts", "asked.start", "asked.length")
+    # Rows that repeat are one document.
+    texts = cut(pieces.mapInArrow(_texts, _TEXT_DDL).dropDuplicates(["anchor", "did", "tkey", "start"]), "texts")
     small = (
         texts.filter(F.col("texts") <= SMALL_GROUP)
         .select("anchor", "did", "tkey", "start", "bytes")
@@ -159,7 +185,7 @@ def _anchors(size: int):
         def rows() -> Iterator[tuple]:
             for batch in batches:
                 for did, tkey, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), utf8(batch.column(2)), strict=True):
-                    for _, _, anchors in anchored_runs(text, size):
+                    for _, _, _, anchors in anchored_runs(text, size):
                         yield did, tkey, anchors
 
         return batches_of(_ANCHORED, rows(), 2_000)
@@ -167,6 +193,26 @@ def _anchors(size: int):
     return run
 
 
+def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def rows() -> Iterator[tuple]:
+        for batch in batches:
+            for i, text in enumerate(utf8(batch.column(2))):
+                did, tkey = batch.column(0)[i].as_py(), batch.column(1)[i].as_py()
+                content = text.tobytes()
+                for anchor, texts, start, length in zip(*(batch.column(c)[i].as_py() for c in (3, 4, 5, 6)), strict=True):
+                    yield anchor, texts, did, tkey, start, content[start : start + length]
+
+    return batches_of(_TEXT, rows())
+
+
+def _side(name: str):
+    return F.struct(F.lit(name).alias("side"), F.col(name).alias("hash"))
+
+
+def _half(content: bytes) -> int:
+    return xxh3_64_intdigest(content) - (1 << 63)
+
+
 def _instances(size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def rows() -> Iterator[tuple]:
@@ -175,10 +221,15 @@ def _instances(size: int):
                     did, tkey = batch.column(0)[i].as_py(), batch.column(1)[i].as_py()
                     wanted = batch.column(3)[i].values.to_numpy()
                     content = text.tobytes()
-                    for firsts, lasts, anchors in anchored_runs(text, size):
-                        for k in np.flatnonzero(np.isin(anchors, wanted)):
-                            held = content[firsts[k] : lasts[k] + size]
-                            yield int(anchors[k]), blake2b(held, digest_size=16).digest(), did, tkey, int(firsts[k]), held
+                    half = (size - GRAM + 1) // 2
+                    for columns in anchored_runs(text, size):
+                        some = np.isin(columns[3], wanted)
+                        for first, last, at, anchor in zip(*(c[some].tolist() for c in columns), strict=True):
+                            stop = last + size
+                            left = _half(content[at - half : at]) if at - first >= half else None
+                            right = _half(content[at + GRAM : at + GRAM + half]) if stop - at - GRAM >= half else None
+                            held = content[first:stop]
+                            yield anchor, xxh3_128_digest(held), did, tkey, first, left, right, len(held)
 
         return batches_of(_INSTANCE, rows())
 
@@ -229,7 +280,7 @@ def _windows(size: int):
             for batch in batches:
                 for did, tkey, start, held in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                     for offset in range(len(held) - size + 1):
-                        yield blake2b(held[offset : offset + size], digest_size=16).digest(), did, tkey, start + offset
+                        yield xxh3_128_digest(held[offset : offset + size]), did, tkey, start + offset
 
         return batches_of(_WINDOW, rows())
 

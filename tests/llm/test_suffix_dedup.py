@@ -75,7 +75,7 @@ def test_segments_of_a_long_text_overlap(monkeypatch):
     parts = [np.concatenate(x) for x in zip(*suffix_dedup.anchored_runs(text, 100), strict=True)]
 
     def of_windows(runs):
-        return np.concatenate([np.full(b - a + 1, h) for a, b, h in zip(*runs, strict=True)])
+        return np.concatenate([np.full(b - a + 1, h) for a, b, _, h in zip(*runs, strict=True)])
 
     assert (of_windows(whole) == of_windows(parts)).all()
 
