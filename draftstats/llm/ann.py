@@ -33,9 +33,9 @@ RENEWED = 0.02
 BEAM = 160
 EXPANDED = 40
 
-_LISTS = "node bigint, ids array<bigint>, scores array<float>, fresh array<boolean>"
+_LISTS = "node bigint, packed binary, ids array<bigint>, scores array<float>, fresh array<boolean>"
 _LIST_SCHEMA = pa.schema(
-    [("node", pa.int64()), ("ids", pa.list_(pa.int64())), ("scores", pa.list_(pa.float32())), ("fresh", pa.list_(pa.bool_()))]
+    [("node", pa.int64()), ("packed", pa.binary()), ("ids", pa.list_(pa.int64())), ("scores", pa.list_(pa.float32())), ("fresh", pa.list_(pa.bool_()))]
 )
 
 
@@ -90,16 +90,12 @@ def _nodes(rows: DataFrame, queries, k: int) -> tuple[DataFrame, DataFrame, Data
 
 
 def build(nodes: DataFrame, degree: int = DEGREE, renewed: float = RENEWED) -> DataFrame:
-    """(node, ids, scores, fresh): the neighbour graph."""
-    n = nodes.count()
-    met = _block_neighbours(nodes, n, 0, degree)
-    for tree in range(1, TREES):
-        met = met.union(_block_neighbours(nodes, n, tree, degree))
-    graph, number = cut(_best(met, degree), "graph"), 0
+    """(node, packed, ids, scores, fresh): the neighbour graph."""
+    graph, number = cut(_best(_in_blocks(nodes, degree).union(_alone(nodes)), degree), "graph"), 0
     fresh = F.sum(F.size(F.filter("fresh", lambda x: x)))
     while True:
         seen = graph.withColumn("fresh", F.transform("fresh", lambda x: F.lit(False)))
-        better = cut(_best(seen.union(_round(nodes, graph, number, degree)), degree), "graph")
+        better = cut(_best(seen.union(_round(graph, number, degree)), degree), "graph")
         drop_cut(graph)
         graph, number = better, number + 1
         new, edges = graph.agg(fresh, F.sum(F.size("ids"))).first()
@@ -107,6 +103,12 @@ def build(nodes: DataFrame, degree: int = DEGREE, renewed: float = RENEWED) -> D
             return graph
 
 
+def _alone(nodes: DataFrame) -> DataFrame:
+    """Nodes as lists without neighbours, which bring the vectors along."""
+    empty = [F.array().cast(kind).alias(c) for c, kind in (("ids", "array<bigint>"), ("scores", "array<float>"), ("fresh", "array<boolean>"))]
+    return nodes.select("node", "packed", *empty)
+
+
 def _matrix(packed: pa.Array) -> np.ndarray:
     """Vectors of one length as a matrix."""
     values = packed.to_pylist()
@@ -120,17 +122,17 @@ def _groups(batches: Iterator[pa.RecordBatch], n_keys: int = 1) -> Iterator[list
         yield members
 
 
-def _block_neighbours(nodes: DataFrame, n: int, tree: int, degree: int) -> DataFrame:
-    """Each node's best in its block: nodes on the same sides of some random planes. Large blocks are dealt into several."""
-    planes = max(0, ceil(log2(max(1, n) / BLOCK)))
+def _in_blocks(nodes: DataFrame, degree: int) -> DataFrame:
+    """Each node's best in its blocks: nodes on the same sides of some random planes, in several ways. Large blocks are dealt into several."""
+    planes = max(0, ceil(log2(max(1, nodes.count()) / BLOCK)))
 
     def sides(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if batch.num_rows:
+            for tree in range(TREES if batch.num_rows else 0):
                 matrix = _matrix(batch.column(1))
                 random = np.random.default_rng(tree).standard_normal((matrix.shape[1] - 1, planes)).astype(np.float32)
-                block = (matrix[:, :-1] @ random > 0) @ (1 << np.arange(planes, dtype=np.int64))
-                yield pa.record_batch([pa.array(block.astype(np.int64)), *batch.columns], names=["block", "node", "packed"])
+                block = ((matrix[:, :-1] @ random > 0) @ (1 << np.arange(planes, dtype=np.int64))).astype(np.int64) * TREES + tree
+                yield pa.record_batch([pa.array(block), *batch.columns], names=["block", "node", "packed"])
 
     def best(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for members in _groups(batches, 2):
@@ -141,13 +143,8 @@ def _block_neighbours(nodes: DataFrame, n: int, tree: int, degree: int) -> DataF
             np.fill_diagonal(scores, -np.inf)
             few = min(degree, len(rows) - 1)
             top = np.argpartition(-scores, few - 1, axis=1)[:, :few] if few else np.zeros((len(rows), 0), np.int64)
-            top_scores = np.take_along_axis(scores, top, 1)
-            fresh = [[True] * few] * len(rows)
-            arrays = [list(ids[top]), list(top_scores)]
-            yield pa.record_batch(
-                [pa.array(ids), *[pa.array(a, f.type) for a, f in zip([*arrays, fresh], list(_LIST_SCHEMA)[1:], strict=True)]],
-                schema=_LIST_SCHEMA,
-            )
+            found = zip(ids.tolist(), ids[top], np.take_along_axis(scores, top, 1), strict=True)
+            yield _lists([(node, None, near, score, np.ones(few, bool)) for node, near, score in found])
 
     blocks = nodes.select("node", "packed").mapInArrow(sides, "block bigint, node bigint, packed binary")
     sizes = blocks.groupBy("block").agg(F.ceil(F.count("*") / (2 * BLOCK)).alias("parts"))
@@ -162,15 +159,16 @@ def _best(met: DataFrame, degree: int) -> DataFrame:
         held: list[tuple] = []
         for members in _groups(batches):
             best: dict[int, tuple[float, bool]] = {}
-            for row in members:
-                node = row[0]
-                for i, score, fresh in zip(*row[1:], strict=True):
+            vector = None
+            for node, packed, *lists in members:
+                vector = packed or vector
+                for i, score, fresh in zip(*lists, strict=True):
                     known = best.get(i)
                     best[i] = (score, fresh and (known is None or known[1]))
                 if len(best) > 8 * degree:
                     best = dict(sorted(best.items(), key=lambda b: (-b[1][0], b[0]))[:degree])
             top = sorted(best.items(), key=lambda b: (-b[1][0], b[0]))[:degree]
-            held.append((node, [i for i, _ in top], [b[0] for _, b in top], [b[1] for _, b in top]))
+            held.append((node, vector, [i for i, _ in top], [b[0] for _, b in top], [b[1] for _, b in top]))
             if len(held) == 2_000:
                 yield _lists(held)
                 held = []
@@ -184,7 +182,7 @@ def _lists(rows: list[tuple]) -> pa.RecordBatch:
     return pa.record_batch([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), _LIST_SCHEMA, strict=True)], schema=_LIST_SCHEMA)
 
 
-def _round(nodes: DataFrame, graph: DataFrame, number: int, degree: int) -> DataFrame:
+def _round(graph: DataFrame, number: int, degree: int) -> DataFrame:
     """What the neighbours of each node, in both directions, learn of each other.
 
     Of a hub's many reverse neighbours a round joins some, by a hash that changes with the round.
@@ -194,15 +192,17 @@ def _round(nodes: DataFrame, graph: DataFrame, number: int, degree: int) -> Data
     )
     both = forward.union(forward.select(F.col("node").alias("around"), F.col("around").alias("node"), "fresh"))
     chosen = Window.partitionBy("around").orderBy(F.desc("fresh"), F.xxhash64(F.lit(number), "node", "around"), "node")
+    # One exchange serves the aggregation and the window.
     joined = (
-        both.groupBy("around", "node")
+        both.repartition("around")
+        .groupBy("around", "node")
         .agg(F.max("fresh").alias("fresh"))
         .withColumn("place", F.row_number().over(chosen))
         .filter(F.col("place") <= JOINED)
         .select("around", "node")
     )
     worst = F.when(F.size("ids") < degree, F.lit(float("-inf")).cast("float")).otherwise(F.array_min("scores"))
-    known = nodes.join(graph.select("node", worst.alias("worst")), "node")
+    known = graph.select("node", worst.alias("worst"), "packed")
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
@@ -215,7 +215,7 @@ def _round(nodes: DataFrame, graph: DataFrame, number: int, degree: int) -> Data
             np.fill_diagonal(better, False)
             for i in np.flatnonzero(better.any(axis=1)):
                 found = np.flatnonzero(better[i])
-                held.append((int(ids[i]), ids[found], scores[i, found], np.ones(len(found), bool)))
+                held.append((int(ids[i]), None, ids[found], scores[i, found], np.ones(len(found), bool)))
             if len(held) >= 2_000:
                 yield _lists(held)
                 held = []
@@ -237,12 +237,14 @@ def search(nodes: DataFrame, members: DataFrame, asked: DataFrame, graph: DataFr
     of_query = asked.select(F.col("query").alias("node")).distinct().join(nodes, "node").select(F.col("node").alias("query"), F.col("packed").alias("asked"))
     first = of_query.select("query", F.lit(float("-inf")).cast("float").alias("worst"), "asked", F.col("query").alias("node"))
     met = ["query", "worst", "asked", "others", "codes", "scale"]
-    beams = cut(_beams(_scored(first.join(ways, "node").select(*met))), "beams")
+    # A beam's `packed` is the query's vector.
+    start = _alone(of_query.select(F.col("query").alias("node"), F.col("asked").alias("packed")))
+    beams = cut(_beams(start.union(_scored(first.join(ways, "node").select(*met)))), "beams")
     while not beams.filter(F.exists("fresh", lambda x: x)).isEmpty():
         open_ = F.filter("ids", lambda x, i: F.get("fresh", i))
         worst = F.when(F.size("ids") < BEAM, F.lit(float("-inf")).cast("float")).otherwise(F.array_min("scores"))
-        steps = beams.select(F.col("node").alias("query"), worst.alias("worst"), F.explode(F.slice(open_, 1, EXPANDED)).alias("node"))
-        scored = _scored(steps.join(of_query, "query").join(ways, "node").select(*met))
+        steps = beams.select(F.col("node").alias("query"), worst.alias("worst"), F.col("packed").alias("asked"), F.explode(F.slice(open_, 1, EXPANDED)).alias("node"))
+        scored = _scored(steps.join(ways, "node").select(*met))
         up_to = lambda i: F.size(F.filter(F.slice("fresh", 1, i + 1), lambda x: x))
         left = beams.withColumn("fresh", F.transform("fresh", lambda x, i: x & (up_to(i) > EXPANDED)))
         moved = cut(_beams(left.union(scored)), "beams")
@@ -305,7 +307,7 @@ def _scored(steps: DataFrame) -> DataFrame:
                 vector = np.frombuffer(asked, np.float32)[:-1]
                 scores = np.frombuffer(codes, np.int8).reshape(len(others), -1) @ vector * np.float32(scale)
                 better = np.flatnonzero(scores > worst)
-                held.append((query, np.array(others, np.int64)[better], scores[better], np.ones(len(better), bool)))
+                held.append((query, None, np.array(others, np.int64)[better], scores[better], np.ones(len(better), bool)))
             if held:
                 yield _lists(held)
 
@@ -319,12 +321,14 @@ def _beams(lists: DataFrame) -> DataFrame:
         held: list[tuple] = []
         for members in _groups(batches):
             best: dict[int, tuple[float, bool]] = {}
-            for query, ids, scores, fresh in members:
+            vector = None
+            for query, packed, ids, scores, fresh in members:
+                vector = packed or vector
                 for i, score, is_open in zip(ids, scores, fresh, strict=True):
                     known = best.get(i)
                     best[i] = (score, is_open and (known is None or known[1]))
             top = sorted(((i, *b) for i, b in best.items() if i != query), key=lambda b: (-b[1], b[0]))[:BEAM]
-            held.append((query, *map(list, zip(*top, strict=True))) if top else (query, [], [], []))
+            held.append((query, vector, *(map(list, zip(*top, strict=True)) if top else ([], [], []))))
             if len(held) == 2_000:
                 yield _lists(held)
                 held = []
