@@ -65,11 +65,19 @@ def equal_windows(texts: list[bytes], size: int) -> tuple[np.ndarray, np.ndarray
     """(text, offset, class) of every window of `size` bytes; windows are equal if their classes are."""
     collection = Collection(texts)
     with tempfile.TemporaryDirectory() as folder, ExitStack() as opened:
-        # Symbols are bytes + 1; 0 stands before a suffix whose text goes no further, or has not yet.
-        bwt, lcp, suffix = (_File(folder, n, k, opened) for n, k in (("bwt", np.int16), ("lcp", np.uint8), ("suffix", np.int64)))
+        # Symbols are bytes + 1, as UTF-8 has no byte 255; 0 stands before a suffix whose text goes no further, or has not yet.
+        bwt, lcp, suffix = (_File(folder, n, k, opened) for n, k in (("bwt", np.uint8), ("lcp", np.uint8), ("suffix", np.int64)))
         return _sorted_windows(collection, size, bwt, lcp, suffix)
 
 
+def _grown(values: np.ndarray, old: np.ndarray, into: np.ndarray, new: np.ndarray | int) -> np.ndarray:
+    """The values in their order, with the new ones at their places."""
+    out = np.empty(len(old), values.dtype)
+    out[old] = values
+    out[into] = new
+    return out
+
+
 def _sorted_windows(
     collection: Collection, size: int, bwt: _File, lcp: _File, suffix: _File
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -83,7 +91,7 @@ def _sorted_windows(
     rank = np.arange(n)
     for column in range(1, room):
         live = np.flatnonzero(collection.lengths >= column)
-        symbols = collection.bytes[collection.starts[live] + collection.lengths[live] - column].astype(np.int16) + 1
+        symbols = collection.bytes[collection.starts[live] + collection.lengths[live] - column]+ np.uint8(1)
         before = bwt.read()
         before[rank[live]] = symbols
         # A suffix that starts with c stands, among all that are not empty, where its c stands in the
@@ -93,15 +101,18 @@ def _sorted_windows(
         place[order] = np.arange(len(order))
         ends = np.count_nonzero(before == 0)
         new = n + place[rank[live]] - ends
-        into = np.sort(new)
-        spots = into - np.arange(len(into))
-        grown = np.insert(before, spots, 0)
-        by_place = live[np.argsort(new, kind="stable")]
-        suffixes = np.insert(suffix.read(), spots, by_place * room + column)
-        prefixes = np.insert(lcp.read(), spots, 0)
+        by_place = np.argsort(new, kind="stable")
+        into = new[by_place]
+        old = np.ones(len(before) + len(into), bool)
+        old[into] = False
+        grown = _grown(before, old, into, 0)
+        suffixes = _grown(suffix.read(), old, into, live[by_place] * room + column)
+        prefixes = _grown(lcp.read(), old, into, 0)
         # Only prefixes shared with a new suffix, or across one, have changed.
-        changed = np.unique(np.concatenate((into, into + 1)))
-        changed = changed[(changed > 0) & (changed < len(suffixes))]
+        touched = ~old
+        touched[1:] |= touched[:-1].copy()
+        touched[0] = False
+        changed = np.flatnonzero(touched)
         upper, lower = np.divmod(suffixes[changed - 1], room), np.divmod(suffixes[changed], room)
         prefixes[changed] = collection.common(*upper, *lower, size)
         bwt.write(grown)

@@ -9,8 +9,8 @@ Burrows-Wheeler transform and common prefixes of collections of short texts
    equal places. Windows with one anchor follow each other; they and their bytes are an instance.
 2. Anchors that occur once in the corpus leave no window to remove.
 3. Of instances with equal bytes the first is kept; all windows of the others have been seen.
-4. A window holds its anchor and, before or behind it, half of its other bytes. Different bytes with
-   neither half in common with others of the anchor leave no window to remove.
+4. A window holds its anchor and, in one of four ways, at least three quarters of its other bytes
+   around it. Different bytes that have none of these contexts in common with others leave no window to remove.
 5. What is left of different bytes with one anchor, which overlap in part, are a collection's texts.
 
 Every step keeps all equal windows together; nothing is sampled.
@@ -47,13 +47,12 @@ _INSTANCE = pa.schema(
         ("did", pa.int64()),
         ("tkey", pa.int64()),
         ("start", pa.int64()),
-        ("left", pa.int64()),
-        ("right", pa.int64()),
+        ("contexts", pa.list_(pa.int64())),
         ("length", pa.int64()),
     ]
 )
 _INSTANCE_DDL = (
-    "anchor bigint, digest binary, did bigint, tkey bigint, start bigint, left bigint, right bigint, length bigint"
+    "anchor bigint, digest binary, did bigint, tkey bigint, start bigint, contexts array<bigint>, length bigint"
 )
 _TEXT = pa.schema(
     [
@@ -143,16 +142,16 @@ def _ranges(rows: DataFrame, size: int) -> DataFrame:
     drop_cut(wanted)
 
     place = F.struct("did", "tkey", "start")
-    firsts = cut(instances.groupBy("anchor", "digest").agg(F.min(place).alias("first"), F.max("length").alias("length"), F.max("left").alias("left"), F.max("right").alias("right")), "firsts")
+    firsts = cut(instances.groupBy("anchor", "digest").agg(F.min(place).alias("first"), F.max("length").alias("length"), F.max("contexts").alias("contexts")), "firsts")
     known = firsts.withColumnRenamed("first", "seen")
     again = instances.select("anchor", "digest", "did", "tkey", "start").join(known, ["anchor", "digest"])
     seen = cut(
         again.filter(place > F.col("seen")).select("did", "tkey", "start", (F.col("start") + F.col("length")).alias("stop")),
         "seen",
     )
-    halves = firsts.select("anchor", "digest", F.explode(F.array(_side("left"), _side("right"))).alias("half")).filter("half.hash IS NOT NULL")
-    common = halves.groupBy("anchor", "half").agg(F.count("*").alias("texts")).filter("texts > 1").drop("texts")
-    alike = halves.join(common, ["anchor", "half"], "left_semi").select("anchor", "digest").distinct()
+    contexts = firsts.select("anchor", "digest", F.explode("contexts").alias("context"))
+    common = contexts.groupBy("context").agg(F.count("*").alias("texts")).filter("texts > 1").select("context")
+    alike = contexts.join(common, "context", "left_semi").select("anchor", "digest").distinct()
     left = cut(firsts.join(alike, ["anchor", "digest"]).select("anchor", "first.*", "length"), "alike")
     several = left.join(left.groupBy("anchor").agg(F.count("*").alias("texts")), "anchor")
     drop_cut(instances)
@@ -185,8 +184,11 @@ def _anchors(size: int):
         def rows() -> Iterator[tuple]:
             for batch in batches:
                 for did, tkey, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), utf8(batch.column(2)), strict=True):
-                    for _, _, _, anchors in anchored_runs(text, size):
-                        yield did, tkey, anchors
+                    parts = [runs[3] for runs in anchored_runs(text, size)]
+                    if parts:
+                        # Once each, and once more if the text itself repeats it, however often.
+                        anchors, times = np.unique(np.concatenate(parts), return_counts=True)
+                        yield did, tkey, np.concatenate((anchors, anchors[times > 1]))
 
         return batches_of(_ANCHORED, rows(), 2_000)
 
@@ -205,12 +207,15 @@ def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     return batches_of(_TEXT, rows())
 
 
-def _side(name: str):
-    return F.struct(F.lit(name).alias("side"), F.col(name).alias("hash"))
-
-
-def _half(content: bytes) -> int:
-    return xxh3_64_intdigest(content) - (1 << 63)
+def _contexts(content: bytes, first: int, stop: int, at: int, size: int) -> list[int]:
+    """Hashes of the bytes around an anchor of which each window in first .. stop has at least one whole."""
+    quarter = (size - GRAM) // 4
+    out = []
+    for before in range(4):
+        begin, end = at - before * quarter, at + GRAM + (3 - before) * quarter
+        if first <= begin and end <= stop:
+            out.append(xxh3_64_intdigest(content[begin:end], before) - (1 << 63))
+    return out
 
 
 def _instances(size: int):
@@ -221,15 +226,12 @@ def _instances(size: int):
                     did, tkey = batch.column(0)[i].as_py(), batch.column(1)[i].as_py()
                     wanted = batch.column(3)[i].values.to_numpy()
                     content = text.tobytes()
-                    half = (size - GRAM + 1) // 2
                     for columns in anchored_runs(text, size):
                         some = np.isin(columns[3], wanted)
                         for first, last, at, anchor in zip(*(c[some].tolist() for c in columns), strict=True):
                             stop = last + size
-                            left = _half(content[at - half : at]) if at - first >= half else None
-                            right = _half(content[at + GRAM : at + GRAM + half]) if stop - at - GRAM >= half else None
                             held = content[first:stop]
-                            yield anchor, xxh3_128_digest(held), did, tkey, first, left, right, len(held)
+                            yield anchor, xxh3_128_digest(held), did, tkey, first, _contexts(content, first, stop, at, size), len(held)
 
         return batches_of(_INSTANCE, rows())
 
