@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import batches_of, cut, utf8
+from .common import batches_of, cut, drop_cut, utf8
 from .components import components
 from .shingles import Shingler
 
@@ -85,6 +85,11 @@ def linked_documents(docs: DataFrame, similarity: Similarity = Similarity()) ->
     link with each other. A null id is no component's id while there is another.
     No rows give none; other columns are ignored.
     """
+    return _linked(docs, similarity)[0]
+
+
+def _linked(docs: DataFrame, similarity: Similarity) -> tuple[DataFrame, list[DataFrame]]:
+    """The result of `linked_documents`, and the tables that it reads."""
     shingled = cut(docs.select(F.col("doc_id").cast("bigint"), "text").mapInArrow(_shingle(similarity), _SHINGLED_DDL), "shingles")
     classes = (
         shingled.filter("n > 0").groupBy("digest").agg(F.min("doc_id").alias("first_id"), F.count("*").alias("copies"))
@@ -110,18 +115,22 @@ def linked_documents(docs: DataFrame, similarity: Similarity = Similarity()) ->
         F.coalesce("reached", "first_id").alias("component"),
         (F.col("copies") - 1 + F.coalesce("outside", F.lit(0))).alias("linked"),
     )
-    return shingled.select("doc_id", "n", "digest").join(known, F.col("digest") == F.col("of_class"), "left").select(
+    found = shingled.select("doc_id", "n", "digest").join(known, F.col("digest") == F.col("of_class"), "left").select(
         "doc_id",
         F.col("n").alias("n_shingles"),
         F.coalesce("component", "doc_id").alias("component_id"),
         F.coalesce("linked", F.lit(0)).alias("n_links"),
     )
+    return found, [shingled, lists, chunks, linked, roots]
 
 
 def one_of_each(docs: DataFrame, similarity: Similarity = Similarity()) -> DataFrame:
     """`docs` without documents that reach one with a smaller id by links. Rows that repeat an id stay together."""
-    found = linked_documents(docs, similarity)
-    gone = found.filter(F.col("component_id") < F.col("doc_id")).select(F.col("doc_id").alias("gone_id")).distinct()
+    found, tables = _linked(docs, similarity)
+    later = found.filter(F.col("component_id") < F.col("doc_id"))
+    gone = cut(later.select(F.col("doc_id").alias("gone_id")).distinct(), "gone")
+    for table in tables:
+        drop_cut(table)
     return docs.join(gone, docs["doc_id"] == F.col("gone_id"), "left_anti")
 
 

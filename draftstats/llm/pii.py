@@ -13,7 +13,7 @@ All of it is DataFrame functions, without Python in tasks.
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut
+from .common import cut, drop_cut
 
 KINDS = ("email", "ip", "card", "phone", "term")
 
@@ -189,12 +189,14 @@ def disclosing_terms(docs: DataFrame, found: DataFrame) -> DataFrame:
     p_term = F.least(F.col("n_term") * F.col("window_words") / F.col("n_words"), F.lit(1.0))
     information = F.log2(F.least(F.col("n_both") / F.col("n_windows"), F.lit(1.0)) / p_term)
     of_kind = F.log2(all_windows / F.col("n_kind"))
-    return weighed.filter(information > F.greatest(of_kind, F.lit(0.0))).select("kind", "entity", "term")
+    disclosing = cut(weighed.filter(information > F.greatest(of_kind, F.lit(0.0))).select("kind", "entity", "term"), "disclosing")
+    drop_cut(counts)
+    return disclosing
 
 
 def term_spans(docs: DataFrame, found: DataFrame) -> DataFrame:
     """(doc_id, text_hash, terms): where disclosing terms stand near their entities."""
-    flagged = cut(disclosing_terms(docs, found), "disclosing")
+    flagged = disclosing_terms(docs, found)
     near = found.select("doc_id", "text_hash", F.explode("contexts").alias("c")).select(
         "doc_id", "text_hash", "c.kind", "c.entity", F.explode("c.terms").alias("t")
     )
