@@ -29,8 +29,12 @@ _MAY_HOLD = {"ip": r"[0-9]\.[0-9]++\.[0-9]", "card": _CARD, "phone": r"\+[0-9]"}
 
 #: Characters on either side of an entity in which terms count as being near it.
 NEAR = 64
-#: Contexts, worded differently on either side, in which a term must stand near an entity to tell anything.
+#: Contexts, worded differently, in which a term must stand near an entity to tell anything.
 MIN_CONTEXTS = 3
+#: Two windows are copies if one whole side is the same, and on the other side this many words
+#: next to the entity, or more where the whole side is short, so that so many are the same in all.
+SAME_BESIDE = 4
+SAME_WORDS = 10
 
 _SPAN = "struct<start: int, kind_no: int, end: int, kind: string>"
 
@@ -108,7 +112,11 @@ def listed(spans: Column) -> Column:
 
 
 def _contexts(text: Column, base: Column) -> Column:
-    """For each span: its kind, its entity, the terms next to it, and all terms near it with places and neighbours."""
+    """For each span: its kind, its entity, two hashes of the words near it, and all terms near it with places.
+
+    Windows of which either hash is the same are copies: `by_left` is of all words
+    before the entity and the next ones after it, `by_right` is the reverse.
+    """
 
     def terms(part: Column, offset: Column) -> Column:
         return F.transform(
@@ -128,23 +136,21 @@ def _contexts(text: Column, base: Column) -> Column:
         after = F.substring(text, span["end"] + 1, F.lit(NEAR))
         until = F.when(F.length(after) == NEAR, F.regexp_replace(after, r"[^\x20\x09-\x0D]+$", "")).otherwise(after)
         left, right = terms(whole, span["start"] - F.length(whole)), terms(until, span["end"])
-        near = F.concat(left, right)
-        beside = F.transform(
-            near,
-            lambda t, i: F.struct(
-                t["term"].alias("term"),
-                t["start"].alias("start"),
-                t["end"].alias("end"),
-                F.coalesce(F.get(near, i - 1)["term"], F.lit("")).alias("previous"),
-                F.coalesce(F.get(near, i + 1)["term"], F.lit("")).alias("next"),
-            ),
+        # Words in the order in which they leave the entity.
+        outward = F.reverse(F.transform(left, lambda t: t["term"])), F.transform(right, lambda t: t["term"])
+
+        def hashed(whole_side: Column, other: Column) -> Column:
+            beside = F.slice(other, F.lit(1), F.greatest(F.lit(SAME_BESIDE), SAME_WORDS - F.size(whole_side)))
+            return F.xxhash64(F.size(whole_side), whole_side, beside)
+
+        free = F.filter(
+            F.concat(left, right), lambda t: ~F.exists(base, lambda b: (b["start"] < t["end"]) & (t["start"] < b["end"]))
         )
-        free = F.filter(beside, lambda t: ~F.exists(base, lambda b: (b["start"] < t["end"]) & (t["start"] < b["end"])))
         return F.struct(
             span["kind"].alias("kind"),
             entity.alias("entity"),
-            F.coalesce(F.get(left, F.size(left) - 1)["term"], F.lit("")).alias("previous"),
-            F.coalesce(F.get(right, F.lit(0))["term"], F.lit("")).alias("next"),
+            hashed(outward[0], outward[1]).alias("by_left"),
+            hashed(outward[1], outward[0]).alias("by_right"),
             free.alias("terms"),
         )
 
@@ -164,17 +170,18 @@ def disclosing_terms(docs: DataFrame, found: DataFrame) -> DataFrame:
 
     A window is the words near one entity. p(term) is the chance that a window
     anywhere holds it, from the counts of all documents; p(term | entity) is the
-    share of an entity's windows that do. Windows, and occurrences in them, count
-    as often as their neighbours differ on the left and on the right, whichever is less: copies of a
-    passage, or near copies, are one, and a rare word of theirs discloses nothing.
+    share of an entity's windows that do. Windows count as often as they differ as
+    a whole (see `_contexts`): copies of a passage, also where the text around it
+    differs at one end, are one, and a rare word of theirs discloses nothing. A
+    word or phrase that always stands beside the entity, or at the edge of the text, makes no copies.
     """
     near = found.select(F.explode("contexts").alias("c")).select("c.*")
-    worded = F.least(F.count_distinct("previous"), F.count_distinct("next"))
+    worded = F.least(F.count_distinct("by_left"), F.count_distinct("by_right"))
     windows = near.groupBy("kind", "entity").agg(worded.alias("n_windows")).filter(F.col("n_windows") >= MIN_CONTEXTS)
     pairs = (
-        near.select("kind", "entity", F.explode("terms").alias("t"))
+        near.select("kind", "entity", "by_left", "by_right", F.explode("terms").alias("t"))
         .groupBy("kind", "entity", "t.term")
-        .agg(F.least(F.count_distinct("t.previous"), F.count_distinct("t.next")).alias("n_both"))
+        .agg(worded.alias("n_both"))
         .filter(F.col("n_both") >= MIN_CONTEXTS)
     )
     # The words of one task are counted there before any of them is sent.

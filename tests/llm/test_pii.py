@@ -85,6 +85,37 @@ def test_copies_disclose_nothing(spark):
     assert {r.spans for r in pii.all_spans(docs).select(pii.listed(F.col("spans")).alias("spans")).collect()} == {brute(text)}
 
 
+@pytest.mark.parametrize(
+    "at_start, beside, at_end",
+    [
+        ("", "email boss@crime.org or", ""),
+        ("", "phone +15551234567", ""),
+        ("", "Vito Kingpin <boss@crime.org>", ""),
+        ("from Vito Kingpin boss@crime.org", "", ""),
+        ("", "", "best regards Vito Kingpin boss@crime.org"),
+    ],
+)
+def test_words_that_always_stand_beside_an_entity_are_no_copies(spark, at_start, beside, at_end):
+    filler = "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu".split()
+    words = lambda i, n: " ".join(filler[(i * 7 + k * 5) % 12] + "abcdefghijkl"[(i + k) % 12] for k in range(n))
+    rows = [(i, " ".join(filter(None, [at_start, words(i, 9), "Secretum", beside, words(i + 5, 9), at_end]))) for i in range(8)]
+    rows += [(100 + i, words(i, 60)) for i in range(200)]
+    rows += [(400 + i, f"{words(i, 5)} user{i}@mail.org {words(i + 2, 5)} +1444{i + 1000000}") for i in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r.doc_id: r.spans for r in pii.all_spans(docs).select("doc_id", pii.listed(F.col("spans")).alias("spans")).collect()}
+    telling = ["Vito", "Kingpin"] if "Vito" in at_start + beside + at_end else ["Secretum"]
+    for doc_id, text in rows[:8]:
+        spans = found[doc_id].split(",")
+        assert all(f"term:{text.index(t)}:{text.index(t) + len(t)}" in spans for t in telling), spans
+
+
+def test_a_passage_copied_into_other_texts_discloses_nothing(spark):
+    filler = "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu".split()
+    passage = "the unusual wording of this very singular and old passage that mentions boss@crime.org and nothing besides that"
+    docs = spark.createDataFrame([(i, f"{passage} {filler[i]} {filler[i - 5]} {filler[i - 7]}") for i in range(12)], "doc_id long, text string")
+    assert {r.spans for r in pii.all_spans(docs).select(pii.listed(F.col("spans")).alias("spans")).collect()} == {brute(passage)}
+
+
 def test_repeats_null_ids_clashing_columns_and_empty_table(spark):
     rows = [(1, "me@x.org", "b", "t", "k")] * 3 + [(None, "1.1.1.1", "b", "t", "k"), (None, None, None, None, None)]
     docs = spark.createDataFrame(rows, SCHEMA)
