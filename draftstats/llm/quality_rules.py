@@ -22,7 +22,7 @@ _MULTIPLIER = np.uint32(2654435761)
 _BLANKS = b" \t\n\x0b\x0c\r"
 _SYMBOLS = b"#*$%&|<>"
 
-_COUNTED = pa.schema([("bucket", pa.int32()), ("raw", pa.int64()), ("trusted", pa.int64())])
+_COUNTED = pa.schema([("bucket", pa.int32()), ("n", pa.int64())])
 _RULED = pa.schema(
     [
         ("doc_id", pa.int64()),
@@ -47,31 +47,30 @@ def buckets(text: np.ndarray) -> np.ndarray:
     return (grams * _MULTIPLIER) >> np.uint32(32 - BITS)
 
 
-def log_ratios(docs: DataFrame, trusted: DataFrame, max_trusted: int = 8_000, smoothing: float = 1.0) -> np.ndarray:
+def log_ratios(docs: DataFrame, trusted: DataFrame, smoothing: float = 1.0) -> np.ndarray:
     """log p_trusted - log p_raw of every bucket.
 
-    The raw multinomial counts all of `docs`. The trusted one counts those of
-    them whose id is among the `max_trusted` rows of `trusted` that come first
-    by hashed id (all, if there are fewer): its size is bounded and stated.
+    The raw multinomial counts all of `docs`, the trusted one all of them whose
+    id is in `trusted`. Ids that repeat there count once, null ids not at all.
     Without trusted texts every ratio is 0, and nothing is told apart.
     """
-    spark = docs.sparkSession
-    first = (
-        trusted.select("doc_id").filter("doc_id IS NOT NULL").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_trusted)
-    )
-    chosen = spark.sparkContext.broadcast(frozenset(r.doc_id for r in first.collect()))
-    partial = docs.select("doc_id", "text").mapInArrow(_count(chosen), "bucket int, raw bigint, trusted bigint")
-    # One row per bucket, however large the corpus.
-    counts = partial.groupBy("bucket").agg(F.sum("raw").alias("raw"), F.sum("trusted").alias("trusted")).toArrow()
-    raw, good = np.full(1 << BITS, smoothing), np.full(1 << BITS, smoothing)
-    at = counts.column("bucket").to_numpy()
-    raw[at] += counts.column("raw").to_numpy()
-    good[at] += counts.column("trusted").to_numpy()
-    if good.sum() == smoothing * (1 << BITS):
+    raw = _counted(docs.select("text")) + smoothing
+    good = _counted(docs.join(trusted.select("doc_id"), "doc_id", "left_semi").select("text"))
+    if not good.any():
         return np.zeros(1 << BITS)
+    good = good + smoothing
     return np.log(good / good.sum()) - np.log(raw / raw.sum())
 
 
+def _counted(texts: DataFrame) -> np.ndarray:
+    """How often each bucket occurs in all of `texts`."""
+    # One row per bucket, however large the corpus.
+    found = texts.mapInArrow(_count, "bucket int, n bigint").groupBy("bucket").agg(F.sum("n").alias("n")).toArrow()
+    counts = np.zeros(1 << BITS, np.int64)
+    counts[found.column("bucket").to_numpy()] = found.column("n").to_numpy()
+    return counts
+
+
 def apply_rules(
     docs: DataFrame,
     ratios: np.ndarray,
@@ -136,23 +135,15 @@ def _repeat_words(words: list[bytes]) -> int:
     return int(repeated.sum())
 
 
-def _count(chosen):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        raw, good = np.zeros(1 << BITS, np.int64), np.zeros(1 << BITS, np.int64)
-        for batch in batches:
-            for doc_id, text in zip(batch.column(0).to_pylist(), utf8(batch.column(1)), strict=True):
-                counts = np.bincount(buckets(text), minlength=1 << BITS) if len(text) > 1 << BITS else None
-                if counts is None:
-                    # Few n-grams of many buckets: add them up without a pass over all buckets.
-                    some, n = np.unique(buckets(text), return_counts=True)
-                    raw[some] += n
-                    if doc_id in chosen.value:
-                        good[some] += n
-                else:
-                    raw += counts
-                    if doc_id in chosen.value:
-                        good += counts
-        at = np.flatnonzero(raw)
-        yield pa.record_batch([pa.array(at, pa.int32()), pa.array(raw[at]), pa.array(good[at])], schema=_COUNTED)
-
-    return run
+def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    counts = np.zeros(1 << BITS, np.int64)
+    for batch in batches:
+        for text in utf8(batch.column(0)):
+            if len(text) > 1 << BITS:
+                counts += np.bincount(buckets(text), minlength=1 << BITS)
+            else:
+                # Few n-grams of many buckets: add them up without a pass over all buckets.
+                some, n = np.unique(buckets(text), return_counts=True)
+                counts[some] += n
+    at = np.flatnonzero(counts)
+    yield pa.record_batch([pa.array(at, pa.int32()), pa.array(counts[at])], schema=_COUNTED)

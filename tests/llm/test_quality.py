@@ -4,6 +4,7 @@ import re
 import zlib
 from collections import Counter
 
+import numpy as np
 from hypothesis import given
 from hypothesis import strategies as st
 
@@ -49,6 +50,20 @@ def test_rules_without_trusted_texts_or_rows(spark):
     assert quality_rules.apply_rules(empty, quality_rules.log_ratios(empty, none)).collect() == []
 
 
+def test_every_trusted_text_is_counted(spark):
+    texts = [f"{i * 7919 % 100_003:05d} prose" for i in range(9_000)] + ["z" * 70_000, "raw only", None]
+    trusted_ids = [*range(9_001), None, 3, 99_999]
+    docs = spark.createDataFrame([*enumerate(texts), (None, "no id")], "doc_id long, text string")
+    trusted = spark.createDataFrame([(i,) for i in trusted_ids], "doc_id long")
+    raw, good = np.ones(1 << 16), np.ones(1 << 16)
+    for i, text in [*enumerate(texts), (None, "no id")]:
+        grams = quality_rules.buckets(np.frombuffer((text or "").encode(), np.uint8))
+        np.add.at(raw, grams, 1)
+        np.add.at(good, grams, int(i is not None and i in trusted_ids))
+    expected = np.log(good / good.sum()) - np.log(raw / raw.sum())
+    assert np.array_equal(quality_rules.log_ratios(docs, trusted), expected)
+
+
 def test_rules_query(spark):
     folder = "/root/testdata/sf0.01"
     docs = {r.doc_id: r.text for r in spark.read.parquet(f"{folder}/documents.parquet").collect()}
