@@ -29,9 +29,12 @@ BLOCK = 400
 TREES = 12
 #: The graph is done when a round renews less than this share of its edges.
 RENEWED = 0.02
-#: Best candidates a query keeps, and of these it expands at a time.
+#: Best candidates a query keeps in a table of up to BEAM_NODES nodes; beyond, the beam grows as their
+#: number to the power BEAM_GROWTH. Of these a query expands one in EXPANDED at a time.
 BEAM = 160
-EXPANDED = 40
+BEAM_NODES = 10_000
+BEAM_GROWTH = 0.6
+EXPANDED = 4
 
 _LISTS = "node bigint, packed binary, ids array<bigint>, scores array<float>, fresh array<boolean>"
 _LIST_SCHEMA = pa.schema(
@@ -226,28 +229,36 @@ def _round(graph: DataFrame, number: int, degree: int) -> DataFrame:
     return placed.repartition("around").sortWithinPartitions("around").mapInArrow(meet, _LISTS)
 
 
-def search(nodes: DataFrame, members: DataFrame, asked: DataFrame, graph: DataFrame, k: int) -> DataFrame:
+def beam_of(n_nodes: int, k: int) -> int:
+    """Candidates that a query keeps. A fixed number would find ever less of a growing table."""
+    return max(ceil(BEAM * max(1.0, n_nodes / BEAM_NODES) ** BEAM_GROWTH), 2 * k)
+
+
+def search(nodes: DataFrame, members: DataFrame, asked: DataFrame, graph: DataFrame, k: int, beam: int | None = None) -> DataFrame:
     """(query_id, rank, vec_id, score) by greedy walks, from a query's own neighbours on.
 
     Each step expands the best unexpanded candidates of every query, and ends
     when the best that a query keeps are all expanded. Here `fresh` means not yet
     expanded. Walks go by vectors in whole numbers of eight bits; the result is ranked by the vectors as given.
+    Without `beam`, what a query keeps grows with the number of nodes.
     """
+    beam = beam or beam_of(nodes.count(), k)
+    at_once = beam // EXPANDED
     ways = cut(_ways(nodes, graph, members), "ways")
     of_query = asked.select(F.col("query").alias("node")).distinct().join(nodes, "node").select(F.col("node").alias("query"), F.col("packed").alias("asked"))
     first = of_query.select("query", F.lit(float("-inf")).cast("float").alias("worst"), "asked", F.col("query").alias("node"))
     met = ["query", "worst", "asked", "others", "codes", "scale"]
     # A beam's `packed` is the query's vector.
     start = _alone(of_query.select(F.col("query").alias("node"), F.col("asked").alias("packed")))
-    beams = cut(_beams(start.union(_scored(first.join(ways, "node").select(*met)))), "beams")
+    beams = cut(_beams(start.union(_scored(first.join(ways, "node").select(*met))), beam), "beams")
     while not beams.filter(F.exists("fresh", lambda x: x)).isEmpty():
         open_ = F.filter("ids", lambda x, i: F.get("fresh", i))
-        worst = F.when(F.size("ids") < BEAM, F.lit(float("-inf")).cast("float")).otherwise(F.array_min("scores"))
-        steps = beams.select(F.col("node").alias("query"), worst.alias("worst"), F.col("packed").alias("asked"), F.explode(F.slice(open_, 1, EXPANDED)).alias("node"))
+        worst = F.when(F.size("ids") < beam, F.lit(float("-inf")).cast("float")).otherwise(F.array_min("scores"))
+        steps = beams.select(F.col("node").alias("query"), worst.alias("worst"), F.col("packed").alias("asked"), F.explode(F.slice(open_, 1, at_once)).alias("node"))
         scored = _scored(steps.join(ways, "node").select(*met))
         up_to = lambda i: F.size(F.filter(F.slice("fresh", 1, i + 1), lambda x: x))
-        left = beams.withColumn("fresh", F.transform("fresh", lambda x, i: x & (up_to(i) > EXPANDED)))
-        moved = cut(_beams(left.union(scored)), "beams")
+        left = beams.withColumn("fresh", F.transform("fresh", lambda x, i: x & (up_to(i) > at_once)))
+        moved = cut(_beams(left.union(scored), beam), "beams")
         drop_cut(beams)
         beams = moved
     return _ranked(beams, members, asked, k)
@@ -314,7 +325,7 @@ def _scored(steps: DataFrame) -> DataFrame:
     return steps.mapInArrow(run, _LISTS)
 
 
-def _beams(lists: DataFrame) -> DataFrame:
+def _beams(lists: DataFrame, beam: int) -> DataFrame:
     """One list of the best for each query, without itself. A node once expanded stays so."""
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -327,7 +338,7 @@ def _beams(lists: DataFrame) -> DataFrame:
                 for i, score, is_open in zip(ids, scores, fresh, strict=True):
                     known = best.get(i)
                     best[i] = (score, is_open and (known is None or known[1]))
-            top = sorted(((i, *b) for i, b in best.items() if i != query), key=lambda b: (-b[1], b[0]))[:BEAM]
+            top = sorted(((i, *b) for i, b in best.items() if i != query), key=lambda b: (-b[1], b[0]))[:beam]
             held.append((query, vector, *(map(list, zip(*top, strict=True)) if top else ([], [], []))))
             if len(held) == 2_000:
                 yield _lists(held)

@@ -56,6 +56,13 @@ def test_a_frequent_vector_and_other_norms(spark):
     assert recall(found, brute(vectors, lambda i: i % 20 == 0)) >= 0.9
 
 
+def test_the_beam_grows_with_the_table():
+    # On 51,282 vectors a beam of 160 finds 0.931 of the neighbours, one of 420 finds 0.982.
+    assert ann.beam_of(51_282, 20) >= 420
+    sizes = [ann.beam_of(n, 20) for n in (1, 10_000, 20_000, 200_000, 10**7)]
+    assert sizes[0] == sizes[1] == 160 and sizes == sorted(sizes) and len(set(sizes)) == 4
+
+
 def test_query_recall(spark):
     folder = "/root/testdata/sf0.1"
     vectors = {r.vec_id: r.embedding for r in spark.read.parquet(f"{folder}/embeddings.parquet").collect()}
