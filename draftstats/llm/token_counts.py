@@ -7,6 +7,7 @@ digests, and only contents the table does not have are encoded, once each.
 
 import hashlib
 import os
+import unicodedata
 from collections.abc import Iterator
 
 import numpy as np
@@ -89,7 +90,8 @@ def counts_of(tokenizer: tokenizers.Tokenizer, texts: list[str], known: dict[byt
     No token spans a blank in a tokenizer that drops white space, so a chunk's
     count holds wherever it stands, and the library is asked once for each.
     Many chunks go into one call, with a mark of one token between them; chunks
-    that hold the mark themselves are encoded alone. `known` keeps counts from
+    that hold the mark themselves, or do once normalised
+    (U+1FEF becomes a backtick), are encoded alone. `known` keeps counts from
     call to call, up to a bound.
     """
     chunked = [text.encode().split() for text in texts]
@@ -98,7 +100,7 @@ def counts_of(tokenizer: tokenizers.Tokenizer, texts: list[str], known: dict[byt
         known.clear()
     together, alone = [], []
     for chunk in set().union(*chunked) - known.keys():
-        (alone if len(mark) != 1 or _MARK.encode() in chunk else together).append(chunk)
+        (alone if len(mark) != 1 or _holds_mark(chunk) else together).append(chunk)
     known.update((c, len(tokenizer.encode(c.decode(), add_special_tokens=False))) for c in alone)
     for at in range(0, len(together), _CHUNKS_AT_ONCE):
         some = together[at : at + _CHUNKS_AT_ONCE]
@@ -107,3 +109,8 @@ def counts_of(tokenizer: tokenizers.Tokenizer, texts: list[str], known: dict[byt
         ends = np.append(np.flatnonzero(ids == mark[0]), len(ids))
         known.update(zip(some, (np.diff(ends, prepend=-1) - 1).tolist(), strict=True))
     return [sum(map(known.__getitem__, text)) for text in chunked]
+
+
+def _holds_mark(chunk: bytes) -> bool:
+    """Whether the mark is in a chunk or in a normal form of it; those of NFC are among those of NFKC."""
+    return _MARK.encode() in chunk or not chunk.isascii() and _MARK in unicodedata.normalize("NFKC", chunk.decode())

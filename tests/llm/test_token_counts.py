@@ -25,6 +25,13 @@ def test_counts_are_the_librarys(texts):
         assert counts_of(TOKENIZER, texts, known) == [library(t) for t in texts]
 
 
+@pytest.mark.parametrize("texts", [["abc", "\u1fef", "def"], ["a\u1fefb `c \u1fef\u0301 d", "e \u1fef"], ["\u1fef` x", "`\u1fef"]])
+def test_a_character_that_normalises_to_the_mark(texts):
+    known = {}
+    assert counts_of(TOKENIZER, texts, known) == [library(t) for t in texts]
+    assert all(n == library(chunk.decode()) for chunk, n in known.items())
+
+
 def test_nulls_empty_long_repeated_and_clashing_columns(spark, tmp_path):
     texts = [None, "", "  \n", "a b", "a  b ", "a\tb", "word " * 50_000, "x" * 30_000, "a b"]
     docs = spark.createDataFrame([(i // 2 or None, t, "x", "y") for i, t in enumerate(texts)], SCHEMA)
