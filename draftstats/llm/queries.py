@@ -4,7 +4,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, chat, mixing, ngram_join, packing, pii, quality_classifier, quality_rules, suffix_dedup, token_counts
+from . import (
+    ann,
+    chat,
+    collocations,
+    lexical_search,
+    mixing,
+    ngram_join,
+    online_packing,
+    packing,
+    pii,
+    quality_classifier,
+    quality_rules,
+    suffix_dedup,
+    token_counts,
+)
 from .common import new_folder
 
 
@@ -86,5 +100,40 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (op1_token_counts, op2_nearest_neighbours, op3_suffix_dedup, op4_best_fit_packing, op5_quality_rules, op6_source_mixing, op7_quality_classifier, op8_chat_formatting, op9_ngram_join, op10_pii)}
-SQL = {"op6_source_mixing": mixing.taken_sql(), "op9_ngram_join": ngram_join.linked_documents_sql(NEAR)}
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    index = lexical_search.index(table(spark, sf_dir, "documents"))
+    return lexical_search.search(index, table(spark, sf_dir, "benchmark"), k=10)
+
+
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"), least=30, top=2000)
+
+
+def op13_online_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return online_packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_token_counts,
+        op2_nearest_neighbours,
+        op3_suffix_dedup,
+        op4_best_fit_packing,
+        op5_quality_rules,
+        op6_source_mixing,
+        op7_quality_classifier,
+        op8_chat_formatting,
+        op9_ngram_join,
+        op10_pii,
+        op11_lexical_search,
+        op12_collocations,
+        op13_online_packing,
+    )
+}
+SQL = {
+    "op6_source_mixing": mixing.taken_sql(),
+    "op9_ngram_join": ngram_join.linked_documents_sql(NEAR),
+    "op11_lexical_search": lexical_search.search_sql(),
+    "op12_collocations": collocations.collocations_sql(),
+}
