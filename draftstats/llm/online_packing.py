@@ -14,6 +14,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import tokenizers
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -25,9 +26,11 @@ END = 1
 # Windows that a partition keeps open, and partitions whose open windows one task packs again.
 OPEN = 64
 MERGED = 64
-# Distinct chunks of text whose ids a task keeps at hand, and texts it encodes at a time.
+# Distinct words whose ids a task keeps at hand, and bytes of texts it encodes at a time.
 _KNOWN = 400_000
-_TEXTS_AT_ONCE = 500
+_BYTES_AT_ONCE = 8 << 20
+# Letters to every Unicode version that stay one letter each in lower case, so not U+0130.
+_LETTERS = "A-Za-zÀ-ÖØ-öø-įı-ɏ"
 
 _PIECE = "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, sequence_id bigint, offset bigint"
 _HANDED_ON = "ids binary, part bigint, place bigint"
@@ -37,63 +40,77 @@ _SCHEMA = pa.schema(
 
 
 class Encoder:
-    """Ids of whole texts, for tokenizers that split texts at blanks and drop these.
+    """Ids of whole texts, for tokenizers that split texts at blanks, drop these and end words with a suffix.
 
     No token spans a blank, so the ids of a text are those of its chunks between
-    ASCII blanks one after the other, and the library is asked for each distinct
-    chunk once. A word and one closing mark after it are two tokens' worth of
-    text as well, so the word is what is looked up.
+    ASCII blanks one after the other. Most chunks are a word of letters, some
+    with a mark after it, which is a word of its own to the tokenizer; case does
+    not matter to it. The library is asked for each distinct word once.
     """
 
     def __init__(self, path: str):
         # Cores are Spark's to share out.
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self._library = tokenizers.Tokenizer.from_file(path)
+        suffix = self._library.model.end_of_word_suffix or ""
+        ends = [i for token, i in self._library.get_vocab(False).items() if suffix and token.endswith(suffix)]
+        self._ends = np.zeros(self._library.get_vocab_size() + 1, bool)
+        self._ends[ends] = True
         self._forget()
 
-    def encode(self, texts: list[str]) -> Iterator[np.ndarray]:
-        chunked = [text.encode().split() for text in texts]
+    def encode(self, texts: pa.Array) -> Iterator[np.ndarray]:
+        """Each text's ids; a null is empty."""
+        lists = pc.ascii_split_whitespace(pc.fill_null(texts, "").cast(pa.large_string()))
+        chunks = lists.flatten().dictionary_encode()
+        words, marks = _words(chunks.dictionary)
         if len(self._codes) > _KNOWN:
             self._forget()
-        self._learn(set().union(*chunked) - self._codes.keys())
-        for chunks in chunked:
-            codes = np.fromiter(map(self._codes.__getitem__, chunks), np.int64, len(chunks))
-            first, n = self._starts[codes], self._starts[codes + 1] - self._starts[codes]
-            ends = np.cumsum(n)
-            yield self._ids[np.arange(ends[-1] if len(ends) else 0) + np.repeat(first - ends + n, n)]
+        words, marks = self._coded(words), self._coded(marks)
+        # A chunk is its word and its mark, of which either may be empty.
+        codes = np.stack([words, marks], 1)[chunks.indices.to_numpy()].ravel()
+        first, n = self._starts[codes], self._starts[codes + 1] - self._starts[codes]
+        ends = np.cumsum(n)
+        ids = self._ids[np.arange(n.sum()) + np.repeat(first - ends + n, n)]
+        edges = np.append(0, ends)[2 * (lists.offsets.to_numpy() - lists.offsets[0].as_py())]
+        for i, j in zip(edges[:-1], edges[1:], strict=True):
+            yield ids[i:j]
 
     def _forget(self) -> None:
-        self._codes: dict[bytes, int] = {}
-        self._words: dict[bytes, list[int]] = {}
-        self._ids, self._starts = np.zeros(0, "<u4"), np.zeros(1, np.int64)
-
-    def _learn(self, chunks: set[bytes]) -> None:
-        words = set(map(_word, chunks)) | {chunk[-1:] for chunk in chunks if _closes(chunk)}
-        new = list(words - self._words.keys())
-        found = self._library.encode_batch_fast([word.decode() for word in new], add_special_tokens=False)
-        self._words.update(zip(new, (encoding.ids for encoding in found), strict=True))
-        ids, sizes = [], []
-        for chunk in chunks:
-            own = self._words[_word(chunk)]
-            if _closes(chunk):
-                own = own + self._words[chunk[-1:]]
-            self._codes[chunk] = len(self._codes)
-            ids += own
-            sizes.append(len(own))
-        self._starts = np.append(self._starts, self._starts[-1] + np.cumsum(np.array(sizes, np.int64)))
-        self._ids = np.append(self._ids, np.array(ids, "<u4"))
-
-
-def _closes(chunk: bytes) -> bool:
-    """Whether a chunk is ASCII letters and one closing mark."""
-    return chunk[-1:] in b".,;:!?" and chunk[:-1].isalpha()
-
-
-def _word(chunk: bytes) -> bytes:
-    """What is looked up for a chunk: ASCII letters in lower case, without a closing mark; other chunks as they are."""
-    if chunk.isalpha():
-        return chunk.lower()
-    return chunk[:-1].lower() if _closes(chunk) else chunk
+        self._codes = {"": 0}
+        self._ids, self._starts = np.zeros(0, "<u4"), np.zeros(2, np.int64)
+
+    def _coded(self, words: pa.Array) -> np.ndarray:
+        found = words.dictionary_encode()
+        distinct = found.dictionary.to_pylist()
+        new = [word for word in distinct if word not in self._codes]
+        # Marks and the like are few; words of letters take one call together.
+        for some, encode in (([w for w in new if w.isalpha()], self._together), ([w for w in new if not w.isalpha()], self._alone)):
+            ids, sizes = encode(some)
+            self._codes.update(zip(some, range(len(self._codes), len(self._codes) + len(some)), strict=True))
+            self._starts = np.append(self._starts, self._starts[-1] + np.cumsum(sizes))
+            self._ids = np.append(self._ids, ids)
+        known = np.fromiter(map(self._codes.__getitem__, distinct), np.int64, len(distinct))
+        return known[found.indices.to_numpy()]
+
+    def _together(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        (found,) = self._library.encode_batch_fast([" ".join(words)], add_special_tokens=False)
+        ids = np.array(found.ids, "<u4")
+        ends = np.flatnonzero(self._ends[ids]) + 1
+        # One id ends each word, unless one is several to the tokenizer, as some letters in lower case are.
+        return (ids, np.diff(ends, prepend=0)) if len(ends) == len(words) else self._alone(words)
+
+    def _alone(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        found = [encoding.ids for encoding in self._library.encode_batch_fast(words, add_special_tokens=False)]
+        return np.array([i for ids in found for i in ids], "<u4"), np.array([len(ids) for ids in found], np.int64)
+
+
+def _words(chunks: pa.Array) -> tuple[pa.Array, pa.Array]:
+    """The word of each chunk, and the mark after it or nothing. Chunks that are not letters and a mark stay whole."""
+    closed = pc.match_substring_regex(chunks, f"^[{_LETTERS}]+[.,;:!?]$")
+    plain = pc.match_substring_regex(chunks, f"^[{_LETTERS}]+$")
+    body = pc.if_else(closed, pc.utf8_slice_codeunits(chunks, 0, -1), chunks)
+    words = pc.if_else(pc.or_(closed, plain), pc.ascii_lower(body), chunks)
+    return words, pc.if_else(closed, pc.utf8_slice_codeunits(chunks, -1), pa.scalar("", chunks.type))
 
 
 class Windows:
@@ -205,13 +222,20 @@ def _merge(left: DataFrame, round_no: int, is_last: bool, capacity: int, windows
 
 def _documents(batches: Iterable[pa.RecordBatch], encoder: Encoder) -> Iterator[tuple[int | None, np.ndarray]]:
     for batch in batches:
-        for at in range(0, batch.num_rows, _TEXTS_AT_ONCE):
-            part = batch.slice(at, _TEXTS_AT_ONCE)
-            texts = [text or "" for text in part.column(1).to_pylist()]
-            for doc_id, ids in zip(part.column(0).to_pylist(), encoder.encode(texts), strict=True):
+        for part in _slices(batch):
+            for doc_id, ids in zip(part.column(0).to_pylist(), encoder.encode(part.column(1)), strict=True):
                 yield doc_id, np.append(ids, np.array([END], "<u4"))
 
 
+def _slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """Parts of a batch of a bounded number of bytes; a longer text is a part of its own."""
+    sizes = pc.fill_null(pc.binary_length(batch.column(1)), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    number = (np.cumsum(sizes) - sizes) // _BYTES_AT_ONCE
+    starts = np.flatnonzero(np.diff(number, prepend=-1))
+    for i, j in zip(starts, [*starts[1:], batch.num_rows], strict=True):
+        yield batch.slice(i, j - i)
+
+
 def _emitted(full: Iterable[tuple[int, list[tuple]]], round_no: int, part: int) -> Iterator[tuple]:
     """Rows of full windows. Rounds, tasks and windows number the sequences."""
     for window, pieces in full:

@@ -3,6 +3,7 @@ from collections import defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tokenizers
 from hypothesis import given, settings
@@ -49,20 +50,30 @@ def check(found, texts, capacity=2048):
         st.one_of(
             st.text(),
             st.text("aBcΣς é's.,;!``́\t\n\x0b\x85\xa0　1<|>"),
-            st.sampled_from(["a <|endoftext|> b", "<|ENDOFTEXT|>", "Word, word. WORD; it's", "Word,. x,y"]),
+            st.sampled_from(["a <|endoftext|> b", "<|ENDOFTEXT|>", "Word, word. WORD; it's", "Word,. x,y", "İstanbul ΑΣ. ΑΣ ǅ ﬁ ª", "é é é, é"]),
         ),
         max_size=5,
     )
 )
 def test_ids_are_the_librarys(texts):
-    assert [i.tolist() for i in ENCODER.encode(texts)] == [ids(t)[:-1] for t in texts]
+    assert [i.tolist() for i in ENCODER.encode(pa.array(texts, pa.string()))] == [ids(t)[:-1] for t in texts]
+
+
+def test_slices_of_a_batch(monkeypatch):
+    monkeypatch.setattr(online_packing, "_BYTES_AT_ONCE", 10)
+    texts = ["abc", None, "", "x" * 35, "de", "f" * 9, None, "g"]
+    batch = pa.record_batch([pa.array(range(8)), pa.array(texts)], ["doc_id", "text"])
+    parts = list(online_packing._slices(batch))
+    assert sum((p.column(1).to_pylist() for p in parts), []) == texts and len(parts) > 2
+    found = dict(online_packing._documents([batch, batch.slice(2, 3)], ENCODER))
+    assert {i: d.tolist() for i, d in found.items()} == {i: ids(t) for i, t in enumerate(texts)}
 
 
 def test_ids_stay_right_once_chunks_are_forgotten(monkeypatch):
     monkeypatch.setattr(online_packing, "_KNOWN", 3)
     encoder = online_packing.Encoder(PATH)
     for text in ("one two three, four", "five one. two", "", "three six one"):
-        assert [i.tolist() for i in encoder.encode([text])] == [ids(text)[:-1]]
+        assert [i.tolist() for i in encoder.encode(pa.array([text]))] == [ids(text)[:-1]]
 
 
 @settings(deadline=None, max_examples=200)
