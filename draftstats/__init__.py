@@ -1,5 +1,5 @@
 """draftstats: match-draft, item and job statistics as plain Spark jobs."""
 
-from .operators import distribution, draft, ingest, items, stages
+from .operators import distribution, draft, ingest, items, landed, stages
 
-__all__ = ["distribution", "draft", "ingest", "items", "stages"]
+__all__ = ["distribution", "draft", "ingest", "items", "landed", "stages"]

@@ -1,5 +1,5 @@
 """DataFrame -> DataFrame operators: lazy, no actions, no Python UDFs."""
 
-from . import distribution, draft, ingest, items, stages
+from . import distribution, draft, ingest, items, landed, stages
 
-__all__ = ["distribution", "draft", "ingest", "items", "stages"]
+__all__ = ["distribution", "draft", "ingest", "items", "landed", "stages"]

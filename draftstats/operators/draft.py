@@ -9,6 +9,8 @@ strict  what inner-joining separately counted picks and wins gives: picks and
         won; null heroes and null teams match nothing; absent bans are null.
 """
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -26,15 +28,15 @@ def picks_bans_flat(matches: DataFrame) -> DataFrame:
     return events.select("event.*", *_side_of("event.team"))
 
 
-def draft_events(matches: DataFrame) -> DataFrame:
-    """`picks_bans_flat` without order and team number: what the statistics count.
+def draft_events(matches: DataFrame, kept: Sequence[str] = ()) -> DataFrame:
+    """`picks_bans_flat` without order and team number: what the statistics count. `kept` columns of the match stay.
 
     An exploded struct is scanned with all its fields. Zipping the arrays of the
     three counted fields keeps the fourth out of the scan.
     """
     counted = F.arrays_zip("picks_bans.hero_id", "picks_bans.is_pick", "picks_bans.team")
-    events = matches.select(F.explode(counted).alias("event"), *_HEADER)
-    return events.select("event.hero_id", "event.is_pick", *_side_of("event.team"))
+    events = matches.select(F.explode(counted).alias("event"), *_HEADER, *kept)
+    return events.select("event.hero_id", "event.is_pick", *_side_of("event.team"), *kept)
 
 
 def _side_of(team: str) -> list[Column]:
@@ -75,9 +77,14 @@ def hero_counts(flat: DataFrame) -> DataFrame:
     return flat.groupBy("hero_id").agg(*_event_counts())
 
 
-def hero_team_counts(flat: DataFrame) -> DataFrame:
-    """All four counts per (hero, team). Everything else below derives from this."""
-    return flat.groupBy("hero_id", "teamname").agg(*_event_counts())
+def hero_team_counts(flat: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """All four counts per (hero, team), and `by` further columns. Everything else below derives from this."""
+    return flat.groupBy("hero_id", "teamname", *by).agg(*_event_counts())
+
+
+def merged_counts(parts: DataFrame) -> DataFrame:
+    """`hero_team_counts` of all matches from those of disjoint parts."""
+    return parts.groupBy("hero_id", "teamname").agg(*_summed_counts())
 
 
 def roll_up_heroes(team_counts: DataFrame) -> DataFrame:

@@ -41,6 +41,19 @@ def new_listing_rows(listing: DataFrame, known: DataFrame | None) -> DataFrame:
     return rows.groupBy(*_LISTED).agg(F.max("is_known").alias("is_known")).filter(~F.col("is_known")).select(*_LISTED)
 
 
+def new_listing_objects(listing: DataFrame, known: DataFrame | None) -> DataFrame:
+    """(match_id, leagueid, listing): `new_listing_rows` with the whole object; of several the first by its text.
+
+    Objects of different text for one match and league are copies like any other.
+    """
+    text = F.to_json("listing").alias("text")
+    rows = listing.select(*_LISTED, text, F.lit(False).alias("is_known"))
+    if known is not None:
+        rows = rows.unionByName(known.select(*_LISTED, F.lit(True).alias("is_known")), allowMissingColumns=True)
+    first = rows.groupBy(*_LISTED).agg(F.max("is_known").alias("is_known"), F.min("text").alias("text"))
+    return first.filter(~F.col("is_known")).select(*_LISTED, F.parse_json("text").alias("listing"))
+
+
 def pending_matches(listing: DataFrame, landed: DataFrame | None) -> DataFrame:
     """Listed match ids without a landed document. A row without id cannot be landed.
 

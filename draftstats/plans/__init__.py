@@ -1,6 +1,19 @@
 """Whole jobs: which intermediate result is written once and what is read from it."""
 
-from .landing import Landing, land_listing, land_matches
-from .reports import draft_report, item_report, job_report
+from .landing import Landing, Listed, compact, compact_index, land_listing, land_matches, pending
+from .reports import counts_of_landings, draft_report, draft_report_of_counts, item_report, job_report
 
-__all__ = ["Landing", "draft_report", "item_report", "job_report", "land_listing", "land_matches"]
+__all__ = [
+    "Landing",
+    "Listed",
+    "compact",
+    "compact_index",
+    "counts_of_landings",
+    "draft_report",
+    "draft_report_of_counts",
+    "item_report",
+    "job_report",
+    "land_listing",
+    "land_matches",
+    "pending",
+]

@@ -2,17 +2,19 @@
 
 from .job_metrics import read_event_log, read_stage_records
 from .leagues import LEAGUE_IDS
-from .listing import read_listing
+from .listing import listing_objects, read_listing, read_listing_objects
 from .matches import DRAFT_FIELDS, malformed_matches, parse_matches, read_landed, read_match_lines, read_matches
 
 __all__ = [
     "DRAFT_FIELDS",
     "LEAGUE_IDS",
+    "listing_objects",
     "malformed_matches",
     "parse_matches",
     "read_event_log",
     "read_landed",
     "read_listing",
+    "read_listing_objects",
     "read_match_lines",
     "read_matches",
     "read_stage_records",

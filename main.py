@@ -3,6 +3,7 @@
 listing    append what is new in the league listings of a JSON folder to a listing table
 pending    ids of a listing table without a document in the match table --matches
 land       append the new match documents of a JSON folder to a Parquet table
+compact    merge the small files of a match table, --output
 malformed  lines of a JSON folder that could not be read in full
 draft      hero and team statistics of a match table or JSON folder
 items      item statistics of a match table or JSON folder
@@ -14,14 +15,24 @@ import argparse
 from pyspark.sql import SparkSession
 
 from draftstats.operators import stages
-from draftstats.operators.ingest import of_league, of_leagues, pending_matches
-from draftstats.plans import draft_report, item_report, job_report, land_listing, land_matches
+from draftstats.operators.ingest import of_league, pending_matches
+from draftstats.plans import (
+    compact,
+    compact_index,
+    draft_report,
+    item_report,
+    job_report,
+    land_listing,
+    land_matches,
+    pending,
+)
 from draftstats.sinks import write_stats
 from draftstats.sources import (
     LEAGUE_IDS,
     malformed_matches,
     read_event_log,
     read_listing,
+    read_listing_objects,
     read_matches,
     read_stage_records,
 )
@@ -36,19 +47,11 @@ SMALL_FILES = {
     "spark.sql.files.openCostInBytes": "65536",
     "spark.sql.files.maxPartitionBytes": "1g",
 }
-# Landing shuffles whole documents. Start with many partitions and let AQE merge
-# them up to the advisory size, which is also the size of a file.
-WHOLE_DOCUMENTS = {
-    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "8192",
-    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
-    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
-}
-
 
 def main(argv: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(description=__doc__, formatter_class=argparse.RawDescriptionHelpFormatter)
-    parser.add_argument("job", choices=["listing", "pending", "land", "malformed", "draft", "items", "job"])
-    parser.add_argument("--input", required=True, help="path or glob")
+    parser.add_argument("job", choices=["listing", "pending", "land", "compact", "malformed", "draft", "items", "job"])
+    parser.add_argument("--input", help="path or glob; needed by all jobs but compact")
     parser.add_argument("--output", required=True)
     parser.add_argument("--mode", choices=["full", "strict"], default="full", help="convention of the draft report")
     parser.add_argument("--format", default="parquet", help="format of the written results")
@@ -57,12 +60,15 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--compressed", action="store_true", help="job: the event logs are compressed with zstd")
     parser.add_argument("--records", action="store_true", help="the input is dumped stage records, not event logs")
     parser.add_argument("--leagues", type=int, nargs="*", default=list(LEAGUE_IDS), help="listing: leagues to keep")
+    parser.add_argument("--ids-only", action="store_true", help="listing: keep match and league ids, not whole objects")
     parser.add_argument("--matches", help="pending: the match table")
     parser.add_argument("--unique", action="store_true", help="land: no match occurs twice in the input")
     parser.add_argument("--checkpoint", help="land: folder that remembers the files of earlier runs, to skip them")
     parser.add_argument("--max-files", type=int, help="land with --checkpoint: files per batch")
     parser.add_argument("--multi-line", action="store_true", help="listing, --records: each file is one pretty-printed value")
     args = parser.parse_args(argv)
+    if not args.input and args.job != "compact":
+        parser.error(f"--input is needed for {args.job}")
     if args.failfast and (args.job == "malformed" or args.checkpoint):
         parser.error("--failfast keeps no rejects: not for malformed, nor for land with --checkpoint")
     if args.landed and args.job in ("land", "malformed"):
@@ -71,28 +77,37 @@ def main(argv: list[str] | None = None) -> None:
     spark = SparkSession.builder.appName(f"draftstats-{args.job}").getOrCreate()
     if args.job == "job":
         if args.records:
-            found = stages.stages_from_records(read_stage_records(spark, args.input, args.multi_line))
-        else:
-            found = stages.stages_from_log(read_event_log(spark, args.input, args.compressed))
-        job_report(found, args.output, fmt=args.format)
+            job_report(stages.stages_from_records(read_stage_records(spark, args.input, args.multi_line)), args.output, fmt=args.format)
+            return
+        events = read_event_log(spark, args.input, args.compressed)
+        job_report(stages.stages_from_log(events), args.output, fmt=args.format)
+        write_stats(stages.unread_lines(events), f"{args.output}/unread_lines", args.format)
         return
 
     if args.job == "listing":
-        listing = read_listing(spark, args.input, args.multi_line)
+        read = read_listing if args.ids_only else read_listing_objects
+        listing = read(spark, args.input, args.multi_line)
         if len(args.leagues) == 1:
             listing = of_league(listing, args.leagues[0])
-        land_listing(of_leagues(listing, args.leagues), args.output)
+        print(land_listing(listing, args.output, args.leagues))
         return
     if args.job == "pending":
+        listing = spark.read.parquet(args.input)
         # A path that is given must be there: a mistyped one would make all matches pending.
         landed = spark.read.parquet(args.matches) if args.matches else None
-        write_stats(pending_matches(spark.read.parquet(args.input), landed), args.output, args.format)
+        if landed is not None and "batch" in landed.columns:
+            found = pending(listing, args.matches)
+        else:
+            found = pending_matches(listing, landed)
+        write_stats(found, args.output, args.format)
+        return
+    if args.job == "compact":
+        print(f"eras rewritten: {compact(spark, args.output)}")
+        compact_index(spark, args.output)
         return
 
     if not args.landed:
         set_defaults(spark, SMALL_FILES)
-    if args.job == "land":
-        set_defaults(spark, WHOLE_DOCUMENTS)
     if args.job == "land" and args.checkpoint:
         landing = land_new_files(spark, args.input, args.output, args.checkpoint, args.max_files, args.unique)
         landing.awaitTermination()

@@ -5,8 +5,8 @@ import time
 from conftest import FIRST, event, rows
 
 from draftstats.operators import draft, ingest
-from draftstats.plans import Landing, land_listing, land_matches
-from draftstats.sources import LEAGUE_IDS, read_landed, read_matches
+from draftstats.plans import Landing, Listed, land_listing, land_matches
+from draftstats.sources import LEAGUE_IDS, read_landed, read_listing_objects, read_matches
 from draftstats.streaming import land_new_files
 
 
@@ -33,6 +33,38 @@ def test_listing_table_only_grows(spark, tmp_path):
     assert rows(read_landed(spark, table)) == [(1, 16169), (2, 16169), (2, 16201), (3, 16169)]
 
 
+def objects_in(folder, name, *lines):
+    folder.mkdir(exist_ok=True)
+    (folder / name).write_text("\n".join(line if isinstance(line, str) else json.dumps(line) for line in lines))
+    return str(folder)
+
+
+GAME = {"match_id": 1, "leagueid": 16169, "radiant_name": "A", "series": {"id": 5, "games": [1, 2]}, "note": None}
+
+
+def test_listing_objects_come_back_whole(spark, tmp_path):
+    both = [{**GAME, "match_id": 2, "extra": "é"}, {"match_id": 3, "leagueid": "x", "duration": 2.5}]
+    path = objects_in(tmp_path / "in", "a.json", GAME, both, "{not json", [], {"leagueid": 16169})
+    found = read_listing_objects(spark, path)
+    listed = {r.match_id: (r.leagueid, json.loads(r.text)) for r in found.selectExpr("*", "to_json(listing) AS text").collect()}
+    assert listed == {1: (16169, GAME), 2: (16169, both[0]), 3: (None, both[1]), None: (16169, {"leagueid": 16169})}
+    pretty = tmp_path / "pretty.json"
+    pretty.write_text(json.dumps(both, indent=2))
+    assert rows(read_listing_objects(spark, str(pretty), multi_line=True).select("match_id")) == [(2,), (3,)]
+
+
+def test_listing_table_keeps_objects_and_counts_those_without_a_league(spark, tmp_path):
+    table = str(tmp_path / "table")
+    first = objects_in(tmp_path / "a", "a.json", [GAME, {**GAME, "note": "copy"}, {"match_id": 9}])
+    assert land_listing(read_listing_objects(spark, first), table, LEAGUE_IDS) == Listed(3, 0, 1)
+    again = objects_in(tmp_path / "b", "a.json", {**GAME, "note": "later"}, {**GAME, "match_id": 4}, {**GAME, "leagueid": 5}, {"leagueid": 1})
+    assert land_listing(read_listing_objects(spark, again), table, LEAGUE_IDS) == Listed(4, 1, 0)
+    found = read_landed(spark, table)
+    texts = {r.match_id: json.loads(r.text) for r in found.selectExpr("match_id", "to_json(listing) AS text").collect()}
+    assert texts == {1: {**GAME, "note": "copy"}, 4: {**GAME, "match_id": 4}}
+    assert rows(ingest.pending_matches(found, None)) == [(1,), (4,)]
+
+
 def test_pending(spark):
     both = ingest.listing_union(listing(spark, [1, 2, 3]), listing(spark, [3, 4]))
     landed = spark.createDataFrame([(2,), (2,), (9,)], "match_id bigint")

@@ -1,0 +1,174 @@
+"""The index of landed ids, landing in two phases, compaction."""
+
+import json
+import os
+import re
+
+import pytest
+from conftest import FIRST, event, rows
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from draftstats.operators import ingest, landed
+from draftstats.plans import compact, compact_index, land_matches, landing, pending
+from draftstats.sources import read_landed, read_matches
+
+few = settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+ids = st.one_of(st.integers(-70_000, 70_000), st.sampled_from([0, 1, 32768, 32769, -32768, 2**62, -(2**62), 2**63 - 1]))
+
+
+def frame(spark, values):
+    return spark.createDataFrame([(v,) for v in values], "match_id bigint")
+
+
+@few
+@given(st.lists(ids | st.none(), max_size=40), st.lists(ids | st.none(), max_size=40), st.lists(ids, max_size=10))
+def test_index_against_sets(spark, first, second, asked):
+    index = landed.index_of(frame(spark, first)).unionByName(landed.index_of(frame(spark, second)))
+    have = {*first, *second} - {None}
+    assert rows(landed.ids_of(index)) == [(v,) for v in sorted(have)]
+    asked = [*asked, *first[:5], None]
+    missing = [(v,) for v in asked if v not in have]
+    assert rows(landed.not_landed(frame(spark, asked), index)) == sorted(missing, key=lambda r: (r[0] is not None, r[0]))
+    assert rows(landed.pending(frame(spark, asked), index)) == [(v,) for v in sorted({v for (v,) in missing if v is not None})]
+    assert sum(r.ids for r in landed.bucket_sizes(index).collect()) == len(have)
+
+
+def test_merging_twice_changes_nothing(spark):
+    index = landed.index_of(spark.range(0, 100_000, 3).withColumnRenamed("id", "match_id"))
+    once = landed.merged(index)
+    assert rows(landed.merged(once.unionByName(index).unionByName(once))) == rows(once)
+
+
+def test_index_at_volume_equals_the_anti_join(spark):
+    have = spark.range(0, 400_000).selectExpr("id * 7919 % 1000003 AS match_id")
+    listing = spark.range(0, 300_000).selectExpr("CASE WHEN id % 3 = 0 THEN 12 ELSE id * 5 END AS match_id")
+    found, plain = landed.pending(listing, landed.index_of(have)), ingest.pending_matches(listing, have)
+    assert found.exceptAll(plain).isEmpty() and plain.exceptAll(found).isEmpty() and not plain.isEmpty()
+
+
+def test_pending_reads_the_index_and_not_the_matches(spark, match_dir, tmp_path):
+    table = str(tmp_path / "table")
+    land_matches(read_matches(spark, match_dir), table)
+    found = pending(frame(spark, [1, 2, 7, 7, None]), table)
+    assert rows(found) == [(7,)]
+    assert found.inputFiles() and all("/table_index/" in name for name in found.inputFiles())
+
+
+def lines_of(folder, name, docs):
+    folder.mkdir(exist_ok=True)
+    (folder / name).write_text("\n".join(json.dumps(d) for d in docs))
+    return str(folder)
+
+
+def doc(match_id, hero):
+    return {**FIRST, "match_id": match_id, "picks_bans": [event(hero, True, 0)]}
+
+
+def heroes(spark, table):
+    return rows(read_landed(spark, table).select("match_id", F.col("picks_bans")[0]["hero_id"]))
+
+
+def test_the_input_is_read_once_and_no_document_is_exchanged(spark, tmp_path):
+    folder = lines_of(tmp_path / "in", "a.json", [doc(i % 40, i) for i in range(200)])
+    table, scans = str(tmp_path / "table"), spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            scans.add(batch.num_rows)
+            yield batch
+
+    docs = read_matches(spark, folder)
+    assert land_matches(docs.mapInArrow(counted, docs.schema), table).lines == 200
+    assert scans.value == 200
+    assert len(heroes(spark, table)) == 40
+    docs.write.parquet(str(tmp_path / "staged"))
+    staged = spark.read.parquet(str(tmp_path / "staged")).select("*", *landing._place())
+    narrow = staged.select("match_id", "source_file", "file_named", F.lit(None).cast("string").alias("content"), *landed.PLACE)
+    chosen = landed.chosen(landed.candidates(narrow), None)
+    plan = landed.marked(staged, F.broadcast(landed.marks(chosen)))._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange hashpartitioning" in plan and "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+    # Of the two scans one has documents, and no exchange but the broadcast of the other above it.
+    scans = re.findall(r"ReadSchema: (\S+)", plan)
+    assert sorted("picks_bans" in scan for scan in scans) == [False, True]
+
+
+def test_marks_go_file_by_file_when_they_are_too_many(spark, tmp_path, monkeypatch):
+    for i in range(6):
+        folder = lines_of(tmp_path / "in", f"{i}.json", [doc(10 * i + j, j) for j in range(5)] * 2)
+    monkeypatch.setattr(landing, "MARKS_BYTES", 4096)
+    table = str(tmp_path / "table")
+    docs = read_matches(spark, folder).repartition(5)
+    land_matches(docs, table)
+    assert heroes(spark, table) == [(10 * i + j, j) for i in range(6) for j in range(5)]
+    assert sorted(os.listdir(table + "_staged")) == []
+
+
+def test_the_first_file_of_a_match_wins_and_landed_ones_stay(spark, tmp_path):
+    lines_of(tmp_path / "b", "x.json", [doc(1, 11), doc(2, 12)])
+    lines_of(tmp_path / "a", "x.json", [doc(2, 22), doc(3, 23)])
+    table = str(tmp_path / "table")
+    land_matches(read_matches(spark, str(tmp_path / "b")), table)
+    land_matches(read_matches(spark, [str(tmp_path / "a"), str(tmp_path / "b")]), table)
+    assert heroes(spark, table) == [(1, 11), (2, 12), (3, 23)]
+    assert rows(read_landed(spark, table).select("match_id", "batch")) == [(1, 0), (2, 0), (3, 1)]
+
+
+def test_a_landing_that_ended_before_it_was_indexed(spark, tmp_path, monkeypatch):
+    folder, table = lines_of(tmp_path / "in", "x.json", [doc(1, 1), doc(2, 2)]), str(tmp_path / "table")
+    land_matches(read_matches(spark, lines_of(tmp_path / "first", "x.json", [doc(9, 9)])), table)
+    index = landing._index_batches
+    monkeypatch.setattr(landing, "_index_batches", lambda s, t, last: index(s, t, last) if last < 0 else (_ for _ in ()).throw(OSError()))
+    with pytest.raises(OSError):
+        land_matches(read_matches(spark, folder), table)
+    monkeypatch.undo()
+    land_matches(read_matches(spark, folder), table)
+    assert heroes(spark, table) == [(1, 1), (2, 2), (9, 9)]
+    assert rows(landed.ids_of(landing.read_index(spark, table))) == [(1,), (2,), (9,)]
+
+
+def test_landing_nothing_and_tables_of_another_kind(spark, tmp_path):
+    table = str(tmp_path / "table")
+    folder = lines_of(tmp_path / "in", "1.json", [])
+    (tmp_path / "in" / "1.json").write_text("not json")
+    assert land_matches(read_matches(spark, folder), table).unreadable == 1
+    assert rows(pending(frame(spark, [1]), table)) == [(1,)]
+    frame(spark, [1]).write.parquet(str(tmp_path / "other"))
+    with pytest.raises(ValueError):
+        land_matches(read_matches(spark, folder), str(tmp_path / "other"))
+
+
+def files_of(table):
+    return {os.path.join(d, f) for d, _, names in os.walk(table) for f in names if f.endswith(".parquet")}
+
+
+def test_compaction_after_many_small_landings(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(landing, "BATCHES_PER_ERA", 4)
+    table = str(tmp_path / "table")
+    for i in range(10):
+        docs = spark.createDataFrame([(10 * i + j, "f", j) for j in range(8)], "match_id bigint, source_file string, hero int")
+        land_matches(docs.repartition(4), table)
+    before, index = rows(spark.read.parquet(table)), rows(landed.ids_of(landing.read_index(spark, table)))
+    assert len(files_of(table)) > 20
+    assert compact(spark, table) == [0, 1, 2]
+    assert rows(spark.read.parquet(table)) == before and len(files_of(table)) == 3
+    left = files_of(table)
+    assert compact(spark, table) == [] and files_of(table) == left
+    compact_index(spark, table)
+    compact_index(spark, table)
+    assert len(os.listdir(f"{table}_index")) <= 3
+    assert rows(landed.ids_of(landing.read_index(spark, table))) == index
+    land_matches(spark.createDataFrame([(5, "f", 0), (500, "f", 0)], "match_id bigint, source_file string, hero int"), table)
+    assert rows(spark.read.parquet(table).filter("batch = 10").select("match_id")) == [(500,)]
+
+
+def test_compaction_bounds_the_size_of_files(spark, tmp_path):
+    table = str(tmp_path / "table")
+    docs = spark.range(20_000).selectExpr("id AS match_id", "'f' AS source_file", "repeat(sha2(cast(id AS string), 256), 4) AS hero")
+    land_matches(docs.repartition(32), table)
+    total = sum(map(os.path.getsize, files_of(table)))
+    compact(spark, table, total // 4)
+    sizes = [os.path.getsize(f) for f in files_of(table)]
+    assert len(sizes) in (4, 5) and max(sizes) < total // 2
+    assert spark.read.parquet(table).count() == 20_000

@@ -11,7 +11,7 @@ from draftstats.sources import read_matches
 
 @pytest.fixture(autouse=True)
 def keep_settings(spark):
-    before = {key: spark.conf.get(key, None) for key in {**main.SMALL_FILES, **main.WHOLE_DOCUMENTS}}
+    before = {key: spark.conf.get(key, None) for key in main.SMALL_FILES}
     yield
     for key, value in before.items():
         spark.conf.unset(key) if value is None else spark.conf.set(key, value)

@@ -1,10 +1,12 @@
 import os
 
+import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
 from draftstats.operators import draft, items, stages
-from draftstats.plans import draft_report, item_report, job_report
+from draftstats import sinks
+from draftstats.plans import compact, counts_of_landings, draft_report, draft_report_of_counts, item_report, job_report, land_matches
 from draftstats.schemas import MATCH
 from draftstats.sinks import write_by_team, write_stats
 from draftstats.sources import proxies
@@ -106,3 +108,73 @@ def test_reports_of_nothing(spark, tmp_path):
     item_report(empty, str(tmp_path / "i"))
     assert spark.read.parquet(f"{tmp_path}/d/hero_stats").count() == 0
     assert spark.read.parquet(f"{tmp_path}/i/item_stats").count() == 0
+
+
+def below(folder):
+    return {os.path.join(d, f): open(os.path.join(d, f), "rb").read() for d, _, names in os.walk(folder) for f in names}
+
+
+def test_a_report_that_fails_leaves_the_old_one_whole(spark, sf_dir, tmp_path, monkeypatch):
+    docs, out = proxies.draft_documents(spark, sf_dir), str(tmp_path / "out")
+    draft_report(docs.limit(50), out)
+    before = below(out)
+    monkeypatch.setattr(draft, "team_stats", lambda counts: counts.filter(F.raise_error(F.lit("lost")).isNull()))
+    with pytest.raises(Exception, match="lost"):
+        draft_report(docs, out)
+    assert {path: content for path, content in below(out).items() if "/_unfinished/" not in path} == before
+    monkeypatch.undo()
+    draft_report(docs, out)
+    flat = draft.picks_bans_flat(docs)
+    assert rows(spark.read.parquet(f"{out}/hero_stats")) == rows(draft.hero_stats(draft.hero_counts(flat)))
+    assert sorted(os.listdir(out)) == ["draft_counts", "hero_stats", "team_names", "team_stats"]
+
+
+def test_a_report_that_was_interrupted_as_it_took_its_place(spark, tmp_path, monkeypatch):
+    out = str(tmp_path)
+    for name in ("a", "b"):
+        sinks.write_stats(spark.range(1), f"{out}/{name}")
+    monkeypatch.setattr(sinks, "settle", lambda *_: None)
+    with sinks.published(spark, out) as folder:
+        for name in ("a", "b", "c"):
+            sinks.write_stats(spark.range(2), f"{folder}/{name}")
+    monkeypatch.undo()
+    # One table was moved when the session died.
+    sinks.delete(spark, f"{out}/a")
+    os.rename(f"{out}/_finished/a", f"{out}/a")
+    sinks.settle(spark, out)
+    assert sorted(os.listdir(out)) == ["a", "b", "c"]
+    assert [spark.read.parquet(f"{out}/{name}").count() for name in "abc"] == [2, 2, 2]
+
+
+def test_counts_kept_per_landing_equal_a_full_count(spark, sf_dir, tmp_path):
+    docs, table, kept = proxies.arriving_documents(spark, sf_dir), str(tmp_path / "t"), str(tmp_path / "counts")
+    for i in range(3):
+        land_matches(docs.filter(f"match_id % 3 <= {i}"), table)
+        found = counts_of_landings(spark, table, kept)
+        whole = rows(draft.hero_team_counts(draft.draft_events(spark.read.parquet(table))))
+        assert rows(found) == whole
+        assert rows(counts_of_landings(spark, table, kept)) == whole
+    assert len([d for d in os.listdir(kept) if d.startswith("batch=")]) == 3
+    compact(spark, table)
+    found = counts_of_landings(spark, table, kept)
+    assert rows(found) == whole
+    draft_report_of_counts(found, str(tmp_path / "out"))
+    assert rows(spark.read.parquet(f"{tmp_path}/out/draft_counts")) == whole
+    heroes = draft.hero_counts(draft.draft_events(spark.read.parquet(table)))
+    assert rows(spark.read.parquet(f"{tmp_path}/out/hero_stats")) == rows(draft.hero_stats(heroes))
+
+
+def test_only_new_landings_are_counted(spark, tmp_path):
+    table, kept = str(tmp_path / "t"), str(tmp_path / "counts")
+    docs = spark.createDataFrame([], MATCH).select("*", F.lit("f").alias("source_file"))
+    land_matches(docs, table)
+    events = "array(named_struct('hero_id', id, 'is_pick', true, 'order', 1L, 'team', 0L)) AS picks_bans"
+    columns = ["id AS match_id", events, "'A' AS radiant_name", "'B' AS dire_name", "true AS radiant_win", "'f' AS source_file"]
+    for start in (0, 5):
+        land_matches(spark.range(start, start + 5).selectExpr(*columns), table)
+        assert counts_of_landings(spark, table, kept).agg(F.sum("picks")).first()[0] == start + 5
+    # What was counted is not read again.
+    for name in os.listdir(f"{table}/era=0"):
+        if name.endswith(".parquet") and spark.read.parquet(f"{table}/era=0/{name}").filter("batch = 0").count():
+            os.remove(f"{table}/era=0/{name}")
+    assert counts_of_landings(spark, table, kept).agg(F.sum("picks")).first()[0] == 10
