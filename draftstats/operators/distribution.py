@@ -1,9 +1,12 @@
 """Exact empirical distributions that do not sort a group in one task.
 
 The pieces work on value counts (`value`, `n`), so equal values cost one row
-however often they occur. Values are spread over `geometric_bucket`s; a window
-sums the bounded number of buckets of a group, and a second one runs inside
+however often they occur. Values are spread over `geometric_bucket`s, and a
+bucket that is still crowded is split by the leading digits of its values, again
+and again; sums over the buckets give each one's start, and a window runs inside
 each bucket only.
+
+For input that is too large to order at all there are mergeable sketches.
 """
 
 from collections.abc import Sequence
@@ -17,6 +20,16 @@ from ..functions import geometric_bucket
 
 # Rows emitted by one array when a compact CDF is written out row by row.
 _CHUNK = 10_000
+# Distinct values from which on a bucket is split, how often it may be, and into how many parts, at least and at most.
+_CROWD = 100_000
+_SPLITS = 3
+_PARTS = 1 << 12, 1 << 14
+# Buckets that are split at a time, the most crowded first: what is sent to every task.
+_SPLIT_AT_ONCE = 100_000
+# Buckets whose sums are added up together; there are at most 35,000 such groups.
+_COARSE = 64
+# Values a sketch keeps on each level: a rank is off by less than 0.2 % of all.
+SKETCH_K = 2_048
 
 
 def value_counts(rows: DataFrame, value: str, by: Sequence[str] = ()) -> DataFrame:
@@ -30,7 +43,7 @@ def value_counts(rows: DataFrame, value: str, by: Sequence[str] = ()) -> DataFra
 
 def empirical_cdf_compact(counts: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """(by, value, n, first, total): the sorted positions first .. first + n - 1 hold `value`."""
-    bucketed = counts.withColumn("bucket", geometric_bucket(F.col("value")))
+    bucketed = in_small_buckets(counts, by)
     return _positions(bucketed, _bucket_starts(bucketed, by), by)
 
 
@@ -63,7 +76,7 @@ def exact_percentile(counts: DataFrame, fraction: float, by: Sequence[str] = ())
 
     Only the one or two buckets that hold those ranks are sorted.
     """
-    bucketed = counts.withColumn("bucket", geometric_bucket(F.col("value")))
+    bucketed = in_small_buckets(counts, by)
     rank = F.lit(fraction) * (F.col("total") - 1)
     low, high = F.floor(rank), F.ceil(rank)
     end = F.col("first") + F.col("n")
@@ -90,18 +103,91 @@ def exact_percentile(counts: DataFrame, fraction: float, by: Sequence[str] = ())
     )
 
 
+def sketches(rows: DataFrame, value: str, by: Sequence[str] = (), k: int = SKETCH_K) -> DataFrame:
+    """(by, sketch): a KLL sketch of a group's whole numbers, a few KB however many there are; nulls are left out.
+
+    Sketches may be stored, per day say, and merged later by `merged_sketches`.
+    """
+    return rows.filter(F.col(value).isNotNull()).groupBy(*by).agg(F.kll_sketch_agg_bigint(value, k).alias("sketch"))
+
+
+def merged_sketches(parts: DataFrame, by: Sequence[str] = (), k: int = SKETCH_K) -> DataFrame:
+    """(by, sketch) of the union of the parts' values."""
+    return parts.groupBy(*by).agg(F.kll_merge_agg_bigint("sketch", k).alias("sketch"))
+
+
+def sketched_percentile(sketches: DataFrame, fraction: float, by: Sequence[str] = ()) -> DataFrame:
+    """(by, n, percentile): a value whose rank is within 0.2 % of all from the one asked for."""
+    return sketches.select(
+        *by,
+        F.kll_sketch_get_n_bigint("sketch").alias("n"),
+        F.kll_sketch_get_quantile_bigint("sketch", F.lit(fraction)).alias("percentile"),
+    )
+
+
+def in_small_buckets(counts: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """Value counts with their `bucket`, an array that orders as the values do.
+
+    A bucket of very many distinct values is split evenly between its least and
+    its largest value, as often as `_SPLITS`; its values get one more element.
+    Where nothing is crowded, which is known only as the query runs, the splits
+    fall away.
+    """
+    rows = counts.withColumn("bucket", F.array(geometric_bucket(F.col("value"))))
+    for _ in range(_SPLITS):
+        rows = _split(rows, by)
+    return rows
+
+
+def _split(rows: DataFrame, by: Sequence[str]) -> DataFrame:
+    keys = [*by, "bucket"]
+    sizes = rows.groupBy(*keys).agg(F.count("*").alias("size"), F.min("value").alias("least"), F.max("value").alias("most"))
+    crowded = sizes.filter((F.col("size") > _CROWD) & (F.col("least") < F.col("most")))
+    # The limit is what makes sending them safe. A bucket beyond it is left whole, which changes no result.
+    wanted = F.ceil(4 * F.col("size") / _CROWD)
+    parts = F.least(F.lit(_PARTS[1]), F.greatest(F.lit(_PARTS[0]), wanted)).alias("parts")
+    sent = crowded.orderBy(F.desc("size"), *keys).limit(_SPLIT_AT_ONCE).select(
+        *[F.col(key).alias(f"crowded_{key}") for key in keys], "least", "most", parts
+    )
+    same = reduce(and_, [rows[key].eqNullSafe(sent[f"crowded_{key}"]) for key in keys])
+    # Subtracting, dividing and rounding down never turn the order of two values.
+    share = (F.col("value") - F.col("least")).cast("double") / (F.col("most") - F.col("least")).cast("double")
+    part = F.floor(share * F.col("parts")).cast("bigint")
+    bucket = F.when(F.col("parts").isNotNull(), F.array_append("bucket", part)).otherwise(F.col("bucket"))
+    return rows.join(F.broadcast(sent), same, "left").select(*by, "value", "n", bucket.alias("bucket"))
+
+
 def _bucket_starts(bucketed: DataFrame, by: Sequence[str]) -> DataFrame:
-    """(by, bucket, bucket_n, start, total): observations before each bucket, and in all."""
-    buckets = bucketed.groupBy(*by, "bucket").agg(F.sum("n").alias("bucket_n"))
-    group = Window.partitionBy(*by)
-    before = group.orderBy("bucket").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return buckets.select(
+    """(by, bucket, bucket_n, start, total): observations before each bucket, and in all.
+
+    Buckets are added up in groups of neighbours and the groups' sums once more,
+    so one task orders the bounded number of groups and never all buckets. A
+    group's start enters its running sum as a row that sorts before all buckets.
+    """
+    coarse = F.floor(F.element_at("bucket", 1) / _COARSE).alias("coarse")
+    buckets = bucketed.groupBy(*by, "bucket").agg(F.sum("n").alias("bucket_n")).select(*by, coarse, "bucket", "bucket_n")
+    whole = Window.partitionBy(*by)
+    before = whole.orderBy("coarse").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    groups = buckets.groupBy(*by, "coarse").agg(F.sum("bucket_n").alias("group_n"))
+    starts = groups.select(
+        *by,
+        "coarse",
+        (F.sum("group_n").over(before) - F.col("group_n")).alias("bucket_n"),
+        F.sum("group_n").over(whole).alias("total"),
+    )
+    upto = (
+        Window.partitionBy(*by, "coarse")
+        .orderBy(F.asc_nulls_first("bucket"))
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    )
+    rows = buckets.unionByName(starts, allowMissingColumns=True)
+    return rows.select(
         *by,
         "bucket",
         "bucket_n",
-        (F.sum("bucket_n").over(before) - F.col("bucket_n")).alias("start"),
-        F.sum("bucket_n").over(group).alias("total"),
-    )
+        (F.sum("bucket_n").over(upto) - F.col("bucket_n")).alias("start"),
+        F.max("total").over(upto).alias("total"),
+    ).filter(F.col("bucket").isNotNull())
 
 
 def _in_buckets(bucketed: DataFrame, buckets: DataFrame, by: Sequence[str]) -> DataFrame:

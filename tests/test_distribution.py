@@ -79,3 +79,61 @@ def test_compact_form_at_volume_equals_the_plain_window(spark):
              SELECT v, row_number() OVER (ORDER BY v) - 1 AS p, count(*) OVER () AS t FROM observations) GROUP BY v"""
     )
     assert compact.exceptAll(plain).isEmpty() and plain.exceptAll(compact).isEmpty()
+
+
+def close_values(spark, n):
+    """Whole numbers within 0.05 % of each other: one geometric bucket."""
+    return spark.range(n).selectExpr("4000000000 + (id * 7919) % 1000003 AS v")
+
+
+def test_a_crowded_bucket_is_split(spark, monkeypatch):
+    monkeypatch.setattr(dist, "_CROWD", 500)
+    counts = dist.value_counts(close_values(spark, 60_000), "v")
+    assert counts.select(geometric_bucket(F.col("value"))).distinct().count() <= 2
+    sizes = [r["count"] for r in dist.in_small_buckets(counts).groupBy("bucket").count().collect()]
+    assert max(sizes) < 500 and len(sizes) < 2_000
+
+
+def test_values_crowded_at_several_scales(spark, monkeypatch):
+    """Most values of a bucket within a millionth of it, and most of those within a millionth again."""
+    monkeypatch.setattr(dist, "_CROWD", 300)
+    values = [1e15 + i * 1e8 for i in range(1000)] + [1e15 + i * 1e2 for i in range(3000)] + [1e15 + i / 8 for i in range(3000)]
+    counts = counts_of(spark, values)
+    bucketed = dist.in_small_buckets(counts)
+    assert bucketed.groupBy("bucket").count().agg(F.max("count")).first()[0] < 700
+    ordered = [r.value for r in bucketed.orderBy("bucket", "value").collect()]
+    assert ordered == sorted(set(values))
+    cdf = [r.cdf for r in sorted(dist.empirical_cdf(counts).collect())]
+    assert cdf == [i / len(values) for i in range(len(values))]
+
+
+def test_crowded_buckets_change_no_result(spark, monkeypatch):
+    monkeypatch.setattr(dist, "_CROWD", 100)
+    monkeypatch.setattr(dist, "_SPLIT_AT_ONCE", 3)
+    df = close_values(spark, 20_000).selectExpr("v", "CASE WHEN v % 3 = 0 THEN 'a' WHEN v % 3 = 1 THEN 'b' END AS g")
+    df = df.unionByName(spark.range(50).selectExpr("id * 100000000 - 9 AS v", "'a' AS g"))
+    counts = dist.value_counts(df, "v", ["g"])
+    df.createOrReplaceTempView("close")
+    plain = spark.sql(
+        """SELECT g, v AS value, count(*) AS n, min(p) AS first, max(t) AS total FROM (
+             SELECT g, v, row_number() OVER (PARTITION BY g ORDER BY v) - 1 AS p, count(*) OVER (PARTITION BY g) AS t FROM close)
+           GROUP BY g, v"""
+    )
+    compact = dist.empirical_cdf_compact(counts, ["g"])
+    assert compact.exceptAll(plain).isEmpty() and plain.exceptAll(compact).isEmpty()
+    expected = spark.sql("SELECT g, percentile(v, 0.99) AS percentile FROM close GROUP BY g")
+    assert rows(dist.exact_percentile(counts, 0.99, ["g"])) == rows(expected)
+
+
+def test_merged_sketches_are_within_their_error(spark):
+    df = spark.range(200_000).selectExpr("id % 2 AS g", "id % 7 AS day", "CASE WHEN id % 10 = 0 THEN NULL ELSE hash(id) END AS v")
+    parts = dist.sketches(df, "v", ["g", "day"])
+    found = dist.sketched_percentile(dist.merged_sketches(parts, ["g"]), 0.99, ["g"]).collect()
+    for row in found:
+        values = np.array([r.v for r in df.filter((F.col("g") == row.g) & F.col("v").isNotNull()).collect()])
+        assert row.n == len(values)
+        assert abs((values <= row.percentile).mean() - 0.99) < 0.002
+
+
+def test_sketches_of_nothing(spark):
+    assert dist.sketched_percentile(dist.sketches(spark.createDataFrame([(None,)], "v bigint"), "v", ["v"]), 0.5).collect() == []
