@@ -4,11 +4,10 @@
 statistics do not care where a record came from.
 """
 
-import io
 from collections.abc import Iterator
-from itertools import islice
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,7 +15,8 @@ from ..schemas import EVENT_LOG, STAGE_RECORD
 
 COMPRESSED = r"\.(zstd|lz4|lzf|snappy)(\.compact)?(\.inprogress)?$"
 ZSTD = r"\.zstd(\.compact)?(\.inprogress)?$"
-_LINES_PER_BATCH = 2_000
+# Bytes of text that a task decompresses at a time.
+_BLOCK = 8 << 20
 # An attempt of an application is an application of its own: its stages are numbered from 0 again.
 APP_ID = r"(application_\d+_\d+(?:_\d+)?|app-\d+-\d+|local-\d+|spark-[0-9a-f]+)"
 
@@ -30,12 +30,14 @@ def _app_id_from_file() -> Column:
 def read_event_log(spark: SparkSession, path: str | list[str], compressed: bool = False) -> DataFrame:
     """Event logs of one or many applications, single files or rolled folders.
 
-    The application id comes from the file name. Point it at finished logs:
-    a stage can be told as skipped only after its application ended.
+    The application id comes from the file name. Logs of applications that still
+    run may be among them: the planned stages of these are pending.
 
     A scan that meets a compressed log raises, unless `compressed`: then plain
     logs and those compressed with zstd, Spark's default, are read alike, and other codecs raise.
     Rolled, compacted and unfinished files count.
+
+    A line that is not an event gives a row of nulls; `stages.unread_lines` counts these.
     """
     log = spark.read.schema(EVENT_LOG).option("recursiveFileLookup", True).json(path)
     file = F.col("_metadata.file_name")
@@ -66,15 +68,48 @@ def _decompressed_lines(spark: SparkSession, path: str | list[str]) -> DataFrame
 
 
 def _event_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    import zstandard
-
     for batch in batches:
         for app_id, content in zip(batch.column("app_id"), batch.column("content"), strict=True):
-            # A log is a sequence of frames, one per flush.
-            reader = zstandard.ZstdDecompressor().stream_reader(content.as_buffer(), read_across_frames=True)
-            text = io.TextIOWrapper(reader, encoding="utf-8")
-            while lines := list(islice(text, _LINES_PER_BATCH)):
-                yield pa.RecordBatch.from_pydict({"app_id": [app_id.as_py()] * len(lines), "value": lines})
+            for lines in _lines_of(content.as_buffer()):
+                yield pa.RecordBatch.from_arrays([pa.repeat(app_id, len(lines)), lines], ["app_id", "value"])
+
+
+def _lines_of(content: pa.Buffer) -> Iterator[pa.Array]:
+    """Arrays of the lines of a log, block by block; no line is looked at by itself.
+
+    A log is a sequence of frames, one per flush. One that is still written may
+    end inside a frame: what is whole of it is read.
+    """
+    rest = b""
+    for block in _blocks(content):
+        whole, newline, rest = (rest + block).rpartition(b"\n")
+        if newline:
+            yield _split(whole)
+    if rest:
+        yield _split(rest)
+
+
+def _blocks(content: pa.Buffer) -> Iterator[bytes]:
+    """The decompressed log. Where it breaks off the last block is read again in smaller ones."""
+    done = 0
+    for size in (_BLOCK, 1 << 15, 1 << 7, 1):
+        with pa.CompressedInputStream(pa.BufferReader(content), "zstd") as stream:
+            at = 0
+            while at < done:
+                at += len(stream.read(min(_BLOCK, done - at)))
+            try:
+                while block := stream.read(size):
+                    done += len(block)
+                    yield block
+                return
+            except OSError as error:
+                if "Truncated" not in str(error):
+                    raise
+
+
+def _split(text: bytes) -> pa.Array:
+    lines = pc.split_pattern(pa.array([text], pa.large_binary()), b"\n").flatten()
+    return lines.filter(pc.greater(pc.binary_length(lines), 0)).cast(pa.binary()).cast(pa.string())
 
 
 def read_stage_records(spark: SparkSession, path: str | list[str], multi_line: bool = False) -> DataFrame:

@@ -88,6 +88,18 @@ def arriving_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def order_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Draft documents of one event with an id of their own: an order is a match."""
+    return table(spark, sf_dir, "orders").selectExpr(
+        "o_orderkey AS match_id",
+        """array(named_struct('hero_id', CAST(o_custkey % 100 AS bigint), 'is_pick', o_orderstatus = 'F',
+                              'order', 0L, 'team', CAST(o_orderkey % 2 AS bigint))) AS picks_bans""",
+        "CASE WHEN o_custkey % 9 <> 0 THEN concat('TEAM_', CAST(o_custkey % 25 AS string)) END AS radiant_name",
+        "concat('TEAM_', CAST(o_custkey % 40 AS string)) AS dire_name",
+        "o_totalprice > 100000 AS radiant_win",
+    )
+
+
 def loadout_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """match_id and players."""
     return table(spark, sf_dir, "lineitem").selectExpr("l_orderkey AS match_id", f"{PLAYERS} AS players")
@@ -179,14 +191,16 @@ def task_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def event_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+def event_log(spark: SparkSession, sf_dir: str, unfinished: int = 0) -> DataFrame:
     """Event-log lines, one per event: a user is a stage, a day an attempt of it.
 
     signup plans the user's stage and one more that never runs, view submits,
-    error completes, click and purchase end a task.
+    error completes, click and purchase end a task. Applications that plan
+    anything end, but for the first `unfinished`.
     """
-    return (
-        table(spark, sf_dir, "events")
+    events = table(spark, sf_dir, "events")
+    lines = (
+        events
         .withColumn("ms", F.expr("unix_millis(CAST(ts AS timestamp))"))
         .withColumn("cents", F.expr(_CENTS))
         .selectExpr(
@@ -218,3 +232,7 @@ def event_log(spark: SparkSession, sf_dir: str) -> DataFrame:
                END AS `Task Metrics`""",
         )
     )
+    ends = events.filter(f"event_type = 'signup' AND user_id % 7 >= {unfinished}").selectExpr(
+        "concat('app-', CAST(user_id % 7 AS string)) AS app_id", "'SparkListenerApplicationEnd' AS Event"
+    )
+    return lines.unionByName(ends, allowMissingColumns=True)

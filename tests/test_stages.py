@@ -196,6 +196,7 @@ def log_rows(spark, tmp_path_factory):
         log_line("StageSubmitted", Stage_Info=stage_info(2, 0, 5000)),
         task_end(2, 0, 4, 5100, 50, remote=30),
         log_line("JobEnd", Job_ID=0),
+        log_line("ApplicationEnd", Timestamp=9000),
     ]
     (folder / "application_17_0001_1").write_text("\n".join(lines))
     return read_event_log(spark, str(folder)).cache()
@@ -300,3 +301,58 @@ def test_plain_and_compressed_logs_of_any_state_in_one_folder(spark, tmp_path):
     (tmp_path / "app-6-0001.lz4").write_bytes(b"garbage")
     with pytest.raises((PySparkException, Py4JJavaError), match="unknown codec"):
         read_event_log(spark, str(tmp_path), compressed=True).collect()
+
+
+def test_planned_stages_of_a_running_application_are_pending(spark, tmp_path):
+    plan = log_line("JobStart", Job_ID=0, Stage_IDs=[0, 1, 2])
+    (tmp_path / "app-1-0001").write_text(f"{plan}\n{stage_log(1000, 2)}")
+    # The end is in another file of a rolled log, and there twice.
+    (tmp_path / "events_1_app-2-0001").write_text(f"{plan}\n{stage_log(1000, 2)}")
+    (tmp_path / "events_2_app-2-0001").write_text("\n".join([log_line("ApplicationEnd", Timestamp=9)] * 2))
+    found = stages.stages_from_log(read_event_log(spark, str(tmp_path)))
+    assert rows(found.select("app_id", "stage_id", "status")) == [
+        ("app-1-0001", 0, "COMPLETE"),
+        ("app-1-0001", 1, "PENDING"),
+        ("app-1-0001", 2, "PENDING"),
+        ("app-2-0001", 0, "COMPLETE"),
+        ("app-2-0001", 1, "SKIPPED"),
+        ("app-2-0001", 2, "SKIPPED"),
+    ]
+    summary = stages.stage_summary(found, ["app_id"])
+    assert rows(summary.select("app_id", "computed_stages", "skipped_stages")) == [("app-1-0001", 1, 0), ("app-2-0001", 1, 2)]
+
+
+def test_lines_that_are_no_events_are_counted(spark, tmp_path):
+    import zstandard
+
+    text = "\n".join(["{broken", stage_log(1000, 2), "", "also not"])
+    (tmp_path / "app-1-0001").write_text(text)
+    (tmp_path / "app-2-0001.zstd").write_bytes(zstandard.ZstdCompressor().compress(text.encode()))
+    log = read_event_log(spark, str(tmp_path), compressed=True)
+    assert rows(stages.unread_lines(log)) == [("app-1-0001", 2), ("app-2-0001", 2)]
+
+
+def test_compressed_lines_over_several_frames_and_blocks(monkeypatch):
+    import pyarrow as pa
+    import zstandard
+
+    from draftstats.sources import job_metrics
+
+    compress = zstandard.ZstdCompressor().compress
+    lines = [f'{{"Event": "é{i}"}}' for i in range(500)]
+    text = ("\n".join(lines) + "\n").encode()
+    frames = b"".join(compress(text[i : i + 700]) for i in range(0, len(text), 700))
+    for block in (1, 64, 1 << 20):
+        monkeypatch.setattr(job_metrics, "_BLOCK", block)
+        found = [line for some in job_metrics._lines_of(pa.py_buffer(frames)) for line in some.to_pylist()]
+        assert found == lines
+    # A log that is still written ends inside a frame.
+    cut = [line for some in job_metrics._lines_of(pa.py_buffer(frames[:-20])) for line in some.to_pylist()]
+    assert cut[:400] == lines[:400]
+
+
+def test_an_event_log_is_read_once(spark, sf_dir):
+    found = stages.stages_from_log(proxies.event_log(spark, sf_dir))
+    found.collect()
+    plan = found._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert "ReusedExchange" in plan and plan.count("FileScan") == 2
