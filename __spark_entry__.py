@@ -10,6 +10,8 @@ from __future__ import annotations
 
 import os
 import sys
+import tempfile
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,8 +19,17 @@ from pyspark.sql import functions as F
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from draftstats import draft, ingest, items, stages  # noqa: E402
-from draftstats.sources import DRAFT_FIELDS, LEAGUE_IDS, malformed_matches, parse_matches, proxies  # noqa: E402
+from draftstats import draft, ingest, items, landed, stages  # noqa: E402
+from draftstats.plans import counts_of_landings, land_matches  # noqa: E402
+from draftstats.sources import (  # noqa: E402
+    DRAFT_FIELDS,
+    LEAGUE_IDS,
+    malformed_matches,
+    parse_matches,
+    proxies,
+    read_landed,
+    read_matches,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -73,6 +84,11 @@ def queries() -> dict[str, Query]:
         "pending_matches": lambda s, d: ingest.pending_matches(_listing(s, d), proxies.landed_ids(s, d)),
         "new_listing_rows": _new_listing_rows,
         "new_documents": _new_documents,
+        "landed_index": lambda s, d: landed.bucket_sizes(_index(s, d)),
+        "pending_by_index": lambda s, d: landed.pending(_listing(s, d), _index(s, d)),
+        "chosen_documents": _chosen_documents,
+        "landed_files": _landed_files,
+        "counts_of_landings": _counts_of_landings,
         **{name: _on(_stages, run) for name, run in _STAGES.items()},
         "stage_task_totals": lambda s, d: _stages_with_tasks(s, d).select(
             *stages.STAGE_KEY, "status", "timed_tasks", "run_ms", "deserialize_ms"
@@ -81,7 +97,11 @@ def queries() -> dict[str, Query]:
         "stage_summary_overall": lambda s, d: _rounded(stages.stage_summary(_stages_with_tasks(s, d))),
         "task_rows": lambda s, d: _tasks(s, d),
         "task_summary": lambda s, d: _rounded(stages.task_summary(_tasks(s, d), BY_APP)),
+        "stage_percentile_sketch": _percentile_sketch,
         **{name: _on(_log_stages, run) for name, run in _LOG_STAGES.items()},
+        "event_log_planned_stages": lambda s, d: stages.stages_from_log(proxies.event_log(s, d, unfinished=3))
+        .filter(F.col("status").isin(stages.SKIPPED, stages.PENDING))
+        .select("app_id", "stage_id", "status"),
         "event_log_task_summary": lambda s, d: _rounded(
             stages.task_summary(stages.tasks_from_log(proxies.event_log(s, d)), BY_APP)
         ),
@@ -98,6 +118,11 @@ def oracle_sql() -> dict[str, str]:
         "malformed_lines": _MALFORMED_SQL,
         **{name: f"WITH {_LISTING} {sql}" for name, sql in _LISTING_SQL.items()},
         "new_documents": _NEW_DOCUMENTS_SQL,
+        "chosen_documents": _NEW_DOCUMENTS_SQL,
+        "pending_by_index": f"WITH {_LISTING} {_LISTING_SQL['pending_matches']}",
+        "landed_index": _LANDED_INDEX_SQL,
+        "landed_files": _LANDED_FILES_SQL,
+        "counts_of_landings": _LANDED_COUNTS_SQL,
         **{name: f"WITH {_STAGE} {sql}" for name, sql in _STAGES_SQL.items()},
         **{name: f"WITH {_LOG} {sql}" for name, sql in _LOG_SQL.items()},
         **LLM_SQL,
@@ -139,6 +164,71 @@ def _new_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return new.select("match_id", "source_file", events, "radiant_name", "dire_name", "radiant_win")
 
 
+def _index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The index as several landings leave it: one part of the ids each, some ids in more than one."""
+    lines = proxies.table(spark, sf_dir, "lineitem").filter("l_linestatus = 'F'")
+    parts = [lines.filter(f"l_linenumber % 3 = {i}").select(F.col("l_orderkey").alias("match_id")) for i in range(3)]
+    return landed.index_of(parts[0]).unionByName(landed.index_of(parts[1])).unionByName(landed.index_of(parts[2]))
+
+
+def _chosen_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """`new_documents` in two phases: the choice on names and places, then the documents by their places."""
+    staged = proxies.arriving_documents(spark, sf_dir).withColumns(
+        {
+            "file_named": F.lit(False),
+            "content": F.lit(None).cast("string"),
+            "staged_file": F.col("_metadata.file_name"),
+            "row_index": F.col("_metadata.row_index"),
+        }
+    )
+    narrow = staged.select("match_id", "source_file", "file_named", "content", *landed.PLACE)
+    picked = landed.chosen(landed.candidates(narrow), _index(spark, sf_dir))
+    return landed.marked(staged, landed.marks(picked)).selectExpr("match_id", "source_file", *_HEADLINE)
+
+
+_HEADLINE = ("coalesce(size(picks_bans), -1) AS events", "radiant_name", "dire_name", "radiant_win")
+
+
+def _scratch(spark: SparkSession) -> str:
+    """A folder that driver and executors share."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="draftstats-")
+    return f"{base.rstrip('/')}/query-{uuid.uuid4().hex}"
+
+
+def _landed_table(spark: SparkSession, sf_dir: str) -> str:
+    """A match table that three landings made of JSON files: one folder, two that overlap, and both again."""
+    folder = _scratch(spark)
+    docs = proxies.order_documents(spark, sf_dir)
+    docs.filter("match_id % 3 = 0").write.json(f"{folder}/json/a")
+    docs.filter("match_id % 2 = 0").write.json(f"{folder}/json/b")
+    for part in ("a", "*", "*"):
+        land_matches(read_matches(spark, f"{folder}/json/{part}"), f"{folder}/matches")
+    return f"{folder}/matches"
+
+
+def _landed_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_landed(spark, _landed_table(spark, sf_dir)).selectExpr("match_id", "batch", *_HEADLINE)
+
+
+def _counts_of_landings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    table = _landed_table(spark, sf_dir)
+    counts_of_landings(spark, table, f"{table}_counts_kept")
+    return counts_of_landings(spark, table, f"{table}_counts_kept")
+
+
+def _percentile_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per application, whether the 99th percentile of its merged sketches has the rank it should, up to its error."""
+    rows = _stages(spark, sf_dir).withColumn("day", F.expr("stage_id % 100"))
+    parts = stages.duration_sketches(rows, (*BY_APP, "day"))
+    p99 = stages.sketched_duration(parts, 0.99, BY_APP)
+    ranked = stages.stage_durations(rows).join(p99, [*BY_APP])
+    below = F.count_if(F.col("completion_s") <= F.col("percentile_s"))
+    return ranked.groupBy(*BY_APP).agg(
+        F.max("n").alias("timed_stages"),
+        (F.abs(below / F.count("*") - 0.99) <= F.lit(0.002) + 1 / F.count("*")).alias("is_within_error"),
+    )
+
+
 def _stages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stages.stages_from_records(proxies.stage_records(spark, sf_dir))
 
@@ -369,6 +459,29 @@ ranked AS (SELECT *, row_number() OVER (PARTITION BY match_id ORDER BY source_fi
 SELECT match_id, source_file, events, radiant_name, dire_name, radiant_win FROM ranked
 WHERE copy = 1 AND NOT EXISTS (SELECT 1 FROM lineitem WHERE l_orderkey = match_id AND l_linestatus = 'F')"""
 
+_LANDED_INDEX_SQL = """
+SELECT CASE WHEN l_orderkey > 0 THEN 1 + (l_orderkey - 1) // 32768 ELSE -(-l_orderkey // 32768) END AS bucket,
+       count(DISTINCT l_orderkey) AS ids
+FROM lineitem WHERE l_linestatus = 'F' GROUP BY 1"""
+
+_LANDED = """
+docs AS (
+  SELECT o_orderkey AS match_id, CASE WHEN o_orderkey % 3 = 0 THEN 0 ELSE 1 END AS batch,
+         CASE WHEN o_custkey % 9 <> 0 THEN 'TEAM_' || (o_custkey % 25) END AS radiant_name,
+         'TEAM_' || (o_custkey % 40) AS dire_name, o_totalprice > 100000 AS radiant_win,
+         o_custkey % 100 AS hero_id, o_orderstatus = 'F' AS is_pick, o_orderkey % 2 AS team
+  FROM orders WHERE o_orderkey % 2 = 0 OR o_orderkey % 3 = 0)"""
+
+_LANDED_FILES_SQL = f"WITH {_LANDED} SELECT match_id, batch, 1 AS events, radiant_name, dire_name, radiant_win FROM docs"
+
+_LANDED_COUNTS_SQL = f"""
+WITH {_LANDED},
+pb AS (SELECT hero_id, is_pick, CASE WHEN team = 0 THEN radiant_name ELSE dire_name END AS teamname,
+              radiant_win = (team = 0) AS winner FROM docs)
+SELECT hero_id, teamname, count(*) AS totals, count(*) FILTER (WHERE NOT is_pick) AS bans,
+       count(*) FILTER (WHERE is_pick) AS picks, count(*) FILTER (WHERE is_pick AND winner) AS wins
+FROM pb GROUP BY hero_id, teamname"""
+
 # SQL for the stage and task queries ------------------------------------------
 
 _STAGE = """
@@ -442,6 +555,7 @@ SELECT s.app_id, s.stage_id, s.attempt, s.status, count(t.task_id) AS timed_task
 FROM st s LEFT JOIN tk t ON t.app_id = s.app_id AND t.stage_id = s.stage_id AND t.attempt = s.attempt GROUP BY ALL""",
     "stage_summary": _summary_sql("st", "d", "tk", True),
     "stage_summary_overall": _summary_sql("st", "d", "tk", False),
+    "stage_percentile_sketch": "SELECT app_id, count(*) AS timed_stages, true AS is_within_error FROM d GROUP BY app_id",
     "task_rows": "SELECT * FROM tk",
     "task_summary": """
 SELECT app_id, count(*) AS timed_tasks, round(avg(run_ms) / 1000, 6) AS avg_task_run_s,
@@ -483,6 +597,9 @@ tk AS (
   FROM e WHERE event_type IN ('click', 'purchase'))"""
 
 _LOG_SQL = {
+    "event_log_planned_stages": """
+SELECT app_id, stage_id, CASE WHEN app_id IN ('app-0', 'app-1', 'app-2') THEN 'PENDING' ELSE 'SKIPPED' END AS status
+FROM planned ANTI JOIN attempts USING (app_id, stage_id)""",
     "event_log_stages": """
 SELECT app_id, stage_id, attempt, status, write_bytes AS shuffle_write_bytes, write_ns AS shuffle_write_ns,
        remote_bytes AS remote_bytes_read, failed_tasks, timed_tasks, run_ms, deserialize_ms FROM st""",
