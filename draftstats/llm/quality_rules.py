@@ -55,7 +55,9 @@ def log_ratios(docs: DataFrame, trusted: DataFrame, smoothing: float = 1.0) -> n
     Without trusted texts every ratio is 0, and nothing is told apart.
     """
     raw = _counted(docs.select("text")) + smoothing
-    good = _counted(docs.join(trusted.select("doc_id"), "doc_id", "left_semi").select("text"))
+    # Merged at every size: a side that is broadcast while it is small changes what is shuffled as it grows.
+    some = trusted.select("doc_id").hint("merge")
+    good = _counted(docs.select("doc_id", "text").join(some, "doc_id", "left_semi").select("text"))
     if not good.any():
         return np.zeros(1 << BITS)
     good = good + smoothing
