@@ -7,9 +7,10 @@ columns hold it.
 
 Most windows of a corpus occur once, so windows are cut to the prefix that may
 be frequent before they are counted. Whether a prefix may be is read from bits
-over hashes: a first pass adds up, per hash, how often prefixes occur. Prefixes
-that share a hash only add up, so no frequent one is missed, and what passes
-wrongly is dropped by its exact count.
+over hashes, which passes before add up: one for words and pairs, one for longer
+prefixes of which all pairs may be frequent. Prefixes that share a hash only add
+up, so no frequent one is missed, and what passes wrongly is dropped by its
+exact count.
 """
 
 import zlib
@@ -20,18 +21,19 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import batches_of, cut
+from .common import cut
+from .hash_counts import frequent_hashes, is_set
 
 # Words in the longest window.
 LONGEST = 4
-# log2 of the number of hashes: the bits are 8 MB whatever the data, and come in blocks.
-_BITS, _BLOCK = 26, 16
+# log2 of the number of hashes: the bits are 8 MB whatever the data.
+_BITS = 26
 # Words of a text's slice, words and languages that a task codes at a time.
 _SLICE = 1 << 20
-_WORDS_AT_ONCE = 2_000_000
+_WORDS_AT_ONCE = 1_000_000
 _LANGS_AT_ONCE = 50_000
 _BREAK = b"."
-_FACTORS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9], np.uint64)
+_FACTORS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93], np.uint64)
 
 
 def _folded() -> bytes:
@@ -49,7 +51,6 @@ _FOLDED = _folded()
 _WORD_COLUMNS = [f"w{i}" for i in range(1, LONGEST + 1)]
 _WINDOW = pa.schema([("lang", pa.string()), *[(w, pa.string()) for w in _WORD_COLUMNS], ("n", pa.int64())])
 _WINDOW_DDL = "lang string, w1 string, w2 string, w3 string, w4 string, n bigint"
-_COUNTED = pa.schema([("block", pa.int64()), ("hashes", pa.binary()), ("counts", pa.binary())])
 
 
 class _Codes(dict):
@@ -90,11 +91,11 @@ class _Chunk:
         return leads[:, kept], langs[kept]
 
     def hashes(self, leads: np.ndarray, langs: np.ndarray) -> Iterator[np.ndarray]:
-        """For each prefix but the longest its number below 2 ** _BITS, with the language's."""
+        """For each length of a prefix its number below 2 ** _BITS, with the language's."""
         words = np.fromiter(map(zlib.crc32, self.words), np.uint64, len(self.words))
         named = np.fromiter((zlib.crc32(lang.encode()) for lang in self.langs), np.uint64, len(self.langs))
         mixed = named[langs]
-        for k in range(LONGEST - 1):
+        for k in range(LONGEST):
             mixed = (mixed ^ words[leads[k]]) * _FACTORS[k]
             mixed ^= mixed >> np.uint64(29)
             yield ((mixed * _FACTORS[0]) >> np.uint64(64 - _BITS)).astype(np.uint32)
@@ -154,11 +155,14 @@ def collocations(docs: DataFrame, least: int = 30, top: int = 2000) -> DataFrame
 
 def phrases(texts: DataFrame, least: int) -> DataFrame:
     """(lang, phrase, words, size, f) of all phrases of 1 to 4 words that occur `least` times; size 0 is all words of a language."""
-    frequent = texts.sparkSession.sparkContext.broadcast(_frequent_hashes(texts, least))
+    send = texts.sparkSession.sparkContext.broadcast
+    short = frequent_hashes(texts, _short_hashes, least, _BITS)
+    long = send(frequent_hashes(texts, _long_hashes(short), least, _BITS))
+    short = send(short)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for chunk in _chunks(batches):
-            yield from _windows(chunk, frequent.value)
+            yield from _windows(chunk, short.value, long.value)
 
     windows = texts.mapInArrow(run, _WINDOW_DDL)
     longest = cut(windows.groupBy("lang", *_WORD_COLUMNS).agg(F.sum("n").alias("n")), "windows")
@@ -174,51 +178,47 @@ def phrases(texts: DataFrame, least: int) -> DataFrame:
     return held.filter(whole).select("lang", F.concat_ws(" ", "words").alias("phrase"), "words", "size", "f")
 
 
-def _frequent_hashes(texts: DataFrame, least: int) -> np.ndarray:
-    """Bits of the hashes whose prefixes occur `least` times in all; of a bounded size, so the driver may hold them."""
-    spark = texts.sparkSession
-    kind = np.min_scalar_type(least)
+def _short_hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
+    """Of all words and pairs."""
+    for chunk in _chunks(batches):
+        leads, langs = chunk.columns()
+        words, pairs, *_ = chunk.hashes(leads, langs)
+        yield np.concatenate([words, pairs[leads[1] != 0]])
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+
+def _long_hashes(short: np.ndarray):
+    """Of the longer prefixes in which no word and no pair is rare."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
         for chunk in _chunks(batches):
             leads, langs = chunk.columns()
-            seen = [h[leads[k] != 0] for k, h in enumerate(chunk.hashes(leads, langs))]
-            found, n = np.unique(np.concatenate(seen), return_counts=True)
-            # From `least` on it doesn't matter how often.
-            n = np.minimum(n, least).astype(kind)
-            blocks, starts = np.unique(found >> _BLOCK, return_index=True)
-            ends = np.append(starts, len(found))[1:]
-            low = (found & ((1 << _BLOCK) - 1)).astype(np.uint16)
-            rows = ((int(b), low[i:j].tobytes(), n[i:j].tobytes()) for b, i, j in zip(blocks, starts, ends, strict=True))
-            yield from batches_of(_COUNTED, rows, 256)
-
-    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums: dict[int, np.ndarray] = {}
-        for batch in batches:
-            for block, hashes, counts in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                total = sums.setdefault(block, np.zeros(1 << _BLOCK, np.int64))
-                total[np.frombuffer(hashes, np.uint16)] += np.frombuffer(counts, kind)
-        schema = pa.schema([("block", pa.int64()), ("bits", pa.binary())])
-        rows = ((block, np.packbits(total >= least).tobytes()) for block, total in sums.items())
-        yield from batches_of(schema, rows, 256)
-
-    counted = texts.mapInArrow(count, "block bigint, hashes binary, counts binary")
-    dealt = counted.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "block")
-    bits = np.zeros(1 << (_BITS - 3), np.uint8)
-    size = 1 << (_BLOCK - 3)
-    for row in dealt.mapInArrow(add, "block bigint, bits binary").collect():
-        bits[row.block * size : (row.block + 1) * size] = np.frombuffer(row.bits, np.uint8)
-    return bits
-
-
-def _windows(chunk: _Chunk, frequent: np.ndarray) -> Iterator[pa.RecordBatch]:
+            hashes = list(chunk.hashes(leads, langs))
+            _, _, three, four = _not_rare(leads, hashes, short)
+            yield np.concatenate([hashes[2][three], hashes[3][four]])
+
+    return run
+
+
+def _not_rare(leads: np.ndarray, hashes: list[np.ndarray], short: np.ndarray) -> list[np.ndarray]:
+    """For each length where a prefix stands in which no word and no pair is rare."""
+    word = is_set(short, hashes[0])
+    pair = word & (leads[1] != 0) & is_set(short, hashes[1])
+    found = [word, pair]
+    for k in range(2, LONGEST):
+        # The pair that ends a prefix begins k - 1 words on.
+        last = np.append(pair[k - 1 :], np.zeros(min(k - 1, len(pair)), bool))
+        found.append(found[-1] & (leads[k] != 0) & last)
+    return found
+
+
+def _windows(chunk: _Chunk, short: np.ndarray, long: np.ndarray) -> Iterator[pa.RecordBatch]:
     """The chunk's distinct windows, cut to what may be frequent, with their counts."""
     leads, langs = chunk.columns()
+    hashes = list(chunk.hashes(leads, langs))
     may = np.ones(len(langs), bool)
-    for k, hashes in enumerate(chunk.hashes(leads, langs)):
-        may &= (frequent[hashes >> 3] >> (7 - (hashes & 7))) & 1 == 1
+    for k, found in enumerate(_not_rare(leads, hashes, short)):
+        may &= found if k < 2 else found & is_set(long, hashes[k])
         leads[k, ~may] = 0
-    leads[LONGEST - 1, ~may] = 0
     # Two numbers a window: codes fit 32 bits, and pairs of columns one word each.
     first = leads[0].astype(np.uint64) << np.uint64(32) | leads[1]
     second = leads[2].astype(np.uint64) << np.uint64(32) | leads[3]

@@ -117,3 +117,14 @@ def test_query_against_sql(spark):
         db.execute(f"create view documents as select * from '{folder}/documents.parquet'")
         assert rows == sorted(db.sql(collocations.collocations_sql()).fetchall())
     assert rows
+
+
+def test_nothing_but_frequent_phrases_is_counted(spark):
+    """Of texts that share a phrase only its windows are left to count; other words are only added up."""
+    docs = [("en", f"a{i} b{i} c{i} shared phrase of words d{i} e{i}") for i in range(50)]
+    df = spark.createDataFrame(docs, "lang string, text string")
+    found = collocations.phrases(df, 30)
+    assert {r.phrase for r in found.collect()} == {
+        "", "shared", "phrase", "of", "words", "shared phrase", "phrase of", "of words", "shared phrase of", "phrase of words", "shared phrase of words"
+    }
+    assert found.filter("size = 0").first().f == 450
