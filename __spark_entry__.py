@@ -20,14 +20,16 @@ from pyspark.sql import functions as F
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from draftstats import draft, ingest, items, landed, stages  # noqa: E402
-from draftstats.plans import counts_of_landings, land_matches  # noqa: E402
+from draftstats.plans import counts_of_landings, draft_report, land_listing, land_matches  # noqa: E402
 from draftstats.sources import (  # noqa: E402
     DRAFT_FIELDS,
     LEAGUE_IDS,
     malformed_matches,
     parse_matches,
     proxies,
+    read_event_log,
     read_landed,
+    read_listing_objects,
     read_matches,
 )
 
@@ -87,7 +89,10 @@ def queries() -> dict[str, Query]:
         "landed_index": lambda s, d: landed.bucket_sizes(_index(s, d)),
         "pending_by_index": lambda s, d: landed.pending(_listing(s, d), _index(s, d)),
         "chosen_documents": _chosen_documents,
+        "listing_files": _listing_files,
         "landed_files": _landed_files,
+        "report_hero_stats": lambda s, d: _report(s, d, "hero_stats"),
+        "report_team_stats": lambda s, d: _report(s, d, "team_stats").drop("team_dir"),
         "counts_of_landings": _counts_of_landings,
         **{name: _on(_stages, run) for name, run in _STAGES.items()},
         "stage_task_totals": lambda s, d: _stages_with_tasks(s, d).select(
@@ -99,6 +104,9 @@ def queries() -> dict[str, Query]:
         "task_summary": lambda s, d: _rounded(stages.task_summary(_tasks(s, d), BY_APP)),
         "stage_percentile_sketch": _percentile_sketch,
         **{name: _on(_log_stages, run) for name, run in _LOG_STAGES.items()},
+        "event_log_files": lambda s, d: stages.stages_from_log(read_event_log(s, _log_folder(s, d))).drop(
+            "submitted", "first_launch", "completed"
+        ),
         "event_log_planned_stages": lambda s, d: stages.stages_from_log(proxies.event_log(s, d, unfinished=3))
         .filter(F.col("status").isin(stages.SKIPPED, stages.PENDING))
         .select("app_id", "stage_id", "status"),
@@ -123,6 +131,9 @@ def oracle_sql() -> dict[str, str]:
         "landed_index": _LANDED_INDEX_SQL,
         "landed_files": _LANDED_FILES_SQL,
         "counts_of_landings": _LANDED_COUNTS_SQL,
+        "listing_files": f"WITH {_LISTING} SELECT DISTINCT match_id, leagueid, leagueid AS game FROM listing",
+        "report_hero_stats": f"WITH {_PB} {_HERO_FULL_SQL}",
+        "report_team_stats": f"WITH {_PB} {_DRAFT_SQL['team_stats_full']}",
         **{name: f"WITH {_STAGE} {sql}" for name, sql in _STAGES_SQL.items()},
         **{name: f"WITH {_LOG} {sql}" for name, sql in _LOG_SQL.items()},
         **LLM_SQL,
@@ -216,6 +227,33 @@ def _counts_of_landings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts_of_landings(spark, table, f"{table}_counts_kept")
 
 
+def _listing_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A listing table that two landings made of JSON files, with the whole objects; some fields of these."""
+    folder = _scratch(spark)
+    for i, listing in enumerate(proxies.listings(spark, sf_dir)):
+        details = F.expr("named_struct('id', match_id % 7, 'games', array(match_id, leagueid))")
+        listing.withColumn("series", details).write.json(f"{folder}/json/{i}")
+        land_listing(read_listing_objects(spark, f"{folder}/json/*"), f"{folder}/listing", LEAGUE_IDS)
+    games = F.try_variant_get("listing", "$.series.games[1]", "bigint")
+    return read_landed(spark, f"{folder}/listing").select("match_id", "leagueid", games.alias("game"))
+
+
+def _report(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table of the draft report on the flat documents, written twice and read back."""
+    folder = _scratch(spark)
+    for _ in range(2):
+        draft_report(proxies.draft_documents(spark, sf_dir), folder)
+    return spark.read.parquet(f"{folder}/{name}")
+
+
+def _log_folder(spark: SparkSession, sf_dir: str) -> str:
+    """The event logs as JSON files, a folder per application."""
+    folder = _scratch(spark)
+    log = proxies.event_log(spark, sf_dir).withColumn("log", F.concat("app_id", F.lit("-0001"))).drop("app_id")
+    log.write.partitionBy("log").json(folder)
+    return folder
+
+
 def _percentile_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per application, whether the 99th percentile of its merged sketches has the rank it should, up to its error."""
     rows = _stages(spark, sf_dir).withColumn("day", F.expr("stage_id % 100"))
@@ -597,6 +635,10 @@ tk AS (
   FROM e WHERE event_type IN ('click', 'purchase'))"""
 
 _LOG_SQL = {
+    "event_log_files": """
+SELECT app_id || '-0001' AS app_id, stage_id, attempt, status, write_bytes AS shuffle_write_bytes,
+       write_ns AS shuffle_write_ns, remote_bytes AS remote_bytes_read, failed_tasks, timed_tasks, run_ms, deserialize_ms
+FROM st""",
     "event_log_planned_stages": """
 SELECT app_id, stage_id, CASE WHEN app_id IN ('app-0', 'app-1', 'app-2') THEN 'PENDING' ELSE 'SKIPPED' END AS status
 FROM planned ANTI JOIN attempts USING (app_id, stage_id)""",

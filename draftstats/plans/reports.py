@@ -2,21 +2,41 @@
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from dataclasses import dataclass
+
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import draft, items, stages
+from ..schemas import CORRUPT
 from ..sinks import published, write_by_team, write_stats
 from ..sources.matches import read_landed
 
 
-def draft_report(matches: DataFrame, output: str, mode: str = draft.FULL, fmt: str = "parquet") -> None:
+@dataclass(frozen=True)
+class Read:
+    """What a report read: lines, and those of them of which it could not read all it needs."""
+
+    lines: int
+    rejected: int
+
+
+def draft_report(matches: DataFrame, output: str, mode: str = draft.FULL, fmt: str = "parquet") -> Read:
     """hero_stats, team_names, team_picks and team_bans (strict) or team_stats (full) below `output`.
 
     The matches are read once, into draft_counts per (hero, team). That table is
     itself an output; everything else is computed from it.
     """
-    draft_report_of_counts(draft.hero_team_counts(draft.draft_events(matches)), output, mode, fmt)
+    observed, seen = _observed(matches)
+    draft_report_of_counts(draft.hero_team_counts(draft.draft_events(observed)), output, mode, fmt)
+    return Read(**seen.get)
+
+
+def _observed(matches: DataFrame) -> tuple[DataFrame, Observation]:
+    """The matches, counted as they are read: straight from JSON, lines that are damaged in what the report reads."""
+    corrupt = F.col(CORRUPT).isNotNull() if CORRUPT in matches.columns else F.lit(False)
+    seen = Observation()
+    return matches.observe(seen, F.count("*").alias("lines"), F.count_if(corrupt).alias("rejected")), seen
 
 
 def draft_report_of_counts(team_counts: DataFrame, output: str, mode: str = draft.FULL, fmt: str = "parquet") -> None:
@@ -55,10 +75,12 @@ def counts_of_landings(spark: SparkSession, table: str, counts: str) -> DataFram
     return draft.merged_counts(by_landing if known is None else known)
 
 
-def item_report(matches: DataFrame, output: str, fmt: str = "parquet") -> None:
+def item_report(matches: DataFrame, output: str, fmt: str = "parquet") -> Read:
     """item_stats below `output`."""
+    observed, seen = _observed(matches)
     with published(matches.sparkSession, output) as folder:
-        write_stats(items.item_stats(items.item_purchases(matches)), f"{folder}/item_stats", fmt)
+        write_stats(items.item_stats(items.item_purchases(observed)), f"{folder}/item_stats", fmt)
+    return Read(**seen.get)
 
 
 def job_report(stage_rows: DataFrame, output: str, by: Sequence[str] = ("app_id",), fmt: str = "parquet") -> None:

@@ -22,15 +22,16 @@ APP_ID = r"(application_\d+_\d+(?:_\d+)?|app-\d+-\d+|local-\d+|spark-[0-9a-f]+)"
 
 
 def _app_id_from_file() -> Column:
-    name = F.col("_metadata.file_name")
-    found = F.regexp_extract(name, APP_ID, 1)
-    return F.when(found != "", found).otherwise(name).alias("app_id")
+    """The id in a file's name or else in its folder's; the name itself where there is none."""
+    name, path = F.col("_metadata.file_name"), F.col("_metadata.file_path")
+    own, folder = F.regexp_extract(name, APP_ID, 1), F.regexp_extract(path, APP_ID + r"[^/]*/[^/]*$", 1)
+    return F.when(own != "", own).when(folder != "", folder).otherwise(name).alias("app_id")
 
 
 def read_event_log(spark: SparkSession, path: str | list[str], compressed: bool = False) -> DataFrame:
     """Event logs of one or many applications, single files or rolled folders.
 
-    The application id comes from the file name. Logs of applications that still
+    The application id comes from the file name, or from the folder's. Logs of applications that still
     run may be among them: the planned stages of these are pending.
 
     A scan that meets a compressed log raises, unless `compressed`: then plain

@@ -121,9 +121,9 @@ def main(argv: list[str] | None = None) -> None:
     elif args.job == "malformed":
         write_stats(malformed_matches(matches), args.output, args.format)
     elif args.job == "draft":
-        draft_report(matches, args.output, args.mode, args.format)
+        print(draft_report(matches, args.output, args.mode, args.format))
     else:
-        item_report(matches, args.output, args.format)
+        print(item_report(matches, args.output, args.format))
 
 
 def set_defaults(spark: SparkSession, settings: dict[str, str]) -> None:

@@ -6,10 +6,10 @@ from pyspark.sql import functions as F
 
 from draftstats.operators import draft, items, stages
 from draftstats import sinks
-from draftstats.plans import compact, counts_of_landings, draft_report, draft_report_of_counts, item_report, job_report, land_matches
+from draftstats.plans import Read, compact, counts_of_landings, draft_report, draft_report_of_counts, item_report, job_report, land_matches
 from draftstats.schemas import MATCH
 from draftstats.sinks import write_by_team, write_stats
-from draftstats.sources import proxies
+from draftstats.sources import proxies, read_matches
 
 
 def ordered(df):
@@ -178,3 +178,11 @@ def test_only_new_landings_are_counted(spark, tmp_path):
         if name.endswith(".parquet") and spark.read.parquet(f"{table}/era=0/{name}").filter("batch = 0").count():
             os.remove(f"{table}/era=0/{name}")
     assert counts_of_landings(spark, table, kept).agg(F.sum("picks")).first()[0] == 10
+
+
+def test_reports_straight_from_json_count_what_they_could_not_read(spark, match_dir, tmp_path):
+    docs = read_matches(spark, f"{match_dir}/[1-5].json")
+    # One line is cut off, and one has hero ids in quotes, which matter to the drafts alone.
+    assert draft_report(docs, str(tmp_path / "d")) == Read(lines=5, rejected=2)
+    assert item_report(docs, str(tmp_path / "i")) == Read(lines=5, rejected=1)
+    assert draft_report(docs.drop("_corrupt_record"), str(tmp_path / "d")) == Read(lines=5, rejected=0)
