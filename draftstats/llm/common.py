@@ -3,14 +3,17 @@
 import gc
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 _FOLDERS: dict[str, str] = {}
+# log2 of the hashes that `told_apart` has bits for, and how many one bitmap holds.
+_MARK_BITS, _PER_BITMAP = 27, 1 << 15
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -61,6 +64,34 @@ def read_if_there(spark: SparkSession, path: str, schema: str) -> DataFrame:
         raise
 
 
+def unused(columns: Sequence[str], name: str) -> str:
+    """A column name like `name` that none of `columns` has."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def told_apart(rows: DataFrame, key: Sequence[str], wanted: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The rows whose key may be in `wanted`, which has columns of the key's types in its order, and those whose key is not.
+
+    What is sent to every task is a bit for each hash of a key, 16 MB at most
+    whatever the data. Large rows that a join would keep anyway, or drop
+    anyway, so need not be shuffled; the others are for an exact join.
+    """
+    hashes = F.pmod(F.xxhash64(*wanted.columns), F.lit(1 << _MARK_BITS))
+    bucket, place = F.floor(hashes / _PER_BITMAP), (hashes % _PER_BITMAP)
+    bitmaps = cut(wanted.select(bucket.alias("bucket"), place.alias("place")).groupBy("bucket").agg(F.bitmap_construct_agg("place").alias("bits")), "marks")
+    number, at, bits = (unused(rows.columns, name) for name in ("mark_no", "mark_at", "mark_bits"))
+    numbered = rows.withColumn(number, F.pmod(F.xxhash64(*key), F.lit(1 << _MARK_BITS)))
+    marks = bitmaps.toDF(at, bits)
+    met = numbered.join(F.broadcast(marks), F.floor(F.col(number) / _PER_BITMAP) == F.col(at), "left")
+    place = F.col(number) % _PER_BITMAP
+    byte = F.conv(F.hex(F.substring(bits, F.floor(place / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    may = F.coalesce(F.getbit(byte, (place % 8).cast("int")) == 1, F.lit(False))
+    return met.filter(may).select(*rows.columns), met.filter(~may).select(*rows.columns)
+
+
 def utf8(column: pa.Array) -> Iterator[np.ndarray]:
     """Each value's bytes as an array, without a copy; a null is empty."""
     wide = pa.types.is_large_string(column.type) or pa.types.is_large_binary(column.type)

@@ -8,25 +8,30 @@ draws given that every source gets its target in total. A source's slots walk
 its blocks in a pseudorandom permutation, a new one each time round. Slots and
 blocks are joined by source and block index.
 
+A permutation is the order of digests: an index goes to the place that the
+digest of its source, round and number has among all others. Places are counted
+within parts by the digests' first digits, so nothing is ordered in one task.
+
 All of it is DataFrame operations, and all arithmetic is on whole numbers that
 depend on the data only, so a second run mixes alike on any cluster.
 """
 
+from collections.abc import Sequence
 from math import ceil
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import cut
+from .common import cut, told_apart, unused
 
 WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (5, 2, 1)
 
-# Multipliers of the permutations x -> (x * multiplier + shift) mod n. Fixed values, all prime.
-_MULTIPLIERS = (2147483647, 1900000043, 1700000009, 1500000001, 1300000003, 1100000009, 900000011, 700000001)
 # Rows that one array makes, and documents of a source whose places are summed up together.
 _RUN = 10_000
 _TOGETHER = 2_000
+# Leading hexadecimal digits of digests that are ordered together.
+_DIGITS = 4
 # A prime that spreads ids over parts, whatever the steps between them.
 _SPREAD = 1_000_003
 
@@ -115,42 +120,49 @@ def slots(targets: DataFrame, block: int, shard_slots: int = 1024, most: int = 2
     """
     n_blocks = F.ceil(F.col("source_size") / block)
     wanted = F.round(F.col("target") * n_blocks / F.col("source_size")).cast("bigint")
-    dealt = (
+    runs = (
         targets.filter("source_size > 0")
         .select("source_no", n_blocks.alias("n_blocks"), F.least(wanted, most * n_blocks).alias("n_slots"))
-        .withColumn("upto", F.sum("n_slots").over(Window.orderBy("source_no").rowsBetween(Window.unboundedPreceding, 0)))
-        .withColumn("n_all", F.sum("n_slots").over(Window.partitionBy()))
-        .filter("n_slots > 0")
+        .withColumn("run", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("n_blocks") - 1, F.lit(_RUN).cast("bigint"))))
+        .withColumn("round", F.explode(F.sequence(F.lit(0), F.lit(most - 1))))
+        .filter("round * n_blocks < n_slots")
     )
-    # A source's slots come from many rows, so that a large source is made by many tasks.
-    runs = dealt.withColumn("run", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("n_slots") - 1, F.lit(_RUN).cast("bigint"))))
-    last = F.least(F.col("run") + _RUN, F.col("n_slots")) - 1
-    each = runs.repartition("source_no", "run").withColumn("ordinal", F.explode(F.sequence("run", last)))
-    number = F.col("upto") - F.col("n_slots") + F.col("ordinal")
-    again = F.floor(F.col("ordinal") / F.col("n_blocks"))
-    return each.withColumn("number", permuted(number, F.col("n_all"), F.lit(0))).select(
+    # A source's blocks come from many rows, and these are dealt out, so that a large source is made by many tasks.
+    tasks = int(targets.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    last = F.least(F.col("run") + _RUN, F.col("n_blocks")) - 1
+    each = runs.repartition(tasks, "source_no", "run", "round").withColumn("index", F.explode(F.sequence("run", last)))
+    walked = permuted(each.drop("run"), ["source_no", "round"], "index", "place")
+    # The last time round only takes the blocks that come first.
+    taking = walked.filter(F.col("round") * F.col("n_blocks") + F.col("place") < F.col("n_slots"))
+    dealt = permuted(taking.select("source_no", "round", "index"), [], "source_no, round, index", "number")
+    return dealt.select(
         F.floor(F.col("number") / shard_slots).alias("shard"),
         (F.col("number") % shard_slots).alias("slot"),
         "source_no",
-        permuted(F.col("ordinal") % F.col("n_blocks"), F.col("n_blocks"), F.col("source_no") * most + again + 1).alias("index"),
-        again.alias("round"),
+        "index",
+        "round",
     )
 
 
-def permuted(x: Column, n: Column, key: Column) -> Column:
-    """A permutation of 0 .. n - 1 for each key: a multiplication and a shift, modulo n.
+def permuted(rows: DataFrame, by: Sequence[str], key: str, name: str) -> DataFrame:
+    """Rows with `name`, the place from 0 that the digest of `by` and `key` has among those of the same `by`.
 
-    The multiplier is the first, counted from the key, that is not a multiple of
-    n's factors (they are prime) and moves neighbours apart.
+    A permutation of any number of rows. Each part of a group, by the digests'
+    first digits, is ordered by itself; where it starts enters as a row that
+    sorts before all others. There are at most 65,536 parts to add up.
     """
-    multiplier = F.lit(None).cast("bigint")
-    for step in reversed(range(len(_MULTIPLIERS))):
-        prime = F.element_at(F.array(*map(F.lit, _MULTIPLIERS)), ((key + step) % len(_MULTIPLIERS) + 1).cast("int")).cast("bigint")
-        apart = (prime % n).between(F.floor(n / 5), n - F.floor(n / 5))
-        multiplier = F.when((n % prime != 0) & apart, prime).otherwise(multiplier)
-    # n has at most 12 digits or so, and the product more than a long holds.
-    wide = F.coalesce(multiplier, F.lit(1)).cast("decimal(18,0)") * x.cast("decimal(18,0)") + (key * 7919).cast("decimal(18,0)")
-    return (wide % n.cast("decimal(18,0)")).cast("bigint")
+    keys = [*by, *[k.strip() for k in key.split(",")]]
+    digest = F.md5(F.concat_ws("/", F.lit(name), *[F.col(k).cast("string") for k in keys]))
+    hashed = rows.withColumn("digest", digest).withColumn("part", F.substring("digest", 1, _DIGITS))
+    sums = hashed.groupBy(*by, "part").agg(F.count("*").alias("n"))
+    before = Window.partitionBy(*by).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sums.select(*by, "part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first"))
+    part = Window.partitionBy(*by, "part")
+    within = part.orderBy(F.asc_nulls_first("digest"), *key.split(", "))
+    placed = hashed.unionByName(starts, allowMissingColumns=True).withColumn(
+        name, F.max("first").over(part.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)) + F.row_number().over(within) - 2
+    )
+    return placed.filter("digest is not null").drop("digest", "part", "first")
 
 
 def mix(docs: DataFrame, block: int = 64, shard_slots: int = 1024) -> tuple[DataFrame, DataFrame]:
@@ -197,24 +209,30 @@ def mixed_documents(docs: DataFrame, block: int = 64) -> DataFrame:
     documents, mixture = mix(docs, block)
     times = mixture.groupBy("source_no", "start", "from", "words").agg(F.count("*").alias("times"))
     spans = times.groupBy("source_no", "start").agg(F.sort_array(F.collect_list(F.struct("from", "words", "times"))).alias("spans"))
-    placed = documents.filter("size > 0").join(spans, ["source_no", "start"]).select(
-        F.col("doc_id").alias("mixed_doc"), F.col("source").alias("mixed_source"), "text_hash", F.col("size").alias("mixed_size"), "spans"
-    )
-    # Rows that repeat are one text here, and as many places above.
-    texts = docs.withColumn("mixed_hash", F.xxhash64("text")).dropDuplicates(["doc_id", "source", "mixed_hash"])
-    same = (
-        F.col("doc_id").eqNullSafe(F.col("mixed_doc"))
-        & F.col("source").eqNullSafe(F.col("mixed_source"))
-        & (F.col("mixed_hash") == F.col("text_hash"))
+    # Columns of `docs` may have any name, so these get names of their own.
+    names = ("mixed_doc", "mixed_source", "mixed_at", "mixed_size", "mixed_spans", "mixed_hash", "mixed_round", "mixed_words")
+    doc, source, at, size, spans_of, hashed, round_no, words_of = (unused(docs.columns, name) for name in names)
+    placed = (
+        documents.filter("size > 0")
+        .join(spans, ["source_no", "start"])
+        .select("doc_id", "source", "text_hash", "size", "spans")
+        .toDF(doc, source, at, size, spans_of)
     )
-    most = F.array_max(F.transform("spans", lambda s: s["times"]))
-    rounds = texts.join(placed, same).withColumn("mixed_round", F.explode(F.sequence(F.lit(1).cast("bigint"), most)))
-    now = F.filter("spans", lambda s: s["times"] >= F.col("mixed_round"))
+    # Rows that repeat are one text here, and as many places above; only texts that may repeat are compared.
+    texts = docs.withColumn(hashed, F.xxhash64("text"))
+    key = ["doc_id", "source", hashed]
+    repeated = texts.groupBy(*key).agg(F.count("*").alias("copies")).filter("copies > 1").select(*key)
+    some, others = told_apart(texts, key, repeated)
+    texts = others.union(some.dropDuplicates(key))
+    same = F.col("doc_id").eqNullSafe(F.col(doc)) & F.col("source").eqNullSafe(F.col(source)) & (F.col(hashed) == F.col(at))
+    most = F.array_max(F.transform(spans_of, lambda s: s["times"]))
+    rounds = texts.join(placed, same).withColumn(round_no, F.explode(F.sequence(F.lit(1).cast("bigint"), most)))
+    now = F.filter(spans_of, lambda s: s["times"] >= F.col(round_no))
     n_now = F.aggregate(now, F.lit(0).cast("bigint"), lambda n, s: n + s["words"])
     words = F.regexp_extract_all("text", F.lit(WORD + r"[\x20\x09-\x0D]*"), F.lit(0))
-    some = F.array_join(F.flatten(F.transform(now, lambda s: F.slice("mixed_words", s["from"].cast("int") + 1, s["words"].cast("int")))), "")
-    mixed = rounds.withColumn("mixed_words", F.when(n_now < F.col("mixed_size"), words)).withColumn(
-        "text", F.when(n_now < F.col("mixed_size"), some).otherwise(F.col("text"))
+    cuts = F.transform(now, lambda s: F.slice(words_of, s["from"].cast("int") + 1, s["words"].cast("int")))
+    mixed = rounds.withColumn(words_of, F.when(n_now < F.col(size), words)).withColumn(
+        "text", F.when(n_now < F.col(size), F.array_join(F.flatten(cuts), "")).otherwise(F.col("text"))
     )
     if "n_chars" in docs.columns:
         mixed = mixed.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
@@ -248,17 +266,14 @@ placed AS (
         FROM sized, parts)),
 documents_at AS (
   SELECT p.*, source_no, source_size, target FROM placed p JOIN targets t ON p.source IS NOT DISTINCT FROM t.source),
-slots AS (
-  SELECT source_no, n_blocks, unnest(range(0,
-    least(round(target * n_blocks / source_size)::BIGINT, 2 * n_blocks))) AS ordinal
+wanted AS (
+  SELECT source_no, n_blocks, least(round(target * n_blocks / source_size)::BIGINT, 2 * n_blocks) AS n_slots
   FROM targets WHERE source_size > 0),
-keyed AS (SELECT *, source_no * 2 + ordinal // n_blocks + 1 AS key FROM slots),
+walked AS (
+  SELECT *, row_number() OVER (PARTITION BY source_no, round ORDER BY md5(concat_ws('/', 'place', source_no, round, index)), index) - 1 AS place
+  FROM (SELECT *, unnest(range(0, n_blocks)) AS index FROM (SELECT *, unnest([0, 1]) AS round FROM wanted))),
 taken_blocks AS (
-  SELECT source_no, ((ordinal % n_blocks)::HUGEINT * coalesce(list_filter(list_transform(range(0, {len(_MULTIPLIERS)}),
-           lambda k: {list(_MULTIPLIERS)}[(key + k) % {len(_MULTIPLIERS)} + 1]),
-           lambda p: n_blocks % p <> 0 AND p % n_blocks BETWEEN n_blocks // 5 AND n_blocks - n_blocks // 5)[1], 1)
-         + key * 7919) % n_blocks AS index, count(*) AS times
-  FROM keyed GROUP BY ALL),
+  SELECT source_no, index, count(*) AS times FROM walked WHERE round * n_blocks + place < n_slots GROUP BY ALL),
 pieces AS (
   SELECT source_no, start, size, unnest(range(start // {block}, (start + size - 1) // {block} + 1)) AS index
   FROM documents_at WHERE size > 0),

@@ -1,0 +1,29 @@
+import pytest
+
+from draftstats.llm import common
+
+
+@pytest.mark.parametrize("bits", [27, 15])
+def test_rows_are_told_apart_by_what_is_wanted(spark, monkeypatch, bits):
+    """No wanted row is among the others; with few bits more rows may be wanted, and none is lost."""
+    monkeypatch.setattr(common, "_MARK_BITS", bits)
+    rows = [(i if i % 50 else None, f"h{i}", "text", 1) for i in range(3_000)]
+    df = spark.createDataFrame(rows, "doc_id long, h string, mark_no string, MARK_AT int")
+    wanted = spark.createDataFrame([(i if i % 50 else None, f"h{i}") for i in range(0, 3_000, 7)], "a long, b string")
+    may, others = common.told_apart(df, ["doc_id", "h"], wanted)
+    assert may.columns == others.columns == df.columns
+    may, others = may.collect(), others.collect()
+    assert sorted(map(str, may + others)) == sorted(map(str, df.collect()))
+    asked = {(r.a, r.b) for r in wanted.collect()}
+    assert not any((r.doc_id, r.h) in asked for r in others)
+    assert sum((r.doc_id, r.h) not in asked for r in may) <= (3 if bits == 27 else 300)
+
+
+def test_nothing_is_wanted(spark):
+    df = spark.createDataFrame([(1, "a"), (None, "b")], "doc_id long, text string")
+    may, others = common.told_apart(df, ["doc_id"], spark.createDataFrame([], "x long"))
+    assert may.collect() == [] and others.count() == 2
+
+
+def test_unused_names():
+    assert common.unused(["a", "X"], "x") == "x_" and common.unused([], "x") == "x"
