@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from math import ceil
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import landed
@@ -19,6 +19,7 @@ from ..operators.ingest import new_listing_objects, new_listing_rows, of_leagues
 from ..schemas import CORRUPT
 from ..sinks import delete
 from ..sources.matches import is_blank, read_landed
+from .counting import Counted
 
 # Landings whose documents share a partition.
 BATCHES_PER_ERA = 100
@@ -62,18 +63,17 @@ def land_listing(listing: DataFrame, table: str, league_ids: Sequence[int] | Non
     leagues' rows land; objects without a league are of none, and are counted.
     """
     spark = listing.sparkSession
-    seen = Observation()
-    observed = listing.observe(
-        seen,
-        F.count("*").alias("objects"),
-        F.count_if(F.col("match_id").isNull()).alias("unnamed"),
-        F.count_if(F.col("leagueid").isNull()).alias("without_league"),
+    counted = Counted(
+        listing,
+        objects=F.count("*"),
+        unnamed=F.count_if(F.col("match_id").isNull()),
+        without_league=F.count_if(F.col("leagueid").isNull()),
     )
-    wanted = observed if league_ids is None else of_leagues(observed, league_ids)
+    wanted = counted.rows if league_ids is None else of_leagues(counted.rows, league_ids)
     known = read_landed(spark, table)
     new = new_listing_objects if "listing" in listing.columns else new_listing_rows
     new(wanted, known).write.mode("append").parquet(table)
-    return Listed(**seen.get)
+    return Listed(**counted.get())
 
 
 def land_matches(docs: DataFrame, table: str, unique: bool = False) -> Landing:
@@ -160,19 +160,18 @@ def _stage(docs: DataFrame, path: str) -> dict[str, int]:
     blank = corrupt & is_blank(docs) if CORRUPT in docs.columns else F.lit(False)
     if "file_named" not in docs.columns:
         docs = docs.withColumn("file_named", F.lit(False))
-    seen = Observation()
-    observed = docs.observe(
-        seen,
-        F.count("*").alias("lines"),
-        F.count_if(corrupt & ~blank).alias("damaged"),
-        F.count_if(blank).alias("unreadable"),
-        F.count_if(~blank & F.col("match_id").isNull()).alias("unnamed"),
+    counted = Counted(
+        docs,
+        lines=F.count("*"),
+        damaged=F.count_if(corrupt & ~blank),
+        unreadable=F.count_if(blank),
+        unnamed=F.count_if(~blank & F.col("match_id").isNull()),
     )
-    able = observed.filter(~blank & F.col("match_id").isNotNull())
+    able = counted.rows.filter(~blank & F.col("match_id").isNotNull())
     # Only documents that may be ambiguous are digested.
     content = F.when(F.col("file_named"), landed.content_hash(docs)).alias("content")
     able.select("*", content).write.mode("overwrite").parquet(path)
-    return dict(seen.get)
+    return counted.get()
 
 
 def _copy(staged: DataFrame, marks: DataFrame, lines: int, batch: int, table: str) -> None:

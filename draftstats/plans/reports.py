@@ -4,13 +4,14 @@ from collections.abc import Sequence
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import draft, items, stages
 from ..schemas import CORRUPT
 from ..sinks import published, write_by_team, write_stats
 from ..sources.matches import read_landed
+from .counting import Counted
 
 
 @dataclass(frozen=True)
@@ -27,16 +28,17 @@ def draft_report(matches: DataFrame, output: str, mode: str = draft.FULL, fmt: s
     The matches are read once, into draft_counts per (hero, team). That table is
     itself an output; everything else is computed from it.
     """
-    observed, seen = _observed(matches)
-    draft_report_of_counts(draft.hero_team_counts(draft.draft_events(observed)), output, mode, fmt)
-    return Read(**seen.get)
+    counted = _counted(matches, "picks_bans")
+    draft_report_of_counts(draft.hero_team_counts(draft.draft_events(counted.rows)), output, mode, fmt)
+    return Read(**counted.get())
 
 
-def _observed(matches: DataFrame) -> tuple[DataFrame, Observation]:
-    """The matches, counted as they are read: straight from JSON, lines that are damaged in what the report reads."""
+def _counted(matches: DataFrame, read: str) -> Counted:
+    """Straight from JSON, lines that are damaged in what the report reads are rejected."""
     corrupt = F.col(CORRUPT).isNotNull() if CORRUPT in matches.columns else F.lit(False)
-    seen = Observation()
-    return matches.observe(seen, F.count("*").alias("lines"), F.count_if(corrupt).alias("rejected")), seen
+    # Spark must be asked for another column as well; this is true of any.
+    rejected = F.count_if(corrupt & (F.coalesce(F.size(read), F.lit(0)) >= -1))
+    return Counted(matches, lines=F.count("*"), rejected=rejected)
 
 
 def draft_report_of_counts(team_counts: DataFrame, output: str, mode: str = draft.FULL, fmt: str = "parquet") -> None:
@@ -77,10 +79,10 @@ def counts_of_landings(spark: SparkSession, table: str, counts: str) -> DataFram
 
 def item_report(matches: DataFrame, output: str, fmt: str = "parquet") -> Read:
     """item_stats below `output`."""
-    observed, seen = _observed(matches)
+    counted = _counted(matches, "players")
     with published(matches.sparkSession, output) as folder:
-        write_stats(items.item_stats(items.item_purchases(observed)), f"{folder}/item_stats", fmt)
-    return Read(**seen.get)
+        write_stats(items.item_stats(items.item_purchases(counted.rows)), f"{folder}/item_stats", fmt)
+    return Read(**counted.get())
 
 
 def job_report(stage_rows: DataFrame, output: str, by: Sequence[str] = ("app_id",), fmt: str = "parquet") -> None:

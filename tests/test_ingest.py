@@ -65,6 +65,13 @@ def test_listing_table_keeps_objects_and_counts_those_without_a_league(spark, tm
     assert rows(ingest.pending_matches(found, None)) == [(1,), (4,)]
 
 
+def test_listings_of_nothing_wanted(spark, tmp_path):
+    table, path = str(tmp_path / "table"), objects_in(tmp_path / "in", "a.json", {"match_id": 1, "leagueid": 5}, {"match_id": 2})
+    assert land_listing(read_listing_objects(spark, path), table, LEAGUE_IDS) == Listed(2, 0, 1)
+    empty = spark.createDataFrame([], "match_id bigint, leagueid bigint")
+    assert land_listing(empty, str(tmp_path / "other")) == Listed(0, 0, 0)
+
+
 def test_pending(spark):
     both = ingest.listing_union(listing(spark, [1, 2, 3]), listing(spark, [3, 4]))
     landed = spark.createDataFrame([(2,), (2,), (9,)], "match_id bigint")

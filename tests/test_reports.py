@@ -104,8 +104,8 @@ def test_job_report(spark, sf_dir, tmp_path):
 
 def test_reports_of_nothing(spark, tmp_path):
     empty = spark.createDataFrame([], MATCH)
-    draft_report(empty, str(tmp_path / "d"))
-    item_report(empty, str(tmp_path / "i"))
+    assert draft_report(empty, str(tmp_path / "d")) == Read(0, 0)
+    assert item_report(empty, str(tmp_path / "i")) == Read(0, 0)
     assert spark.read.parquet(f"{tmp_path}/d/hero_stats").count() == 0
     assert spark.read.parquet(f"{tmp_path}/i/item_stats").count() == 0
 
@@ -186,3 +186,10 @@ def test_reports_straight_from_json_count_what_they_could_not_read(spark, match_
     assert draft_report(docs, str(tmp_path / "d")) == Read(lines=5, rejected=2)
     assert item_report(docs, str(tmp_path / "i")) == Read(lines=5, rejected=1)
     assert draft_report(docs.drop("_corrupt_record"), str(tmp_path / "d")) == Read(lines=5, rejected=0)
+
+
+def test_documents_without_events_are_counted(spark, tmp_path):
+    for name, text in (("1.json", "{}"), ("2.json", "broken")):
+        (tmp_path / name).write_text(text)
+    docs = read_matches(spark, f"{tmp_path}/*.json")
+    assert draft_report(docs, str(tmp_path / "d")) == item_report(docs, str(tmp_path / "i")) == Read(2, 1)
