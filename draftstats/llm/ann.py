@@ -16,10 +16,11 @@ from math import ceil, log2
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import cut, drop_cut
+from .common import cut, drop_cut, utf8
 
 #: Neighbours a node keeps, and of either kind (new, old) those that a round joins, for either direction together.
 DEGREE = 32
@@ -36,6 +37,9 @@ BEAM_NODES = 10_000
 BEAM_GROWTH = 0.6
 EXPANDED = 4
 
+# Lists of one node that are merged before there are more.
+_HUB = 20_000
+
 _LISTS = "node bigint, packed binary, ids array<bigint>, scores array<float>, fresh array<boolean>"
 _LIST_SCHEMA = pa.schema(
     [("node", pa.int64()), ("packed", pa.binary()), ("ids", pa.list_(pa.int64())), ("scores", pa.list_(pa.float32())), ("fresh", pa.list_(pa.bool_()))]
@@ -112,10 +116,9 @@ def _alone(nodes: DataFrame) -> DataFrame:
     return nodes.select("node", "packed", *empty)
 
 
-def _matrix(packed: pa.Array) -> np.ndarray:
-    """Vectors of one length as a matrix."""
-    values = packed.to_pylist()
-    return np.frombuffer(b"".join(values), np.float32).reshape(len(values), -1)
+def _matrix(packed: pa.Array, kind: type = np.float32) -> np.ndarray:
+    """Vectors of one length, none of them null, as a matrix."""
+    return np.frombuffer(b"".join(utf8(packed)), kind).reshape(len(packed), -1)
 
 
 def _groups(batches: Iterator[pa.RecordBatch], n_keys: int = 1) -> Iterator[list[tuple]]:
@@ -159,24 +162,7 @@ def _best(met: DataFrame, degree: int) -> DataFrame:
     """Lists of one node as one list of its best. A node met already is not fresh again."""
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple] = []
-        for members in _groups(batches):
-            best: dict[int, tuple[float, bool]] = {}
-            vector = None
-            for node, packed, *lists in members:
-                vector = packed or vector
-                for i, score, fresh in zip(*lists, strict=True):
-                    known = best.get(i)
-                    best[i] = (score, fresh and (known is None or known[1]))
-                if len(best) > 8 * degree:
-                    best = dict(sorted(best.items(), key=lambda b: (-b[1][0], b[0]))[:degree])
-            top = sorted(best.items(), key=lambda b: (-b[1][0], b[0]))[:degree]
-            held.append((node, vector, [i for i, _ in top], [b[0] for _, b in top], [b[1] for _, b in top]))
-            if len(held) == 2_000:
-                yield _lists(held)
-                held = []
-        if held:
-            yield _lists(held)
+        return _merged(batches, degree)
 
     return met.repartition("node").sortWithinPartitions("node").mapInArrow(merge, _LISTS)
 
@@ -185,6 +171,58 @@ def _lists(rows: list[tuple]) -> pa.RecordBatch:
     return pa.record_batch([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), _LIST_SCHEMA, strict=True)], schema=_LIST_SCHEMA)
 
 
+def _flat_lists(nodes: np.ndarray, packed: pa.Array, ends: np.ndarray, ids, scores, fresh) -> pa.RecordBatch:
+    """Lists from their values one after the other and where each list ends."""
+    edges = pa.array(np.append(0, ends), pa.int32())
+    lists = [pa.ListArray.from_arrays(edges, pa.array(v, t)) for v, t in ((ids, pa.int64()), (scores, pa.float32()), (fresh, pa.bool_()))]
+    return pa.record_batch([pa.array(nodes, pa.int64()), packed, *lists], schema=_LIST_SCHEMA)
+
+
+def _merged(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.RecordBatch]:
+    """Lists that follow each other with equal nodes as one list of the `most` best, without the node itself."""
+    left = None
+    for batch in batches:
+        held = batch if left is None else pa.concat_batches([left, batch.cast(left.schema)])
+        if not held.num_rows:
+            continue
+        nodes = held.column(0).to_numpy()
+        last = int(np.searchsorted(nodes, nodes[-1]))
+        if last:
+            yield _merge(held.slice(0, last), most)
+        left = held.slice(last)
+        if left.num_rows > _HUB:
+            left = _merge(left, 8 * most)
+    if left is not None and left.num_rows:
+        yield _merge(left, most)
+
+
+def _merge(lists: pa.RecordBatch, most: int) -> pa.RecordBatch:
+    nodes, group = np.unique(lists.column(0).to_numpy(), return_inverse=True)
+    of = np.repeat(group, pc.list_value_length(lists.column(2)).to_numpy())
+    ids, scores, fresh = (lists.column(c).flatten().to_numpy(zero_copy_only=False) for c in (2, 3, 4))
+    # Each id once; one met already is not fresh again.
+    others = np.flatnonzero(ids != nodes[of])
+    order = others[np.lexsort((ids[others], of[others]))]
+    of, ids, scores, fresh = of[order], ids[order], scores[order], fresh[order]
+    new = np.ones(len(ids), bool)
+    new[1:] = (of[1:] != of[:-1]) | (ids[1:] != ids[:-1])
+    starts = np.flatnonzero(new)
+    if len(starts):
+        of, ids = of[starts], ids[starts]
+        scores, fresh = np.maximum.reduceat(scores, starts), np.logical_and.reduceat(fresh, starts)
+    order = np.lexsort((ids, -scores, of))
+    of, ids, scores, fresh = of[order], ids[order], scores[order], fresh[order]
+    first = np.searchsorted(of, np.arange(len(nodes)))
+    kept = np.arange(len(of)) - first[of] < most
+    ends = np.cumsum(np.bincount(of[kept], minlength=len(nodes)))
+    # A node's vector comes with one of its lists.
+    given = np.flatnonzero(lists.column(1).is_valid().to_numpy(zero_copy_only=False))
+    carrier = np.full(len(nodes), -1)
+    carrier[group[given[::-1]]] = given[::-1]
+    packed = lists.column(1).take(pa.array(carrier, pa.int64(), mask=carrier < 0))
+    return _flat_lists(nodes, packed, ends, ids[kept], scores[kept], fresh[kept])
+
+
 def _round(graph: DataFrame, number: int, degree: int) -> DataFrame:
     """What the neighbours of each node, in both directions, learn of each other.
 
@@ -208,27 +246,52 @@ def _round(graph: DataFrame, number: int, degree: int) -> DataFrame:
     known = graph.select("node", worst.alias("worst"), "packed")
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple] = []
-        for members in _groups(batches):
-            rows = list(members)
-            ids, worst = np.array([r[1] for r in rows]), np.array([r[2] for r in rows], np.float32)
-            matrix = np.frombuffer(b"".join(r[3] for r in rows), np.float32).reshape(len(rows), -1)
-            scores = matrix @ matrix.T
-            better = scores > worst[:, None]
-            np.fill_diagonal(better, False)
-            for i in np.flatnonzero(better.any(axis=1)):
-                found = np.flatnonzero(better[i])
-                held.append((int(ids[i]), None, ids[found], scores[i, found], np.ones(len(found), bool)))
-            if len(held) >= 2_000:
-                yield _lists(held)
-                held = []
-        if held:
-            yield _lists(held)
+        left = None
+        for batch in batches:
+            held = batch if left is None else pa.concat_batches([left, batch.cast(left.schema)])
+            if held.num_rows:
+                around = held.column(0).to_numpy()
+                last = int(np.searchsorted(around, around[-1]))
+                yield from _met(held.slice(0, last))
+                left = held.slice(last)
+        if left is not None:
+            yield from _met(left)
 
     placed = joined.join(known, "node").select("around", "node", "worst", "packed")
     return placed.repartition("around").sortWithinPartitions("around").mapInArrow(meet, _LISTS)
 
 
+def _met(rows: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """For each member of a group the others that are better than its worst. Groups are padded to one size and multiplied together."""
+    around, ids = rows.column(0).to_numpy(), rows.column(1).to_numpy()
+    starts = np.flatnonzero(np.diff(around, prepend=around[:1] - 1))
+    for some in np.array_split(starts, max(1, len(starts) // 512)) if len(starts) else ():
+        begin = int(some[0])
+        after = np.searchsorted(starts, some[-1], "right")
+        stop = int(starts[after]) if after < len(starts) else len(around)
+        group = np.searchsorted(some, np.arange(begin, stop), "right") - 1
+        place = np.arange(begin, stop) - some[group]
+        vectors = _matrix(rows.column(3).slice(begin, stop - begin))
+        size = int(place.max()) + 1
+        matrix = np.zeros((len(some), size, vectors.shape[1]), np.float32)
+        matrix[group, place] = vectors
+        worst = np.full((len(some), size), np.inf, np.float32)
+        worst[group, place] = rows.column(2).to_numpy()[begin:stop]
+        member = np.zeros((len(some), size), np.int64)
+        member[group, place] = ids[begin:stop]
+        there = np.zeros((len(some), size), bool)
+        there[group, place] = True
+        scores = matrix @ matrix.transpose(0, 2, 1)
+        better = (scores > worst[:, :, None]) & there[:, None, :] & there[:, :, None] & ~np.eye(size, dtype=bool)
+        g, i, j = np.nonzero(better)
+        if len(g):
+            of = g * size + i
+            lists = np.flatnonzero(np.diff(of, prepend=-1))
+            ends = np.append(lists[1:], len(of))
+            none = pa.nulls(len(lists), pa.binary())
+            yield _flat_lists(member[g[lists], i[lists]], none, ends, member[g, j], scores[g, i, j], np.ones(len(g), bool))
+
+
 def beam_of(n_nodes: int, k: int) -> int:
     """Candidates that a query keeps. A fixed number would find ever less of a growing table."""
     return max(ceil(BEAM * max(1.0, n_nodes / BEAM_NODES) ** BEAM_GROWTH), 2 * k)
@@ -313,14 +376,18 @@ def _scored(steps: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            held = []
-            for query, worst, asked, others, codes, scale in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                vector = np.frombuffer(asked, np.float32)[:-1]
-                scores = np.frombuffer(codes, np.int8).reshape(len(others), -1) @ vector * np.float32(scale)
-                better = np.flatnonzero(scores > worst)
-                held.append((query, None, np.array(others, np.int64)[better], scores[better], np.ones(len(better), bool)))
-            if held:
-                yield _lists(held)
+            for at in range(0, batch.num_rows, 1_000):
+                part = batch.slice(at, 1_000)
+                of = np.repeat(np.arange(part.num_rows), pc.list_value_length(part.column(3)).to_numpy())
+                asked = _matrix(part.column(2))[:, :-1]
+                codes = np.frombuffer(b"".join(utf8(part.column(4))), np.int8).reshape(len(of), -1)
+                scales = part.column(5).to_numpy().astype(np.float32)
+                scores = np.einsum("ij,ij->i", codes.astype(np.float32), asked[of]) * scales[of]
+                better = scores > part.column(1).to_numpy()[of]
+                ends = np.cumsum(np.bincount(of[better], minlength=part.num_rows))
+                others = part.column(3).flatten().to_numpy()[better]
+                none = pa.nulls(part.num_rows, pa.binary())
+                yield _flat_lists(part.column(0).to_numpy(), none, ends, others, scores[better], np.ones(len(others), bool))
 
     return steps.mapInArrow(run, _LISTS)
 
@@ -329,22 +396,7 @@ def _beams(lists: DataFrame, beam: int) -> DataFrame:
     """One list of the best for each query, without itself. A node once expanded stays so."""
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple] = []
-        for members in _groups(batches):
-            best: dict[int, tuple[float, bool]] = {}
-            vector = None
-            for query, packed, ids, scores, fresh in members:
-                vector = packed or vector
-                for i, score, is_open in zip(ids, scores, fresh, strict=True):
-                    known = best.get(i)
-                    best[i] = (score, is_open and (known is None or known[1]))
-            top = sorted(((i, *b) for i, b in best.items() if i != query), key=lambda b: (-b[1], b[0]))[:beam]
-            held.append((query, vector, *(map(list, zip(*top, strict=True)) if top else ([], [], []))))
-            if len(held) == 2_000:
-                yield _lists(held)
-                held = []
-        if held:
-            yield _lists(held)
+        return _merged(batches, beam)
 
     return lists.repartition("node").sortWithinPartitions("node").mapInArrow(merge, _LISTS)
 

@@ -73,3 +73,29 @@ def test_query_recall(spark):
     for q, near in found.items():
         assert all(abs(s - lookup[q] @ lookup[v]) < 1e-12 for v, s in near)
         assert near == sorted(near, key=lambda x: (-x[1], x[0]))
+
+
+def test_lists_of_one_node_are_merged_as_a_dictionary_would(monkeypatch):
+    rng = np.random.default_rng(5)
+    score = {(n, i): float(np.float32(rng.standard_normal())) for n in range(40) for i in range(60)}
+    rows = []
+    for node in sorted(rng.integers(0, 40, 300).tolist()):
+        ids = rng.choice(60, rng.integers(0, 12), replace=False).tolist()
+        rows.append((node, None, ids, [score[node, i] for i in ids], [bool(x) for x in rng.integers(0, 2, len(ids))]))
+    firsts = {row[0]: at for at, row in reversed(list(enumerate(rows)))}
+    rows = [(n, b"vector%d" % n if firsts[n] == at else None, *rest) for at, (n, _, *rest) in enumerate(rows)]
+    expected = []
+    for node in sorted(firsts):
+        best = {}
+        for _, _, ids, scores, fresh in (r for r in rows if r[0] == node):
+            for i, s, f in zip(ids, scores, fresh, strict=True):
+                best[i] = (s, f and best.get(i, (s, True))[1])
+        best.pop(node, None)
+        top = sorted(best.items(), key=lambda b: (-b[1][0], b[0]))[:7]
+        expected.append((node, b"vector%d" % node, [i for i, _ in top], [b[0] for _, b in top], [b[1] for _, b in top]))
+    for hub in (20_000, 3):
+        monkeypatch.setattr(ann, "_HUB", hub)
+        for size in (1, 7, 300):
+            batches = [ann._lists(rows[i : i + size]) for i in range(0, len(rows), size)]
+            found = [tuple(r.values()) for batch in ann._merged(iter(batches), 7) for r in batch.to_pylist()]
+            assert found == expected
