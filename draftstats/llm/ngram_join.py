@@ -9,7 +9,7 @@ short ones left (DivideSkip). To bring together only what may be similar:
    counted over the corpus. Similar sets share a stated number of prefix
    shingles, so a class with fewer that occur elsewhere has no partner.
 2. Of the others the rarest prefix shingles, by the counts, are short lists; partners share one.
-3. Classes that share most lists are put into chunks of bounded size. A task
+3. Classes that share their longest list are put into chunks of bounded size. A task
    searches a chunk, or of two chunks the classes that share a list across.
 4. What a task links is joined into connected components.
 
@@ -27,12 +27,15 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import batches_of, cut, drop_cut, utf8
+from .common import batches_of, cut, drop_cut, told_apart, utf8
 from .components import components
+from .hash_counts import frequent_hashes, is_set
 from .shingles import Shingler
 
 # Shingles of the classes of one chunk, about.
-CHUNK = 200_000
+CHUNK = 400_000
+# log2 of the hashes that tell shingles of one class apart from shared ones, at most: 32 MB of bits.
+_BITS = 28
 # The weight of a probe against a merge, in the choice of long lists. A constant of the method.
 _PROBE = 0.0085
 
@@ -43,9 +46,10 @@ _SHINGLED = pa.schema(
         ("digest", pa.binary()),
         ("key", pa.int64()),
         ("prefix", pa.list_(pa.int64())),
+        ("text_hash", pa.int64()),
     ]
 )
-_SHINGLED_DDL = "doc_id bigint, n bigint, digest binary, key bigint, prefix array<bigint>"
+_SHINGLED_DDL = "doc_id bigint, n bigint, digest binary, key bigint, prefix array<bigint>, text_hash bigint"
 _LINKED = pa.schema([("node", pa.binary()), ("parent", pa.binary()), ("n_links", pa.int64())])
 
 
@@ -90,9 +94,15 @@ def linked_documents(docs: DataFrame, similarity: Similarity = Similarity()) ->
 
 def _linked(docs: DataFrame, similarity: Similarity) -> tuple[DataFrame, list[DataFrame]]:
     """The result of `linked_documents`, and the tables that it reads."""
-    shingled = cut(docs.select(F.col("doc_id").cast("bigint"), "text").mapInArrow(_shingle(similarity), _SHINGLED_DDL), "shingles")
+    texts = _texts(docs).select("doc_id", "text", "text_hash")
+    shingled = cut(texts.mapInArrow(_shingle(similarity), _SHINGLED_DDL), "shingles")
+    # A class is read again from one row, told by its id and text: others may share the id, or have none.
+    row = F.struct(F.col("doc_id").isNull(), "doc_id", "text_hash")
     classes = (
-        shingled.filter("n > 0").groupBy("digest").agg(F.min("doc_id").alias("first_id"), F.count("*").alias("copies"))
+        shingled.filter("n > 0")
+        .groupBy("digest")
+        .agg(F.min(row).alias("row"), F.count("*").alias("copies"))
+        .select("digest", F.col("row.doc_id").alias("first_id"), F.col("row.text_hash").alias("first_hash"), "copies")
     )
     lists = cut(_short_lists(shingled, similarity), "lists")
     chunks = cut(_chunks(lists), "chunks")
@@ -128,10 +138,12 @@ def one_of_each(docs: DataFrame, similarity: Similarity = Similarity()) -> DataF
     """`docs` without documents that reach one with a smaller id by links. Rows that repeat an id stay together."""
     found, tables = _linked(docs, similarity)
     later = found.filter(F.col("component_id") < F.col("doc_id"))
-    gone = cut(later.select(F.col("doc_id").alias("gone_id")).distinct(), "gone")
+    kind = docs.schema["doc_id"].dataType
+    gone = cut(later.select(F.col("doc_id").cast(kind).alias("gone_id")).distinct(), "gone")
     for table in tables:
         drop_cut(table)
-    return docs.join(gone, docs["doc_id"] == F.col("gone_id"), "left_anti")
+    some, others = told_apart(docs, ["doc_id"], gone)
+    return others.union(some.join(gone, some["doc_id"] == gone["gone_id"], "left_anti"))
 
 
 def _shingle(similarity: Similarity):
@@ -140,18 +152,23 @@ def _shingle(similarity: Similarity):
 
         def rows() -> Iterator[tuple]:
             for batch in batches:
-                for doc_id, text in zip(batch.column(0).to_pylist(), utf8(batch.column(1)), strict=True):
+                ids, hashes = batch.column(0).to_pylist(), batch.column(2).to_pylist()
+                for doc_id, text, text_hash in zip(ids, utf8(batch.column(1)), hashes, strict=True):
                     found = shingler.shingles(text)
                     digest = _digest(found)
                     key = int.from_bytes(digest[:8], "little", signed=True)
                     prefix = found[: similarity.prefix(len(found))].view(np.int64) if len(found) else []
-                    yield doc_id, len(found), digest, key, prefix
+                    yield doc_id, len(found), digest, key, prefix, text_hash
 
         return batches_of(_SHINGLED, rows(), 2_000)
 
     return run
 
 
+def _texts(docs: DataFrame) -> DataFrame:
+    return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text", F.xxhash64("text").alias("text_hash"))
+
+
 def _digest(found: np.ndarray) -> bytes:
     return blake2b(found.tobytes(), digest_size=16).digest()
 
@@ -162,7 +179,26 @@ def _short_lists(shingled: DataFrame, similarity: Similarity) -> DataFrame:
     `key` is part of the class's digest; classes that share a key by chance
     are taken together and told apart by the search.
     """
-    prefixes = shingled.filter("n > 0").groupBy("key", "digest", "n").agg(F.first("prefix").alias("prefix"))
+    spark = shingled.sparkSession
+    n_entries = shingled.agg(F.coalesce(F.sum(F.size("prefix")), F.lit(0))).first()[0]
+    bits = min(_BITS, max(16, (8 * n_entries).bit_length()))
+    mask = (1 << bits) - 1
+    # Most shingles occur once. What the bits let through of these is dropped by the counts.
+    shared_bits = spark.sparkContext.broadcast(frequent_hashes(shingled.select("prefix"), _masked(mask), 2, bits))
+
+    def of_others(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            shingles = batch.column(3)
+            held = shingles.flatten().to_numpy()
+            known = is_set(shared_bits.value, (held & mask).astype(np.uint32))
+            edges = np.append(0, np.cumsum(known))[shingles.offsets.to_numpy() - shingles.offsets[0].as_py()]
+            left = pa.ListArray.from_arrays(pa.array(edges, pa.int32()), pa.array(held[known]))
+            some = pa.array(np.diff(edges) > 0)
+            yield pa.record_batch([*batch.columns[:3], left], names=["key", "digest", "n", "prefix"]).filter(some)
+
+    rows = shingled.filter("n > 0").select("key", "digest", "n", "prefix")
+    left = rows.mapInArrow(of_others, "key bigint, digest binary, n bigint, prefix array<bigint>")
+    prefixes = left.groupBy("key", "digest", "n").agg(F.first("prefix").alias("prefix"))
     entries = prefixes.select("key", "n", F.explode("prefix").alias("shingle"))
     counts = entries.groupBy("shingle").agg(F.count("*").alias("classes")).filter("classes > 1")
     shared = entries.join(counts, "shingle")
@@ -177,15 +213,24 @@ def _short_lists(shingled: DataFrame, similarity: Similarity) -> DataFrame:
     )
 
 
+def _masked(mask: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
+        for batch in batches:
+            yield (batch.column(0).flatten().to_numpy() & mask).astype(np.uint32)
+
+    return run
+
+
 def _chunks(lists: DataFrame) -> DataFrame:
     """(key, chunk) of every class that shares a list.
 
-    A class's home is the least class of most of its lists. Homes of many
-    shingles are dealt into several chunks by a hash.
+    A class's home is the longest of its lists, so the classes of a list that
+    many share lie in as few chunks as they fill, of which any two are searched
+    together. Homes of many shingles are dealt into several chunks by a hash.
     """
-    heads = lists.groupBy("shingle").agg(F.min("key").alias("head"), F.count("*").alias("classes")).filter("classes > 1")
-    votes = lists.join(heads, "shingle").groupBy("key", "n", "head").agg(F.count("*").alias("votes"))
-    homes = votes.groupBy("key", "n").agg(F.max_by("head", F.struct("votes", "head")).alias("home"))
+    lengths = lists.groupBy("shingle").agg(F.count("*").alias("classes")).filter("classes > 1")
+    placed = lists.join(lengths, "shingle").groupBy("key", "n")
+    homes = placed.agg(F.max(F.struct("classes", "shingle")).alias("longest")).select("key", "n", F.col("longest.shingle").alias("home"))
     sizes = homes.groupBy("home").agg(F.ceil(F.sum("n") / CHUNK).alias("parts"))
     return homes.join(sizes, "home").select(
         "key", F.xxhash64("home", F.pmod(F.xxhash64("key"), F.col("parts"))).alias("chunk")
@@ -213,10 +258,12 @@ def _records(
         .distinct()
         .join(chunks.select("key").distinct(), "key")
         .join(classes, "digest")
-        .select(F.col("first_id"), F.col("key"), F.col("digest").alias("of_class"), "copies")
+        .select("first_id", "first_hash", "key", F.col("digest").alias("of_class"), "copies")
     )
-    texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    found = texts.join(wanted.hint("shuffle_hash"), F.col("doc_id").eqNullSafe(F.col("first_id")))
+    wanted = cut(wanted, "wanted")
+    some, _ = told_apart(_texts(docs), ["doc_id", "text_hash"], wanted.select("first_id", "first_hash"))
+    same = (F.col("text_hash") == F.col("first_hash")) & F.col("doc_id").eqNullSafe(F.col("first_id"))
+    found = some.join(wanted.hint("shuffle_hash"), same)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = Shingler(similarity.n)

@@ -13,7 +13,7 @@ All of it is DataFrame functions, without Python in tasks.
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, drop_cut
+from .common import cut, drop_cut, told_apart, unused
 
 KINDS = ("email", "ip", "card", "phone", "term")
 
@@ -231,13 +231,17 @@ def all_spans(docs: DataFrame) -> DataFrame:
 def sanitised(docs: DataFrame) -> DataFrame:
     """`docs` with its columns, entities in texts generalised to [KIND], disclosing terms removed. Null texts stay null."""
     # Columns of `docs` may have any name, so these get names of their own.
-    terms = term_spans(docs, find(docs)).toDF("personal_doc", "personal_hash", "personal_terms")
+    names = ("personal_hash", "personal_doc", "personal_text", "personal_terms", "personal_spans")
+    own, doc, hashed, terms_of, spans_of = (unused(docs.columns, name) for name in names)
+    terms = cut(term_spans(docs, find(docs)), "term-spans").toDF(doc, hashed, terms_of)
     text = F.col("text")
-    hashed = F.xxhash64(F.coalesce(text, F.lit("")))
-    same = F.col("doc_id").eqNullSafe(F.col("personal_doc")) & (hashed == F.col("personal_hash"))
-    joined = docs.join(terms, same, "left")
+    # Few documents hold such terms, and only those are joined with them.
+    some, others = told_apart(docs.withColumn(own, F.xxhash64(F.coalesce(text, F.lit("")))), ["doc_id", own], terms.select(doc, hashed))
+    same = F.col("doc_id").eqNullSafe(F.col(doc)) & (F.col(own) == F.col(hashed))
+    found = some.join(terms, same, "left").select(*docs.columns, terms_of)
     none = F.array().cast(f"array<{_SPAN}>")
-    spans = F.sort_array(F.concat(base_spans(F.coalesce(text, F.lit(""))), F.coalesce("personal_terms", none)))
+    joined = found.unionByName(others.select(*docs.columns, F.lit(None).cast(found.schema[terms_of].dataType).alias(terms_of)))
+    spans = F.sort_array(F.concat(base_spans(F.coalesce(text, F.lit(""))), F.coalesce(terms_of, none)))
 
     def step(done: Column, span: Column) -> Column:
         """Text up to the span, and what stands for it; a span within one already replaced adds nothing."""
@@ -247,7 +251,6 @@ def sanitised(docs: DataFrame) -> DataFrame:
         return F.struct(F.greatest(done["at"], span["end"]).alias("at"), out.alias("out"))
 
     begin = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
-    replaced = F.aggregate("personal_spans", begin, step, lambda d: F.concat(d["out"], F.substring(text, d["at"] + 1, F.length(text))))
-    clean = F.when(F.size("personal_spans") == 0, text).otherwise(replaced)
-    names = [F.col(c) for c in docs.columns]
-    return joined.select(*names, spans.alias("personal_spans")).withColumn("text", clean).select(*docs.columns)
+    replaced = F.aggregate(spans_of, begin, step, lambda d: F.concat(d["out"], F.substring(text, d["at"] + 1, F.length(text))))
+    clean = F.when(F.size(spans_of) == 0, text).otherwise(replaced)
+    return joined.select(*docs.columns, spans.alias(spans_of)).withColumn("text", clean).select(*docs.columns)

@@ -104,3 +104,12 @@ def test_against_sql(spark, sf_dir):
     for similarity in (Similarity(4, 85), Similarity()):
         expected = con.execute(ngram_join.linked_documents_sql(similarity)).fetchall()
         assert sorted(map(tuple, linked_documents(docs, similarity).collect())) == sorted(expected)
+
+
+def test_many_rows_without_an_id(spark):
+    """Each is told by its text, so they don't meet each other's classes."""
+    texts = [f"{a} {b} " * 3 + f"word{i % 900} of text {i % 900} and some more words" for i, (a, b) in enumerate([("x", "y")] * 5_000)]
+    docs = spark.createDataFrame([(None, t) for t in texts] + [(1, texts[0])], "doc_id long, text string")
+    found = ngram_join.linked_documents(docs, ngram_join.Similarity(n=4, percent=85)).collect()
+    assert len(found) == 5_001
+    assert all(r.n_links >= 4 for r in found)
