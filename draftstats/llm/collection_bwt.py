@@ -97,12 +97,13 @@ def _sorted_windows(
         # A suffix that starts with c stands, among all that are not empty, where its c stands in the
         # transform sorted by symbols: the stable order of the transform is the order of the suffixes.
         order = np.argsort(before, kind="stable")
-        place = np.empty(len(order), np.int64)
-        place[order] = np.arange(len(order))
         ends = np.count_nonzero(before == 0)
-        new = n + place[rank[live]] - ends
-        by_place = np.argsort(new, kind="stable")
-        into = new[by_place]
+        # Only the places of the texts that go on are needed, in their order.
+        text_at = np.full(len(before), -1, np.int32)
+        text_at[rank[live]] = np.arange(len(live))
+        text_at = text_at[order]
+        places = np.flatnonzero(text_at >= 0)
+        by_place, into = text_at[places], n + places - ends
         old = np.ones(len(before) + len(into), bool)
         old[into] = False
         grown = _grown(before, old, into, 0)
@@ -118,7 +119,7 @@ def _sorted_windows(
         bwt.write(grown)
         suffix.write(suffixes)
         lcp.write(prefixes)
-        rank[live] = new
+        rank[live[by_place]] = into
     owners, lefts = np.divmod(suffix.read(), room)
     classes = np.cumsum(lcp.read() < size)
     whole = lefts >= size
