@@ -23,6 +23,7 @@ from draftstats import draft, ingest, items, landed, stages  # noqa: E402
 from draftstats.plans import counts_of_landings, draft_report, land_listing, land_matches  # noqa: E402
 from draftstats.sources import (  # noqa: E402
     DRAFT_FIELDS,
+    HERO_ID,
     LEAGUE_IDS,
     malformed_matches,
     parse_matches,
@@ -78,6 +79,11 @@ def queries() -> dict[str, Query]:
                 draft.draft_events(parse_matches(proxies.document_lines(s, d), coerce=True, fields=DRAFT_FIELDS))
             )
         ),
+        "hero_ids_coerced": lambda s, d: draft.hero_stats(
+            draft.hero_counts(
+                draft.draft_events(parse_matches(proxies.document_lines(s, d), coerce=HERO_ID, fields=DRAFT_FIELDS))
+            )
+        ),
         "malformed_lines": lambda s, d: malformed_matches(parse_matches(proxies.document_lines(s, d))).select(
             "match_id", "whole_line"
         ),
@@ -434,6 +440,9 @@ SELECT hero_id, count(*) AS totals, count(*) FILTER (WHERE NOT is_pick) AS bans,
 FROM coerced GROUP BY hero_id""",
 }
 
+# Ids of heroes are numbers in all of these lines, so only the flags that are the number 1 stay unread.
+_PARSED_SQL["hero_ids_coerced"] = _PARSED_SQL["coerced_hero_stats"].replace("FROM coerced", "FROM pb")
+
 _MALFORMED_SQL = """
 SELECT l_orderkey AS match_id, l_quantity = 48 AS whole_line FROM lineitem
 WHERE l_quantity = 48

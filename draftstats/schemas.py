@@ -30,6 +30,14 @@ DRAFT_EVENT_TEXT = _struct(
     team=T.StringType(),
 )
 
+# Only the hero's id left as text.
+DRAFT_EVENT_TEXT_ID = _struct(
+    hero_id=T.StringType(),
+    is_pick=T.BooleanType(),
+    order=T.LongType(),
+    team=T.LongType(),
+)
+
 PURCHASE = _struct(time=T.LongType(), key=T.StringType())
 
 PLAYER = _struct(
@@ -57,6 +65,7 @@ def _match(event: T.StructType) -> T.StructType:
 
 MATCH = _match(DRAFT_EVENT)
 MATCH_TEXT_EVENTS = _match(DRAFT_EVENT_TEXT)
+MATCH_TEXT_IDS = _match(DRAFT_EVENT_TEXT_ID)
 
 LISTING = _struct(match_id=T.LongType(), leagueid=T.LongType())
 

@@ -9,9 +9,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..schemas import CORRUPT, MATCH, MATCH_TEXT_EVENTS, with_corrupt
+from ..schemas import CORRUPT, MATCH, MATCH_TEXT_EVENTS, MATCH_TEXT_IDS, with_corrupt
 
 PERMISSIVE, FAILFAST = "PERMISSIVE", "FAILFAST"
+#: For `coerce`: accept heroes' ids in quotes, and nothing else that is not of its type.
+HERO_ID = "hero_id"
 #: What drafts need of a document.
 DRAFT_FIELDS = ("match_id", "picks_bans", "radiant_name", "dire_name", "radiant_win")
 
@@ -38,14 +40,15 @@ def read_matches(
     path: str | list[str],
     mode: str = PERMISSIVE,
     multi_line: bool = False,
-    coerce: bool = False,
+    coerce: bool | str = False,
 ) -> DataFrame:
     """Scan match documents.
 
     In PERMISSIVE mode a line that is not JSON becomes a row of nulls and a
     field of the wrong type becomes null; both keep their text in
     `_corrupt_record`, see `malformed_matches`. FAILFAST raises on either.
-    `coerce` accepts quoted numbers and 0 / 1 flags in draft events.
+    `coerce` accepts quoted numbers and 0 / 1 flags in draft events, or as
+    `HERO_ID` quoted ids of heroes only.
     """
     schema = _schema(coerce, mode)
     docs = (
@@ -55,11 +58,11 @@ def read_matches(
         .json(path)
         .select(match_id_from_file().alias("file_id"), F.col("_metadata.file_path").alias("source_file"), "*")
     )
-    return identified(_coerce_events(docs) if coerce else docs)
+    return identified(_coerce_events(docs, coerce) if coerce else docs)
 
 
 def read_match_lines(
-    spark: SparkSession, path: str | list[str], mode: str = FAILFAST, coerce: bool = True
+    spark: SparkSession, path: str | list[str], mode: str = FAILFAST, coerce: bool | str = True
 ) -> DataFrame:
     """Scan files as text lines, then parse each line; raises on a bad one by default."""
     lines = spark.read.text(path).select(
@@ -72,7 +75,7 @@ def parse_matches(
     lines: DataFrame,
     column: str = "value",
     mode: str = PERMISSIVE,
-    coerce: bool = False,
+    coerce: bool | str = False,
     fields: Sequence[str] | None = None,
 ) -> DataFrame:
     """Replace a column of JSON text by the fields of a match document, or by the given ones.
@@ -91,7 +94,7 @@ def parse_matches(
         own = F.coalesce("match_id", "line_match_id") if "match_id" in docs.columns else F.col("line_match_id")
         rest = [c for c in docs.columns if c not in ("match_id", "line_match_id")]
         docs = docs.select(own.alias("match_id"), *rest)
-    return _coerce_events(docs) if coerce else docs
+    return _coerce_events(docs, coerce) if coerce else docs
 
 
 def malformed_matches(docs: DataFrame) -> DataFrame:
@@ -119,15 +122,17 @@ def read_landed(spark: SparkSession, path: str) -> DataFrame | None:
         raise
 
 
-def _schema(coerce: bool, mode: str, fields: Sequence[str] | None = None) -> T.StructType:
-    schema = MATCH_TEXT_EVENTS if coerce else MATCH
+def _schema(coerce: bool | str, mode: str, fields: Sequence[str] | None = None) -> T.StructType:
+    schema = MATCH_TEXT_IDS if coerce == HERO_ID else MATCH_TEXT_EVENTS if coerce else MATCH
     if fields is not None:
         schema = T.StructType([f for f in schema.fields if f.name in fields])
     return with_corrupt(schema) if mode == PERMISSIVE else schema
 
 
-def _coerce_events(docs: DataFrame) -> DataFrame:
+def _coerce_events(docs: DataFrame, coerce: bool | str) -> DataFrame:
     def event(e: Column) -> Column:
+        if coerce == HERO_ID:
+            return e.withField("hero_id", e.hero_id.try_cast("bigint"))
         return F.struct(
             e.hero_id.try_cast("bigint").alias("hero_id"),
             e.is_pick.try_cast("boolean").alias("is_pick"),

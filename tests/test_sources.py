@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from draftstats.operators import draft
 from draftstats.sources import (
+    HERO_ID,
     malformed_matches,
     parse_matches,
     read_listing,
@@ -99,3 +100,12 @@ def test_listing_arrays_and_lines(spark, tmp_path):
     assert rows(read_listing(spark, str(tmp_path / "c.json"))) == [(3, 9), (4, 9)]
     one_line = read_listing(spark, [str(tmp_path / "a.json"), str(tmp_path / "c.json")])
     assert rows(one_line) == [(1, 7), (2, None), (3, 9), (4, 9)]
+
+
+def test_only_ids_of_heroes_are_coerced(spark):
+    events = [event("12", True, 0), event(13, 1, 0), event(" 7 ", False, "1"), event("x", True, 1), event(None, True, 1)]
+    text = json.dumps({"picks_bans": events, "radiant_name": "A", "dire_name": "B", "radiant_win": True})
+    lines = spark.createDataFrame([(text,)], "value string")
+    ids, flags = (parse_matches(lines, coerce=c).select("picks_bans.hero_id", "picks_bans.is_pick").first() for c in (HERO_ID, True))
+    assert ids.hero_id == flags.hero_id == [12, 13, 7, None, None]
+    assert ids.is_pick == [True, None, False, True, True] and flags.is_pick == [True, True, False, True, True]
