@@ -75,8 +75,10 @@ def fit(
     The fit is bounded: it takes the `max_rows` rows of `labels` whose hashed ids
     come first (all, if there are fewer), at any size of the corpus. Rows with a
     null id or label take no part, nor do labels without a document. Repeated
-    rows count as often as they occur. Without both classes the model gives
-    every text the share of label 1, smoothed.
+    rows count as often as they occur; should ids repeat so often that there are
+    more than 4 * `max_rows` documents, the first by hashed ids, ids, labels and
+    features are taken, whatever their order in the table. Without both classes
+    the model gives every text the share of label 1, smoothed.
     """
     chosen = (
         labels.select(F.col("doc_id").alias("label_id"), F.col(label).cast("double").alias("label"))
@@ -87,7 +89,8 @@ def fit(
     # max_rows ids and labels at most, so they can go to every task.
     texts = docs.select("doc_id", "text").join(F.broadcast(chosen), F.col("doc_id") == F.col("label_id"))
     found = texts.select("doc_id", "label", "text").mapInArrow(_featurised, "doc_id bigint, label double, features binary")
-    rows = sorted((r.doc_id, r.label, bytes(r.features)) for r in found.limit(4 * max_rows).collect())
+    first = found.orderBy(F.xxhash64("doc_id"), "doc_id", "label", "features").limit(4 * max_rows)
+    rows = sorted((r.doc_id, r.label, bytes(r.features)) for r in first.collect())
     features = [np.frombuffer(r[2], np.int32).astype(np.int64) for r in rows]
     signs = np.array([1.0 if r[1] == 1.0 else -1.0 for r in rows])
     return _fit(features, signs, cost, epochs)

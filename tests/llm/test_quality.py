@@ -7,6 +7,7 @@ from collections import Counter
 import numpy as np
 from hypothesis import given
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from draftstats.llm import quality_classifier, quality_rules, queries
 
@@ -109,3 +110,12 @@ def test_classifier_of_one_class_gives_the_share(spark):
     assert {round(r.score, 6) for r in quality_classifier.score(docs, quality_classifier.fit(docs, one)).collect()} == {0.75}
     none = quality_classifier.fit(docs, one.filter("false"))
     assert {r.score for r in quality_classifier.score(docs, none).collect()} == {0.5}
+
+
+def test_the_fit_does_not_depend_on_the_order_of_rows_that_repeat_ids(spark):
+    rows = [(i % 2, f"text {i} {'good words' if i % 2 else 'bad #### $$$$'} " * (1 + i % 5)) for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(0, 0), (1, 1)], "doc_id long, quality int")
+    models = [quality_classifier.fit(d, labels, max_rows=2) for d in (docs, docs.repartition(5), docs.orderBy(F.desc("text")))]
+    scores = [[r.score for r in quality_classifier.score(docs.orderBy("doc_id", "text"), m).collect()] for m in models]
+    assert scores[0] == scores[1] == scores[2]
