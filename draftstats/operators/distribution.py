@@ -20,9 +20,8 @@ from ..functions import geometric_bucket
 
 # Rows emitted by one array when a compact CDF is written out row by row.
 _CHUNK = 10_000
-# Distinct values from which on a bucket is split, how often it may be, and into how many parts, at least and at most.
+# Distinct values from which on a bucket is split, and into how many parts, at least and at most.
 _CROWD = 100_000
-_SPLITS = 3
 _PARTS = 1 << 12, 1 << 14
 # Buckets that are split at a time, the most crowded first: what is sent to every task.
 _SPLIT_AT_ONCE = 100_000
@@ -41,13 +40,13 @@ def value_counts(rows: DataFrame, value: str, by: Sequence[str] = ()) -> DataFra
     )
 
 
-def empirical_cdf_compact(counts: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    """(by, value, n, first, total): the sorted positions first .. first + n - 1 hold `value`."""
-    bucketed = in_small_buckets(counts, by)
+def empirical_cdf_compact(counts: DataFrame, by: Sequence[str] = (), splits: int = 1) -> DataFrame:
+    """(by, value, n, first, total): the sorted positions first .. first + n - 1 hold `value`. `splits` is that of `in_small_buckets`."""
+    bucketed = in_small_buckets(counts, by, splits)
     return _positions(bucketed, _bucket_starts(bucketed, by), by)
 
 
-def empirical_cdf(counts: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+def empirical_cdf(counts: DataFrame, by: Sequence[str] = (), splits: int = 1) -> DataFrame:
     """(by, value, cdf), a row per observation: the i-th smallest of n, from 0, gets i / n.
 
     Ties get successive values and the largest gets (n - 1) / n.
@@ -55,7 +54,7 @@ def empirical_cdf(counts: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     # A value that occurs very often is cut into chunks, which are then spread
     # out, so no row holds more than _CHUNK positions.
     chunks = (
-        empirical_cdf_compact(counts, by)
+        empirical_cdf_compact(counts, by, splits)
         .select(
             *by,
             "value",
@@ -71,12 +70,12 @@ def empirical_cdf(counts: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     )
 
 
-def exact_percentile(counts: DataFrame, fraction: float, by: Sequence[str] = ()) -> DataFrame:
+def exact_percentile(counts: DataFrame, fraction: float, by: Sequence[str] = (), splits: int = 1) -> DataFrame:
     """(by, percentile) with linear interpolation between the two nearest ranks.
 
     Only the one or two buckets that hold those ranks are sorted.
     """
-    bucketed = in_small_buckets(counts, by)
+    bucketed = in_small_buckets(counts, by, splits)
     rank = F.lit(fraction) * (F.col("total") - 1)
     low, high = F.floor(rank), F.ceil(rank)
     end = F.col("first") + F.col("n")
@@ -125,16 +124,19 @@ def sketched_percentile(sketches: DataFrame, fraction: float, by: Sequence[str]
     )
 
 
-def in_small_buckets(counts: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+def in_small_buckets(counts: DataFrame, by: Sequence[str] = (), splits: int = 1) -> DataFrame:
     """Value counts with their `bucket`, an array that orders as the values do.
 
     A bucket of very many distinct values is split evenly between its least and
-    its largest value, as often as `_SPLITS`; its values get one more element.
-    Where nothing is crowded, which is known only as the query runs, the splits
-    fall away.
+    its largest value, into 4,096 parts or more; its values get one more
+    element. A second split parts values that are crowded within a few thousandths
+    of a bucket, and so on; three leave nothing crowded that doubles can tell
+    apart, but where values crowd at several scales. Each split costs planning, and a pass
+    over the counts; where nothing is crowded, which is known only as the query
+    runs, its join falls away.
     """
     rows = counts.withColumn("bucket", F.array(geometric_bucket(F.col("value"))))
-    for _ in range(_SPLITS):
+    for _ in range(splits):
         rows = _split(rows, by)
     return rows
 

@@ -250,9 +250,9 @@ def task_summary(tasks: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     )
 
 
-def completion_cdf(stages: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    """(by, completion_s, cdf), a row per finished stage."""
-    cdf = distribution.empirical_cdf(_duration_counts(stages, by), by)
+def completion_cdf(stages: DataFrame, by: Sequence[str] = (), splits: int = 1) -> DataFrame:
+    """(by, completion_s, cdf), a row per finished stage. `splits` is how often crowded durations are split."""
+    cdf = distribution.empirical_cdf(_duration_counts(stages, by), by, splits)
     return cdf.select(*by, seconds(F.col("value")).alias("completion_s"), "cdf")
 
 

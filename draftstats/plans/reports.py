@@ -93,5 +93,5 @@ def job_report(stage_rows: DataFrame, output: str, by: Sequence[str] = ("app_id"
         rows = stage_rows.sparkSession.read.parquet(table)
         write_stats(stages.stage_summary(rows, by), f"{folder}/summary", fmt)
         write_stats(stages.stage_durations(rows), f"{folder}/durations", fmt)
-        write_stats(stages.completion_cdf(rows, by), f"{folder}/completion_cdf", fmt)
+        write_stats(stages.completion_cdf(rows, by, splits=3), f"{folder}/completion_cdf", fmt)
         write_stats(stages.failed_stages(rows), f"{folder}/failed_stages", fmt)

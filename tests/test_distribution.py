@@ -99,11 +99,12 @@ def test_values_crowded_at_several_scales(spark, monkeypatch):
     monkeypatch.setattr(dist, "_CROWD", 300)
     values = [1e15 + i * 1e8 for i in range(1000)] + [1e15 + i * 1e2 for i in range(3000)] + [1e15 + i / 8 for i in range(3000)]
     counts = counts_of(spark, values)
-    bucketed = dist.in_small_buckets(counts)
+    bucketed = dist.in_small_buckets(counts, splits=3)
     assert bucketed.groupBy("bucket").count().agg(F.max("count")).first()[0] < 700
+    assert dist.in_small_buckets(counts).groupBy("bucket").count().agg(F.max("count")).first()[0] > 700
     ordered = [r.value for r in bucketed.orderBy("bucket", "value").collect()]
     assert ordered == sorted(set(values))
-    cdf = [r.cdf for r in sorted(dist.empirical_cdf(counts).collect())]
+    cdf = [r.cdf for r in sorted(dist.empirical_cdf(counts, splits=3).collect())]
     assert cdf == [i / len(values) for i in range(len(values))]
 
 
