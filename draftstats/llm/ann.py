@@ -3,11 +3,12 @@
 NN-descent builds a neighbour graph: vectors start with the best of some random
 projection blocks; then, round by round, the neighbours of each vector, in both
 directions, are joined with each other, and each keeps the best it has met.
-Queries walk the graph greedily, from their own neighbours.
+Queries walk the graph greedily, from their own neighbours and from the best of some landmarks.
 
 Vectors get one more component that gives all of them the same norm, so the
 graph follows distances, while a query, with nothing there, asks for inner products.
-Equal vectors are one node.
+Equal vectors are one node. What is rounded is always a difference of near
+vectors, so neither one very long vector nor a dense cluster costs precision.
 """
 
 from collections.abc import Iterator
@@ -36,6 +37,9 @@ BEAM = 160
 BEAM_NODES = 10_000
 BEAM_GROWTH = 0.6
 EXPANDED = 4
+#: Landmarks: so many nodes by a hash, and as many of the largest norms. A query starts at so many of them.
+LANDMARKS = 1_024
+STARTS = 16
 
 # Lists of one node that are merged before there are more.
 _HUB = 20_000
@@ -85,12 +89,13 @@ def _nodes(rows: DataFrame, queries, k: int) -> tuple[DataFrame, DataFrame, Data
     asked = cut(wanted.select("query_id", F.col("node").alias("query"), F.col("vector").alias("asked")), "asked")
     norm = F.aggregate("vector", F.lit(0.0), lambda a, x: a + x * x)
     largest = members.agg(F.max(norm).alias("most")).first()["most"] or 1.0
+    unit = largest**0.5
     rest = F.sqrt(F.greatest(F.lit(largest) - norm, F.lit(0.0)))
     one = members.filter("vec_id = node").select("node", F.array_append("vector", rest).alias("vector"))
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            packed = [np.array(v, np.float32).tobytes() for v in batch.column(1).to_pylist()]
+            packed = [(np.array(v) / unit).astype(np.float32).tobytes() for v in batch.column(1).to_pylist()]
             yield pa.record_batch([batch.column(0), pa.array(packed, pa.binary())], names=["node", "packed"])
 
     return members, asked, cut(one.mapInArrow(pack, "node bigint, packed binary"), "nodes")
@@ -116,6 +121,31 @@ def _alone(nodes: DataFrame) -> DataFrame:
     return nodes.select("node", "packed", *empty)
 
 
+def _landmarks(nodes: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Nodes and vectors of a bounded sample: the first LANDMARKS by a hash of the node, then those of the largest norms. The last component is kept."""
+
+    def shortest_rests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # The last component is least for the largest norm.
+        for batch in batches:
+            if batch.num_rows:
+                rests = _matrix(batch.column(1))[:, -1]
+                some = pa.array(np.lexsort((batch.column(0).to_numpy(), rests))[:LANDMARKS])
+                yield pa.record_batch([*(c.take(some) for c in batch.columns), pa.array(rests).take(some)], names=["node", "packed", "rest"])
+
+    long = nodes.select("node", "packed").mapInArrow(shortest_rests, "node bigint, packed binary, rest float").orderBy("rest", "node")
+    spread = nodes.orderBy(F.xxhash64("node"), "node")
+    some = [of.limit(LANDMARKS).select("node", "packed").collect() for of in (spread, long)]
+    of_node = {row.node: bytes(row.packed) for rows in some for row in rows}
+    matrix = np.frombuffer(b"".join(of_node.values()), np.float32)
+    return np.array(list(of_node), np.int64), matrix.reshape(len(of_node), -1) if of_node else np.zeros((0, 1), np.float32)
+
+
+def _nearness(matrix: np.ndarray) -> np.ndarray:
+    """Minus half of the squared distances within a group, or within each of several; they should be centred."""
+    half = (matrix * matrix).sum(-1) / 2
+    return matrix @ np.swapaxes(matrix, -1, -2) - half[..., :, None] - half[..., None, :]
+
+
 def _matrix(packed: pa.Array, kind: type = np.float32) -> np.ndarray:
     """Vectors of one length, none of them null, as a matrix."""
     return np.frombuffer(b"".join(utf8(packed)), kind).reshape(len(packed), -1)
@@ -145,7 +175,7 @@ def _in_blocks(nodes: DataFrame, degree: int) -> DataFrame:
             rows = list(members)
             ids = np.array([r[2] for r in rows])
             matrix = np.frombuffer(b"".join(r[3] for r in rows), np.float32).reshape(len(rows), -1)
-            scores = matrix @ matrix.T
+            scores = _nearness(matrix - matrix.mean(0))
             np.fill_diagonal(scores, -np.inf)
             few = min(degree, len(rows) - 1)
             top = np.argpartition(-scores, few - 1, axis=1)[:, :few] if few else np.zeros((len(rows), 0), np.int64)
@@ -274,14 +304,15 @@ def _met(rows: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         vectors = _matrix(rows.column(3).slice(begin, stop - begin))
         size = int(place.max()) + 1
         matrix = np.zeros((len(some), size, vectors.shape[1]), np.float32)
-        matrix[group, place] = vectors
+        sizes = np.bincount(group)[:, None].astype(np.float32)
+        matrix[group, place] = vectors - (np.add.reduceat(vectors, some - begin) / sizes)[group]
         worst = np.full((len(some), size), np.inf, np.float32)
         worst[group, place] = rows.column(2).to_numpy()[begin:stop]
         member = np.zeros((len(some), size), np.int64)
         member[group, place] = ids[begin:stop]
         there = np.zeros((len(some), size), bool)
         there[group, place] = True
-        scores = matrix @ matrix.transpose(0, 2, 1)
+        scores = _nearness(matrix)
         better = (scores > worst[:, :, None]) & there[:, None, :] & there[:, :, None] & ~np.eye(size, dtype=bool)
         g, i, j = np.nonzero(better)
         if len(g):
@@ -298,65 +329,91 @@ def beam_of(n_nodes: int, k: int) -> int:
 
 
 def search(nodes: DataFrame, members: DataFrame, asked: DataFrame, graph: DataFrame, k: int, beam: int | None = None) -> DataFrame:
-    """(query_id, rank, vec_id, score) by greedy walks, from a query's own neighbours on.
+    """(query_id, rank, vec_id, score) by greedy walks, from a query's own neighbours and the best landmarks on.
 
     Each step expands the best unexpanded candidates of every query, and ends
     when the best that a query keeps are all expanded. Here `fresh` means not yet
-    expanded. Walks go by vectors in whole numbers of eight bits; the result is ranked by the vectors as given.
+    expanded. Walks go by vectors as whole numbers of eight bits on from a landmark; the result is ranked by the vectors as given.
     Without `beam`, what a query keeps grows with the number of nodes.
     """
     beam = beam or beam_of(nodes.count(), k)
     at_once = beam // EXPANDED
-    ways = cut(_ways(nodes, graph, members), "ways")
+    ids, landmarks = _landmarks(nodes)
+    ways = cut(_ways(nodes, graph, landmarks), "ways")
     of_query = asked.select(F.col("query").alias("node")).distinct().join(nodes, "node").select(F.col("node").alias("query"), F.col("packed").alias("asked"))
     first = of_query.select("query", F.lit(float("-inf")).cast("float").alias("worst"), "asked", F.col("query").alias("node"))
-    met = ["query", "worst", "asked", "others", "codes", "scale"]
+    met = ["query", "worst", "asked", "others", "codes", "scales", "centres"]
     # A beam's `packed` is the query's vector.
     start = _alone(of_query.select(F.col("query").alias("node"), F.col("asked").alias("packed")))
-    beams = cut(_beams(start.union(_scored(first.join(ways, "node").select(*met))), beam), "beams")
+    begun = start.union(_from_landmarks(of_query, ids, landmarks)).union(_scored(first.join(ways, "node").select(*met), landmarks))
+    beams = cut(_beams(begun, beam), "beams")
     while not beams.filter(F.exists("fresh", lambda x: x)).isEmpty():
         open_ = F.filter("ids", lambda x, i: F.get("fresh", i))
         worst = F.when(F.size("ids") < beam, F.lit(float("-inf")).cast("float")).otherwise(F.array_min("scores"))
         steps = beams.select(F.col("node").alias("query"), worst.alias("worst"), F.col("packed").alias("asked"), F.explode(F.slice(open_, 1, at_once)).alias("node"))
-        scored = _scored(steps.join(ways, "node").select(*met))
+        scored = _scored(steps.join(ways, "node").select(*met), landmarks)
         up_to = lambda i: F.size(F.filter(F.slice("fresh", 1, i + 1), lambda x: x))
         left = beams.withColumn("fresh", F.transform("fresh", lambda x, i: x & (up_to(i) > at_once)))
         moved = cut(_beams(left.union(scored), beam), "beams")
         drop_cut(beams)
         beams = moved
-    return _ranked(beams, members, asked, k)
+    return _ranked(beams, graph, members, asked, k)
 
 
-def _ways(nodes: DataFrame, graph: DataFrame, members: DataFrame) -> DataFrame:
-    """(node, others, codes, scale): where one can go from a node, with the others' vectors as eight-bit numbers.
+def _from_landmarks(of_query: DataFrame, ids: np.ndarray, landmarks: np.ndarray) -> DataFrame:
+    """The best landmarks of each query, as lists."""
+    few = min(STARTS, len(landmarks))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows and few:
+                scores = _matrix(batch.column(1))[:, :-1] @ landmarks[:, :-1].T
+                top = np.argpartition(-scores, few - 1, axis=1)[:, :few]
+                ends = np.arange(1, len(top) + 1) * few
+                found = np.take_along_axis(scores, top, 1).ravel()
+                none = pa.nulls(len(top), pa.binary())
+                yield _flat_lists(batch.column(0).to_numpy(), none, ends, ids[top.ravel()], found, np.ones(top.size, bool))
+
+    return of_query.select("query", "asked").mapInArrow(run, _LISTS)
+
+
+def _ways(nodes: DataFrame, graph: DataFrame, landmarks: np.ndarray) -> DataFrame:
+    """(node, others, codes, scales, centres): where one can go from a node, and how to get from a landmark to each of them.
 
     What leads to a node is a way on from it as well, for as many hops as a node has neighbours.
+    An other's vector is its centre, the nearest landmark, and its scale times its code, eight bits a component.
     """
     forward = graph.select("node", F.explode("ids").alias("other"))
     place = F.row_number().over(Window.partitionBy("node").orderBy(F.xxhash64("other"), "other"))
     back = forward.select(F.col("other").alias("node"), F.col("node").alias("other")).withColumn("place", place)
     pairs = forward.union(back.filter(F.col("place") <= DEGREE).drop("place")).distinct()
-    largest = members.agg(F.max(F.array_max(F.transform("vector", lambda x: F.abs(x)))).alias("most")).first()["most"] or 1.0
-    scale = largest / 127
 
     def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bases = landmarks[:, :-1]
+        half = (bases * bases).sum(1) / 2
         for batch in batches:
-            if batch.num_rows:
-                codes = np.rint(_matrix(batch.column(1))[:, :-1] / scale).astype(np.int8)
-                yield pa.record_batch([batch.column(0), pa.array([c.tobytes() for c in codes], pa.binary())], names=["other", "code"])
+            for at in range(0, batch.num_rows, 2_000):
+                part = batch.slice(at, 2_000)
+                vectors = _matrix(part.column(1))[:, :-1]
+                centres = np.argmax(vectors @ bases.T - half, axis=1).astype(np.int32)
+                from_centre = vectors - bases[centres]
+                scales = np.maximum(np.abs(from_centre).max(1) / 127, np.finfo(np.float32).tiny).astype(np.float32)
+                codes = np.rint(from_centre / scales[:, None]).astype(np.int8)
+                columns = [pa.array([c.tobytes() for c in codes], pa.binary()), pa.array(scales), pa.array(centres)]
+                yield pa.record_batch([part.column(0), *columns], names=["other", "code", "scale", "centre"])
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kinds = (pa.int64(), pa.list_(pa.int64()), pa.binary(), pa.list_(pa.float32()), pa.list_(pa.int32()))
         for some in _some(_groups(batches), 1_000):
-            rows = [(g[0][0], [r[1] for r in g], b"".join(r[2] for r in g), scale) for g in map(list, some)]
+            rows = [(g[0][0], [r[1] for r in g], b"".join(r[2] for r in g), [r[3] for r in g], [r[4] for r in g]) for g in map(list, some)]
             yield pa.record_batch(
-                [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.int64(), pa.list_(pa.int64()), pa.binary(), pa.float64()), strict=True)],
-                names=["node", "others", "codes", "scale"],
+                [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)], names=["node", "others", "codes", "scales", "centres"]
             )
 
-    coded = nodes.select("node", "packed").mapInArrow(code, "other bigint, code binary")
-    met = pairs.join(coded, "other").select("node", "other", "code")
+    coded = nodes.select("node", "packed").mapInArrow(code, "other bigint, code binary, scale float, centre int")
+    met = pairs.join(coded, "other").select("node", "other", "code", "scale", "centre")
     return met.repartition("node").sortWithinPartitions("node").mapInArrow(
-        gather, "node bigint, others array<bigint>, codes binary, scale double"
+        gather, "node bigint, others array<bigint>, codes binary, scales array<float>, centres array<int>"
     )
 
 
@@ -371,8 +428,9 @@ def _some(groups: Iterator[list[tuple]], size: int) -> Iterator[list]:
         yield held
 
 
-def _scored(steps: DataFrame) -> DataFrame:
+def _scored(steps: DataFrame, landmarks: np.ndarray) -> DataFrame:
     """What each step meets that is better than the worst its query keeps."""
+    bases = np.ascontiguousarray(landmarks[:, :-1])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -381,8 +439,9 @@ def _scored(steps: DataFrame) -> DataFrame:
                 of = np.repeat(np.arange(part.num_rows), pc.list_value_length(part.column(3)).to_numpy())
                 asked = _matrix(part.column(2))[:, :-1]
                 codes = np.frombuffer(b"".join(utf8(part.column(4))), np.int8).reshape(len(of), -1)
-                scales = part.column(5).to_numpy().astype(np.float32)
-                scores = np.einsum("ij,ij->i", codes.astype(np.float32), asked[of]) * scales[of]
+                scales, centres = (part.column(c).flatten().to_numpy() for c in (5, 6))
+                from_centres = np.einsum("ij,ij->i", codes.astype(np.float32), asked[of]) * scales
+                scores = np.einsum("ij,ij->i", bases[centres], asked[of]) + from_centres
                 better = scores > part.column(1).to_numpy()[of]
                 ends = np.cumsum(np.bincount(of[better], minlength=part.num_rows))
                 others = part.column(3).flatten().to_numpy()[better]
@@ -401,9 +460,11 @@ def _beams(lists: DataFrame, beam: int) -> DataFrame:
     return lists.repartition("node").sortWithinPartitions("node").mapInArrow(merge, _LISTS)
 
 
-def _ranked(beams: DataFrame, members: DataFrame, asked: DataFrame, k: int) -> DataFrame:
-    """Nodes found become rows, a query's own vector among them, with exact scores."""
-    found = beams.select(F.col("node").alias("query"), F.explode(F.array_append(F.slice("ids", 1, 2 * k), F.col("node"))).alias("node"))
+def _ranked(beams: DataFrame, graph: DataFrame, members: DataFrame, asked: DataFrame, k: int) -> DataFrame:
+    """Nodes found become rows, a query's own vector and its neighbours in the graph among them, with exact scores."""
+    own = graph.select("node", F.col("ids").alias("own"))
+    nodes = F.array_distinct(F.concat(F.slice("ids", 1, 4 * k), "own", F.array("node")))
+    found = beams.join(own, "node").select(F.col("node").alias("query"), F.explode(nodes).alias("node"))
     pairs = asked.join(found, "query").join(members, "node").filter("vec_id <> query_id")
     score = F.aggregate(F.zip_with("asked", "vector", lambda a, b: a * b), F.lit(0.0), lambda a, x: a + x)
     scored = pairs.select("query_id", "vec_id", score.alias("score"))
