@@ -176,7 +176,8 @@ def _new_listing_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _new_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    new = ingest.new_documents(proxies.arriving_documents(spark, sf_dir), proxies.landed_ids(spark, sf_dir))
+    landed_ids = proxies.landed_ids(spark, sf_dir)
+    new = ingest.new_documents(ingest.without_landed(proxies.arriving_documents(spark, sf_dir), landed_ids), landed_ids)
     events = F.coalesce(F.size("picks_bans"), F.lit(-1)).alias("events")
     return new.select("match_id", "source_file", events, "radiant_name", "dire_name", "radiant_win")
 

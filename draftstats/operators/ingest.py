@@ -6,6 +6,8 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from . import landed as index
+
 _LISTED = ("match_id", "leagueid")
 
 
@@ -79,6 +81,7 @@ def new_documents(docs: DataFrame, landed: DataFrame | None, unique: bool = Fals
     Of several copies the one from the first source file by name is taken.
     Copies collapse map-side, and a single exchange by match id serves the
     deduplication, the anti join and the compaction of one-document files.
+    Where most documents may have landed, `without_landed` spares them all that.
 
     `unique` states that there are no copies, as in one folder of files named by
     match id. The first landing then moves no document between tasks, and later
@@ -101,5 +104,14 @@ def new_documents(docs: DataFrame, landed: DataFrame | None, unique: bool = Fals
     )
 
 
+def without_landed(docs: DataFrame, landed: DataFrame) -> DataFrame:
+    """The documents whose match has not landed, left out where they are read: the index of landed ids is sent to every task.
+
+    Where ids lie too far apart for that, all documents; `new_documents` takes the new ones of either.
+    """
+    ids = index.index_of(landed)
+    return index.not_landed_in_place(docs, ids) if index.fits_tasks(ids) else docs
+
+
 def _landed_rows(landed: DataFrame) -> DataFrame:
     return landed.select("match_id", F.lit(True).alias("is_landed"))

@@ -15,7 +15,10 @@ from pyspark.sql import functions as F
 INDEX = "bucket bigint, bitmap binary"
 #: Where a staged document is, for `chosen`.
 PLACE = ("staged_file", "row_index")
+#: Bitmaps that are sent to every task at most, in bytes.
+SENT_BYTES = 64 << 20
 _IDS_PER_BUCKET = 32_768
+_BITMAP_BYTES = _IDS_PER_BUCKET // 8
 
 
 def index_of(rows: DataFrame, column: str = "match_id") -> DataFrame:
@@ -57,6 +60,20 @@ def not_landed(rows: DataFrame, index: DataFrame, column: str = "match_id") -> D
     return met.filter(~F.coalesce(landed, F.lit(False))).drop("landed_bucket", "landed_bits")
 
 
+def fits_tasks(index: DataFrame) -> bool:
+    """Whether the index is small enough to send to every task. It is unless ids are few and far between."""
+    return index.agg(F.count_distinct("bucket")).first()[0] <= SENT_BYTES // _BITMAP_BYTES
+
+
+def not_landed_in_place(rows: DataFrame, index: DataFrame, always: Column | None = None) -> DataFrame:
+    """`not_landed` without an exchange of the rows, for an index that `fits_tasks`. Rows where `always` is true stay as well."""
+    bits = merged(index).select(F.col("bucket").alias("landed_bucket"), F.col("bitmap").alias("landed_bits"))
+    met = rows.join(F.broadcast(bits), _bucket(F.col("match_id")) == F.col("landed_bucket"), "left")
+    is_landed = F.coalesce(F.col("landed_bits").isNotNull() & _holds(F.col("landed_bits"), F.bitmap_bit_position("match_id")), F.lit(False))
+    kept = ~is_landed if always is None else ~is_landed | always
+    return met.filter(kept).drop("landed_bucket", "landed_bits")
+
+
 def pending(listing: DataFrame, index: DataFrame) -> DataFrame:
     """Listed match ids without a landed document, from the index. A row without id cannot be landed."""
     return not_landed(listing.filter(F.col("match_id").isNotNull()).select("match_id").distinct(), index)

@@ -10,6 +10,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+import __spark_entry__ as contract
 from draftstats.operators import ingest, landed
 from draftstats.plans import compact, compact_index, land_matches, landing, pending
 from draftstats.sources import read_landed, read_matches
@@ -172,3 +173,25 @@ def test_compaction_bounds_the_size_of_files(spark, tmp_path):
     sizes = [os.path.getsize(f) for f in files_of(table)]
     assert len(sizes) in (4, 5) and max(sizes) < total // 2
     assert spark.read.parquet(table).count() == 20_000
+
+
+def test_landed_documents_are_left_out_before_they_are_exchanged(spark, monkeypatch):
+    have = [0, 1, 2, 2, 32768, -70_000, None]
+    docs = spark.createDataFrame([(i, f"f{j}", "x") for i in (0, 2, 3, 3, 32769, -70_000, None) for j in range(2)], "match_id bigint, source_file string, text string")
+    left = ingest.without_landed(docs, frame(spark, have))
+    plan = left._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+    assert rows(left.select("match_id")) == [(None,)] * 2 + [(3,)] * 4 + [(32769,)] * 2
+    new = rows(ingest.new_documents(left, frame(spark, have)))
+    assert new == [(3, "f0", "x"), (32769, "f0", "x")]
+    monkeypatch.setattr(landed, "SENT_BYTES", 0)
+    all_of_them = ingest.without_landed(docs, frame(spark, have))
+    assert all_of_them.count() == docs.count() and rows(ingest.new_documents(all_of_them, frame(spark, have))) == new
+
+
+def test_the_query_of_new_documents_exchanges_new_ones_only(spark, monkeypatch):
+    given, new_documents = [], ingest.new_documents
+    monkeypatch.setattr(ingest, "new_documents", lambda docs, have: given.append((docs, have)) or new_documents(docs, have))
+    contract.queries()["new_documents"](spark, "/root/testdata/sf0.001")
+    docs, have = given[0]
+    assert docs.count() and docs.join(have, "match_id", "left_semi").isEmpty()
