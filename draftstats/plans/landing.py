@@ -80,7 +80,8 @@ def land_matches(docs: DataFrame, table: str, unique: bool = False) -> Landing:
     """Append the readable documents of matches that are not in the table yet.
 
     Lines that gave no field at all do not land; `malformed_matches` shows them.
-    The input is read and parsed once, into staged files. What lands is decided
+    The input is read and parsed once, into staged files; documents with an id
+    of their own that landed before are left out there. What lands is decided
     on ids, file names and digests alone; the chosen documents are then copied by
     their place in the staged files, so no document ever crosses an exchange.
 
@@ -92,7 +93,7 @@ def land_matches(docs: DataFrame, table: str, unique: bool = False) -> Landing:
     known = read_index(spark, table)
     batch = _next_batch(known)
     folder = f"{table}_staged/landing-{batch}"
-    counts = _stage(docs, f"{folder}/documents")
+    counts = _stage(docs, f"{folder}/documents", known)
     staged = spark.read.parquet(f"{folder}/documents").select("*", *_place())
     if unique:
         picked = landed.not_landed(staged.select("match_id", *landed.PLACE), known)
@@ -154,8 +155,11 @@ def compact_index(spark: SparkSession, table: str) -> None:
         delete(spark, folder)
 
 
-def _stage(docs: DataFrame, path: str) -> dict[str, int]:
-    """Write the documents that can land, with a digest of each; the counts are observed meanwhile."""
+def _stage(docs: DataFrame, path: str, known: DataFrame) -> dict[str, int]:
+    """Write the documents that can land, with a digest of each; the counts are observed meanwhile.
+
+    Those that landed before are not written, but for those named by their file, which may be ambiguous.
+    """
     corrupt = F.col(CORRUPT).isNotNull() if CORRUPT in docs.columns else F.lit(False)
     blank = corrupt & is_blank(docs) if CORRUPT in docs.columns else F.lit(False)
     if "file_named" not in docs.columns:
@@ -168,6 +172,8 @@ def _stage(docs: DataFrame, path: str) -> dict[str, int]:
         unnamed=F.count_if(~blank & F.col("match_id").isNull()),
     )
     able = counted.rows.filter(~blank & F.col("match_id").isNotNull())
+    if not known.isEmpty() and landed.fits_tasks(known):
+        able = landed.not_landed_in_place(able, known, F.col("file_named"))
     # Only documents that may be ambiguous are digested.
     content = F.when(F.col("file_named"), landed.content_hash(docs)).alias("content")
     able.select("*", content).write.mode("overwrite").parquet(path)

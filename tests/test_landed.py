@@ -195,3 +195,19 @@ def test_the_query_of_new_documents_exchanges_new_ones_only(spark, monkeypatch):
     contract.queries()["new_documents"](spark, "/root/testdata/sf0.001")
     docs, have = given[0]
     assert docs.count() and docs.join(have, "match_id", "left_semi").isEmpty()
+
+
+def test_documents_that_landed_before_are_not_staged(spark, tmp_path, monkeypatch):
+    staged = []
+    monkeypatch.setattr(landing, "delete", lambda spark, folder: staged.append(spark.read.parquet(f"{folder}/documents").count()))
+    table = str(tmp_path / "table")
+    first = lines_of(tmp_path / "in", "a.json", [doc(i % 40, i) for i in range(80)])
+    assert land_matches(read_matches(spark, first), table).lines == 80
+    lines_of(tmp_path / "in", "b.json", [doc(i, 7) for i in (3, 50, 51)])
+    # Named by their file alone, and different: ambiguous in every landing.
+    lines_of(tmp_path / "in", "60.json", [{**FIRST, "match_id": None, "picks_bans": [event(h, True, 0)]} for h in (1, 2)])
+    for new in (2, 0):
+        got = land_matches(read_matches(spark, first), table)
+        assert (got.lines, got.ambiguous) == (85, 2)
+        assert staged[-1] == new + 2
+    assert len(heroes(spark, table)) == 42
