@@ -1,9 +1,11 @@
 """Burrows-Wheeler transform and common prefixes of a collection of short texts, one column at a time.
 
 Each round puts the next symbol, from the right, of every text before the
-suffix that the text put in last. The transform, the lengths of common prefixes and the
-suffixes' owners lie in files in the order of the suffixes, and a round reads
-and writes each from end to end.
+suffix that the text put in last. The transform and the lengths of common prefixes
+lie in files in the order of the suffixes, and a round reads
+and writes both from end to end. Common prefixes come from those of the round
+before: two suffixes that begin with one symbol share one more byte than what follows it.
+Which suffix is whose is read at the end, by steps from each whole text to its rest.
 """
 
 import os
@@ -12,34 +14,14 @@ from contextlib import ExitStack
 
 import numpy as np
 
-_WORD = 8
-
 
 class Collection:
-    """Texts as one array of bytes, with room behind each text to read whole words."""
+    """Texts one after the other as one array of bytes."""
 
     def __init__(self, texts: list[bytes]):
         self.lengths = np.array([len(t) for t in texts], np.int64)
-        self.starts = np.concatenate(([0], np.cumsum(self.lengths + _WORD)[:-1])).astype(np.int64)
-        self.bytes = np.frombuffer(b"".join(t + bytes(_WORD) for t in texts) + bytes(_WORD), np.uint8)
-        # The word of bytes from each place on, the first byte lowest.
-        self.words = np.ndarray((len(self.bytes) - _WORD + 1,), "<u8", self.bytes.tobytes(), 0, (1,))
-
-    def common(self, a: np.ndarray, a_left: np.ndarray, b: np.ndarray, b_left: np.ndarray, most: int) -> np.ndarray:
-        """Length of the common prefix, up to `most`, of the suffixes of texts a and b with so many bytes left."""
-        at, other = self.starts[a] + self.lengths[a] - a_left, self.starts[b] + self.lengths[b] - b_left
-        room = np.minimum(np.minimum(a_left, b_left), most)
-        out, live = np.zeros(len(a), np.int64), np.arange(len(a))
-        for done in range(0, most, _WORD):
-            differ = self.words[at[live] + done] ^ self.words[other[live] + done]
-            # The place of the lowest bit that differs tells the first byte that does.
-            lowest = (differ & (~differ + np.uint64(1))).astype(np.float64)
-            first = np.where(differ != 0, np.frexp(lowest)[1] - 1, 8 * _WORD) // 8
-            out[live] = np.minimum(done + first, room[live])
-            live = live[(first == _WORD) & (room[live] > done + _WORD)]
-            if not len(live):
-                break
-        return out
+        self.ends = np.cumsum(self.lengths)
+        self.bytes = np.frombuffer(b"".join(texts), np.uint8)
 
 
 class _File:
@@ -66,8 +48,8 @@ def equal_windows(texts: list[bytes], size: int) -> tuple[np.ndarray, np.ndarray
     collection = Collection(texts)
     with tempfile.TemporaryDirectory() as folder, ExitStack() as opened:
         # Symbols are bytes + 1, as UTF-8 has no byte 255; 0 stands before a suffix whose text goes no further, or has not yet.
-        bwt, lcp, suffix = (_File(folder, n, k, opened) for n, k in (("bwt", np.uint8), ("lcp", np.uint8), ("suffix", np.int64)))
-        return _sorted_windows(collection, size, bwt, lcp, suffix)
+        bwt, lcp = (_File(folder, n, np.uint8, opened) for n in ("bwt", "lcp"))
+        return _windows(collection, size, _transform(collection, size, bwt, lcp), bwt, lcp)
 
 
 def _grown(values: np.ndarray, old: np.ndarray, into: np.ndarray, new: np.ndarray | int) -> np.ndarray:
@@ -78,50 +60,74 @@ def _grown(values: np.ndarray, old: np.ndarray, into: np.ndarray, new: np.ndarra
     return out
 
 
-def _sorted_windows(
-    collection: Collection, size: int, bwt: _File, lcp: _File, suffix: _File
-) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _least_between(values: np.ndarray, after: np.ndarray, to: np.ndarray) -> np.ndarray:
+    """The least of the values behind each place `after` up to the place `to` behind it."""
+    # From the right, as what reduceat does from the end of one range to the next begin is then nothing.
+    from_right = np.argsort(-after)
+    edges = np.stack((after[from_right] + 1, to[from_right] + 1), axis=1).ravel()
+    out = np.empty(len(after), values.dtype)
+    out[from_right] = np.minimum.reduceat(np.append(values, values[:1]), edges)[::2] if len(edges) else 0
+    return out
+
+
+def _transform(collection: Collection, size: int, bwt: _File, lcp: _File) -> np.ndarray:
+    """Write the transform and the common prefixes, up to `size`; the places of the whole texts in them."""
     n = len(collection.lengths)
-    # A suffix as text * room + bytes left.
-    room = int(collection.lengths.max(initial=0)) + 1
     # Empty suffixes come first, in the order of the texts.
     bwt.write(np.zeros(n))
     lcp.write(np.zeros(n))
-    suffix.write(np.arange(n) * room)
     rank = np.arange(n)
-    for column in range(1, room):
+    text_at = np.empty(n + int(collection.lengths.sum()), np.int32)
+    for column in range(1, int(collection.lengths.max(initial=0)) + 1):
         live = np.flatnonzero(collection.lengths >= column)
-        symbols = collection.bytes[collection.starts[live] + collection.lengths[live] - column]+ np.uint8(1)
-        before = bwt.read()
-        before[rank[live]] = symbols
+        at = rank[live]
+        before, shared = bwt.read(), lcp.read()
+        before[at] = collection.bytes[collection.ends[live] - column] + np.uint8(1)
         # A suffix that starts with c stands, among all that are not empty, where its c stands in the
         # transform sorted by symbols: the stable order of the transform is the order of the suffixes.
         order = np.argsort(before, kind="stable")
-        ends = np.count_nonzero(before == 0)
+        ends = len(before) - np.count_nonzero(before)
         # Only the places of the texts that go on are needed, in their order.
-        text_at = np.full(len(before), -1, np.int32)
-        text_at[rank[live]] = np.arange(len(live))
-        text_at = text_at[order]
-        places = np.flatnonzero(text_at >= 0)
-        by_place, into = text_at[places], n + places - ends
+        text_at[at] = live
+        going = np.zeros(len(before), bool)
+        going[at] = True
+        places = np.flatnonzero(going.take(order))
+        texts, into = text_at[order[places]], n + places - ends
         old = np.ones(len(before) + len(into), bool)
         old[into] = False
-        grown = _grown(before, old, into, 0)
-        suffixes = _grown(suffix.read(), old, into, live[by_place] * room + column)
-        prefixes = _grown(lcp.read(), old, into, 0)
+        prefixes = _grown(shared, old, into, 0)
         # Only prefixes shared with a new suffix, or across one, have changed.
         touched = ~old
         touched[1:] |= touched[:-1].copy()
-        touched[0] = False
         changed = np.flatnonzero(touched)
-        upper, lower = np.divmod(suffixes[changed - 1], room), np.divmod(suffixes[changed], room)
-        prefixes[changed] = collection.common(*upper, *lower, size)
-        bwt.write(grown)
-        suffix.write(suffixes)
+        # Where the suffixes' rests stand, and those of the suffixes above them. Above the first are empty ones.
+        lower, upper = order[changed - n + ends], order[changed - n + ends - 1]
+        alike = (before[upper] == before[lower]) & (changed > n)
+        prefixes[changed] = 0
+        least = _least_between(shared, upper[alike], lower[alike])
+        prefixes[changed[alike]] = np.minimum(least, size - 1) + 1
+        bwt.write(_grown(before, old, into, 0))
         lcp.write(prefixes)
-        rank[live[by_place]] = into
-    owners, lefts = np.divmod(suffix.read(), room)
+        done = collection.lengths < column
+        if done.any():
+            rank[done] += np.searchsorted(into - np.arange(len(into)), rank[done], "right")
+        rank[texts] = into
+    return rank
+
+
+def _windows(collection: Collection, size: int, rank: np.ndarray, bwt: _File, lcp: _File) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    before = bwt.read()
+    # The rest of the suffix at a place, without its first byte, stands at this place; empty suffixes are at the first n.
+    rests = np.argsort(before, kind="stable")[len(before) - np.count_nonzero(before) :]
     classes = np.cumsum(lcp.read() < size)
-    whole = lefts >= size
-    owners = owners[whole]
-    return owners, collection.lengths[owners] - lefts[whole], classes[whole]
+    owners, offsets, places = [], [], []
+    live, at = np.flatnonzero(collection.lengths >= size), rank[collection.lengths >= size]
+    for offset in range(int(collection.lengths.max(initial=0)) - size + 1):
+        owners.append(live)
+        offsets.append(np.full(len(live), offset))
+        places.append(at)
+        on = collection.lengths[live] > offset + size
+        live, at = live[on], rests[at[on] - len(rank)]
+    none = np.zeros(0, np.int64)
+    owners, offsets, places = (np.concatenate([none, *x]) for x in (owners, offsets, places))
+    return owners, offsets, classes[places]

@@ -22,7 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from xxhash import xxh3_64_intdigest, xxh3_128_digest
+from xxhash import xxh3_128_digest
 
 from .collection_bwt import equal_windows
 from .common import batches_of, cut, drop_cut, utf8
@@ -33,10 +33,12 @@ GRAM = 32
 #: Texts of one collection, and different texts of one anchor up to which they are one.
 COLLECTION = 1_000
 SMALL_GROUP = 1_000
-# Windows of a very long text that are looked at together.
+# Windows of a very long text that are looked at together, and bytes up to which short texts are.
 _SEGMENT = 1 << 20
+_TOGETHER = 1 << 17
 _PLACE = np.uint64((1 << 24) - 1)
 _BASE = np.uint64(0x9E3779B97F4A7C15)
+_CONTEXT = np.uint64(0xD6E8FEB86659FD93)
 _BYTES = mixed(np.arange(1, 257, dtype=np.uint64) * np.uint64(0xD1342543DE82EF95))
 
 _ANCHORED = pa.schema([("did", pa.int64()), ("tkey", pa.int64()), ("anchors", pa.list_(pa.int64()))])
@@ -100,23 +102,67 @@ def removed(docs: DataFrame, size: int = 100) -> DataFrame:
 
 def anchored_runs(text: np.ndarray, size: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
     """(first, last, at, anchor): windows first .. last have the anchor, which stands at `at`. For parts of the text, one after the other."""
+    for first, last, at, hashes, begin in _segments(text, size):
+        yield first + begin, last + begin, at + begin, hashes[at].view(np.int64)
+
+
+def _segments(text: np.ndarray, size: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, int]]:
     for begin in range(0, max(0, len(text) - size + 1), _SEGMENT):
         part = text[begin : begin + _SEGMENT + size - 1]
-        hashes = _gram_hashes(part)
-        wide = size - GRAM + 1
-        # The least hash, and of equal ones the first, with its place: doubling the number of grams looked at.
-        least = (hashes & ~_PLACE) | np.arange(len(hashes), dtype=np.uint64)
-        reach = 1
-        while 2 * reach <= wide:
-            least = np.minimum(least[:-reach], least[reach:])
-            reach *= 2
-        if reach < wide:
-            least = np.minimum(least[: reach - wide], least[wide - reach :])
-        place = (least & _PLACE).astype(np.int64)
-        edges = np.flatnonzero(np.diff(place)) + 1
-        first = np.concatenate(([0], edges))
-        last = np.concatenate((edges - 1, [len(place) - 1]))
-        yield first + begin, last + begin, place[first] + begin, hashes[place[first]].view(np.int64)
+        yield *_runs(part, size, np.array([len(part)])), begin
+
+
+def _runs(part: np.ndarray, size: int, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(first, last, at, hashes): windows first .. last have their anchor at `at`; the hashes of all k-grams. No window goes beyond the end of its text."""
+    hashes = _gram_hashes(part)
+    wide = size - GRAM + 1
+    # The least hash, and of equal ones the first, with its place: doubling the number of grams looked at.
+    least = (hashes & ~_PLACE) | np.arange(len(hashes), dtype=np.uint64)
+    reach = 1
+    while 2 * reach <= wide:
+        least = np.minimum(least[:-reach], least[reach:])
+        reach *= 2
+    if reach < wide:
+        least = np.minimum(least[: reach - wide], least[wide - reach :])
+    place = least & _PLACE
+    begins = np.ones(len(place), bool)
+    begins[1:] = place[1:] != place[:-1]
+    # From a text's last window on nothing is a window of it, up to the next text.
+    begins[ends[:-1]] = True
+    begins[ends[:-1] - size + 1] = True
+    first = np.flatnonzero(begins)
+    last = np.append(first[1:], len(place)) - 1
+    if len(ends) > 1:
+        inside = first <= ends[np.searchsorted(ends, first, "right")] - size
+        first, last = first[inside], last[inside]
+    return first, last, place[first].astype(np.int64), hashes
+
+
+def _parts(texts: list[np.ndarray], size: int) -> Iterator[tuple]:
+    """(part, begins, numbers, before, first, last, at, hashes) of all texts with a window, the short ones several at a time.
+
+    Text numbers[i] begins at begins[i] of the part, and if it is very long, its first `before` bytes are in other parts.
+    """
+    held: list[int] = []
+    room = _TOGETHER
+    for number, text in enumerate(texts):
+        if len(text) >= _TOGETHER:
+            for first, last, at, hashes, before in _segments(text, size):
+                yield text[before : before + _SEGMENT + size - 1], np.zeros(1, np.int64), np.array([number]), before, first, last, at, hashes
+        elif len(text) >= size:
+            if len(text) > room:
+                yield _together(texts, held, size)
+                held, room = [], _TOGETHER
+            held.append(number)
+            room -= len(text)
+    if held:
+        yield _together(texts, held, size)
+
+
+def _together(texts: list[np.ndarray], numbers: list[int], size: int) -> tuple:
+    part = np.concatenate([texts[i] for i in numbers])
+    ends = np.cumsum([len(texts[i]) for i in numbers])
+    return part, np.append(0, ends[:-1]), np.array(numbers), 0, *_runs(part, size, ends)
 
 
 def _gram_hashes(text: np.ndarray) -> np.ndarray:
@@ -124,7 +170,9 @@ def _gram_hashes(text: np.ndarray) -> np.ndarray:
     hashes, length = _BYTES[text], 1
     while length < GRAM:
         power = np.uint64(pow(int(_BASE), length, 1 << 64))
-        hashes = hashes[:-length] * power + hashes[length:]
+        longer = hashes[:-length] * power
+        longer += hashes[length:]
+        hashes = longer
         length *= 2
     return mixed(hashes)
 
@@ -135,7 +183,7 @@ def _ranges(rows: DataFrame, size: int) -> DataFrame:
     # One number for a document is enough to tell it which of its anchors are shared; more of them do no harm.
     each = anchored.select(F.xxhash64("did", "tkey").alias("doc"), F.explode("anchors").alias("anchor"))
     shared = each.groupBy("anchor").agg(F.count("*").alias("instances")).filter("instances > 1").select("anchor")
-    wanted = cut(each.join(shared, "anchor").groupBy("doc").agg(F.collect_set("anchor").alias("anchors")), "shared-anchors")
+    wanted = cut(each.join(shared.hint("shuffle_hash"), "anchor").groupBy("doc").agg(F.collect_set("anchor").alias("anchors")), "shared-anchors")
     drop_cut(anchored)
     texts = rows.select("did", "tkey", F.xxhash64("did", "tkey").alias("doc"), "text").join(wanted.hint("shuffle_hash"), "doc")
     instances = cut(texts.select("did", "tkey", "text", "anchors").mapInArrow(_instances(size), _INSTANCE_DDL), "instances")
@@ -181,16 +229,22 @@ def _ranges(rows: DataFrame, size: int) -> DataFrame:
 
 def _anchors(size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def rows() -> Iterator[tuple]:
-            for batch in batches:
-                for did, tkey, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), utf8(batch.column(2)), strict=True):
-                    parts = [runs[3] for runs in anchored_runs(text, size)]
-                    if parts:
-                        # Once each, and once more if the text itself repeats it, however often.
-                        anchors, times = np.unique(np.concatenate(parts), return_counts=True)
-                        yield did, tkey, np.concatenate((anchors, anchors[times > 1]))
-
-        return batches_of(_ANCHORED, rows(), 2_000)
+        for batch in batches:
+            of, anchors = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)]
+            for _, begins, numbers, _, first, _, at, hashes in _parts(list(utf8(batch.column(2))), size):
+                of.append(numbers[np.searchsorted(begins, first, "right") - 1])
+                anchors.append(hashes[at])
+            of, anchors = np.concatenate(of), np.concatenate(anchors).view(np.int64)
+            order = np.lexsort((anchors, of))
+            of, anchors = of[order], anchors[order]
+            # Once each, and once more if the text itself repeats it, however often.
+            third = np.zeros(len(of), bool)
+            third[2:] = (of[2:] == of[:-2]) & (anchors[2:] == anchors[:-2])
+            of, anchors = of[~third], anchors[~third]
+            numbers, counts = np.unique(of, return_counts=True)
+            rows = pa.array(numbers)
+            lists = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(counts)), pa.int32()), pa.array(anchors))
+            yield pa.record_batch([batch.column(0).take(rows), batch.column(1).take(rows), lists], schema=_ANCHORED)
 
     return run
 
@@ -207,33 +261,42 @@ def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     return batches_of(_TEXT, rows())
 
 
-def _contexts(content: bytes, first: int, stop: int, at: int, size: int) -> list[int]:
-    """Hashes of the bytes around an anchor of which each window in first .. stop has at least one whole."""
+def _contexts(hashes: np.ndarray, first: np.ndarray, stop: np.ndarray, at: np.ndarray, size: int) -> pa.ListArray:
+    """Hashes of the bytes around each anchor of which each window in first .. stop has at least one whole."""
     quarter = (size - GRAM) // 4
-    out = []
+    wide = GRAM + 3 * quarter
+    out, whole = np.zeros((len(at), 4), np.uint64), np.zeros((len(at), 4), bool)
     for before in range(4):
-        begin, end = at - before * quarter, at + GRAM + (3 - before) * quarter
-        if first <= begin and end <= stop:
-            out.append(xxh3_64_intdigest(content[begin:end], before) - (1 << 63))
-    return out
+        begin = at - before * quarter
+        there = np.flatnonzero((first <= begin) & (begin + wide <= stop))
+        begin = begin[there]
+        hashed = np.full(len(there), before, np.uint64)
+        # All of its bytes are in k-grams that follow each other, the last of which may overlap.
+        for offset in (*range(0, wide - GRAM, GRAM), wide - GRAM):
+            hashed = mixed(hashed * _CONTEXT + hashes[begin + offset])
+        out[there, before], whole[there, before] = hashed, True
+    edges = np.append(0, np.cumsum(whole.sum(axis=1)))
+    return pa.ListArray.from_arrays(pa.array(edges, pa.int32()), pa.array(out[whole].view(np.int64)))
 
 
 def _instances(size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def rows() -> Iterator[tuple]:
-            for batch in batches:
-                for i, text in enumerate(utf8(batch.column(2))):
-                    did, tkey = batch.column(0)[i].as_py(), batch.column(1)[i].as_py()
-                    wanted = batch.column(3)[i].values.to_numpy()
-                    content = text.tobytes()
-                    for columns in anchored_runs(text, size):
-                        some = np.isin(columns[3], wanted)
-                        for first, last, at, anchor in zip(*(c[some].tolist() for c in columns), strict=True):
-                            stop = last + size
-                            held = content[first:stop]
-                            yield anchor, xxh3_128_digest(held), did, tkey, first, _contexts(content, first, stop, at, size), len(held)
-
-        return batches_of(_INSTANCE, rows())
+        for batch in batches:
+            # An anchor that one of the texts shares with others is shared by all that have it.
+            wanted = np.unique(batch.column(3).flatten().to_numpy(zero_copy_only=False))
+            for part, begins, numbers, before, first, last, at, hashes in _parts(list(utf8(batch.column(2))), size):
+                anchors = hashes[at].view(np.int64)
+                some = np.flatnonzero(wanted[np.minimum(np.searchsorted(wanted, anchors), len(wanted) - 1)] == anchors)
+                first, stop, at, anchors = first[some], last[some] + size, at[some], anchors[some]
+                content = part.tobytes()
+                digests = [xxh3_128_digest(content[begin:end]) for begin, end in zip(first.tolist(), stop.tolist(), strict=True)]
+                of = np.searchsorted(begins, first, "right") - 1
+                rows = pa.array(numbers[of])
+                columns = [
+                    pa.array(anchors), pa.array(digests, pa.binary()), batch.column(0).take(rows), batch.column(1).take(rows),
+                    pa.array(first - begins[of] + before), _contexts(hashes, first, stop, at, size), pa.array(stop - first),
+                ]
+                yield pa.record_batch(columns, schema=_INSTANCE)
 
     return run
 

@@ -1,4 +1,5 @@
 import hashlib
+import os
 import random
 
 import numpy as np
@@ -6,7 +7,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from draftstats.llm import queries, suffix_dedup
+from draftstats.llm import collection_bwt, queries, suffix_dedup
 from draftstats.llm.collection_bwt import equal_windows
 
 SCHEMA = "doc_id long, text string, anchor string, digest string, kept string"
@@ -80,6 +81,48 @@ def test_segments_of_a_long_text_overlap(monkeypatch):
     assert (of_windows(whole) == of_windows(parts)).all()
 
 
+def test_short_texts_are_hashed_together(monkeypatch):
+    rng = np.random.default_rng(2)
+    texts = [rng.integers(97, 100, n).astype(np.uint8) for n in (0, 99, 100, 101, 400, 5_000, 100, 700, 90, 1_200, 300)]
+    texts += [texts[4]] * 200
+    calls, hashes = [], suffix_dedup._gram_hashes
+    monkeypatch.setattr(suffix_dedup, "_gram_hashes", lambda text: calls.append(len(text)) or hashes(text))
+    expected = sorted(
+        (i, int(a), int(b), int(c), int(d)) for i, t in enumerate(texts) for runs in suffix_dedup.anchored_runs(t, 100) for a, b, c, d in zip(*runs, strict=True)
+    )
+    assert len(calls) > 200
+    monkeypatch.setattr(suffix_dedup, "_SEGMENT", 1_000)
+    for together, most in ((1 << 17, 1), (2_000, 70)):
+        monkeypatch.setattr(suffix_dedup, "_TOGETHER", together)
+        calls.clear()
+        found = []
+        for _, begins, numbers, before, first, last, at, grams in suffix_dedup._parts(texts, 100):
+            of = np.searchsorted(begins, first, "right") - 1
+            for i, a, b, c, d in zip(numbers[of], first - begins[of], last - begins[of], at - begins[of], grams[at].view(np.int64), strict=True):
+                found.append((int(i), int(a + before), int(b + before), int(c + before), int(d)))
+        assert len(calls) <= most
+        windows = [sorted((i, w, c, d) for i, a, b, c, d in runs for w in range(a, b + 1)) for runs in (found, expected)]
+        assert windows[0] == windows[1]
+
+
+@settings(deadline=None, max_examples=30)
+@given(st.lists(st.text("ab", max_size=14).map(str.encode), min_size=1, max_size=8), st.integers(1, 6))
+def test_common_prefixes_come_from_the_round_before(texts, size):
+    class Table:
+        def read(self):
+            return self.values.copy()
+
+        def write(self, values):
+            self.values = np.asarray(values, np.uint8)
+
+    bwt, lcp = Table(), Table()
+    places = collection_bwt._transform(collection_bwt.Collection(texts), size, bwt, lcp)
+    suffixes = sorted((t[k:], len(texts) if k < len(t) else 0, i) for i, t in enumerate(texts) for k in range(len(t) + 1))
+    shared = [min(size, len(os.path.commonprefix([a[0], b[0]]))) for a, b in zip(suffixes, suffixes[1:], strict=False)]
+    assert lcp.values.tolist() == [0, *shared]
+    assert [suffixes[p][0] for p in places] == texts
+
+
 def test_empty_table(spark):
     assert found(spark.createDataFrame([], SCHEMA)) == []
 
