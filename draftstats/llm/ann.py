@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from .common import cut, drop_cut, utf8
 
 #: Neighbours a node keeps, and of either kind (new, old) those that a round joins, for either direction together.
-DEGREE = 32
+DEGREE = 64
 JOINED = 28
 #: Vectors of one block, about, and how many ways blocks are made.
 BLOCK = 400
@@ -32,11 +32,12 @@ TREES = 12
 #: The graph is done when a round renews less than this share of its edges.
 RENEWED = 0.02
 #: Best candidates a query keeps in a table of up to BEAM_NODES nodes; beyond, the beam grows as their
-#: number to the power BEAM_GROWTH. Of these a query expands one in EXPANDED at a time.
+#: number to the power BEAM_GROWTH. A query expands EXPANDED of these at a time, until its SETTLED best are expanded.
 BEAM = 160
 BEAM_NODES = 10_000
 BEAM_GROWTH = 0.6
-EXPANDED = 4
+EXPANDED = 40
+SETTLED = 80
 #: Landmarks: so many nodes by a hash, and as many of the largest norms. A query starts at so many of them.
 LANDMARKS = 1_024
 STARTS = 16
@@ -331,13 +332,14 @@ def beam_of(n_nodes: int, k: int) -> int:
 def search(nodes: DataFrame, members: DataFrame, asked: DataFrame, graph: DataFrame, k: int, beam: int | None = None) -> DataFrame:
     """(query_id, rank, vec_id, score) by greedy walks, from a query's own neighbours and the best landmarks on.
 
-    Each step expands the best unexpanded candidates of every query, and ends
-    when the best that a query keeps are all expanded. Here `fresh` means not yet
+    Each step expands the best unexpanded candidates of every query, which ends
+    when the best it keeps, all that are ranked and SETTLED at least, are expanded: easy
+    queries end early, others go on into what they keep besides. Here `fresh` means not yet
     expanded. Walks go by vectors as whole numbers of eight bits on from a landmark; the result is ranked by the vectors as given.
     Without `beam`, what a query keeps grows with the number of nodes.
     """
     beam = beam or beam_of(nodes.count(), k)
-    at_once = beam // EXPANDED
+    at_once, settled = min(beam, EXPANDED), max(SETTLED, 4 * k)
     ids, landmarks = _landmarks(nodes)
     ways = cut(_ways(nodes, graph, landmarks), "ways")
     of_query = asked.select(F.col("query").alias("node")).distinct().join(nodes, "node").select(F.col("node").alias("query"), F.col("packed").alias("asked"))
@@ -347,13 +349,14 @@ def search(nodes: DataFrame, members: DataFrame, asked: DataFrame, graph: DataFr
     start = _alone(of_query.select(F.col("query").alias("node"), F.col("asked").alias("packed")))
     begun = start.union(_from_landmarks(of_query, ids, landmarks)).union(_scored(first.join(ways, "node").select(*met), landmarks))
     beams = cut(_beams(begun, beam), "beams")
-    while not beams.filter(F.exists("fresh", lambda x: x)).isEmpty():
+    going = F.exists(F.slice("fresh", 1, settled), lambda x: x)
+    while not beams.filter(going).isEmpty():
         open_ = F.filter("ids", lambda x, i: F.get("fresh", i))
         worst = F.when(F.size("ids") < beam, F.lit(float("-inf")).cast("float")).otherwise(F.array_min("scores"))
-        steps = beams.select(F.col("node").alias("query"), worst.alias("worst"), F.col("packed").alias("asked"), F.explode(F.slice(open_, 1, at_once)).alias("node"))
+        steps = beams.filter(going).select(F.col("node").alias("query"), worst.alias("worst"), F.col("packed").alias("asked"), F.explode(F.slice(open_, 1, at_once)).alias("node"))
         scored = _scored(steps.join(ways, "node").select(*met), landmarks)
         up_to = lambda i: F.size(F.filter(F.slice("fresh", 1, i + 1), lambda x: x))
-        left = beams.withColumn("fresh", F.transform("fresh", lambda x, i: x & (up_to(i) > at_once)))
+        left = beams.withColumn("fresh", F.transform("fresh", lambda x, i: x & going & (up_to(i) > at_once)))
         moved = cut(_beams(left.union(scored), beam), "beams")
         drop_cut(beams)
         beams = moved

@@ -91,6 +91,23 @@ def test_the_beam_grows_with_the_table():
     assert sizes[0] == sizes[1] == 160 and sizes == sorted(sizes) and len(set(sizes)) == 4
 
 
+# All that a query kept were expanded, 600 each here, so that the steps of all walks grew as the beam did with the table.
+def test_walks_end_when_their_best_are_expanded(spark, monkeypatch):
+    vectors = dict(enumerate(_unit(np.random.default_rng(4).standard_normal((3_000, 32))).astype(np.float32)))
+    frame = spark.createDataFrame([(i, v.tolist()) for i, v in vectors.items()], "vec_id long, embedding array<float>")
+    asked, taken, scored = 3_000 // 20, [], ann._scored
+
+    def counted(steps, landmarks):
+        taken.append(steps.count())
+        return scored(steps, landmarks)
+
+    monkeypatch.setattr(ann, "beam_of", lambda n_nodes, k: 600)
+    monkeypatch.setattr(ann, "_scored", counted)
+    found = answers(ann.nearest(frame, lambda v: v % 20 == 0))
+    assert recall(found, brute(vectors, lambda i: i % 20 == 0)) >= 0.99
+    assert 80 * asked <= sum(taken) <= 300 * asked
+
+
 def test_query_recall(spark):
     folder = "/root/testdata/sf0.1"
     vectors = {r.vec_id: r.embedding for r in spark.read.parquet(f"{folder}/embeddings.parquet").collect()}
