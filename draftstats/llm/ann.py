@@ -1,19 +1,18 @@
-"""Approximate nearest neighbours by largest inner product.
+"""Approximate nearest neighbours by largest inner product; exact in tables of up to some 339,000 vectors.
 
-NN-descent builds a neighbour graph: vectors start with the best of some random
-projection blocks; then, round by round, the neighbours of each vector, in both
-directions, are joined with each other, and each keeps the best it has met.
-Queries walk the graph greedily, from their own neighbours and from the best of some landmarks.
+Vectors lie in cells, each around a landmark, and near cells together in parts.
+Queries walk from part to part, the most promising first, and multiply themselves with all vectors of
+the cells that they look into, so that a step is a product of matrices and no vector is moved for a query.
 
 Vectors get one more component that gives all of them the same norm, so the
-graph follows distances, while a query, with nothing there, asks for inner products.
+cells follow distances, while a query, with nothing there, asks for inner products.
 Equal vectors are one node. What is rounded is always a difference of near
 vectors, so neither one very long vector nor a dense cluster costs precision.
 """
 
 from collections.abc import Iterator
-from itertools import groupby
-from math import ceil, log2
+from math import ceil
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -21,43 +20,59 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import cut, drop_cut, utf8
-
-#: Neighbours a node keeps, and of either kind (new, old) those that a round joins, for either direction together.
-DEGREE = 64
-JOINED = 28
-#: Vectors of one block, about, and how many ways blocks are made.
-BLOCK = 400
-TREES = 12
-#: The graph is done when a round renews less than this share of its edges.
-RENEWED = 0.02
-#: Best candidates a query keeps in a table of up to BEAM_NODES nodes; beyond, the beam grows as their
-#: number to the power BEAM_GROWTH. A query expands EXPANDED of these at a time, until its SETTLED best are expanded.
+from .common import cut, drop_cut
+
+#: Landmarks: so many nodes by a hash for the root of the number of nodes, some SPREAD at most, and LONGEST of the largest norms.
+PER_ROOT = 4
+SPREAD = 16_384
+LONGEST = 1_024
+#: Cells are dealt to so many parts, all of one size; a cell that is larger goes to several.
+PARTS = 96
+#: A query looks into cells of BEAM times SCORED nodes in a table of up to BEAM_NODES nodes; beyond, the beam
+#: grows as their number to the power BEAM_GROWTH.
 BEAM = 160
 BEAM_NODES = 10_000
 BEAM_GROWTH = 0.6
+SCORED = 256
+#: Parts that a query visits in its first round, and how many times as many as before in each further one, EXPANDED at most.
+FIRST = 2
+GROWING = 4
 EXPANDED = 40
-SETTLED = 80
-#: Landmarks: so many nodes by a hash, and as many of the largest norms. A query starts at so many of them.
-LANDMARKS = 1_024
-STARTS = 16
 
-# Lists of one node that are merged before there are more.
+# Lists of one node that are merged before there are more; nodes of a block; queries and nodes that are multiplied at once.
 _HUB = 20_000
+_BLOCK = 2_000
+_QUERIES, _PIECE = 2_048, 256
+# What scores of vectors of norm 1 at most may be wrong by, with much to spare.
+_ROUNDED = 1e-4
 
-_LISTS = "node bigint, packed binary, ids array<bigint>, scores array<float>, fresh array<boolean>"
+_LISTS = "node bigint, packed binary, ids array<bigint>, scores array<double>, fresh array<boolean>"
 _LIST_SCHEMA = pa.schema(
-    [("node", pa.int64()), ("packed", pa.binary()), ("ids", pa.list_(pa.int64())), ("scores", pa.list_(pa.float32())), ("fresh", pa.list_(pa.bool_()))]
+    [("node", pa.int64()), ("packed", pa.binary()), ("ids", pa.list_(pa.int64())), ("scores", pa.list_(pa.float64())), ("fresh", pa.list_(pa.bool_()))]
 )
 
 
+class Cells(NamedTuple):
+    """The index. Of each cell: its landmark's node and vector, how many nodes it has, and the first and the last part that hold some.
+
+    blocks: (part, ids, cells, packed), some nodes of a part with their cells and vectors.
+    """
+
+    blocks: DataFrame
+    ids: np.ndarray
+    landmarks: np.ndarray
+    sizes: np.ndarray
+    first: np.ndarray
+    last: np.ndarray
+
+
 def nearest(
     vectors: DataFrame, queries, k: int = 20, id_column: str = "vec_id", vector_column: str = "embedding"
 ) -> DataFrame:
     """(query_id, rank, vec_id, score): the k nearest found for each row of which `queries`, a condition on vec_id, holds.
 
-    A row's candidates are all rows but itself; if there are k or fewer, most or
-    all are found. Scores are inner products in double precision of the vectors as given; ties
+    A row's candidates are all rows but itself; if there are k or fewer, all
+    are found. Scores are inner products in double precision of the vectors as given; ties
     go to the smaller id. Vectors that are null, zero, of another length than
     most, or hold nulls or numbers that are not finite take no part, nor do null
     ids. Of rows with one id the least vector counts. Other columns are ignored.
@@ -73,129 +88,202 @@ def _nodes(rows: DataFrame, queries, k: int) -> tuple[DataFrame, DataFrame, Data
     members: (vec_id, node, vector) of the first k + 1 rows of each vector, as no query needs more copies;
     asked: (query_id, query, asked), the queries with their nodes and vectors;
     nodes: (node, packed).
+    Vectors are bytes here that have the order of their numbers, see `_ordered`.
     """
-    doubles = F.col("vector").cast("array<double>")
-    finite = F.forall(doubles, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
-    valid = rows.select("vec_id", doubles.alias("vector")).filter(
-        F.col("vec_id").isNotNull() & F.col("vector").isNotNull() & finite & F.exists("vector", lambda x: x != 0)
-    )
-    size = valid.groupBy(F.size("vector").alias("size")).count().orderBy(F.desc("count"), "size").first()
-    of_size = valid.filter(F.size("vector") == (size["size"] if size else 0))
-    distinct = of_size.groupBy("vec_id").agg(F.min("vector").alias("vector"))
+    # Single precision stays single, with half of the bytes.
+    kind = np.float32 if rows.schema["vector"].dataType.simpleString() == "array<float>" else np.float64
+    given = rows.select("vec_id", F.col("vector").cast(f"array<{'float' if kind == np.float32 else 'double'}>").alias("vector")).filter("vec_id is not null")
+
+    def sizes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lengths = _lengths(batch.column(1))[_valid(batch.column(1))]
+            yield pa.record_batch([*map(pa.array, np.unique(lengths, return_counts=True))], names=["size", "rows"])
+
+    size = given.mapInArrow(sizes, "size int, rows bigint").groupBy("size").agg(F.sum("rows").alias("rows")).orderBy(F.desc("rows"), "size").first()
+    of_size = size["size"] if size else 0
+
+    def ordered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            some = batch.filter(pa.array(_valid(batch.column(1)) & (_lengths(batch.column(1)) == of_size)))
+            if some.num_rows:
+                vectors = some.column(1).flatten().to_numpy().reshape(some.num_rows, -1)
+                yield pa.record_batch([some.column(0), _ordered(vectors)], names=["vec_id", "vector"])
+
+    def distinct(of: DataFrame) -> DataFrame:
+        return of.mapInArrow(ordered, "vec_id bigint, vector binary").groupBy("vec_id").agg(F.min("vector").alias("vector"))
+
     same = Window.partitionBy("vector").orderBy("vec_id")
-    few = distinct.withColumn("copy", F.row_number().over(same)).filter(F.col("copy") <= k + 1)
+    few = distinct(given).withColumn("copy", F.row_number().over(same)).filter(F.col("copy") <= k + 1)
     members = cut(few.withColumn("node", F.min("vec_id").over(Window.partitionBy("vector"))).drop("copy"), "members")
-    of_vector = members.filter("vec_id = node").select("node", "vector")
-    wanted = distinct.filter(queries(F.col("vec_id"))).withColumnRenamed("vec_id", "query_id").join(of_vector, "vector")
+    one = members.filter("vec_id = node").select("node", "vector")
+    wanted = distinct(given.filter(queries(F.col("vec_id")))).withColumnRenamed("vec_id", "query_id").join(one, "vector")
     asked = cut(wanted.select("query_id", F.col("node").alias("query"), F.col("vector").alias("asked")), "asked")
-    norm = F.aggregate("vector", F.lit(0.0), lambda a, x: a + x * x)
-    largest = members.agg(F.max(norm).alias("most")).first()["most"] or 1.0
-    unit = largest**0.5
-    rest = F.sqrt(F.greatest(F.lit(largest) - norm, F.lit(0.0)))
-    one = members.filter("vec_id = node").select("node", F.array_append("vector", rest).alias("vector"))
+
+    def longest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                yield pa.record_batch([pa.array([(_given(batch.column(1)) ** 2).sum(1).max()])], names=["most"])
+
+    largest = one.mapInArrow(longest, "most double").agg(F.max("most").alias("most")).first()["most"] or 1.0
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            packed = [(np.array(v) / unit).astype(np.float32).tobytes() for v in batch.column(1).to_pylist()]
-            yield pa.record_batch([batch.column(0), pa.array(packed, pa.binary())], names=["node", "packed"])
+            if batch.num_rows:
+                vectors = _given(batch.column(1))
+                rests = np.sqrt(np.maximum(largest - (vectors**2).sum(1), 0.0))
+                packed = (np.column_stack([vectors, rests]) / largest**0.5).astype(np.float32)
+                yield pa.record_batch([batch.column(0), _binary(packed)], names=["node", "packed"])
 
     return members, asked, cut(one.mapInArrow(pack, "node bigint, packed binary"), "nodes")
 
 
-def build(nodes: DataFrame, degree: int = DEGREE, renewed: float = RENEWED) -> DataFrame:
-    """(node, packed, ids, scores, fresh): the neighbour graph."""
-    graph, number = cut(_best(_in_blocks(nodes, degree).union(_alone(nodes)), degree), "graph"), 0
-    fresh = F.sum(F.size(F.filter("fresh", lambda x: x)))
-    while True:
-        seen = graph.withColumn("fresh", F.transform("fresh", lambda x: F.lit(False)))
-        better = cut(_best(seen.union(_round(graph, number, degree)), degree), "graph")
-        drop_cut(graph)
-        graph, number = better, number + 1
-        new, edges = graph.agg(fresh, F.sum(F.size("ids"))).first()
-        if not new or new < renewed * edges:
-            return graph
+def _lengths(vectors: pa.Array) -> np.ndarray:
+    return pc.fill_null(pc.list_value_length(vectors), 0).to_numpy()
+
+
+def _valid(vectors: pa.Array) -> np.ndarray:
+    """Which vectors are not null nor zero and hold finite numbers only."""
+    lengths = _lengths(vectors)
+    ends = np.cumsum(lengths)
+    # A null among the numbers is not a number here.
+    numbers = vectors.flatten().to_numpy(zero_copy_only=False)
+    finite, nonzero = (np.append(0, np.cumsum(which))[np.array([ends - lengths, ends])] for which in (np.isfinite(numbers), numbers != 0))
+    return (finite[1] - finite[0] == lengths) & (nonzero[1] > nonzero[0])
+
+
+def _binary(matrix: np.ndarray) -> pa.Array:
+    """The bytes of each row."""
+    size = matrix.shape[1] * matrix.itemsize
+    return pa.FixedSizeBinaryArray.from_buffers(pa.binary(size), len(matrix), [None, pa.py_buffer(np.ascontiguousarray(matrix))]).cast(pa.binary())
+
+
+def _ordered(vectors: np.ndarray) -> pa.Array:
+    """Vectors as bytes that are equal if the numbers are, and have their order: how many bytes a number has, then these,
+    most significant first, with the sign bit turned, or all bits of what is negative."""
+    whole = np.dtype(f"u{vectors.itemsize}")
+    # Adding zero makes a negative zero positive.
+    bits = (vectors + vectors.dtype.type(0)).view(whole)
+    sign = whole.type(1) << whole.type(8 * whole.itemsize - 1)
+    content = np.where(bits & sign, ~bits, bits | sign).astype(whole.newbyteorder(">")).view(np.uint8)
+    return _binary(np.column_stack([np.full(len(vectors), whole.itemsize, np.uint8), content]))
+
 
+def _given(ordered: pa.Array) -> np.ndarray:
+    """The numbers of `_ordered`, some rows at least, in double precision."""
+    content = _content(ordered).reshape(len(ordered), -1)
+    whole = np.dtype(f"u{content[0, 0]}")
+    bits = np.ascontiguousarray(content[:, 1:]).view(whole.newbyteorder(">")).astype(whole)
+    sign = whole.type(1) << whole.type(8 * whole.itemsize - 1)
+    return np.where(bits & sign, bits ^ sign, ~bits).view(f"f{whole.itemsize}").astype(np.float64)
 
-def _alone(nodes: DataFrame) -> DataFrame:
-    """Nodes as lists without neighbours, which bring the vectors along."""
-    empty = [F.array().cast(kind).alias(c) for c, kind in (("ids", "array<bigint>"), ("scores", "array<float>"), ("fresh", "array<boolean>"))]
-    return nodes.select("node", "packed", *empty)
 
+def build(nodes: DataFrame) -> Cells:
+    """The index of the nodes: cells around landmarks, one after the other, cut into parts of one size."""
+    n_nodes = nodes.count()
+    ids, landmarks = _landmarks(nodes, n_nodes)
+    held = cut(_in_cells(nodes, landmarks), "cells")
+    sizes = np.zeros(len(ids), np.int64)
+    for row in held.groupBy("cell").count().collect():
+        sizes[row["cell"]] = row["count"]
+    starts = np.cumsum(sizes) - sizes
 
-def _landmarks(nodes: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """Nodes and vectors of a bounded sample: the first LANDMARKS by a hash of the node, then those of the largest norms. The last component is kept."""
+    def part_of(cells: np.ndarray, places: np.ndarray) -> np.ndarray:
+        """Where a node is: its place, from 0 to 1, within its cell is a hash."""
+        return np.floor((starts[cells] + places * sizes[cells]) * PARTS / n_nodes).astype(np.int32)
+
+    def in_parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                yield pa.record_batch([pa.array(part_of(batch.column(0).to_numpy(), batch.column(1).to_numpy())), *batch.select(["cell", "node", "packed"]).columns], names=["part", "cell", "node", "packed"])
+
+    places = 1 << 20
+    placed = held.select("cell", (F.pmod(F.xxhash64("node"), F.lit(places)) / places).alias("place"), "node", "packed")
+    dealt = placed.mapInArrow(in_parts, "part int, cell int, node bigint, packed binary")
+    blocks = cut(_blocks(dealt), "blocks")
+    drop_cut(held)
+    of_all = np.arange(len(ids))
+    return Cells(blocks, ids, landmarks, sizes, *((part_of(of_all, at) if n_nodes else of_all) for at in (0.0, (places - 1) / places)))
+
+
+def _landmarks(nodes: DataFrame, n_nodes: int) -> tuple[np.ndarray, np.ndarray]:
+    """Nodes and vectors of a bounded sample: some by a hash of the node, and the LONGEST of the largest norms. Near ones follow each other."""
 
     def shortest_rests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # The last component is least for the largest norm.
         for batch in batches:
             if batch.num_rows:
                 rests = _matrix(batch.column(1))[:, -1]
-                some = pa.array(np.lexsort((batch.column(0).to_numpy(), rests))[:LANDMARKS])
+                some = pa.array(np.lexsort((batch.column(0).to_numpy(), rests))[:LONGEST])
                 yield pa.record_batch([*(c.take(some) for c in batch.columns), pa.array(rests).take(some)], names=["node", "packed", "rest"])
 
-    long = nodes.select("node", "packed").mapInArrow(shortest_rests, "node bigint, packed binary, rest float").orderBy("rest", "node")
-    spread = nodes.orderBy(F.xxhash64("node"), "node")
-    some = [of.limit(LANDMARKS).select("node", "packed").collect() for of in (spread, long)]
-    of_node = {row.node: bytes(row.packed) for rows in some for row in rows}
-    matrix = np.frombuffer(b"".join(of_node.values()), np.float32)
-    return np.array(list(of_node), np.int64), matrix.reshape(len(of_node), -1) if of_node else np.zeros((0, 1), np.float32)
+    long = nodes.select("node", "packed").mapInArrow(shortest_rests, "node bigint, packed binary, rest float").orderBy("rest", "node").limit(LONGEST)
+    spread = nodes.filter(F.pmod(F.xxhash64("node"), F.lit(max(1, n_nodes))) < min(ceil(PER_ROOT * n_nodes**0.5), SPREAD))
+    of_node = {row.node: bytes(row.packed) for of in (spread, long) for row in of.select("node", "packed").collect()}
+    if not of_node:
+        return np.zeros(0, np.int64), np.zeros((0, 1), np.float32)
+    ids = np.array(sorted(of_node), np.int64)
+    matrix = np.frombuffer(b"".join(of_node[i] for i in ids.tolist()), np.float32).reshape(len(ids), -1)
+    seeds = np.random.default_rng(0).permutation(len(ids))[:PARTS]
+    order = np.argsort(_nearest_of(matrix, matrix[seeds], np.median(matrix, axis=0)), kind="stable")
+    return ids[order], matrix[order]
+
+
+def _nearest_of(vectors: np.ndarray, centres: np.ndarray, middle: np.ndarray) -> np.ndarray:
+    """Which centre each vector is nearest to. Both are taken from the middle, as distances of far vectors would be rounded."""
+    bases = centres - middle
+    towards = np.column_stack([bases, (bases * bases).sum(1) / -2])
+    return np.concatenate(
+        [np.argmax(np.column_stack([v - middle, np.ones(len(v), np.float32)]) @ towards.T, axis=1) for v in np.split(vectors, range(512, len(vectors), 512))]
+    )
+
 
+def _in_cells(nodes: DataFrame, landmarks: np.ndarray) -> DataFrame:
+    """(cell, node, packed): each node in the cell of its nearest landmark."""
 
-def _nearness(matrix: np.ndarray) -> np.ndarray:
-    """Minus half of the squared distances within a group, or within each of several; they should be centred."""
-    half = (matrix * matrix).sum(-1) / 2
-    return matrix @ np.swapaxes(matrix, -1, -2) - half[..., :, None] - half[..., None, :]
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        middle = np.median(landmarks, axis=0)
+        for batch in batches:
+            if batch.num_rows:
+                cells = _nearest_of(_matrix(batch.column(1)), landmarks, middle).astype(np.int32)
+                yield pa.record_batch([pa.array(cells), *batch.columns], names=["cell", "node", "packed"])
 
+    return nodes.select("node", "packed").mapInArrow(run, "cell int, node bigint, packed binary")
 
-def _matrix(packed: pa.Array, kind: type = np.float32) -> np.ndarray:
-    """Vectors of one length, none of them null, as a matrix."""
-    return np.frombuffer(b"".join(utf8(packed)), kind).reshape(len(packed), -1)
 
+def _blocks(dealt: DataFrame) -> DataFrame:
+    """(part, ids, cells, packed): up to _BLOCK nodes of a part in one row, in the order of their cells, as bytes of int64, int32 and float32."""
 
-def _groups(batches: Iterator[pa.RecordBatch], n_keys: int = 1) -> Iterator[list[tuple]]:
-    """Rows that follow each other with equal first columns. The rows are sorted by them."""
-    rows = (row for batch in batches for row in zip(*(c.to_pylist() for c in batch.columns), strict=True))
-    for _, members in groupby(rows, key=lambda r: r[:n_keys]):
-        yield members
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for some in _runs(batch):
+                for at in range(0, some.num_rows, _BLOCK):
+                    part, cells, ids, packed = some.slice(at, _BLOCK).columns
+                    content = (ids.to_numpy().tobytes(), cells.to_numpy().tobytes(), _content(packed).tobytes())
+                    yield pa.record_batch([part.slice(0, 1), *(pa.array([c], pa.binary()) for c in content)], names=["part", "ids", "cells", "packed"])
 
+    return dealt.repartition("part").sortWithinPartitions("part", "cell").mapInArrow(run, "part int, ids binary, cells binary, packed binary")
 
-def _in_blocks(nodes: DataFrame, degree: int) -> DataFrame:
-    """Each node's best in its blocks: nodes on the same sides of some random planes, in several ways. Large blocks are dealt into several."""
-    planes = max(0, ceil(log2(max(1, nodes.count()) / BLOCK)))
 
-    def sides(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for tree in range(TREES if batch.num_rows else 0):
-                matrix = _matrix(batch.column(1))
-                random = np.random.default_rng(tree).standard_normal((matrix.shape[1] - 1, planes)).astype(np.float32)
-                block = ((matrix[:, :-1] @ random > 0) @ (1 << np.arange(planes, dtype=np.int64))).astype(np.int64) * TREES + tree
-                yield pa.record_batch([pa.array(block), *batch.columns], names=["block", "node", "packed"])
-
-    def best(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for members in _groups(batches, 2):
-            rows = list(members)
-            ids = np.array([r[2] for r in rows])
-            matrix = np.frombuffer(b"".join(r[3] for r in rows), np.float32).reshape(len(rows), -1)
-            scores = _nearness(matrix - matrix.mean(0))
-            np.fill_diagonal(scores, -np.inf)
-            few = min(degree, len(rows) - 1)
-            top = np.argpartition(-scores, few - 1, axis=1)[:, :few] if few else np.zeros((len(rows), 0), np.int64)
-            found = zip(ids.tolist(), ids[top], np.take_along_axis(scores, top, 1), strict=True)
-            yield _lists([(node, None, near, score, np.ones(few, bool)) for node, near, score in found])
-
-    blocks = nodes.select("node", "packed").mapInArrow(sides, "block bigint, node bigint, packed binary")
-    sizes = blocks.groupBy("block").agg(F.ceil(F.count("*") / (2 * BLOCK)).alias("parts"))
-    dealt = blocks.join(sizes, "block").select("block", F.pmod(F.xxhash64("node"), F.col("parts")).alias("part"), "node", "packed")
-    return dealt.repartition("block", "part").sortWithinPartitions("block", "part").mapInArrow(best, _LISTS)
-
-
-def _best(met: DataFrame, degree: int) -> DataFrame:
-    """Lists of one node as one list of its best. A node met already is not fresh again."""
+def _runs(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """The rows that follow each other with equal first columns."""
+    if batch.num_rows:
+        keys = batch.column(0).to_numpy()
+        edges = [0, *(np.flatnonzero(np.diff(keys)) + 1).tolist(), len(keys)]
+        for begin, end in zip(edges, edges[1:]):
+            yield batch.slice(begin, end - begin)
 
-    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        return _merged(batches, degree)
 
-    return met.repartition("node").sortWithinPartitions("node").mapInArrow(merge, _LISTS)
+def _content(column: pa.Array) -> np.ndarray:
+    """All bytes of a column without nulls, one value after the other."""
+    _, offsets, data = column.buffers()
+    wide = pa.types.is_large_binary(column.type)
+    ends = np.frombuffer(offsets, np.int64 if wide else np.int32, len(column) + column.offset + 1)[column.offset :]
+    return np.frombuffer(data, np.uint8, ends[-1] - ends[0], ends[0]) if ends[-1] > ends[0] else np.zeros(0, np.uint8)
+
+
+def _matrix(packed: pa.Array) -> np.ndarray:
+    """Vectors of one length, none of them null, as a matrix."""
+    return _content(packed).view(np.float32).reshape(len(packed), -1)
 
 
 def _lists(rows: list[tuple]) -> pa.RecordBatch:
@@ -254,208 +342,184 @@ def _merge(lists: pa.RecordBatch, most: int) -> pa.RecordBatch:
     return _flat_lists(nodes, packed, ends, ids[kept], scores[kept], fresh[kept])
 
 
-def _round(graph: DataFrame, number: int, degree: int) -> DataFrame:
-    """What the neighbours of each node, in both directions, learn of each other.
-
-    Of a hub's many reverse neighbours a round joins some, by a hash that changes with the round.
-    """
-    forward = graph.select(F.col("node").alias("around"), F.explode(F.arrays_zip("ids", "fresh")).alias("e")).select(
-        "around", F.col("e.ids").alias("node"), F.col("e.fresh").alias("fresh")
-    )
-    both = forward.union(forward.select(F.col("node").alias("around"), F.col("around").alias("node"), "fresh"))
-    chosen = Window.partitionBy("around").orderBy(F.desc("fresh"), F.xxhash64(F.lit(number), "node", "around"), "node")
-    # One exchange serves the aggregation and the window.
-    joined = (
-        both.repartition("around")
-        .groupBy("around", "node")
-        .agg(F.max("fresh").alias("fresh"))
-        .withColumn("place", F.row_number().over(chosen))
-        .filter(F.col("place") <= JOINED)
-        .select("around", "node")
-    )
-    worst = F.when(F.size("ids") < degree, F.lit(float("-inf")).cast("float")).otherwise(F.array_min("scores"))
-    known = graph.select("node", worst.alias("worst"), "packed")
-
-    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        left = None
-        for batch in batches:
-            held = batch if left is None else pa.concat_batches([left, batch.cast(left.schema)])
-            if held.num_rows:
-                around = held.column(0).to_numpy()
-                last = int(np.searchsorted(around, around[-1]))
-                yield from _met(held.slice(0, last))
-                left = held.slice(last)
-        if left is not None:
-            yield from _met(left)
-
-    placed = joined.join(known, "node").select("around", "node", "worst", "packed")
-    return placed.repartition("around").sortWithinPartitions("around").mapInArrow(meet, _LISTS)
-
-
-def _met(rows: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-    """For each member of a group the others that are better than its worst. Groups are padded to one size and multiplied together."""
-    around, ids = rows.column(0).to_numpy(), rows.column(1).to_numpy()
-    starts = np.flatnonzero(np.diff(around, prepend=around[:1] - 1))
-    for some in np.array_split(starts, max(1, len(starts) // 512)) if len(starts) else ():
-        begin = int(some[0])
-        after = np.searchsorted(starts, some[-1], "right")
-        stop = int(starts[after]) if after < len(starts) else len(around)
-        group = np.searchsorted(some, np.arange(begin, stop), "right") - 1
-        place = np.arange(begin, stop) - some[group]
-        vectors = _matrix(rows.column(3).slice(begin, stop - begin))
-        size = int(place.max()) + 1
-        matrix = np.zeros((len(some), size, vectors.shape[1]), np.float32)
-        sizes = np.bincount(group)[:, None].astype(np.float32)
-        matrix[group, place] = vectors - (np.add.reduceat(vectors, some - begin) / sizes)[group]
-        worst = np.full((len(some), size), np.inf, np.float32)
-        worst[group, place] = rows.column(2).to_numpy()[begin:stop]
-        member = np.zeros((len(some), size), np.int64)
-        member[group, place] = ids[begin:stop]
-        there = np.zeros((len(some), size), bool)
-        there[group, place] = True
-        scores = _nearness(matrix)
-        better = (scores > worst[:, :, None]) & there[:, None, :] & there[:, :, None] & ~np.eye(size, dtype=bool)
-        g, i, j = np.nonzero(better)
-        if len(g):
-            of = g * size + i
-            lists = np.flatnonzero(np.diff(of, prepend=-1))
-            ends = np.append(lists[1:], len(of))
-            none = pa.nulls(len(lists), pa.binary())
-            yield _flat_lists(member[g[lists], i[lists]], none, ends, member[g, j], scores[g, i, j], np.ones(len(g), bool))
-
-
 def beam_of(n_nodes: int, k: int) -> int:
-    """Candidates that a query keeps. A fixed number would find ever less of a growing table."""
+    """How much of a table a query looks into, in SCORED nodes. A fixed number would find ever less of a growing table."""
     return max(ceil(BEAM * max(1.0, n_nodes / BEAM_NODES) ** BEAM_GROWTH), 2 * k)
 
 
-def search(nodes: DataFrame, members: DataFrame, asked: DataFrame, graph: DataFrame, k: int, beam: int | None = None) -> DataFrame:
-    """(query_id, rank, vec_id, score) by greedy walks, from a query's own neighbours and the best landmarks on.
+def search(nodes: DataFrame, members: DataFrame, asked: DataFrame, cells: Cells, k: int, beam: int | None = None) -> DataFrame:
+    """(query_id, rank, vec_id, score) by walks from part to part, those of the best landmarks first.
 
-    Each step expands the best unexpanded candidates of every query, which ends
-    when the best it keeps, all that are ranked and SETTLED at least, are expanded: easy
-    queries end early, others go on into what they keep besides. Here `fresh` means not yet
-    expanded. Walks go by vectors as whole numbers of eight bits on from a landmark; the result is ranked by the vectors as given.
-    Without `beam`, what a query keeps grows with the number of nodes.
+    A query scores all nodes of the cells whose landmarks are best, beam times SCORED
+    nodes or the whole table, but for cells too narrow to hold a better one than it has. It keeps twice
+    as many as are ranked, which makes up for rounding; the result is ranked by the vectors as given.
+    In a list of candidates `fresh` are those that the last round brought.
+    Without `beam`, what a query looks into grows with the number of nodes.
     """
-    beam = beam or beam_of(nodes.count(), k)
-    at_once, settled = min(beam, EXPANDED), max(SETTLED, 4 * k)
-    ids, landmarks = _landmarks(nodes)
-    ways = cut(_ways(nodes, graph, landmarks), "ways")
+    beam, kept = beam or beam_of(nodes.count(), k), 2 * k
     of_query = asked.select(F.col("query").alias("node")).distinct().join(nodes, "node").select(F.col("node").alias("query"), F.col("packed").alias("asked"))
-    first = of_query.select("query", F.lit(float("-inf")).cast("float").alias("worst"), "asked", F.col("query").alias("node"))
-    met = ["query", "worst", "asked", "others", "codes", "scales", "centres"]
-    # A beam's `packed` is the query's vector.
-    start = _alone(of_query.select(F.col("query").alias("node"), F.col("asked").alias("packed")))
-    begun = start.union(_from_landmarks(of_query, ids, landmarks)).union(_scored(first.join(ways, "node").select(*met), landmarks))
-    beams = cut(_beams(begun, beam), "beams")
-    going = F.exists(F.slice("fresh", 1, settled), lambda x: x)
-    while not beams.filter(going).isEmpty():
-        open_ = F.filter("ids", lambda x, i: F.get("fresh", i))
-        worst = F.when(F.size("ids") < beam, F.lit(float("-inf")).cast("float")).otherwise(F.array_min("scores"))
-        steps = beams.filter(going).select(F.col("node").alias("query"), worst.alias("worst"), F.col("packed").alias("asked"), F.explode(F.slice(open_, 1, at_once)).alias("node"))
-        scored = _scored(steps.join(ways, "node").select(*met), landmarks)
-        up_to = lambda i: F.size(F.filter(F.slice("fresh", 1, i + 1), lambda x: x))
-        left = beams.withColumn("fresh", F.transform("fresh", lambda x, i: x & going & (up_to(i) > at_once)))
-        moved = cut(_beams(left.union(scored), beam), "beams")
-        drop_cut(beams)
-        beams = moved
-    return _ranked(beams, graph, members, asked, k)
-
-
-def _from_landmarks(of_query: DataFrame, ids: np.ndarray, landmarks: np.ndarray) -> DataFrame:
-    """The best landmarks of each query, as lists."""
-    few = min(STARTS, len(landmarks))
+    ways = cut(_ways(of_query, cells, beam * SCORED, kept), "ways")
+    begun = ways.select(F.col("query").alias("node"), F.col("asked").alias("packed"), "ids", "scores", "fresh")
+    beams, visited, longest = begun, 0, ways.agg(F.max(F.size("parts")).alias("most")).first()["most"] or 0
+    while visited < longest:
+        at_once = min(GROWING * visited, EXPANDED) or FIRST
+        worst = F.coalesce(F.get("scores", F.lit(kept - 1)), F.lit(float("-inf")))
+        going = ways.select("query", "asked", "least", F.slice("parts", visited + 1, at_once).alias("next")).join(beams.select(F.col("node").alias("query"), worst.alias("worst")), "query")
+        steps = going.select(F.explode("next").alias("part"), "query", "worst", "least", F.lit(kept).alias("most"), "asked")
+        seen = beams.withColumn("fresh", F.transform("fresh", lambda x: F.lit(False)))
+        moved = cut(_beams(seen.union(_scored(steps, cells)), kept), "beams")
+        if beams is not begun:
+            drop_cut(beams)
+        beams, visited = moved, visited + at_once
+    return _ranked(beams, members, asked, k)
+
+
+def _ways(of_query: DataFrame, cells: Cells, n_scored: int, kept: int) -> DataFrame:
+    """(query, asked, least, parts, ids, scores, fresh): which cells a query looks into, those of landmarks from `least` on,
+    the parts that hold them, the best first, and its best landmarks, with which its list begins."""
+    ids, n_cells = cells.ids, len(cells.ids)
+    # One that is there only for parts at the end.
+    bases = np.vstack([cells.landmarks[:, :-1], np.zeros((1, cells.landmarks.shape[1] - 1))]).astype(np.float64)
+    numbers = np.arange(PARTS)
+    begins, ends = np.searchsorted(cells.last, numbers), np.searchsorted(cells.first, numbers, "right")
+    numbers = numbers[begins < ends]
+    edges = np.column_stack([begins, ends])[numbers].ravel()
+    by_id = np.argsort(ids)
+    sorted_ids = ids[by_id]
+    sizes = cells.sizes.astype(np.float32)
+    few = min(kept, n_cells)
+    kinds = (pa.int64(), pa.binary(), pa.float64(), pa.list_(pa.int32()), pa.list_(pa.int64()), pa.list_(pa.float64()), pa.list_(pa.bool_()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if batch.num_rows and few:
-                scores = _matrix(batch.column(1))[:, :-1] @ landmarks[:, :-1].T
-                top = np.argpartition(-scores, few - 1, axis=1)[:, :few]
-                ends = np.arange(1, len(top) + 1) * few
-                found = np.take_along_axis(scores, top, 1).ravel()
-                none = pa.nulls(len(top), pa.binary())
-                yield _flat_lists(batch.column(0).to_numpy(), none, ends, ids[top.ravel()], found, np.ones(top.size, bool))
-
-    return of_query.select("query", "asked").mapInArrow(run, _LISTS)
-
-
-def _ways(nodes: DataFrame, graph: DataFrame, landmarks: np.ndarray) -> DataFrame:
-    """(node, others, codes, scales, centres): where one can go from a node, and how to get from a landmark to each of them.
-
-    What leads to a node is a way on from it as well, for as many hops as a node has neighbours.
-    An other's vector is its centre, the nearest landmark, and its scale times its code, eight bits a component.
-    """
-    forward = graph.select("node", F.explode("ids").alias("other"))
-    place = F.row_number().over(Window.partitionBy("node").orderBy(F.xxhash64("other"), "other"))
-    back = forward.select(F.col("other").alias("node"), F.col("node").alias("other")).withColumn("place", place)
-    pairs = forward.union(back.filter(F.col("place") <= DEGREE).drop("place")).distinct()
-
-    def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bases = landmarks[:, :-1]
-        half = (bases * bases).sum(1) / 2
-        for batch in batches:
-            for at in range(0, batch.num_rows, 2_000):
-                part = batch.slice(at, 2_000)
-                vectors = _matrix(part.column(1))[:, :-1]
-                centres = np.argmax(vectors @ bases.T - half, axis=1).astype(np.int32)
-                from_centre = vectors - bases[centres]
-                scales = np.maximum(np.abs(from_centre).max(1) / 127, np.finfo(np.float32).tiny).astype(np.float32)
-                codes = np.rint(from_centre / scales[:, None]).astype(np.int8)
-                columns = [pa.array([c.tobytes() for c in codes], pa.binary()), pa.array(scales), pa.array(centres)]
-                yield pa.record_batch([part.column(0), *columns], names=["other", "code", "scale", "centre"])
-
-    def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kinds = (pa.int64(), pa.list_(pa.int64()), pa.binary(), pa.list_(pa.float32()), pa.list_(pa.int32()))
-        for some in _some(_groups(batches), 1_000):
-            rows = [(g[0][0], [r[1] for r in g], b"".join(r[2] for r in g), [r[3] for r in g], [r[4] for r in g]) for g in map(list, some)]
-            yield pa.record_batch(
-                [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)], names=["node", "others", "codes", "scales", "centres"]
-            )
-
-    coded = nodes.select("node", "packed").mapInArrow(code, "other bigint, code binary, scale float, centre int")
-    met = pairs.join(coded, "other").select("node", "other", "code", "scale", "centre")
-    return met.repartition("node").sortWithinPartitions("node").mapInArrow(
-        gather, "node bigint, others array<bigint>, codes binary, scales array<float>, centres array<int>"
-    )
-
-
-def _some(groups: Iterator[list[tuple]], size: int) -> Iterator[list]:
-    held = []
-    for group in groups:
-        held.append(list(group))
-        if len(held) == size:
-            yield held
-            held = []
-    if held:
-        yield held
-
-
-def _scored(steps: DataFrame, landmarks: np.ndarray) -> DataFrame:
-    """What each step meets that is better than the worst its query keeps."""
-    bases = np.ascontiguousarray(landmarks[:, :-1])
+            for at in range(0, batch.num_rows, 256):
+                some = batch.slice(at, 256)
+                queries = some.column(0).to_numpy()
+                scores = _matrix(some.column(1))[:, :-1].astype(np.float64) @ bases.T
+                scores[:, -1] = -np.inf
+                least = _least(scores[:, :-1], sizes, n_scored)
+                best = np.maximum.reduceat(scores, edges, axis=1)[:, ::2]
+                order = np.argsort(-best, axis=1, kind="stable")
+                parts = [numbers[o[:n]].astype(np.int32) for o, n in zip(order, (best >= least[:, None]).sum(1), strict=True)]
+                # A query isn't its own neighbour.
+                own = np.minimum(np.searchsorted(sorted_ids, queries), n_cells - 1)
+                of_own = np.flatnonzero(sorted_ids[own] == queries)
+                scores[of_own, by_id[own[of_own]]] = -np.inf
+                top = np.argpartition(scores, n_cells + 1 - few, axis=1)[:, n_cells + 1 - few :]
+                top = np.take_along_axis(top, np.argsort(-np.take_along_axis(scores, top, 1), axis=1, kind="stable"), 1)
+                there = [t[s > -np.inf] for t, s in zip(top, np.take_along_axis(scores, top, 1), strict=True)]
+                columns = (queries, some.column(1), least, parts, [ids[t] for t in there], [s[t] for s, t in zip(scores, there, strict=True)], [np.ones(len(t), bool) for t in there])
+                yield pa.record_batch([c if isinstance(c, pa.Array) else pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names=["query", "asked", "least", "parts", "ids", "scores", "fresh"])
+
+    return of_query.mapInArrow(run, "query bigint, asked binary, least double, parts array<int>, ids array<bigint>, scores array<double>, fresh array<boolean>")
+
+
+def _least(scores: np.ndarray, sizes: np.ndarray, n_scored: int) -> np.ndarray:
+    """For each row the score from which on its cells hold `n_scored` nodes, or few more."""
+    if n_scored >= sizes.sum():
+        return np.full(len(scores), -np.inf)
+    scores = scores.astype(np.float32)
+    low, high = scores.min(1), scores.max(1)
+    for _ in range(48):
+        middle = (low + high) / 2
+        held = (scores >= middle[:, None]) @ sizes
+        low, high = np.where(held >= n_scored, middle, low), np.where(held >= n_scored, high, middle)
+        if ((held >= n_scored) & (held <= 1.02 * n_scored) | (low >= high)).all():
+            break
+    # Below what was rounded to it.
+    return np.nextafter(low, np.float32(-np.inf)).astype(np.float64)
+
+
+def _scored(steps: DataFrame, cells: Cells) -> DataFrame:
+    """What each step, a query's visit of a part, meets that is better than the worst its query keeps; the `most` best of it."""
+    bases = cells.landmarks[:, :-1]
+    # Of a part that many want each share of the steps has a copy of the blocks.
+    wanted = {row["part"]: row["count"] for row in steps.groupBy("part").count().collect()}
+    shares = F.array(*(F.lit(max(1, ceil(wanted.get(part, 0) * PARTS / (2 * sum(wanted.values()) or 1)))) for part in range(PARTS)))[F.col("part")]
+    # Bytes instead of arrays, as Spark counts an Arrow batch's null arrays anew for every row.
+    none = {c: F.lit(None).cast(t).alias(c) for c, t in (("query", "bigint"), ("worst", "double"), ("least", "double"), ("most", "int"))}
+    empty = F.lit(b"")
+    share_of = lambda share: (F.col("part") + PARTS * share).alias("share")
+    copies = cells.blocks.select("*", F.explode(F.sequence(F.lit(0), shares - 1)).alias("copy"))
+    of_parts = copies.select(share_of(F.col("copy")), none["query"], none["worst"], none["least"], none["most"], "packed", "ids", "cells")
+    share = share_of(F.pmod(F.xxhash64("query"), shares).cast("int"))
+    rows = of_parts.union(steps.select(share, "query", "worst", "least", "most", "asked", empty, empty))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # Blocks have no query, so they come before the steps of their share.
+        number, blocks, part = None, [], None
         for batch in batches:
-            for at in range(0, batch.num_rows, 1_000):
-                part = batch.slice(at, 1_000)
-                of = np.repeat(np.arange(part.num_rows), pc.list_value_length(part.column(3)).to_numpy())
-                asked = _matrix(part.column(2))[:, :-1]
-                codes = np.frombuffer(b"".join(utf8(part.column(4))), np.int8).reshape(len(of), -1)
-                scales, centres = (part.column(c).flatten().to_numpy() for c in (5, 6))
-                from_centres = np.einsum("ij,ij->i", codes.astype(np.float32), asked[of]) * scales
-                scores = np.einsum("ij,ij->i", bases[centres], asked[of]) + from_centres
-                better = scores > part.column(1).to_numpy()[of]
-                ends = np.cumsum(np.bincount(of[better], minlength=part.num_rows))
-                others = part.column(3).flatten().to_numpy()[better]
-                none = pa.nulls(part.num_rows, pa.binary())
-                yield _flat_lists(part.column(0).to_numpy(), none, ends, others, scores[better], np.ones(len(others), bool))
-
-    return steps.mapInArrow(run, _LISTS)
+            for some in _runs(batch):
+                if some.column(0)[0].as_py() != number:
+                    number, blocks, part = some.column(0)[0].as_py(), [], None
+                begin = some.column(1).null_count
+                if begin:
+                    blocks.append(some.slice(0, begin))
+                for at in range(begin, some.num_rows if blocks else 0, _QUERIES):
+                    part = part or _Part.of(blocks, bases)
+                    yield from part.better(some.slice(at, _QUERIES))
+
+    return rows.repartition("share").sortWithinPartitions("share", "query").mapInArrow(run, _LISTS)
+
+
+class _Part(NamedTuple):
+    """The nodes of a part by cell: where the cells begin, their landmarks and radii, and what leads from these to the nodes."""
+
+    ids: np.ndarray
+    edges: np.ndarray
+    bases: np.ndarray
+    radii: np.ndarray
+    rests: np.ndarray
+
+    @classmethod
+    def of(cls, blocks: list[pa.RecordBatch], bases: np.ndarray) -> "_Part":
+        packed, ids, cells = (np.concatenate([_content(b.column(c)) for b in blocks]).view(t) for c, t in ((5, np.float32), (6, np.int64), (7, np.int32)))
+        vectors = packed.reshape(len(ids), -1)
+        order = np.argsort(cells, kind="stable")
+        numbers, begins = np.unique(cells[order], return_index=True)
+        rests = vectors[order, :-1] - bases[cells[order]]
+        radii = np.sqrt(np.maximum.reduceat((rests * rests).sum(1), begins))
+        return cls(ids[order], np.append(begins, len(ids)), bases[numbers].astype(np.float64), radii, rests)
+
+    def better(self, steps: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        asked = np.ascontiguousarray(_matrix(steps.column(5))[:, :-1])
+        worst, least = (steps.column(c).to_numpy() for c in (2, 3))
+        towards = asked.astype(np.float64) @ self.bases.T
+        reach = np.linalg.norm(asked, axis=1)[:, None] * (1.00001 * self.radii)
+        looks = (towards >= least[:, None]) & (towards + reach > worst[:, None])
+        met: list[tuple[np.ndarray, ...]] = []
+        room, marks = np.empty(len(asked) * _PIECE, np.float32), np.zeros(len(asked) * _PIECE + 8, bool)
+        for cell in np.flatnonzero(looks.any(0)):
+            some = np.flatnonzero(looks[:, cell])
+            lookers = asked if len(some) == len(asked) else np.take(asked, some, axis=0)
+            needed = (worst[some] - towards[some, cell]).astype(np.float32)[:, None]
+            for begin in range(self.edges[cell], self.edges[cell + 1], _PIECE):
+                piece = self.rests[begin : min(begin + _PIECE, self.edges[cell + 1])]
+                shape, size = (len(some), len(piece)), len(some) * len(piece)
+                scores = np.matmul(lookers, piece.T, out=room[:size].reshape(shape))
+                np.greater(scores, needed, out=marks[:size].reshape(shape))
+                # Few are marked, so they are looked for by eight.
+                marks[size : size + 8] = False
+                by_eight = np.flatnonzero(marks[: -(-size // 8) * 8].view(np.uint64))
+                if len(by_eight):
+                    at = (8 * by_eight[:, None] + np.arange(8)).ravel()
+                    at = at[marks[at]]
+                    of = some[at // len(piece)]
+                    met.append((of, self.ids[begin + at % len(piece)], towards[of, cell] + room[at]))
+        if met:
+            of, ids, scores = map(np.concatenate, zip(*met, strict=True))
+            order = np.lexsort((ids, -scores, of))
+            of = of[order]
+            kept = np.arange(len(of)) - np.searchsorted(of, of) < steps.column(4)[0].as_py()
+            order, of = order[kept], of[kept]
+            which = np.flatnonzero(np.diff(of, prepend=-1))
+            ends = np.append(which[1:], len(of))
+            queries = steps.column(1).to_numpy()[of[which]]
+            yield _flat_lists(queries, pa.nulls(len(which), pa.binary()), ends, ids[order], scores[order], np.ones(len(of), bool))
 
 
 def _beams(lists: DataFrame, beam: int) -> DataFrame:
-    """One list of the best for each query, without itself. A node once expanded stays so."""
+    """One list of the best for each query, without itself. """
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return _merged(batches, beam)
@@ -463,13 +527,20 @@ def _beams(lists: DataFrame, beam: int) -> DataFrame:
     return lists.repartition("node").sortWithinPartitions("node").mapInArrow(merge, _LISTS)
 
 
-def _ranked(beams: DataFrame, graph: DataFrame, members: DataFrame, asked: DataFrame, k: int) -> DataFrame:
-    """Nodes found become rows, a query's own vector and its neighbours in the graph among them, with exact scores."""
-    own = graph.select("node", F.col("ids").alias("own"))
-    nodes = F.array_distinct(F.concat(F.slice("ids", 1, 4 * k), "own", F.array("node")))
-    found = beams.join(own, "node").select(F.col("node").alias("query"), F.explode(nodes).alias("node"))
-    pairs = asked.join(found, "query").join(members, "node").filter("vec_id <> query_id")
-    score = F.aggregate(F.zip_with("asked", "vector", lambda a, b: a * b), F.lit(0.0), lambda a, x: a + x)
-    scored = pairs.select("query_id", "vec_id", score.alias("score"))
+def _ranked(beams: DataFrame, members: DataFrame, asked: DataFrame, k: int) -> DataFrame:
+    """Nodes found become rows, a query's own vector among them, with exact scores. All that may be among the k best go in."""
+    enough = F.coalesce(F.get("scores", F.lit(k - 1)), F.lit(float("-inf"))) - _ROUNDED
+    near = F.filter("ids", lambda x, i: F.get("scores", i) >= enough)
+    found = beams.select(F.col("node").alias("query"), F.explode(F.concat(near, F.array("node"))).alias("node"))
+    pairs = asked.join(found, "query").join(members, "node").filter("vec_id <> query_id").select("query_id", "vec_id", "asked", "vector")
+
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                # Added up one after the other, in whatever batch a pair is.
+                products = _given(batch.column(2)) * _given(batch.column(3))
+                yield pa.record_batch([*batch.columns[:2], pa.array(np.cumsum(products, axis=1)[:, -1])], names=["query_id", "vec_id", "score"])
+
+    scored = pairs.mapInArrow(score, "query_id bigint, vec_id bigint, score double")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return scored.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

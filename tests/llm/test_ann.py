@@ -1,4 +1,5 @@
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from draftstats.llm import ann, queries
@@ -144,3 +145,71 @@ def test_lists_of_one_node_are_merged_as_a_dictionary_would(monkeypatch):
             batches = [ann._lists(rows[i : i + size]) for i in range(0, len(rows), size)]
             found = [tuple(r.values()) for batch in ann._merged(iter(batches), 7) for r in batch.to_pylist()]
             assert found == expected
+
+
+# The graph's rounds and the walks' steps wrote fourteen tables here, and sent each vector to every step that met it.
+@pytest.mark.parametrize("kind", ["float", "double"])
+def test_all_are_found_in_few_steps(spark, monkeypatch, kind):
+    vectors = dict(enumerate(_unit(np.random.default_rng(6).standard_normal((4_000, 64))).astype(np.float32 if kind == "float" else np.float64)))
+    frame = spark.createDataFrame([(i, v.tolist()) for i, v in vectors.items()], f"vec_id long, embedding array<{kind}>")
+    written, cut = [], ann.cut
+    monkeypatch.setattr(ann, "cut", lambda df, name: written.append(name) or cut(df, name))
+    found, exact = answers(ann.nearest(frame, lambda v: v % 20 == 0)), brute(vectors, lambda i: i % 20 == 0)
+    assert len(written) <= 12
+    assert {q: [v for v, _ in near] for q, near in found.items()} == {q: [v for v, _ in near] for q, near in exact.items()}
+    assert all(abs(s - t) < 1e-12 for q in exact for (_, s), (_, t) in zip(found[q], exact[q], strict=True))
+
+
+def _near_copies(rng):
+    """Most near one vector, so that one landmark's cell or few are in all parts."""
+    matrix = _unit(rng.standard_normal((3_000, 16)))
+    matrix[600:] = matrix[0] + 0.001 * rng.standard_normal((2_400, 16))
+    return matrix
+
+
+def _some_long(rng):
+    """Ten long ones that are best for most, so that most queries go to one part first."""
+    matrix = _unit(rng.standard_normal((3_000, 16)))
+    matrix[:10] = 5 * matrix[0] + 0.1 * matrix[:10]
+    return matrix
+
+
+@pytest.mark.parametrize("rows", [_near_copies, _some_long, _dense_clusters, _far_clusters_of_other_norms])
+@pytest.mark.parametrize("scored", [1_200, None])
+def test_where_parts_are_uneven_and_where_a_query_looks_into_some_cells(spark, monkeypatch, rows, scored):
+    vectors = dict(enumerate(rows(np.random.default_rng(3)).astype(np.float32)))
+    frame = spark.createDataFrame([(i, v.tolist()) for i, v in vectors.items()], "vec_id long, embedding array<float>")
+    if scored:
+        monkeypatch.setattr(ann, "beam_of", lambda n_nodes, k: 1)
+        monkeypatch.setattr(ann, "SCORED", scored)
+    monkeypatch.setattr(ann, "LONGEST", 16)
+    monkeypatch.setattr(ann, "PER_ROOT", 2)
+    found, exact = answers(ann.nearest(frame, lambda v: v % 20 == 0)), brute(vectors, lambda i: i % 20 == 0)
+    assert recall(found, exact) >= (0.9 if scored else 0.999)
+
+
+def test_cells_of_a_query_hold_as_many_nodes_as_it_scores():
+    rng = np.random.default_rng(7)
+    scores, sizes = rng.standard_normal((50, 400)), rng.integers(0, 40, 400).astype(np.float32)
+    scores[0], scores[1] = 0.1, 0.1 + 1e-12 * rng.standard_normal(400)
+    for wanted in (1, 700, int(sizes.sum()) - 1):
+        held = (scores >= ann._least(scores, sizes, wanted)[:, None]) @ sizes
+        assert (held >= wanted).all() and (held[2:] <= 1.02 * wanted + 40).all()
+    assert np.isneginf(ann._least(scores, sizes, int(sizes.sum()))).all()
+
+
+def test_vectors_as_bytes_have_the_order_of_their_numbers():
+    rng = np.random.default_rng(8)
+    for kind in (np.float32, np.float64):
+        matrix = np.concatenate([np.round(rng.standard_normal((300, 3))), rng.standard_normal((100, 3)), [[0.0, -0.0, 1e-40]]]).astype(kind)
+        packed = ann._ordered(matrix)
+        assert (ann._given(packed.slice(7)) == matrix[7:].astype(np.float64)).all()
+        order = {tuple(row): b for row, b in zip((matrix + 0).tolist(), packed.to_pylist(), strict=True)}
+        assert [order[row] for row in sorted(order)] == sorted(set(packed.to_pylist()))
+
+
+def test_which_vectors_are_valid():
+    given = [[1.0, 2.0], None, [], [0.0, -0.0], [None, 1.0], [float("nan"), 1.0], [float("-inf")], [3.0], None]
+    for at in range(len(given)):
+        vectors = pa.array(given, pa.list_(pa.float32())).slice(at)
+        assert ann._valid(vectors).tolist() == [i in (0, 7) for i in range(at, len(given))]
