@@ -39,10 +39,12 @@ FIRST = 2
 GROWING = 4
 EXPANDED = 40
 
-# Lists of one node that are merged before there are more; nodes of a block; queries and nodes that are multiplied at once.
+# Lists of one node that are merged before there are more; nodes of a block; queries and nodes that are multiplied at once,
+# and how many of their products are held before only the best are.
 _HUB = 20_000
 _BLOCK = 2_000
 _QUERIES, _PIECE = 2_048, 256
+_MET = 1_000_000
 # What scores of vectors of norm 1 at most may be wrong by, with much to spare.
 _ROUNDED = 1e-4
 
@@ -483,11 +485,11 @@ class _Part(NamedTuple):
 
     def better(self, steps: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         asked = np.ascontiguousarray(_matrix(steps.column(5))[:, :-1])
-        worst, least = (steps.column(c).to_numpy() for c in (2, 3))
+        worst, least, most = steps.column(2).to_numpy().copy(), steps.column(3).to_numpy(), steps.column(4)[0].as_py()
         towards = asked.astype(np.float64) @ self.bases.T
         reach = np.linalg.norm(asked, axis=1)[:, None] * (1.00001 * self.radii)
         looks = (towards >= least[:, None]) & (towards + reach > worst[:, None])
-        met: list[tuple[np.ndarray, ...]] = []
+        met, n_met, bound = [], 0, _MET
         room, marks = np.empty(len(asked) * _PIECE, np.float32), np.zeros(len(asked) * _PIECE + 8, bool)
         for cell in np.flatnonzero(looks.any(0)):
             some = np.flatnonzero(looks[:, cell])
@@ -506,16 +508,27 @@ class _Part(NamedTuple):
                     at = at[marks[at]]
                     of = some[at // len(piece)]
                     met.append((of, self.ids[begin + at % len(piece)], towards[of, cell] + room[at]))
+                    n_met += len(at)
+            if n_met > bound:
+                met = [_firsts(met, most)]
+                of, _, scores = met[0]
+                n_met, bound = len(of), max(_MET, 2 * len(of))
+                full = np.flatnonzero(np.arange(len(of)) - np.searchsorted(of, of) == most - 1)
+                worst[of[full]] = np.maximum(worst[of[full]], scores[full])
         if met:
-            of, ids, scores = map(np.concatenate, zip(*met, strict=True))
-            order = np.lexsort((ids, -scores, of))
-            of = of[order]
-            kept = np.arange(len(of)) - np.searchsorted(of, of) < steps.column(4)[0].as_py()
-            order, of = order[kept], of[kept]
+            of, ids, scores = _firsts(met, most)
             which = np.flatnonzero(np.diff(of, prepend=-1))
             ends = np.append(which[1:], len(of))
             queries = steps.column(1).to_numpy()[of[which]]
-            yield _flat_lists(queries, pa.nulls(len(which), pa.binary()), ends, ids[order], scores[order], np.ones(len(of), bool))
+            yield _flat_lists(queries, pa.nulls(len(which), pa.binary()), ends, ids, scores, np.ones(len(of), bool))
+
+
+def _firsts(met: list[tuple[np.ndarray, ...]], most: int) -> tuple[np.ndarray, ...]:
+    """Of what is met (of, ids, scores) the `most` best of each, the best first."""
+    of, ids, scores = map(np.concatenate, zip(*met, strict=True))
+    order = np.lexsort((ids, -scores, of))
+    order = order[np.arange(len(of)) - np.searchsorted(of[order], of[order]) < most]
+    return of[order], ids[order], scores[order]
 
 
 def _beams(lists: DataFrame, beam: int) -> DataFrame:

@@ -213,3 +213,24 @@ def test_which_vectors_are_valid():
     for at in range(len(given)):
         vectors = pa.array(given, pa.list_(pa.float32())).slice(at)
         assert ann._valid(vectors).tolist() == [i in (0, 7) for i in range(at, len(given))]
+
+
+def test_a_part_gives_its_best_to_each_query_however_many_it_holds_meanwhile(monkeypatch):
+    rng = np.random.default_rng(9)
+    vectors, landmarks = (_unit(rng.standard_normal((n, 9))).astype(np.float32) for n in (900, 12))
+    cells = np.argmax(vectors[:, :-1] @ landmarks[:, :-1].T, axis=1).astype(np.int32)
+    ids = rng.permutation(900)
+    some = [pa.array([c.tobytes()], pa.binary()) for c in (vectors, ids, cells)]
+    nothing = pa.array([None], pa.int64())
+    part = ann._Part.of([pa.record_batch([nothing] * 5 + some, names=list("abcdefgh"))], landmarks[:, :-1])
+    asked = _unit(rng.standard_normal((40, 9))).astype(np.float32)
+    scores = asked[:, :-1].astype(np.float64) @ vectors[:, :-1].T
+    worst = np.where(np.arange(40) % 2, -np.inf, np.sort(scores, axis=1)[:, -4])
+    columns = [pa.array(np.zeros(40, np.int32)), pa.array(np.arange(40)), pa.array(worst), pa.array(np.full(40, -np.inf)), pa.array(np.full(40, 7, np.int32)), ann._binary(asked)]
+    expected = {q: ids[[v for v in np.argsort(-scores[q])[: 7 if q % 2 else 3]]].tolist() for q in range(40)}
+    for met in (1_000_000, 30):
+        monkeypatch.setattr(ann, "_MET", met)
+        steps = pa.record_batch(columns, names=list("abcdef"))
+        found = {r["node"]: r["ids"] for batch in part.better(steps) for r in batch.to_pylist()}
+        assert {q: near[:3] for q, near in found.items()} == {q: near[:3] for q, near in expected.items()}
+        assert all(found[q] == expected[q] for q in range(1, 40, 2))
